@@ -18,6 +18,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A coarse cell with more points is split.
 DENSE = 32
@@ -90,7 +91,7 @@ def points_within(points: DataFrame, key: str, lat: str, lon: str, km: float) ->
     return sparse.union(joined(finer, at.withColumn("cell", _cell_id(small))))
 
 
-@F.pandas_udf("array<struct<cell:bigint,level:int,inside:boolean>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("cell", T.LongType()), T.StructField("level", T.IntegerType()), T.StructField("inside", T.BooleanType())])))
 def polygon_cover(rings: pd.Series, max_level: pd.Series) -> pd.Series:
     """Quadtree cells over the world (level 0: one cell of 360 degrees) that cover a polygon [[lon, lat], ...]; a cell
     on the border is split until max_level, an inner one never."""
@@ -138,7 +139,7 @@ def _crosses(pts: list, x0: float, y0: float, x1: float, y1: float) -> bool:
     return False
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def in_polygon(rings: pd.Series, lon: pd.Series, lat: pd.Series) -> pd.Series:
     return pd.Series([_inside([(float(p[0]), float(p[1])) for p in r], x, y) for r, x, y in zip(rings, lon, lat, strict=True)], dtype=bool)
 
