@@ -173,7 +173,7 @@ def encode(df: DataFrame, key: str, text: str, vocabulary: str = DEFAULT_VOCABUL
 def count_tokens(text: Column, vocabulary: str = DEFAULT_VOCABULARY) -> Column:
     """The number of tokens of a text; 0 for an empty or a null text."""
 
-    @F.pandas_udf("bigint")
+    @F.pandas_udf(T.LongType())
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = encoder(vocabulary)
         for s in batches:
