@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from synoptic.llm import groups, mixing, splitting, tokens
+from synoptic.llm import groups, lookalikes, mixing, representative, splitting, tokens, variants
 from synoptic.runtime import read
 
 
@@ -19,6 +19,48 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return groups.groups(named, "p2").select(F.col("id").alias("rec_id"), "group_id")
 
 
+def _forms(spark: SparkSession, d: str) -> DataFrame:
+    return lookalikes.normalized(read(spark, d, "skos_label"), "name_id", ["label", "alt_label"], "p1")
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """Rows whose values look the same but are not the same characters."""
+    return lookalikes.look_alikes(_forms(spark, d)).select("field", F.col("a").alias("name_id_a"), F.col("b").alias("name_id_b"))
+
+
+def p1_forms(spark: SparkSession, d: str) -> DataFrame:
+    """The one form of every name."""
+    return _forms(spark, d).select(F.col("key").alias("name_id"), "field", "form")
+
+
+def _best(spark: SparkSession, d: str) -> DataFrame:
+    lat, lon = F.col("latitude"), F.col("longitude")
+    fields = {
+        "label": (F.col("label"), representative.usable_text(F.col("label"))),
+        "position": (F.concat_ws(" ", lat.cast("string"), lon.cast("string")), representative.usable_position(lat, lon)),
+        "start": (F.col("start_date"), representative.usable_date(F.col("start_date"))),
+    }
+    trust = read(spark, d, "list_authority").select(F.col("list_name").alias("source"), F.col("trust_rank").alias("rank"))
+    return representative.representatives(read(spark, d, "synset_record"), "synset_id", "rec_id", "list_name", "modified", fields, trust, "p4")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """The records that each field of a synset's survivor is taken from."""
+    return _best(spark, d).select(F.col("g").alias("synset_id"), F.col("label_id").alias("label_rec_id"), F.col("position_id").alias("position_rec_id"), F.col("start_id").alias("start_rec_id"))
+
+
+def p4_golden(spark: SparkSession, d: str) -> DataFrame:
+    """The surviving record of each synset."""
+    at = F.split("position", " ")
+    return _best(spark, d).select(F.col("g").alias("synset_id"), "label", F.element_at(at, 1).cast("double").alias("latitude"), F.element_at(at, 2).cast("double").alias("longitude"), F.col("start").alias("start_date"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """The facility that each mention means."""
+    linked = variants.link(read(spark, d, "facility_mention"), "mention_id", ["label", "alt_label"], read(spark, d, "aas_keyword"), "facility_id", "label", "alt_label", "p7")
+    return linked.select(F.col("key").alias("mention_id"), F.col("entity").alias("facility_id"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode(read(spark, d, "documents"), "doc_id", "text")
 
@@ -45,9 +87,31 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split(read(spark, d, "documents"), "doc_id", "text", profiles)
 
 
-QUERIES = {"p2_found": p2_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_pieces": p10_pieces}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p4_found": p4_found, "p4_golden": p4_golden, "p7_found": p7_found, "p2_found": p2_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_pieces": p10_pieces}
+
+_USABLE = r"""
+    records as (select distinct synset_id, rec_id, list_name, label, latitude, longitude, start_date, modified from synset_record),
+    placed as (select r.*, a.trust_rank,
+        regexp_matches(label, '[A-Za-z0-9]') and lower(trim(label)) not in ('unknown', 'none', 'null', 'nil', 'nan', 'na', 'n/a', 'tbd', 'tba', 'not available', 'not applicable', 'undefined', 'unspecified', 'unnamed', 'missing') as ok_label,
+        latitude between -90 and 90 and longitude between -180 and 360 and not isnan(latitude) and not isnan(longitude) and not (latitude = 0 and longitude = 0) as ok_position,
+        regexp_matches(start_date, '^[+]?[0-9]{4}') and not regexp_matches(start_date, '^[+]?(0000|9999|2000-01-01)') as ok_start
+        from records r left join list_authority a using (list_name)),
+    sizes as (select synset_id from records group by 1 having count(*) > 1)"""
 
 ORACLE_SQL = {
+    "p4_found": f"""with {_USABLE}
+        select synset_id,
+            arg_min(rec_id, (trust_rank, -epoch_us(modified), rec_id)) filter (ok_label) as label_rec_id,
+            arg_min(rec_id, (trust_rank, -epoch_us(modified), rec_id)) filter (ok_position) as position_rec_id,
+            arg_min(rec_id, (trust_rank, -epoch_us(modified), rec_id)) filter (ok_start) as start_rec_id
+        from placed semi join sizes using (synset_id) group by 1""",
+    "p4_golden": f"""with {_USABLE}
+        select synset_id,
+            arg_min(label, (trust_rank, -epoch_us(modified), rec_id)) filter (ok_label) as label,
+            arg_min(latitude, (trust_rank, -epoch_us(modified), rec_id)) filter (ok_position) as latitude,
+            arg_min(longitude, (trust_rank, -epoch_us(modified), rec_id)) filter (ok_position) as longitude,
+            arg_min(start_date, (trust_rank, -epoch_us(modified), rec_id)) filter (ok_start) as start_date
+        from placed semi join sizes using (synset_id) group by 1""",
     "p2_found": r"""
         with recursive given as (
             select rec_id as id, unnest(list_concat([code, nssdca_id], coalesce(prior_id, []::varchar[]))) as i from spase_record
