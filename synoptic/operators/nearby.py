@@ -63,6 +63,18 @@ def _around(cell: list[Column], reach: int) -> Column:
     return F.flatten(F.transform(span(cell[0]), lambda i: F.flatten(F.transform(span(cell[1]), lambda j: F.transform(span(cell[2]), lambda k: F.struct(i.alias("i"), j.alias("j"), k.alias("k")))))))
 
 
+def own_cell(km: float) -> Column:
+    """The cell of edge `km` that holds (x, y, z)."""
+    return _cell_id([F.floor(F.col(a) / km) for a in "xyz"])
+
+
+def near_cells(points: DataFrame, km: float) -> DataFrame:
+    """Each row of (..., x, y, z) once for each cell of edge `km` that has places within `km` of it, as `cell`."""
+    out = points.withColumn("c", F.explode(_around([F.floor(F.col(a) / km) for a in "xyz"], 1)))
+    box = [F.col("c.i"), F.col("c.j"), F.col("c.k")]
+    return out.where(_nearest2(box, km) <= km * km).withColumn("cell", _cell_id(box)).drop("c")
+
+
 def points_within(points: DataFrame, key: str, lat: str, lon: str, km: float) -> DataFrame:
     """(a, b), a < b: ids of points at most `km` apart on the ground (as a chord of the ellipsoid, which is shorter than
     the way along the ground by under 1e-7 at 10 km)."""
