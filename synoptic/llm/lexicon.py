@@ -24,6 +24,8 @@ KINDS = {
 }
 CONNECTING = frozenset("the of de du des la le el der die das and at".split())
 NICKNAME = frozenset("old big ear eye lantern dish".split())
+#: Kind words that also stand in names of places: alone they tell nothing.
+GENERIC = frozenset("station stn sta".split())
 PLACES = frozenset("ridge hill field site".split())
 CENTIMETRES = {"m": 100.0, "meter": 100.0, "metre": 100.0, "meters": 100.0, "metres": 100.0, "cm": 1.0, "mm": 0.1, "km": 1e5, "in": 2.54, "inch": 2.54, "ft": 30.48}
 ROMAN = {"i": 1, "ii": 2, "iii": 3, "iv": 4, "v": 5, "vi": 6, "vii": 7, "viii": 8, "ix": 9, "x": 10}
@@ -141,7 +143,7 @@ def parse(name: str | None) -> dict:
             core.append(w)
     if not out["suffix"] and len(core) > 1 and core[-1] in ROMAN and (len(core) > 2 or len(core[-1]) > 1):
         out["suffix"] = f"n{ROMAN[core.pop()]}"
-    if kinds:
+    if kinds and not GENERIC.issuperset(kinds):
         shared = frozenset(KINDS)
         for k in kinds:
             shared = shared & KIND_OF[k] or shared

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from synoptic.llm import groups, lookalikes, mixing, representative, splitting, tokens, variants
+from synoptic.llm import groups, linkage, lookalikes, mixing, representative, splitting, tokens, variants
 from synoptic.runtime import read
 
 
@@ -33,6 +33,19 @@ def p1_forms(spark: SparkSession, d: str) -> DataFrame:
     return _forms(spark, d).select(F.col("key").alias("name_id"), "field", "form")
 
 
+def _linked(spark: SparkSession, d: str) -> DataFrame:
+    return linkage.link(read(spark, d, "iaumpc_site"), "site_id", read(spark, d, "wikidata_facility"), "item_id", "p3")
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Sites and items that are the same facility."""
+    return _linked(spark, d).select(F.col("a").alias("site_id"), F.col("b").alias("item_id"))
+
+
+def p3_confidence(spark: SparkSession, d: str) -> DataFrame:
+    return _linked(spark, d).select(F.col("a").alias("site_id"), F.col("b").alias("item_id"), "confidence")
+
+
 def _best(spark: SparkSession, d: str) -> DataFrame:
     lat, lon = F.col("latitude"), F.col("longitude")
     fields = {
@@ -87,7 +100,7 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split(read(spark, d, "documents"), "doc_id", "text", profiles)
 
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p4_found": p4_found, "p4_golden": p4_golden, "p7_found": p7_found, "p2_found": p2_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_pieces": p10_pieces}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p3_confidence": p3_confidence, "p4_found": p4_found, "p4_golden": p4_golden, "p7_found": p7_found, "p2_found": p2_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_pieces": p10_pieces}
 
 _USABLE = r"""
     records as (select distinct synset_id, rec_id, list_name, label, latitude, longitude, start_date, modified from synset_record),
