@@ -67,15 +67,24 @@ class Words:
 def boundary_strengths(ends: np.ndarray, breaks: np.ndarray, blank: np.ndarray) -> np.ndarray:
     """The strength of the boundary after each word of one text."""
     out = np.full(len(ends), WITHIN, np.int8)
-    next_blank = np.r_[blank[1:], True]
+    next_blank, next_break, prior_break = np.ones(len(ends), bool), np.zeros(len(ends), bool), np.zeros(len(ends), bool)
+    broken = breaks > 0
+    next_blank[:-1], next_break[:-1], prior_break[1:] = blank[1:], broken[1:], broken[:-1]
     out[next_blank] = WORD
     out[next_blank & (ends == 1)] = CLAUSE
     out[(next_blank & (ends == 2)) | (ends == 3)] = SENTENCE
-    line = (breaks > 0) & (np.r_[breaks[1:], 0] == 0)
+    line = broken & ~next_break
     out[line] = LINE
-    out[line & ((breaks > 1) | (np.r_[0, breaks[:-1]] > 0))] = PARAGRAPH
+    out[line & ((breaks > 1) | prior_break)] = PARAGRAPH
     # Between two breaks, or before one, is no good place: the place after them is.
-    out[(np.r_[breaks[1:], 0] > 0)] = WORD
+    out[next_break] = WORD
+    return out
+
+
+def _from_zero(sizes: np.ndarray) -> np.ndarray:
+    """Running sums from 0: one more than there are sizes."""
+    out = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=out[1:])
     return out
 
 
@@ -94,7 +103,7 @@ def valley_depths(unit_of: np.ndarray, term: np.ndarray, units: int) -> np.ndarr
     for k in range(1, AROUND + 1):
         before[k:] = np.maximum(before[k:], sim[:-k])
         after[:-k] = np.maximum(after[:-k], sim[k:])
-    return np.r_[before + after - 2 * sim, 0].astype(np.float32)
+    return np.append(before + after - 2 * sim, np.float32(0))
 
 
 class Text:
@@ -108,16 +117,16 @@ class Text:
         self.exact = not (tokens > longest).any()
         if not self.exact:
             chars, tokens, strength, term = self._cut_words(chars, tokens, strength, term, longest)
-        self.at, self.tok = np.r_[0, np.cumsum(chars)], np.r_[0, np.cumsum(tokens)]
+        self.at, self.tok = _from_zero(chars), _from_zero(tokens)
         self.natural = np.flatnonzero(strength >= SENTENCE) + 1
         self.clauses, self.spaces = np.flatnonzero(strength == CLAUSE) + 1, np.flatnonzero(strength >= WORD) + 1
         self.strength = strength
-        unit_of = np.r_[0, np.cumsum(strength >= SENTENCE)[:-1]]
+        unit_of = _from_zero(strength >= SENTENCE)[:-1]
         self.depth = valley_depths(unit_of, term, int(unit_of[-1]) + 1) if len(chars) else np.zeros(0)
 
     def _cut_words(self, chars: np.ndarray, tokens: np.ndarray, strength: np.ndarray, term: np.ndarray, longest: int) -> tuple[np.ndarray, ...]:
         """Words of more tokens than `longest` become runs of characters of at most so many bytes, and so tokens."""
-        starts = np.r_[0, np.cumsum(chars)]
+        starts = _from_zero(chars)
         sizes, counts, powers, terms = [], [], [], []
         for i in range(len(chars)):
             if tokens[i] <= longest:
@@ -134,12 +143,12 @@ class Text:
         return np.array(sizes, np.int64), np.array(counts, np.int64), np.array(powers, np.int8), np.array(terms, np.int64)
 
     def _last(self, places: np.ndarray, low: int, high: int) -> int:
-        k = np.searchsorted(places, high, "right") - 1
+        k = places.searchsorted(high, "right") - 1
         return int(places[k]) if k >= 0 and places[k] > low else -1
 
     def _cut(self, start: int, end: int, low: int) -> int:
         """The place to cut between low (excluded) and end."""
-        a, b = np.searchsorted(self.natural, (low, end), "right")
+        a, b = self.natural.searchsorted((low, end), "right")
         if a < b:
             if b - a == 1:
                 return int(self.natural[a])
@@ -162,9 +171,9 @@ class Text:
         tok, n = self.tok, len(self.tok) - 1
         start, shared_from, prior = 0, 0, 0
         while True:
-            end = int(np.searchsorted(tok, tok[start] + most, "right")) - 1
+            end = int(tok.searchsorted(tok[start] + most, "right")) - 1
             if end < n:
-                low = int(np.searchsorted(tok, tok[start] + max(overlap + 1, most // 2), "left")) - 1
+                low = int(tok.searchsorted(tok[start] + max(overlap + 1, most // 2), "left")) - 1
                 end = self._cut(start, max(end, start + 1), max(low, prior, start))
             tokens = self.count(start, end)
             while tokens > most and end > start + 1:
@@ -173,7 +182,7 @@ class Text:
             yield start, end, tokens, int(self.count(start, prior)) if prior > start else 0
             if end >= n:
                 return
-            prior, start = end, max(start + 1, min(end, int(np.searchsorted(tok, tok[end] - overlap, "left"))))
+            prior, start = end, max(start + 1, min(end, int(tok.searchsorted(tok[end] - overlap, "left"))))
 
 
 def split(df: DataFrame, key: str, text: str, profiles: list[tuple[str, int, int]], vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:

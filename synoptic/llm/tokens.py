@@ -15,6 +15,7 @@ import base64
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,14 @@ REMEMBERED = 400_000
 _NONE = np.iinfo(np.int64).max
 
 
+class Numbers(dict):
+    """Numbers its keys as they come."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class Encoder:
     """Ids of words and texts. Words are numbered in `index` as they come; their ids lie one after another in `flat`."""
 
@@ -52,7 +61,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = Numbers()
         self.lengths = np.zeros(0, dtype=np.int64)
         self.starts = np.zeros(0, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.int32)
@@ -110,7 +119,7 @@ class Encoder:
             self.forget()
         index = self.index
         known = len(index)
-        numbers = np.fromiter((index.setdefault(w, len(index)) for words in texts_words for w in words), dtype=np.int64)
+        numbers = np.fromiter(map(index.__getitem__, chain.from_iterable(texts_words)), dtype=np.int64)
         if len(index) > known:
             new = list(index)[known:]
             ids, lengths = self.encode_words(new)
