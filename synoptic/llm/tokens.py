@@ -132,7 +132,7 @@ class Encoder:
         """The ids of all texts one after another, and where each text's ids begin (one more than there are texts)."""
         words = [self.split(t) if t else [] for t in texts]
         numbers = self.learn(words)
-        bounds = np.cumsum(np.r_[0, [len(w) for w in words]])
+        bounds = np.cumsum([0, *(len(w) for w in words)], dtype=np.int64)
         lengths = self.lengths[numbers]
         ends = np.r_[0, np.cumsum(lengths)]
         ids = self.flat[np.repeat(self.starts[numbers] - ends[:-1], lengths) + np.arange(ends[-1])]
@@ -142,7 +142,7 @@ class Encoder:
         words = [self.split(t) if t else [] for t in texts]
         numbers = self.learn(words)
         sums = np.r_[0, np.cumsum(self.lengths[numbers])]
-        return np.diff(sums[np.cumsum(np.r_[0, [len(w) for w in words]])])
+        return np.diff(sums[np.cumsum([0, *(len(w) for w in words)], dtype=np.int64)])
 
 
 @lru_cache(maxsize=2)
