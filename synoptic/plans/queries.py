@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from synoptic.plans import problems
+from synoptic.plans import catalogue, problems
 
-QUERIES = {**problems.QUERIES}
-ORACLE_SQL = {**problems.ORACLE_SQL}
+QUERIES = {**problems.QUERIES, **catalogue.QUERIES}
+ORACLE_SQL = {**problems.ORACLE_SQL, **catalogue.ORACLE_SQL}
