@@ -6,9 +6,14 @@ plan has a nested loop over OR. Null keys match nothing.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from synoptic.operators.nearby import haversine_km, near_cells, own_cell, position, usable
+from synoptic.runtime import Scratch
+
 
 def _form(c: Column) -> Column:
     return F.lower(F.trim(c))
@@ -87,3 +92,37 @@ def excluded(rows: DataFrame, key: str, exclusions: list[DataFrame]) -> DataFram
     for e in exclusions:
         rows = rows.join(e.select(key).distinct(), key, "left_anti")
     return rows
+
+
+def closed(edges: DataFrame, src: str, dst: str, name: str = "closure") -> DataFrame:
+    """(src, dst): everything that is reached in one step or more. Paths double in each round."""
+    scratch = Scratch(edges.sparkSession, name)
+    paths = scratch.write(edges.where(F.col(src).isNotNull() & F.col(dst).isNotNull()).select(src, dst).distinct())
+    size = paths.count()
+    while True:
+        onward = paths.select(F.col(src).alias(dst), F.col(dst).alias("__far"))
+        longer = scratch.write(paths.union(paths.join(onward, dst).select(src, F.col("__far").alias(dst))).distinct())
+        scratch.drop(paths)
+        paths, before, size = longer, size, longer.count()
+        if size == before:
+            return paths
+
+
+def self_merge(rows: DataFrame, key: str, block: list[str], same: list[str], lat: str, lon: str, km: float) -> DataFrame:
+    """(a, b), a < b: rows of one block that share one of the values `same` or lie within `km`. Each way to agree is an
+    equi-join of its own (of places, on cells of a grid), so a block is never paired with itself as a whole."""
+    stated = rows.where(" and ".join(f"`{c}` is not null" for c in (key, *block)))
+    found = []
+    for c in same:
+        one = stated.where(F.col(c).isNotNull()).select(*block, c, F.col(key).alias("a"))
+        found.append(one.join(one.withColumnRenamed("a", "b"), [*block, c]).where("a < b").select("a", "b"))
+    at = stated.where(usable(F.col(lat), F.col(lon))).select(*block, F.col(key).alias("a"), F.col(lat).alias("la"), F.col(lon).alias("lo"), *position(F.col(lat), F.col(lon)))
+    two = at.select(*block, F.col("a").alias("b"), F.col("la").alias("la2"), F.col("lo").alias("lo2"), own_cell(km).alias("cell"))
+    near = near_cells(at, km).join(two, [*block, "cell"]).where((F.col("a") < F.col("b")) & (haversine_km(F.col("la"), F.col("lo"), F.col("la2"), F.col("lo2")) < km))
+    return reduce(DataFrame.union, [*found, near.select("a", "b")]).distinct()
+
+
+def related(pairs: DataFrame, src: str, dst: str, relation: str, inverse: str) -> DataFrame:
+    """(src, dst, relation) with the inverse of each."""
+    out = pairs.select(F.col(src).alias("src"), F.col(dst).alias("dst"), F.lit(relation).alias("relation"))
+    return out.union(out.select("dst", "src", F.lit(inverse))).distinct()

@@ -9,7 +9,8 @@ from synoptic import model
 from synoptic.functions import acronyms, geo
 from synoptic.functions import text as X
 from synoptic.operators import changes, compare, embed, joins, publish, select, synsets, vote
-from synoptic.operators.nearby import haversine_km
+from synoptic.operators.hierarchy import clean_reference
+from synoptic.operators.nearby import haversine_km, usable
 from synoptic.plans import strategy
 from synoptic.runtime import read
 from synoptic.sources import readers
@@ -67,11 +68,62 @@ def reciprocal_edges(spark: SparkSession, d: str) -> DataFrame:
     return joins.reciprocal(t, "lid", "up", t, "lid")
 
 
-@query("""with known as (select lid from pds_context), refs as (select distinct trim(is_part_of) as uri from pds_context where trim(is_part_of) <> '')
-    select uri, replace(regexp_extract(uri, '([^:/]*)$', 1), '-', ' ') as label, nullif(regexp_extract(uri, '([^:/]*)[:/][^:/]*$', 1), '') as entity_type from refs where uri not in (select lid from known)""")
+@query(r"""with known as (select lower(trim(lid)) as lid from pds_context where lid is not null), refs as (select distinct regexp_replace(lower(trim(is_part_of, e' \t\n\r')), '::[0-9]+(\.[0-9]+)*$', '') as uri from pds_context where is_part_of is not null)
+    select uri, replace(regexp_extract(uri, '([^:/]*)$', 1), '-', ' ') as label, nullif(regexp_extract(uri, '([^:/]*)[:/][^:/]*$', 1), '') as entity_type from refs where uri <> '' and uri not in (select lid from known)""")
 def placeholder_rows(spark: SparkSession, d: str) -> DataFrame:
-    nodes = read(spark, d, "pds_context")
-    return joins.placeholders(nodes, "is_part_of", nodes, "lid")
+    nodes = read(spark, d, "pds_context").select(clean_reference(F.col("is_part_of")).alias("ref"), F.lower(F.trim("lid")).alias("lid"))
+    return joins.placeholders(nodes, "ref", nodes, "lid")
+
+
+@query("""with recursive up as (select n_nationkey as k, 'n' || n_nationkey as id, 'r' || n_regionkey as above from nation union all select s_suppkey, 's' || s_suppkey, 'n' || s_nationkey from supplier), w as (select id, above from up union select w.id, u.above from w join up u on w.above = u.id) select id, above from w""")
+def class_closure(spark: SparkSession, d: str) -> DataFrame:
+    """Everything above each node: the property path of one or more steps."""
+    t = _tree(spark, d).where("up is not null").select("id", F.col("up").alias("above"))
+    return joins.closed(t, "id", "above")
+
+
+@query("""with r as (select distinct rec_id, code, label, entity_type, latitude as la, longitude as lo, start_date from spase_record where label is not null), w as (select *, split_part(lower(label), ' ', 1) as first, split_part(lower(label), ' ', 2) as leaf from r)
+    select a.rec_id as a, b.rec_id as b from w a join w b on a.first = b.first and a.entity_type = b.entity_type and a.rec_id < b.rec_id where a.leaf = b.leaf or a.start_date = b.start_date or 2 * 6371.0088 * asin(least(1, sqrt(power(sin(radians(b.la - a.la) / 2), 2) + cos(radians(a.la)) * cos(radians(b.la)) * power(sin(radians(b.lo - a.lo) / 2), 2)))) < 4""")
+def self_merge(spark: SparkSession, d: str) -> DataFrame:
+    """Records of one class and first word that agree in last word, start or place."""
+    word = lambda i: F.coalesce(F.get(F.split(F.lower("label"), " "), F.lit(i)), F.lit(""))
+    rows = read(spark, d, "spase_record").where("label is not null").select("rec_id", "entity_type", word(0).alias("first"), word(1).alias("leaf"), "latitude", "longitude", "start_date").distinct()
+    return joins.self_merge(rows, "rec_id", ["first", "entity_type"], ["leaf", "start_date"], "latitude", "longitude", 4.0)
+
+
+@query("""with s as (select distinct site_id, label, latitude as la, longitude as lo, altitude from iaumpc_site)
+    select site_id, case when not isnan(la) and not isnan(lo) and la between -90 and 90 and lo between -180 and 360 and not (la = 0 and lo = 0) then 1.0::double when label is not null and contains(label, ',') then 0.25::double else 0.0::double end as confidence from s""")
+def location_ladder(spark: SparkSession, d: str) -> DataFrame:
+    """How sure each site's place is: by its position, else by a place in its label."""
+    sites = read(spark, d, "iaumpc_site").select("site_id", "label", "latitude", "longitude", "altitude").distinct()
+    at = F.concat_ws(" ", F.col("latitude").cast("string"), F.col("longitude").cast("string"))
+    found = geo.resolved((usable(F.col("latitude"), F.col("longitude")), at, 1.0), (F.contains("label", F.lit(",")), F.col("label"), 0.25))
+    return sites.select("site_id", F.coalesce(found["confidence"], F.lit(0.0)).alias("confidence"))
+
+
+@query("""with m as (select l_orderkey, l_linenumber, l_partkey as a, l_suppkey as b, l_discount from lineitem) select 'set|' || a || '|' || b as mapping_id, count(*) as n from (select distinct a, b from m) group by 1""")
+def mapping_facts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of a mapping table, one for each decided pair."""
+    none = F.lit(None).cast("map<string,double>")
+    pairs = read(spark, d, "lineitem").select(F.col("l_partkey").cast("string").alias("a"), F.col("l_suppkey").cast("string").alias("b")).distinct()
+    facts = strategy.mapping_rows(pairs.select("a", "b", F.lit("exactMatch").alias("predicate"), F.lit("lexical").alias("justification"), F.lit(1.0).alias("score"), none.alias("scores")), "set", "driver")
+    return facts.groupBy("mapping_id").agg(F.count("*").alias("n"))
+
+
+@query("""with e as (select distinct synset_id as s, rec_id as r from synset_record), f as (select min(r) as lo, max(r) as hi from e group by s having count(*) > 1)
+    select lo as src, hi as dst, 'broadMatch' as relation from f union all select hi, lo, 'narrowMatch' from f""")
+def broad_narrow(spark: SparkSession, d: str) -> DataFrame:
+    """Relations between records, with their inverse."""
+    pairs = read(spark, d, "synset_record").groupBy("synset_id").agg(F.min("rec_id").alias("src"), F.max("rec_id").alias("dst")).where("src <> dst")
+    return joins.related(pairs, "src", "dst", "broadMatch", "narrowMatch")
+
+
+@query("""with e as (select distinct synset_id, label from synset_record where label is not null), s as (select synset_id, length(label) / 10.0 as x from e), t as (select synset_id, x, 1 / (1 + exp(-x)) as g from s), l as (select avg(g) as m, stddev_pop(g) as d from t)
+    select synset_id, round(max(x), 6) as x from t, l where g >= case when d < 0.01 then 0.6 else m + 0.3 * d end group by 1""")
+def high_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Scores that stand out by their logistic value."""
+    rows = read(spark, d, "synset_record").where("label is not null").select("synset_id", "label").distinct().select("synset_id", (F.length("label") / 10.0).alias("x"))
+    return compare.high_scores(rows, "x").groupBy("synset_id").agg(F.round(F.max("x"), 6).alias("x"))
 
 
 @query("""with renamed as (select distinct trim(u) as old, min(code) as new from (select code, unnest(prior_id) as u from spase_record where code is not null) where trim(u) like 'spase://%' group by 1),

@@ -121,7 +121,15 @@ class _Tables(HTMLParser):
         self.cell: list[str] | None = None
         self.into: list[list[str]] = []
 
+    def _close(self) -> None:
+        """Cells end with the next cell or row, if not before."""
+        if self.cell is not None:
+            self.rows[-1].append(re.sub(r"\s+", " ", "".join(self.cell)).strip())
+            self.cell = None
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag in ("tr", "td", "th"):
+            self._close()
         if tag == "tr":
             self.rows.append([])
         elif tag in ("td", "th"):
@@ -134,9 +142,8 @@ class _Tables(HTMLParser):
             self.into.append([])
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in ("td", "th") and self.cell is not None:
-            self.rows[-1].append(re.sub(r"\s+", " ", "".join(self.cell)).strip())
-            self.cell = None
+        if tag in ("td", "th", "tr", "table"):
+            self._close()
         if tag in ("p", "pre") and self.into:
             (self.paragraphs if tag == "p" else self.pre).append("".join(self.into.pop()))
 
@@ -330,7 +337,7 @@ def cache_name(url: Column) -> Column:
 
 def degrees(text: Column) -> Column:
     """Decimal degrees of "12 34 56 S": degrees, minutes, seconds and hemisphere."""
-    part = lambda i: F.coalesce(F.nullif(F.regexp_extract(text, r"(-?\d+)\D+(?:(\d+)\D+)?(?:(\d+(?:\.\d+)?)\D*)?", i), F.lit("")).cast("double"), F.lit(0.0))
+    part = lambda i: F.coalesce(F.nullif(F.regexp_extract(text, r"(-?\d+(?:\.\d+)?)(?:[^\d.]+(\d+(?:\.\d+)?))?(?:[^\d.]+(\d+(?:\.\d+)?))?", i), F.lit("")).cast("double"), F.lit(0.0))
     size = F.abs(part(1)) + part(2) / 60 + part(3) / 3600
     return F.when(text.rlike(r"[SWsw]\s*$") | text.startswith("-"), -size).otherwise(size)
 
