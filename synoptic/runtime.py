@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import io
+import os
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,6 +29,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the Python workers, unless they find it by themselves (PYTHONPATH or working folder)."""
+    package = Path(__file__).resolve().parent
+    context, root = spark.sparkContext, str(package.parent)
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or os.getcwd() == root or getattr(context, "_synoptic_shipped", False):
+        return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/synoptic-{uuid.uuid4().hex[:12]}.zip")
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    context.addPyFile(target.toString())
+    context._synoptic_shipped = True
+
+
 class Scratch:
     """Intermediate tables of one query, written to the shared folder, so that a lost executor costs no recomputation
     of what came before. Tables that a later step no longer reads are dropped at once."""
