@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from synoptic.functions import acronyms
@@ -116,13 +116,18 @@ class Result:
     done: list[Step] = field(default_factory=list)
 
 
-def blocked(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(a, b): pairs that share a word of three letters or more of a label, a code or an identifier."""
-    def keys(rows: DataFrame, name: str) -> DataFrame:
-        words = joins.labels_of(rows, "uri").select(F.col("id").alias(name), F.explode(label_words(F.col("v"))).alias("k"))
-        return words.where(F.length("k") >= 3).distinct()
+def blocked(left: DataFrame, right: DataFrame, rarest: int = 2) -> DataFrame:
+    """(a, b): pairs that share one of the `rarest` words of a label of theirs, by how few entities of both lists have
+    the word. Words that many labels have are no keys of theirs, so blocks do not grow with common words."""
+    def words(rows: DataFrame, side: int) -> DataFrame:
+        return joins.labels_of(rows, "uri").select("id", F.lit(side).alias("side"), "v", F.explode(F.array_distinct(label_words(F.col("v")))).alias("k")).where(F.length("k") >= 3)
 
-    return keys(left, "a").join(keys(right, "b"), "k").select("a", "b").distinct()
+    every = words(left, 0).union(words(right, 1))
+    common = every.groupBy("k").agg(F.count_distinct("side", "id").alias("df"))
+    order = Window.partitionBy("side", "id", "v").orderBy("df", "k")
+    keys = every.join(common, "k").withColumn("r", F.row_number().over(order)).where(F.col("r") <= rarest).select("side", "id", "k").distinct()
+    one, two = keys.where("side = 0").select(F.col("id").alias("a"), "k"), keys.where("side = 1").select(F.col("id").alias("b"), "k")
+    return one.join(two, "k").select("a", "b").distinct()
 
 
 def label_words(label):  # noqa: ANN001, ANN201
