@@ -43,7 +43,7 @@ def link_records(record_identifiers: DataFrame) -> DataFrame:
     return named.join(low, ["h1", "h2"]).where("id > low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
 
 
-def components(edges: DataFrame, name: str = "components", rate: float = 0.7, rounds: int = 2) -> DataFrame:
+def components(edges: DataFrame, name: str = "components", rate: float = 0.15, rounds: int = 3) -> DataFrame:
     """(id, group_id): every vertex that has an edge (a, b) to another, and the smallest vertex of its component."""
     scratch = Scratch(edges.sparkSession, name)
     graph = scratch.write(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
