@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from synoptic import model
-from synoptic.functions import acronyms, geo
+from synoptic.functions import acronyms, answers, geo
 from synoptic.functions import text as X
-from synoptic.operators import changes, compare, embed, joins, publish, select, synsets, vote
+from synoptic.operators import changes, compare, embed, enrich, joins, publish, select, synsets, vote
 from synoptic.operators.hierarchy import clean_reference
 from synoptic.operators.nearby import haversine_km, usable
 from synoptic.plans import strategy
@@ -151,6 +151,52 @@ def minus_exclusion(spark: SparkSession, d: str) -> DataFrame:
     return joins.excluded(records.select("rec_id", "code").distinct(), "rec_id", [records.where(F.col("entity_type").isin("airborne", "unknown")), records.where(F.lower("label").like("%a"))])
 
 
+@query("""with f as (select facility_id, label, trim(regexp_replace(label, '\s+', ' ', 'g')) as name from aas_keyword where label is not null) select distinct facility_id, label as form, 'label' as kind from f""")
+def label_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Forms under which each facility can be found."""
+    return enrich.label_forms(read(spark, d, "aas_keyword"), "facility_id", "label")
+
+
+@query("""with r as (select distinct synset_id, r.entity_type as t from synset_record s join spase_record r on s.rec_id = r.rec_id where r.entity_type is not null), g as (select synset_id, list_sort(list(distinct t)) as ts from r group by 1)
+    select synset_id, array_to_string(case when list_has_any(ts, ['spacecraft', 'airborne', 'investigation']) then list_filter(ts, lambda x: x <> 'ground observatory') else ts end, '|') as types from g""")
+def united_types(spark: SparkSession, d: str) -> DataFrame:
+    """Classes of records that share a synset."""
+    kinds = read(spark, d, "spase_record").select("rec_id", "entity_type").where("entity_type is not null").distinct()
+    rows = read(spark, d, "synset_record").select("synset_id", "rec_id").distinct().join(kinds, "rec_id")
+    return enrich.united_types(rows, "synset_id", "entity_type", "ufo").select("synset_id", F.array_join("types", "|").alias("types"))
+
+
+@query("""select uri, arg_min(label, (case when lang = 'en' then 0 else 1 end, coalesce(lang, ''), label)) as label from skos_label where label is not null group by 1""")
+def reference_labels(spark: SparkSession, d: str) -> DataFrame:
+    return enrich.reference_labels(read(spark, d, "skos_label"), "uri", "label", "lang")
+
+
+@query("""with r as (select facility_id, 'recorded ' || code as text from aas_keyword where facility_id % 3 = 0) select k.facility_id, coalesce(r.text, k.label) as label from aas_keyword k left join r using (facility_id)""")
+def recorded_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Labels, replaced by recorded ones where there are some."""
+    rows = read(spark, d, "aas_keyword").select("facility_id", "label", "code")
+    recorded = rows.where("facility_id % 3 = 0").select("facility_id", F.concat(F.lit("recorded "), "code").alias("text"))
+    return enrich.with_recorded(rows, "facility_id", "label", recorded).select("facility_id", "label")
+
+
+@query("""select event_id, case event_type when 'click' then 'exactMatch' when 'view' then 'narrowMatch' when 'error' then 'differentFrom' else null end as relation from events""")
+def answer_decisions(spark: SparkSession, d: str) -> DataFrame:
+    """Decisions read from answers, as relations."""
+    text = F.when(F.col("event_type") == "click", "<think>distinct?</think> These are the Same thing.").when(F.col("event_type") == "view", "narrow, because").when(F.col("event_type") == "error", "They are distinct").otherwise("cannot tell")
+    return read(spark, d, "events").select("event_id", answers.relation(answers.decision(text)).alias("relation"))
+
+
+@query("""select distinct rec_id, case entity_type when 'space mission' then 'investigation' when 'observatory network' then 'ground observatory' when 'unknown' then 'ufo' else entity_type end as category from spase_record where entity_type is not null""")
+def answer_categories(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "spase_record").where("entity_type is not null").select("rec_id", answers.category(F.col("entity_type")).alias("category")).distinct()
+
+
+@query("""with long as (select distinct uri, attr, value from (select uri, 'label' as attr, label as value from wikidata_facility union all select uri, 'entity_type', entity_type from wikidata_facility union all select uri, 'start_date', start_date from wikidata_facility union all select uri, 'alt_label', unnest(alt_label) from wikidata_facility) where value is not null),
+    p as (select uri, attr, list(value order by value) as v from long group by 1, 2) select uri, cast(to_json(map(list(attr order by attr), list(v order by attr))) as varchar) as json from p group by 1""")
+def entity_json(spark: SparkSession, d: str) -> DataFrame:
+    return enrich.as_json(_attributes(spark, d))
+
+
 # Filters -------------------------------------------------------------------------------------------------------------
 
 

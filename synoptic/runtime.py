@@ -19,12 +19,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_own: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir. Where that is unset (tests), a folder of our own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _own.get(spark.sparkContext.applicationId)
     if not folder:
         folder = "file://" + tempfile.mkdtemp(prefix="synoptic-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        _own[spark.sparkContext.applicationId] = folder
         atexit.register(shutil.rmtree, folder[7:], ignore_errors=True)
     return folder
 
@@ -55,14 +58,17 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self.count = 0
-        self.paths: dict[int, str] = {}
+        # What a result still reads is deleted when the driver ends.
+        root = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(root)
+        files.deleteOnExit(root)
 
     def write(self, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{self.count}"
         self.count += 1
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
         out._scratch_path = path
         return out
 

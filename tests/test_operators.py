@@ -185,3 +185,19 @@ def test_views(spark):
     t = publish.to_triples(spark.createDataFrame([("s", "u#1", "label", 'a "q"', "en"), ("s", "u#1", "is_part_of", "u#2", None), ("s", "u#1", "latitude", "1.5", None)], "source string, uri string, attr string, value string, lang string"))
     lines = {x[0] for x in t.select(publish.n_triples(t)).collect()}
     assert '<https://example.org/u#1> <https://example.org/attr#label> "a \\"q\\""@en .' in lines and any(x.endswith("<https://example.org/u#2> .") for x in lines)
+
+
+def test_enrichment(spark):
+    from synoptic.functions import answers
+    from synoptic.operators import enrich
+
+    df = spark.createDataFrame([(1, "European Southern Observatory (ESO)"), (2, "Dome at Hill"), (3, None), (2, "Dome at Hill")], "id int, label string")
+    got = {(x.id, x.form, x.kind) for x in enrich.label_forms(df, "id", "label").collect()}
+    assert got == {(1, "European Southern Observatory (ESO)", "label"), (1, "European Southern Observatory", "name"), (1, "ESO", "acronym"), (2, "Dome at Hill", "label"), (2, "Dome", "short")}
+    kinds = spark.createDataFrame([(1, "ground observatory"), (1, "spacecraft"), (2, None)], "id int, kind string")
+    assert {x.id: x.types for x in enrich.united_types(kinds, "id", "kind", "ufo").collect()} == {1: ["spacecraft"], 2: ["ufo"]}
+    r = spark.range(1).select(answers.best_candidate(F.lit("<x>1</x>Best match: 3. It has the same code")).alias("b"), answers.best_candidate(F.lit("none fits")).alias("n"), answers.category(F.lit("It is a Radio Telescope.")).alias("c"), answers.category(F.lit("?")).alias("u"), answers.decision(F.lit("no idea")).alias("d"), enrich.with_source(F.array(F.lit("a")), F.lit("s")).alias("w")).first()
+    assert tuple(r.b) == (3, "It has the same code") and r.n is None and (r.c, r.u, r.d) == ("telescope", "ufo", None) and tuple(r.w[0]) == ("a", ["s"])
+    older, newer = ({"label": F.lit(a), "alt_label": F.array(*map(F.lit, b))} for a, b in (("A", ["x"]), ("B", ["B", "y"])))
+    m = vote.merged_entity(older, newer)
+    assert tuple(spark.range(1).select(m["label"], m["alt_label"]).first()) == ("B", ["A", "x", "y"])
