@@ -20,6 +20,7 @@ limit or more is cut to half. Repeated rows give repeated pieces. Other columns
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,12 +65,13 @@ class Words:
         self.blank = np.r_[self.blank, np.array([w[0].isspace() for w in new], bool)]
 
 
-def boundary_strengths(ends: np.ndarray, breaks: np.ndarray, blank: np.ndarray) -> np.ndarray:
-    """The strength of the boundary after each word of one text."""
+def boundary_strengths(ends: np.ndarray, breaks: np.ndarray, blank: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The strength of the boundary after each word of texts that follow one another; `last` marks each text's last word."""
     out = np.full(len(ends), WITHIN, np.int8)
     next_blank, next_break, prior_break = np.ones(len(ends), bool), np.zeros(len(ends), bool), np.zeros(len(ends), bool)
     broken = breaks > 0
-    next_blank[:-1], next_break[:-1], prior_break[1:] = blank[1:], broken[1:], broken[:-1]
+    next_blank[:-1], next_break[:-1], prior_break[1:] = blank[1:], broken[1:], broken[:-1] & ~last[:-1]
+    next_blank[last], next_break[last] = True, False
     out[next_blank] = WORD
     out[next_blank & (ends == 1)] = CLAUSE
     out[(next_blank & (ends == 2)) | (ends == 3)] = SENTENCE
@@ -107,22 +109,28 @@ def valley_depths(unit_of: np.ndarray, term: np.ndarray, units: int) -> np.ndarr
 
 
 class Text:
-    """One text as words: where each begins (chars, tokens) and how good a place to cut is after it."""
+    """One text as words: where each begins (chars, tokens) and how good a place to cut is after it.
 
-    def __init__(self, text: str, enc: Encoder, words: Words, numbers: np.ndarray, longest: int):
+    Places are looked up in plain lists: most texts have few words, and a window has few boundaries."""
+
+    def __init__(self, text: str, enc: Encoder, chars: np.ndarray, tokens: np.ndarray, strength: np.ndarray, term: np.ndarray, longest: int):
         self.text, self.enc = text, enc
-        chars, tokens = words.chars[numbers], enc.lengths[numbers]
-        strength = boundary_strengths(words.ends[numbers], words.breaks[numbers], words.blank[numbers])
-        term = words.term[numbers]
         self.exact = not (tokens > longest).any()
         if not self.exact:
             chars, tokens, strength, term = self._cut_words(chars, tokens, strength, term, longest)
-        self.at, self.tok = _from_zero(chars), _from_zero(tokens)
-        self.natural = np.flatnonzero(strength >= SENTENCE) + 1
-        self.clauses, self.spaces = np.flatnonzero(strength == CLAUSE) + 1, np.flatnonzero(strength >= WORD) + 1
-        self.strength = strength
-        unit_of = _from_zero(strength >= SENTENCE)[:-1]
-        self.depth = valley_depths(unit_of, term, int(unit_of[-1]) + 1) if len(chars) else np.zeros(0)
+        self.at, self.tok = _from_zero(chars).tolist(), _from_zero(tokens).tolist()
+        strong = strength >= SENTENCE
+        ends = np.flatnonzero(strong)
+        self.natural = (ends + 1).tolist()
+        self.strength: np.ndarray = strength
+        self.weaker: tuple[list[int], ...] | None = None
+        unit_of = _from_zero(strong)[:-1]
+        depth = valley_depths(unit_of, term, int(unit_of[-1]) + 1 if len(chars) else 0)[: len(ends)]
+        # Boundaries from the worst to the best: by depth, then strength, then place.
+        order = np.lexsort((ends, strength[ends], np.round(depth, 6)))
+        rank = np.empty(len(ends), np.int64)
+        rank[order] = np.arange(len(ends))
+        self.rank, self.order = rank.tolist(), order.tolist()
 
     def _cut_words(self, chars: np.ndarray, tokens: np.ndarray, strength: np.ndarray, term: np.ndarray, longest: int) -> tuple[np.ndarray, ...]:
         """Words of more tokens than `longest` become runs of characters of at most so many bytes, and so tokens."""
@@ -142,47 +150,42 @@ class Text:
             terms += [-1] * len(parts)
         return np.array(sizes, np.int64), np.array(counts, np.int64), np.array(powers, np.int8), np.array(terms, np.int64)
 
-    def _last(self, places: np.ndarray, low: int, high: int) -> int:
-        k = places.searchsorted(high, "right") - 1
-        return int(places[k]) if k >= 0 and places[k] > low else -1
-
-    def _cut(self, start: int, end: int, low: int) -> int:
-        """The place to cut between low (excluded) and end."""
-        a, b = self.natural.searchsorted((low, end), "right")
+    def _cut(self, low: int, end: int) -> int:
+        """The place to cut between low (excluded) and end: the best natural boundary, else the last end of a clause, else
+        of a word, else the end itself."""
+        a, b = bisect_right(self.natural, low), bisect_right(self.natural, end)
         if a < b:
-            if b - a == 1:
-                return int(self.natural[a])
-            depth, power = self.depth[a:b], self.strength[self.natural[a:b] - 1]
-            best = np.flatnonzero(depth >= depth.max() - 1e-6)
-            best = best[power[best] == power[best].max()]
-            return int(self.natural[a + best[-1]])
-        for places in (self.clauses, self.spaces):
-            if (cut := self._last(places, low, end)) > 0:
-                return cut
+            return self.natural[self.order[max(self.rank[a:b])]]
+        if self.weaker is None:
+            self.weaker = tuple((np.flatnonzero(kept) + 1).tolist() for kept in (self.strength == CLAUSE, self.strength >= WORD))
+        for places in self.weaker:
+            k = bisect_right(places, end) - 1
+            if k >= 0 and places[k] > low:
+                return places[k]
         return end
 
     def count(self, start: int, end: int) -> int:
         if self.exact:
-            return int(self.tok[end] - self.tok[start])
+            return self.tok[end] - self.tok[start]
         return int(self.enc.counts([self.text[self.at[start] : self.at[end]]])[0])
 
     def pieces(self, most: int, overlap: int) -> Iterator[tuple[int, int, int, int]]:
         """(start, end, tokens, tokens shared with the piece before), places as numbers of words."""
         tok, n = self.tok, len(self.tok) - 1
-        start, shared_from, prior = 0, 0, 0
+        least = max(overlap + 1, most // 2)
+        start, prior = 0, 0
         while True:
-            end = int(tok.searchsorted(tok[start] + most, "right")) - 1
+            end = bisect_right(tok, tok[start] + most) - 1
             if end < n:
-                low = int(tok.searchsorted(tok[start] + max(overlap + 1, most // 2), "left")) - 1
-                end = self._cut(start, max(end, start + 1), max(low, prior, start))
+                end = self._cut(max(bisect_left(tok, tok[start] + least) - 1, prior, start), max(end, start + 1))
             tokens = self.count(start, end)
             while tokens > most and end > start + 1:
                 end -= 1
                 tokens = self.count(start, end)
-            yield start, end, tokens, int(self.count(start, prior)) if prior > start else 0
+            yield start, end, tokens, self.count(start, prior) if prior > start else 0
             if end >= n:
                 return
-            prior, start = end, max(start + 1, min(end, int(tok.searchsorted(tok[end] - overlap, "left"))))
+            prior, start = end, max(start + 1, min(end, bisect_left(tok, tok[end] - overlap)))
 
 
 def split(df: DataFrame, key: str, text: str, profiles: list[tuple[str, int, int]], vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
@@ -204,19 +207,24 @@ def split(df: DataFrame, key: str, text: str, profiles: list[tuple[str, int, int
                 found = [enc.split(t) if t else [] for t in texts[lo:hi]]
                 numbers = enc.learn(found)
                 words.extend()
-                lengths, bounds = enc.lengths, np.cumsum([0, *(len(f) for f in found)])
+                bounds = np.cumsum([0, *(len(f) for f in found)], dtype=np.int64)
+                last = np.zeros(len(numbers), bool)
+                last[bounds[1:][bounds[1:] > bounds[:-1]] - 1] = True
+                chars, tokens, term = words.chars[numbers], enc.lengths[numbers], words.term[numbers]
+                strength = boundary_strengths(words.ends[numbers], words.breaks[numbers], words.blank[numbers], last)
+                totals = np.diff(_from_zero(tokens)[bounds]).tolist()
+                bounds = bounds.tolist()
                 out: list[list] = [[] for _ in fields]
-                for i in range(lo, hi):
-                    own = numbers[bounds[i - lo] : bounds[i - lo + 1]]
-                    total = int(lengths[own].sum())
+                for i, total in enumerate(totals):
                     if not wanted or total <= least:
                         continue
-                    t = Text(texts[i], enc, words, own, longest)
+                    text, own = texts[lo + i], slice(bounds[i], bounds[i + 1])
+                    t = Text(text, enc, chars[own], tokens[own], strength[own], term[own], longest)
                     for profile, most, overlap in wanted:
                         if total > most:
                             rows = list(t.pieces(most, overlap))
-                            begin, end = t.at[[r[0] for r in rows]].tolist(), t.at[[r[1] for r in rows]].tolist()
-                            for column, values in zip(out, ([profile] * len(rows), [keys[i]] * len(rows), range(len(rows)), begin, end, [r[2] for r in rows], [r[3] for r in rows], [texts[i][x:y] for x, y in zip(begin, end, strict=True)]), strict=True):
+                            begin, end = [t.at[r[0]] for r in rows], [t.at[r[1]] for r in rows]
+                            for column, values in zip(out, ([profile] * len(rows), [keys[lo + i]] * len(rows), range(len(rows)), begin, end, [r[2] for r in rows], [r[3] for r in rows], [text[x:y] for x, y in zip(begin, end, strict=True)]), strict=True):
                                 column.extend(values)
                 if out[0]:
                     kinds = [pa.string(), key_type, *[pa.int32()] * 5, pa.string()]

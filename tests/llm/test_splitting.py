@@ -46,7 +46,9 @@ def test_cuts_where_the_topic_changes():
     words = splitting.Words(enc)
     numbers = enc.learn([enc.split(text)])
     words.extend()
-    t = splitting.Text(text, enc, words, numbers, 1000)
+    last = splitting.np.arange(len(numbers)) == len(numbers) - 1
+    strength = splitting.boundary_strengths(words.ends[numbers], words.breaks[numbers], words.blank[numbers], last)
+    t = splitting.Text(text, enc, words.chars[numbers], enc.lengths[numbers], strength, words.term[numbers], 1000)
     cut = next(iter(t.pieces(count(SKY * 2) + count(SOIL), 0)))
     assert t.at[cut[1]] == len(SKY * 2) - 1
 
