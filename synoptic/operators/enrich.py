@@ -55,3 +55,28 @@ def as_json(attributes: DataFrame) -> DataFrame:
     tagged = F.when(F.col("lang").isNull(), F.col("value")).otherwise(F.concat_ws("@", "value", "lang"))
     per = attributes.where("value is not null").groupBy("uri", "attr").agg(F.array_sort(F.collect_set(tagged)).alias("v"))
     return per.groupBy("uri").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("attr", "v"))))).alias("json"))
+
+
+def unique_value(rows: DataFrame, key: str, value: str, synset: str) -> DataFrame:
+    """(key, value): the smallest value of an entity and all its synonyms. One aggregate a synset, so that no pair of
+    synonyms is made."""
+    least = rows.where(F.col(value).isNotNull() & F.col(synset).isNotNull()).groupBy(synset).agg(F.min(value).alias(value))
+    return rows.select(key, synset).distinct().join(least, synset).groupBy(key).agg(F.min(value).alias(value))
+
+
+def entity_list(rows: DataFrame, kind: str, kinds: list[str], present: list[str], deprecated: str) -> DataFrame:
+    """Entities of some classes that have certain attributes and are not deprecated."""
+    out = rows.where(F.col(kind).isin(kinds) & ~F.coalesce(F.col(deprecated), F.lit(False)))
+    for c in present:
+        out = out.where(F.col(c).isNotNull())
+    return out
+
+
+def without_values(attributes: DataFrame, removed: DataFrame) -> DataFrame:
+    """Attributes (uri, attr, value) less those removed."""
+    return attributes.join(removed.select("uri", "attr", "value").distinct(), ["uri", "attr", "value"], "left_anti")
+
+
+def translated(column: Column, names: dict[str, str]) -> Column:
+    """A code's name; the code where it has none."""
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), column), column)

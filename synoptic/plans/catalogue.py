@@ -17,6 +17,7 @@ from synoptic.sources import readers
 from synoptic.streaming import refresh
 
 QUERIES, ORACLE_SQL = {}, {}
+_LONG = "(select distinct uri, attr, value from (select uri, 'label' as attr, label as value from wikidata_facility union all select uri, 'entity_type', entity_type from wikidata_facility union all select uri, 'start_date', start_date from wikidata_facility union all select uri, 'alt_label', unnest(alt_label) from wikidata_facility) where value is not null)"
 
 
 def query(sql: str | None = None):  # noqa: ANN201
@@ -197,6 +198,44 @@ def entity_json(spark: SparkSession, d: str) -> DataFrame:
     return enrich.as_json(_attributes(spark, d))
 
 
+@query("""with s as (select distinct synset_id, label from synset_record where label is not null) select r.rec_id, min(s.label) as label from (select distinct rec_id, synset_id from synset_record) r join s using (synset_id) group by 1""")
+def values_with_synonyms(spark: SparkSession, d: str) -> DataFrame:
+    """The smallest label of each record, over its synonyms."""
+    rows = read(spark, d, "synset_record").select("rec_id", "synset_id", "label").distinct()
+    return enrich.unique_value(rows, "rec_id", "label", "synset_id")
+
+
+@query("""select distinct node_id, label from pds_context where entity_type in ('instrument', 'telescope') and label is not null and is_part_of is not null and not coalesce(deprecated, false) and lower(trim(lid)) not in (select lower(trim(lid)) from observatory_group)""")
+def entity_list(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes of two classes that have a label and a parent, are not deprecated and have no synonym in the other list."""
+    nodes = read(spark, d, "pds_context").withColumn("l", F.lower(F.trim("lid")))
+    groups = read(spark, d, "observatory_group").select(F.lower(F.trim("lid")).alias("l"))
+    return enrich.entity_list(nodes, "entity_type", ["instrument", "telescope"], ["label", "is_part_of"], "deprecated").join(groups, "l", "left_anti").select("node_id", "label").distinct()
+
+
+@query("""with l as (select distinct rec_id, lower(label) as v from spase_record where label is not null) select a.rec_id as a, b.rec_id as b from (select v, min(rec_id) as rec_id from l group by 1 having count(*) > 1) a join l b using (v) where a.rec_id <> b.rec_id""")
+def duplicate_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Records that share a label, each with the smallest of them."""
+    rows = read(spark, d, "spase_record").where("label is not null").select("rec_id", F.lower("label").alias("v")).distinct()
+    return publish.collapsed(rows, "rec_id", F.col("v")).select(F.col("new").alias("a"), F.col("old").alias("b"))
+
+
+@query("""with m as (select distinct least(l_partkey, l_suppkey) as x, greatest(l_partkey, l_suppkey) as y from lineitem where l_partkey <> l_suppkey), g as (select distinct o_custkey as p, o_orderkey % 1000 as q from orders)
+    select p, q, m.x is not null as mapped from g left join m on least(p, q) = x and greatest(p, q) = y""")
+def mapped_either_way(spark: SparkSession, d: str) -> DataFrame:
+    """Whether stated pairs are mapped, in either direction."""
+    m = read(spark, d, "lineitem").where("l_partkey <> l_suppkey").select(F.least("l_partkey", "l_suppkey").alias("x"), F.greatest("l_partkey", "l_suppkey").alias("y"), F.lit(True).alias("hit")).distinct()
+    g = read(spark, d, "orders").select(F.col("o_custkey").alias("p"), (F.col("o_orderkey") % 1000).alias("q")).distinct()
+    return g.withColumns({"x": F.least("p", "q"), "y": F.greatest("p", "q")}).join(m, ["x", "y"], "left").select("p", "q", F.coalesce("hit", F.lit(False)).alias("mapped"))
+
+
+@query(f"select uri, attr, value from {_LONG} where not (attr = 'alt_label' and length(value) < 5)")
+def removed_values(spark: SparkSession, d: str) -> DataFrame:
+    """Attributes without short alternative labels."""
+    rows = _attributes(spark, d)
+    return enrich.without_values(rows, rows.where("attr = 'alt_label' and length(value) < 5")).select("uri", "attr", "value")
+
+
 # Filters -------------------------------------------------------------------------------------------------------------
 
 
@@ -537,9 +576,6 @@ def _attributes(spark: SparkSession, d: str) -> DataFrame:
     return items.select("uri", F.explode(given).alias("e")).select("uri", "e.attr", "e.value", F.lit(None).cast("string").alias("lang"), F.lit("wikidata").alias("source")).where("value is not null").distinct()
 
 
-_LONG = "(select distinct uri, attr, value from (select uri, 'label' as attr, label as value from wikidata_facility union all select uri, 'entity_type', entity_type from wikidata_facility union all select uri, 'start_date', start_date from wikidata_facility union all select uri, 'alt_label', unnest(alt_label) from wikidata_facility) where value is not null)"
-
-
 @query(f"select uri, array_to_string(list(distinct value order by value), ' ') as text from {_LONG} group by 1")
 def corpus_projection(spark: SparkSession, d: str) -> DataFrame:
     return publish.corpus(_attributes(spark, d))

@@ -160,7 +160,8 @@ def run(steps: list[Step], entities: DataFrame, weights: dict[str, float] | None
             rest = rest.join(one.select("a"), "a", "left_anti").join(one.select("b"), "b", "left_anti")
         if step.scorers:
             parts = {s: (_score(s), weights.get(s, 1.0)) for s in step.scorers if s != "tfidf"}
-            scored = rest.select("a", "b", *[c.alias(f"s_{s}") for s, (c, _) in parts.items()])
+            # Written before anything is filtered by it, so that no score is computed twice.
+            scored = scratch.write(rest.select("a", "b", *[c.alias(f"s_{s}") for s, (c, _) in parts.items()]))
             total, scores = compare.hybrid_score({s: (F.col(f"s_{s}"), w) for s, (_, w) in parts.items()})
             scored = scratch.write(scored.select("a", "b", total.alias("score"), scores.alias("scores")).where("score is not null"))
             for s, op, v in step.limits:
