@@ -79,39 +79,40 @@ def script_of(c: str) -> str | None:
     return next((s for s, p in _SCRIPTS.items() if p.match(c)), None)
 
 
-def _tokens(form: str) -> list[str]:
-    return [t for t in form.split(" ") if t]
-
-
 def _single_script(token: str) -> str | None:
     scripts = {script_of(c) for c in token} - {None}
     return scripts.pop() if len(scripts) == 1 else None
 
 
 def read_token(token: str, score: dict[tuple[str, str], float], floor: float) -> str:
-    """Step 2: the best reading of a token's lattice. Ties go to the reading that comes first by its characters."""
+    """Step 2: the best reading of a token's lattice, in time that grows with its length. Of readings that tie, the one
+    whose letters come first in SHAPES: an order that does not depend on the letters that were typed."""
     bare = unicodedata.normalize("NFD", token)
     if not any(c in LATTICE for c in bare):
         return token
-    best: dict[tuple[str, str | None], tuple[float, str]] = {("^", None): (0.0, "")}
+    # A state is (last letter, script so far); each step keeps the best way into every state.
+    best: dict[tuple[str, str | None], float] = {("^", None): 0.0}
+    steps: list[dict[tuple[str, str | None], tuple[tuple[str, str | None], str]]] = []
     for c in bare:
-        after: dict[tuple[str, str | None], tuple[float, str]] = {}
+        after: dict[tuple[str, str | None], float] = {}
+        back: dict[tuple[str, str | None], tuple[tuple[str, str | None], str]] = {}
         for x in LATTICE.get(c, c):
             own = script_of(x)
-            top = None
-            for (last, script), (total, path) in best.items():
-                now = own or script
-                gain = score.get((own, last + x), floor) if own else 0.0
-                value = total + gain + (CHANGE * floor if own and script and own != script else 0.0)
-                if top is None or (-value, path) < (-top[1], top[2]):
-                    top = (now, value, path)
-            key = (x if own else "^", top[0])
-            cand = (top[1], top[2] + x)
-            if key not in after or (-cand[0], cand[1]) < (-after[key][0], after[key][1]):
-                after[key] = cand
+            for state, total in best.items():
+                last, script = state
+                value = total + score.get((own, last + x), floor) if own else total
+                if own and script and own != script:
+                    value += CHANGE * floor
+                key = (x, own) if own else ("^", script)
+                if key not in after or value > after[key]:
+                    after[key], back[key] = value, (state, x)
         best = after
-    path = min(((-v, p) for v, p in best.values()))[1]
-    return unicodedata.normalize("NFC", path)
+        steps.append(back)
+    state, out = max(best, key=best.__getitem__), []
+    for back in reversed(steps):
+        state, x = back[state]
+        out.append(x)
+    return unicodedata.normalize("NFC", "".join(reversed(out)))
 
 
 @F.pandas_udf(T.StringType())
@@ -163,13 +164,13 @@ def one_form(values: DataFrame, name: str = "forms") -> DataFrame:
     score, floor = scores(pairs.collect())
     sent = spark.sparkContext.broadcast((score, floor))
 
-    @F.pandas_udf(T.StringType())
-    def read(tokens: pd.Series) -> pd.Series:
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table, least = sent.value
-        return tokens.map(lambda t: read_token(t, table, least))
+        for df in batches:
+            out = df.assign(reading=[read_token(t, table, least) for t in df["token"]])
+            yield out[out["token"] != out["reading"]]
 
-    # Only tokens with letters of a shared shape have more than one reading.
-    readings = counted.select("token", read("token").alias("reading")).where("token <> reading")
+    readings = counted.select("token").mapInPandas(read, "token string, reading string")
     positions = tidied.select("value", F.posexplode(F.split("tidy", " ")).alias("at", "token"))
     changed = positions.join(readings, "token")
     fixed = changed.groupBy("value").agg(F.map_from_entries(F.collect_list(F.struct("at", "reading"))).alias("new"))
