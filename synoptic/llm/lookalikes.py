@@ -188,13 +188,15 @@ def normalized(rows: DataFrame, key: str, fields: list[str], name: str = "forms"
 
 def look_alikes(forms: DataFrame) -> DataFrame:
     """(field, a, b), a < b: keys whose values in a field have one form but not the same characters. Empty forms show
-    nothing and make no pair. Only a group's members of different characters meet: members are first gathered by value,
-    and pairs are made between the values of a form."""
-    shown = forms.where("form <> ''").select("field", "form", "value", "key")
-    many = shown.groupBy("field", "form").agg(F.min("value").alias("v1"), F.max("value").alias("v2")).where("v1 <> v2").select("field", "form")
-    left = shown.join(many, ["field", "form"])
-    right = left.select("field", "form", F.col("value").alias("value2"), F.col("key").alias("key2"))
-    return left.join(right, ["field", "form"]).where((F.col("key") < F.col("key2")) & (F.col("value") != F.col("value2"))).select("field", F.col("key").alias("a"), F.col("key2").alias("b")).distinct()
+    nothing and make no pair. Pairs are made between the different values of a form and then given to their keys, so
+    copies of one value never meet one another."""
+    shown = forms.where("form <> ''").select("field", "form", "value", "key").distinct()
+    values = shown.select("field", "form", "value").distinct()
+    many = values.join(values.groupBy("field", "form").agg(F.count("*").alias("n")).where("n > 1").drop("n"), ["field", "form"])
+    pairs = many.join(many.withColumnRenamed("value", "value2"), ["field", "form"]).where("value < value2").drop("form")
+    keys = shown.select("field", "value", "key")
+    met = pairs.join(keys, ["field", "value"]).join(keys.select("field", F.col("value").alias("value2"), F.col("key").alias("key2")), ["field", "value2"])
+    return met.where("key <> key2").select("field", F.least("key", "key2").alias("a"), F.greatest("key", "key2").alias("b")).distinct()
 
 
 def changed(form: Column, value: Column) -> Column:
