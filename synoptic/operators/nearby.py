@@ -84,7 +84,9 @@ def points_within(points: DataFrame, key: str, lat: str, lon: str, km: float) ->
     coarse = [F.floor(F.col(a) / edge) for a in "xyz"]
     small = [F.floor(F.col(a) / fine) for a in "xyz"]
     placed = at.withColumn("cell", _cell_id(coarse))
-    filled = placed.groupBy("cell").agg((F.count("*") > DENSE).alias("dense"))
+    # At most SPLIT^3 sub-cells a cell, of which a surface passes through a quarter: only those that hold points are probed.
+    subs = placed.groupBy("cell", *[c.cast("int").alias(n) for c, n in zip(small, "ijk", strict=True)]).agg(F.count("*").alias("n"))
+    filled = subs.groupBy("cell").agg((F.sum("n") > DENSE).alias("dense"), F.collect_list(F.struct("i", "j", "k")).alias("subs")).withColumn("subs", F.when(F.col("dense"), F.col("subs")))
 
     probes = at.select("id", "x", "y", "z", F.explode(_around(coarse, 1)).alias("c")).select("id", "x", "y", "z", "c.i", "c.j", "c.k")
     box = [F.col("i"), F.col("j"), F.col("k")]
@@ -97,8 +99,7 @@ def points_within(points: DataFrame, key: str, lat: str, lon: str, km: float) ->
         return left.join(other, "cell").where((F.col("id") < F.col("b")) & (F.col("inside") | (sum(gaps[1:], gaps[0]) <= r2))).select(F.col("id").alias("a"), "b")
 
     sparse = joined(probes.where("not dense").select("id", "x", "y", "z", "cell", F.lit(False).alias("inside")), placed)
-    sub = F.flatten(F.transform(F.sequence(F.col("i") * SPLIT, F.col("i") * SPLIT + SPLIT - 1), lambda i: F.flatten(F.transform(F.sequence(F.col("j") * SPLIT, F.col("j") * SPLIT + SPLIT - 1), lambda j: F.transform(F.sequence(F.col("k") * SPLIT, F.col("k") * SPLIT + SPLIT - 1), lambda k: F.struct(i.alias("i"), j.alias("j"), k.alias("k")))))))
-    finer = probes.where("dense").select("id", "x", "y", "z", F.explode(sub).alias("c")).select("id", "x", "y", "z", "c.i", "c.j", "c.k")
+    finer = probes.where("dense").select("id", "x", "y", "z", F.explode("subs").alias("c")).select("id", "x", "y", "z", "c.i", "c.j", "c.k")
     finer = finer.where(_nearest2(box, fine) <= r2).select("id", "x", "y", "z", _cell_id(box).alias("cell"), (_farthest2(box, fine) <= r2).alias("inside"))
     return sparse.union(joined(finer, at.withColumn("cell", _cell_id(small))))
 
