@@ -49,7 +49,15 @@ def patched(rows: DataFrame, key: str, fixes: DataFrame, columns: list[str]) ->
     return out.join(by("delete").select(key).distinct(), key, "left_anti")
 
 
-def superseded(facts: DataFrame, key: list[str], fact_id: str, date: str) -> DataFrame:
-    """Each fact with what it replaces and what replaces it; only the last of its key is not deprecated."""
-    w = Window.partitionBy(*key).orderBy(date, fact_id)
-    return facts.withColumn("replaces", F.lag(fact_id).over(w)).withColumn("replaced_by", F.lead(fact_id).over(w)).withColumn("deprecated", F.col("replaced_by").isNotNull())
+def superseded(facts: DataFrame, key: list[str], fact_id: str, date: str, bucket: Column) -> DataFrame:
+    """Each fact with what it replaces and what replaces it; only the last of its key is not deprecated.
+
+    `bucket` grows with the date (a month, say): facts are ordered within a bucket, and buckets by their first and last
+    fact, so that no task sorts all facts of one key."""
+    rows = facts.withColumn("__b", bucket)
+    within, across = Window.partitionBy(*key, "__b").orderBy(date, fact_id), Window.partitionBy(*key).orderBy("__b")
+    ends = rows.groupBy(*key, "__b").agg(F.min_by(fact_id, F.struct(date, fact_id)).alias("__first"), F.max_by(fact_id, F.struct(date, fact_id)).alias("__last"))
+    ends = ends.select(*key, "__b", F.lag("__last").over(across).alias("__before"), F.lead("__first").over(across).alias("__after"))
+    near = rows.withColumn("__p", F.lag(fact_id).over(within)).withColumn("__n", F.lead(fact_id).over(within)).join(ends, [*key, "__b"], "left")
+    out = near.withColumn("replaces", F.coalesce("__p", "__before")).withColumn("replaced_by", F.coalesce("__n", "__after"))
+    return out.withColumn("deprecated", F.col("replaced_by").isNotNull()).drop("__b", "__p", "__n", "__before", "__after")

@@ -152,7 +152,7 @@ def minus_exclusion(spark: SparkSession, d: str) -> DataFrame:
     return joins.excluded(records.select("rec_id", "code").distinct(), "rec_id", [records.where(F.col("entity_type").isin("airborne", "unknown")), records.where(F.lower("label").like("%a"))])
 
 
-@query("""with f as (select facility_id, label, trim(regexp_replace(label, '\s+', ' ', 'g')) as name from aas_keyword where label is not null) select distinct facility_id, label as form, 'label' as kind from f""")
+@query("""select distinct facility_id, label as form, 'label' as kind from aas_keyword where label is not null""")
 def label_forms(spark: SparkSession, d: str) -> DataFrame:
     """Forms under which each facility can be found."""
     return enrich.label_forms(read(spark, d, "aas_keyword"), "facility_id", "label")
@@ -484,7 +484,8 @@ def fix_patch(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""select o_orderkey, lag(o_orderkey) over w as replaces, lead(o_orderkey) over w as replaced_by, lead(o_orderkey) over w is not null as deprecated from orders window w as (partition by o_custkey order by o_orderdate, o_orderkey)""")
 def mapping_supersede(spark: SparkSession, d: str) -> DataFrame:
-    return changes.superseded(read(spark, d, "orders"), ["o_custkey"], "o_orderkey", "o_orderdate").select("o_orderkey", "replaces", "replaced_by", "deprecated")
+    month = F.year("o_orderdate") * 12 + F.month("o_orderdate")
+    return changes.superseded(read(spark, d, "orders"), ["o_custkey"], "o_orderkey", "o_orderdate", month).select("o_orderkey", "replaces", "replaced_by", "deprecated")
 
 
 # Synonym sets --------------------------------------------------------------------------------------------------------

@@ -201,3 +201,17 @@ def test_enrichment(spark):
     older, newer = ({"label": F.lit(a), "alt_label": F.array(*map(F.lit, b))} for a, b in (("A", ["x"]), ("B", ["B", "y"])))
     m = vote.merged_entity(older, newer)
     assert tuple(spark.range(1).select(m["label"], m["alt_label"]).first()) == ("B", ["A", "x", "y"])
+
+
+def test_superseded(spark):
+    df = spark.createDataFrame([("k", 3, 30), ("k", 1, 10), ("k", 2, 20), ("k", 4, 30), ("l", 9, 5)], "key string, id int, day int")
+    got = {x.id: (x.replaces, x.replaced_by, x.deprecated) for x in changes.superseded(df, ["key"], "id", "day", F.floor(F.col("day") / 20)).collect()}
+    assert got == {1: (None, 2, True), 2: (1, 3, True), 3: (2, 4, True), 4: (3, None, False), 9: (None, None, False)}
+
+
+def test_running_total(spark):
+    from synoptic.runtime import running_total
+
+    df = spark.createDataFrame([("g", i, i % 3) for i in range(50)] + [("h", 1, 7)], "g string, i int, n int")
+    got = {(x.g, x.i): x.t for x in running_total(df, ["g"], [F.col("i")], F.floor(F.col("i") / 7), F.col("n"), "t").collect()}
+    assert got == {("h", 1): 0} | {("g", i): sum(k % 3 for k in range(i)) for i in range(50)}
