@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,6 +104,23 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p3_confidence": p3_confidence, "p4_found": p4_found, "p4_golden": p4_golden, "p7_found": p7_found, "p2_found": p2_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_pieces": p10_pieces}
 
+
+
+def _shape_sql(value: str) -> str:
+    """SQL for the shape of a value: what is invisible goes, then width forms, blanks and look-alike letters (also those
+    with accents in one character) are translated one by one."""
+    table = {chr(c): f for c, f in lookalikes.WIDTHS.items()}
+    shapes = {c: shape for shape, others in lookalikes.SHAPES.items() for c in others}
+    for c in map(chr, range(0x370, 0x530)):
+        bare = unicodedata.normalize("NFD", c)
+        table[c] = unicodedata.normalize("NFC", "".join(shapes.get(x, x) for x in bare))
+    table |= dict.fromkeys("\u00a0\u2002\u2003\u2007\u2009\u202f\u3000", " ")
+    pairs = [(a, b) for a, b in table.items() if len(b) == 1 and a != b]
+    quoted = lambda x: "".join(x).replace("'", "''")
+    seen = rf"regexp_replace({value}, '[\p{{Cf}}\x{{034F}}]', '', 'g')"
+    return f"trim(nfc_normalize(translate(nfc_normalize(translate({seen}, '{quoted(a for a, _ in pairs)}', '{quoted(b for _, b in pairs)}')), '{quoted(a for a, _ in pairs)}', '{quoted(b for _, b in pairs)}')))"
+
+
 _USABLE = r"""
     records as (select distinct synset_id, rec_id, list_name, label, latitude, longitude, start_date, modified from synset_record),
     placed as (select r.*, a.trust_rank,
@@ -112,6 +131,9 @@ _USABLE = r"""
     sizes as (select synset_id from records group by 1 having count(*) > 1)"""
 
 ORACLE_SQL = {
+    "p1_found": f"""with v as (select distinct 'label' as field, name_id, label as v from skos_label where label is not null union select 'alt_label', name_id, alt_label from skos_label where alt_label is not null),
+        s as (select field, name_id, v, {_shape_sql('v')} as shape from v)
+        select a.field, a.name_id as name_id_a, b.name_id as name_id_b from s a join s b on a.field = b.field and a.shape = b.shape and a.name_id < b.name_id where a.v <> b.v and a.shape <> ''""",
     "p4_found": f"""with {_USABLE}
         select synset_id,
             arg_min(rec_id, (trust_rank, -epoch_us(modified), rec_id)) filter (ok_label) as label_rec_id,
