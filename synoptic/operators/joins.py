@@ -47,11 +47,21 @@ def label_matches(left: DataFrame, left_key: str, right: DataFrame, right_key: s
     return one.join(two, "v").groupBy("a", "b").agg(F.min("field_a").alias("field_a"), F.min("field_b").alias("field_b"))
 
 
-def unambiguous_join(left: DataFrame, left_key: str, left_attr: str, right: DataFrame, right_key: str, right_attr: str) -> DataFrame:
-    """(a, b): by keys that only one right entity has."""
+def unambiguous_join(left: DataFrame, left_key: str, left_attr: str, right: DataFrame, right_key: str, right_attr: str, fallback: list[tuple[str, str]] | None = None) -> DataFrame:
+    """(a, b): by keys that only one right entity has. Where a key is ambiguous, left entities with that key are joined by
+    the (left, right) attributes of `fallback` instead, to the right entities that bear it."""
     two = exploded(right, right_key, right_attr, right_attr).select(F.col("id").alias("b"), _form(F.col("v")).alias("v")).where("v <> ''").distinct()
-    single = two.groupBy("v").agg(F.min("b").alias("b"), F.max("b").alias("other")).where("b = other").select("v", "b")
-    return exploded(left, left_key, left_attr, left_attr).select(F.col("id").alias("a"), _form(F.col("v")).alias("v")).join(single, "v").select("a", "b").distinct()
+    one = exploded(left, left_key, left_attr, left_attr).select(F.col("id").alias("a"), _form(F.col("v")).alias("v")).distinct()
+    bearers = two.groupBy("v").agg(F.min("b").alias("b"), F.max("b").alias("other"))
+    found = one.join(bearers.where("b = other").select("v", "b"), "v").select("a", "b").distinct()
+    if not fallback:
+        return found
+    unsure = bearers.where("b <> other").select("v")
+    few_left = left.join(one.join(unsure, "v").select(F.col("a").alias(left_key)).distinct(), left_key, "left_semi")
+    few_right = right.join(two.join(unsure, "v").select(F.col("b").alias(right_key)).distinct(), right_key, "left_semi")
+    for mine, theirs in fallback:
+        found = found.union(merge_on(few_left, left_key, mine, few_right, right_key, theirs))
+    return found.distinct()
 
 
 def not_equivalent(rows: DataFrame, key: str, linked: DataFrame, side: str) -> DataFrame:

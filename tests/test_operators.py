@@ -152,6 +152,10 @@ def test_joins(spark):
     right = spark.createDataFrame([(10, "a1"), (11, "B2"), (12, "b2"), (13, None), (14, "")], "id int, code string")
     assert {tuple(x) for x in joins.merge_on(left, "id", "ids", right, "id", "code").collect()} == {(1, 10), (2, 11), (2, 12)}
     assert {tuple(x) for x in joins.unambiguous_join(left, "id", "ids", right, "id", "code").collect()} == {(1, 10)}
+    named_left = spark.createDataFrame([(1, "k", "Alpha", ["Al"]), (2, "k", "Beta", None), (3, "u", "x", None)], "id int, code string, label string, alt array<string>")
+    named_right = spark.createDataFrame([(10, "K", "alpha"), (11, "k", "al"), (12, "u", "zzz")], "id int, code string, label string")
+    both = joins.unambiguous_join(named_left, "id", "code", named_right, "id", "code", [("label", "label"), ("alt", "label")])
+    assert {tuple(x) for x in both.collect()} == {(3, 12), (1, 10), (1, 11)}
     linked = spark.createDataFrame([(1, 10)], "a int, b int")
     assert {tuple(x) for x in joins.merge_on(left, "id", "ids", right, "id", "code", linked).collect()} == {(2, 11), (2, 12)}
     e = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (4, 2)], "s int, d int")
