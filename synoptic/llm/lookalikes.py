@@ -182,8 +182,10 @@ def one_form(values: DataFrame, name: str = "forms") -> DataFrame:
 def normalized(rows: DataFrame, key: str, fields: list[str], name: str = "forms") -> DataFrame:
     """(key, field, value, form) of every field of every row that is not null; repeated rows count once."""
     entries = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])
-    long = Scratch(rows.sparkSession, name).write(rows.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.explode(entries).alias("e")).select("key", "e.field", "e.value").where("value is not null").distinct())
-    return long.join(one_form(long.select("value"), name), "value").select("key", "field", "value", "form")
+    scratch = Scratch(rows.sparkSession, name)
+    long = scratch.write(rows.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.explode(entries).alias("e")).select("key", "e.field", "e.value").where("value is not null").distinct())
+    # Written, as pairs read it several times.
+    return scratch.write(long.join(one_form(long.select("value"), name), "value").select("key", "field", "value", "form"))
 
 
 def look_alikes(forms: DataFrame) -> DataFrame:
