@@ -208,15 +208,21 @@ def indel_ratio(a: str, b: str) -> float:
     return 2 * (len(a) - row.bit_count()) / (len(a) + len(b))
 
 
+def sorted_words(t: str) -> str:
+    """The words of a text in order, without case and accents."""
+    bare = "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).lower()
+    return " ".join(sorted(bare.split()))
+
+
+@F.pandas_udf(T.StringType())
+def sort_keys(texts: pd.Series) -> pd.Series:
+    return texts.map(sorted_words, na_action="ignore")
+
+
 @F.pandas_udf(T.DoubleType())
 def token_sort_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """indel_ratio of the sorted words of both, without case and accents."""
-
-    def key(t: str) -> str:
-        bare = "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).lower()
-        return " ".join(sorted(bare.split()))
-
-    return pd.Series([indel_ratio(key(a), key(b)) if isinstance(a, str) and isinstance(b, str) else None for a, b in zip(left, right, strict=True)], dtype="float64")
+    return pd.Series([indel_ratio(sorted_words(a), sorted_words(b)) if isinstance(a, str) and isinstance(b, str) else None for a, b in zip(left, right, strict=True)], dtype="float64")
 
 
 def digit_agreement(a: float, b: float) -> float:

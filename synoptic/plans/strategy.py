@@ -12,20 +12,25 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from synoptic.functions import acronyms
 from synoptic.functions import text as X
 from synoptic.model import ABOVE, SOURCES, class_of
 from synoptic.operators import compare, joins, select
+from synoptic.operators.alike import alike
+from synoptic.operators.nearby import near_cells, own_cell, position, usable
 from synoptic.runtime import Scratch
 
 FILTERS = ("type", "date", "distance", "identifier", "number", "aperture", "same_broader")
 MATCHERS = ("label_match",)
 SCORERS = ("levenshtein_similarity", "acronym", "digit", "tfidf")
 TOOLS = (*FILTERS, *MATCHERS, *SCORERS)
+#: How far apart two usable positions may be for the distance filter.
+NEAR_KM = 10.0
 _TOOL = re.compile(r"(-?)([A-Za-z_]+)\s*(?:(>=|<=|==|<|>)\s*(-?\d+(?:\.\d+)?))?")
 
 
@@ -116,22 +121,34 @@ class Result:
     done: list[Step] = field(default_factory=list)
 
 
-def blocked(left: DataFrame, right: DataFrame, rarest: int = 2) -> DataFrame:
-    """(a, b): pairs that share one of the `rarest` words of a label of theirs, by how few entities of both lists have
-    the word. Words that many labels have are no keys of theirs, so blocks do not grow with common words."""
-    def words(rows: DataFrame, side: int) -> DataFrame:
-        return joins.labels_of(rows, "uri").select("id", F.lit(side).alias("side"), "v", F.explode(F.array_distinct(label_words(F.col("v")))).alias("k")).where(F.length("k") >= 3)
-
-    every = words(left, 0).union(words(right, 1))
-    common = every.groupBy("k").agg(F.count_distinct("side", "id").alias("df"))
-    order = Window.partitionBy("side", "id", "v").orderBy("df", "k")
-    keys = every.join(common, "k").withColumn("r", F.row_number().over(order)).where(F.col("r") <= rarest).select("side", "id", "k").distinct()
-    one, two = keys.where("side = 0").select(F.col("id").alias("a"), "k"), keys.where("side = 1").select(F.col("id").alias("b"), "k")
-    return one.join(two, "k").select("a", "b").distinct()
-
-
-def label_words(label):  # noqa: ANN001, ANN201
-    return F.regexp_extract_all(F.lower(label), F.lit(r"([\p{L}\p{N}]+)"), 1)
+def names_of(rows: DataFrame) -> DataFrame:
+    """(id, k): the sort keys of the labels that are scored."""
+    return rows.select(F.col("uri").alias("id"), X.sort_keys("label").alias("k")).where("k <> ''").distinct()
+
+
+def blocked(left: DataFrame, right: DataFrame, step: Step) -> DataFrame:
+    """(a, b): the pairs that a step can accept, none of them left out. Equal labels for its matchers; for its scorers what
+    its limit of the label ratio leaves, found exactly. Under a distance filter two usable positions meet in cells of a
+    grid instead. A step that scores without such a limit needs all pairs, and gets them."""
+    found = []
+    if step.matchers:
+        found.append(joins.label_matches(left, "uri", right, "uri").select("a", "b"))
+    if step.scorers:
+        least = max([v for s, op, v in step.limits if s == "levenshtein_similarity" and op in (">=", ">", "==")], default=0.0)
+        todo = [(left, right)]
+        if "distance" in step.filters:
+            placed = usable(F.col("latitude"), F.col("longitude"))
+            todo = [(left.where(~placed), right), (left.where(placed), right.where(~placed))]
+            at = lambda rows: rows.where(placed).select("uri", *position(F.col("latitude"), F.col("longitude")))
+            # The filter measures on a sphere, cells lie on the ellipsoid: distances differ by under 1 %.
+            wide = NEAR_KM * 1.01
+            found.append(near_cells(at(left), wide).select(F.col("uri").alias("a"), "cell").join(at(right).select(F.col("uri").alias("b"), own_cell(wide).alias("cell")), "cell").select("a", "b"))
+        for one, two in todo:
+            if least > 0:
+                found.append(alike(names_of(one), names_of(two), least))
+            else:
+                found.append(one.select(F.col("uri").alias("a")).crossJoin(two.select(F.col("uri").alias("b"))))
+    return reduce(DataFrame.union, found).distinct() if found else left.sparkSession.createDataFrame([], "a string, b string")
 
 
 def run(steps: list[Step], entities: DataFrame, weights: dict[str, float] | None = None, z: float = 0.385, k: int = 10, name: str = "strategy") -> DataFrame:
@@ -147,7 +164,7 @@ def run(steps: list[Step], entities: DataFrame, weights: dict[str, float] | None
         if linked is not None:
             wanted = wanted.join(linked, "uri", "left_anti")
         left, right = wanted.where(F.col("source") == step.list1), wanted.where(F.col("source") == step.list2)
-        pairs = blocked(left, right).join(_side(left, "a", "1"), "a").join(_side(right, "b", "2"), "b")
+        pairs = blocked(left, right, step).join(_side(left, "a", "1"), "a").join(_side(right, "b", "2"), "b")
         for f in step.filters:
             pairs = pairs.where(_filter(f))
         pairs = scratch.write(pairs)
@@ -196,7 +213,7 @@ def _filter(name: str):  # noqa: ANN202
     return {
         "type": lambda: compare.type_filter(one("1"), F.lit(1), one("2"), F.lit(1)),
         "date": lambda: compare.overlap_filter(c("years1"), c("years2")),
-        "distance": lambda: compare.distance_filter(c("latitude1"), c("longitude1"), c("latitude2"), c("longitude2"), []),
+        "distance": lambda: compare.distance_filter(c("latitude1"), c("longitude1"), c("latitude2"), c("longitude2"), [], NEAR_KM),
         "identifier": lambda: compare.overlap_filter(c("ids1"), c("ids2")),
         "number": lambda: compare.number_filter(numbers("1"), numbers("2")),
         "aperture": lambda: compare.aperture_filter(c("apertures1"), c("apertures2")),
