@@ -107,6 +107,17 @@ def acronym_score(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([one(a, b) for a, b in zip(left, right, strict=True)], dtype="float64")
 
 
+@F.pandas_udf(T.DoubleType())
+def best_acronym_score(left: pd.Series, right: pd.Series) -> pd.Series:
+    """The highest acronym_probability between the names of both; null below 0.5."""
+
+    def best(one: list[str], two: list[str]) -> float | None:
+        top = max((acronym_probability(*sorted((a, b), key=len)) for a in one for b in two), default=-1.0)
+        return top if top >= 0.5 else None
+
+    return pd.Series([best(a, b) if a is not None and b is not None else None for a, b in zip(left, right, strict=True)], dtype="float64")
+
+
 def cut_acronym(label: str) -> tuple[str, str]:
     """(name, acronym): without what is in parentheses; the acronym if it is the only one, at the end, and certain."""
     label = label.strip()

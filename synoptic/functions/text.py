@@ -189,6 +189,12 @@ def suffix_numbers(labels: pd.Series) -> pd.Series:
     return labels.map(suffix_number, na_action="ignore").astype("Int64")
 
 
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def all_suffix_numbers(names: pd.Series) -> pd.Series:
+    """The different suffix numbers of several names."""
+    return names.map(lambda ns: sorted({suffix_number(n) for n in ns}), na_action="ignore")
+
+
 # Similarity of texts and numbers -------------------------------------------------------------------------------------
 
 
@@ -214,9 +220,29 @@ def sorted_words(t: str) -> str:
     return " ".join(sorted(bare.split()))
 
 
-@F.pandas_udf(T.StringType())
-def sort_keys(texts: pd.Series) -> pd.Series:
-    return texts.map(sorted_words, na_action="ignore")
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def sort_keys(names: pd.Series) -> pd.Series:
+    """The different keys of several names, without empty ones."""
+    return names.map(lambda ns: sorted({sorted_words(n) for n in ns} - {""}), na_action="ignore")
+
+
+@F.pandas_udf(T.DoubleType())
+def best_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
+    """The highest indel_ratio between the keys of both; null where one has none."""
+
+    def best(one: list[str], two: list[str]) -> float | None:
+        if not len(one) or not len(two):
+            return None
+        if set(one) & set(two):
+            return 1.0
+        top = 0.0
+        for a in one:
+            for b in two:
+                if 2 * min(len(a), len(b)) > top * (len(a) + len(b)):
+                    top = max(top, indel_ratio(a, b))
+        return top
+
+    return pd.Series([best(a, b) if a is not None and b is not None else None for a, b in zip(left, right, strict=True)], dtype="float64")
 
 
 @F.pandas_udf(T.DoubleType())

@@ -732,9 +732,9 @@ def event_sessions(spark: SparkSession, d: str) -> DataFrame:
 def strategy_mappings(spark: SparkSession, d: str) -> DataFrame:
     """Sites and items mapped by a strategy of two steps: labels that are equal, then names alike and not far apart."""
     none = F.lit(None)
-    common = lambda rows, key, source, kind, start: rows.select(F.concat_ws(":", F.lit(source), F.col(key).cast("string")).alias("uri"), F.lit(source).alias("source"), "label", "alt_label", kind.alias("entity_type"), "latitude", "longitude", start.alias("years"), none.cast("array<string>").alias("ids"), none.cast("array<double>").alias("apertures"), none.cast("array<string>").alias("parents")).dropDuplicates(["uri"])
-    sites = common(read(spark, d, "iaumpc_site"), "site_id", "iaumpc", F.lit("ground observatory"), none.cast("array<int>"))
-    items = common(read(spark, d, "wikidata_facility"), "item_id", "wikidata", none.cast("string"), compare.years(F.array_compact(F.array("start_date"))))
+    common = lambda rows, key, source, kind, start, code: rows.select(F.concat_ws(":", F.lit(source), F.col(key).cast("string")).alias("uri"), F.lit(source).alias("source"), "label", "alt_label", kind.alias("entity_type"), "latitude", "longitude", start.alias("years"), none.cast("array<string>").alias("ids"), none.cast("array<double>").alias("apertures"), none.cast("array<string>").alias("parents"), code.alias("code")).dropDuplicates(["uri"])
+    sites = common(read(spark, d, "iaumpc_site"), "site_id", "iaumpc", F.lit("ground observatory"), none.cast("array<int>"), F.array("code"))
+    items = common(read(spark, d, "wikidata_facility"), "item_id", "wikidata", none.cast("string"), compare.years(F.array_compact(F.array("start_date"))), none.cast("array<string>"))
     steps = strategy.parse("iaumpc, wikidata: distance, label_match\niaumpc, wikidata: distance, number, levenshtein_similarity >= 0.85")
     found = strategy.run(steps, sites.union(items))
     return found.select("a", "b", "predicate", "justification", F.round("score", 6).alias("score"))

@@ -121,9 +121,18 @@ class Result:
     done: list[Step] = field(default_factory=list)
 
 
-def names_of(rows: DataFrame) -> DataFrame:
-    """(id, k): the sort keys of the labels that are scored."""
-    return rows.select(F.col("uri").alias("id"), X.sort_keys("label").alias("k")).where("k <> ''").distinct()
+def with_names(entities: DataFrame) -> DataFrame:
+    """What names are compared by, once for each entity: `names` (label and alternative labels, and `code` where there is
+    such a column), their sort keys, and the suffix numbers and all numbers of the labels."""
+    kept = lambda *parts: F.array_distinct(F.filter(F.concat(*[F.coalesce(p, F.array().cast("array<string>")) for p in parts]), lambda n: F.trim(n) != ""))
+    labels = [F.array("label"), F.col("alt_label")]
+    rows = entities.withColumn("labels", kept(*labels)).withColumn("names", kept(*labels, *[F.col(c) for c in entities.columns if c == "code"]))
+    return rows.withColumns({"keys": X.sort_keys("names"), "suffixes": X.all_suffix_numbers("labels"), "numbers": F.flatten(F.transform("labels", X.numbers_in))})
+
+
+def keys_of(rows: DataFrame) -> DataFrame:
+    """(id, k): the sort keys of an entity's names."""
+    return rows.select(F.col("uri").alias("id"), F.explode("keys").alias("k"))
 
 
 def blocked(left: DataFrame, right: DataFrame, step: Step) -> DataFrame:
@@ -145,7 +154,7 @@ def blocked(left: DataFrame, right: DataFrame, step: Step) -> DataFrame:
             found.append(near_cells(at(left), wide).select(F.col("uri").alias("a"), "cell").join(at(right).select(F.col("uri").alias("b"), own_cell(wide).alias("cell")), "cell").select("a", "b"))
         for one, two in todo:
             if least > 0:
-                found.append(alike(names_of(one), names_of(two), least))
+                found.append(alike(keys_of(one), keys_of(two), least))
             else:
                 found.append(one.select(F.col("uri").alias("a")).crossJoin(two.select(F.col("uri").alias("b"))))
     return reduce(DataFrame.union, found).distinct() if found else left.sparkSession.createDataFrame([], "a string, b string")
@@ -153,9 +162,10 @@ def blocked(left: DataFrame, right: DataFrame, step: Step) -> DataFrame:
 
 def run(steps: list[Step], entities: DataFrame, weights: dict[str, float] | None = None, z: float = 0.385, k: int = 10, name: str = "strategy") -> DataFrame:
     """(a, b, predicate, justification, score, scores): the mappings of all steps. `entities` has uri, source, label,
-    alt_label, entity_type, latitude, longitude, years, ids, apertures, parents; what a list lacks is null."""
+    alt_label, entity_type, latitude, longitude, years, ids, apertures, parents and may have code (an
+    array, too); what a list lacks is null."""
     scratch = Scratch(entities.sparkSession, name)
-    entities = scratch.write(entities)
+    entities = scratch.write(with_names(entities))
     weights = weights or {}
     found: list[DataFrame] = []
     for step in steps:
@@ -203,27 +213,27 @@ def _ends(found: list[DataFrame]) -> DataFrame | None:
 
 
 def _side(rows: DataFrame, key: str, mark: str) -> DataFrame:
-    return rows.select(F.col("uri").alias(key), *[F.col(c).alias(c + mark) for c in rows.columns if c not in ("uri", "source")])
+    return rows.select(F.col("uri").alias(key), *[F.col(c).alias(c + mark) for c in rows.columns if c not in ("uri", "source", "label", "alt_label", "code", "labels")])
 
 
 def _filter(name: str):  # noqa: ANN202
     c = F.col
     one = lambda m: F.array_compact(F.array(class_of(c("entity_type" + m))))
-    numbers = lambda m: F.transform(F.array_compact(F.concat(F.array("label" + m), F.coalesce("alt_label" + m, F.array().cast("array<string>")))), lambda x: F.coalesce(F.regexp_extract(x, r"(\d+)\s*$", 1).try_cast("bigint"), F.lit(0)))
     return {
         "type": lambda: compare.type_filter(one("1"), F.lit(1), one("2"), F.lit(1)),
         "date": lambda: compare.overlap_filter(c("years1"), c("years2")),
         "distance": lambda: compare.distance_filter(c("latitude1"), c("longitude1"), c("latitude2"), c("longitude2"), [], NEAR_KM),
         "identifier": lambda: compare.overlap_filter(c("ids1"), c("ids2")),
-        "number": lambda: compare.number_filter(numbers("1"), numbers("2")),
+        "number": lambda: compare.number_filter(c("suffixes1"), c("suffixes2")),
         "aperture": lambda: compare.aperture_filter(c("apertures1"), c("apertures2")),
         "same_broader": lambda: compare.broader_filter(c("parents1"), c("parents2")),
     }[name]()
 
 
 def _score(name: str):  # noqa: ANN202
-    one, two = F.col("label1"), F.col("label2")
-    return {"levenshtein_similarity": X.token_sort_ratio, "acronym": acronyms.acronym_score, "digit": lambda a, b: X.digit_score(X.numbers_in(a), X.numbers_in(b))}[name](one, two)
+    """The highest over all pairs of names; of numbers, those of all labels."""
+    how, value = {"levenshtein_similarity": (X.best_ratio, "keys"), "acronym": (acronyms.best_acronym_score, "names"), "digit": (X.digit_score, "numbers")}[name]
+    return how(F.col(value + "1"), F.col(value + "2"))
 
 
 def mapping_rows(mappings: DataFrame, set_id: str, creator: str) -> DataFrame:

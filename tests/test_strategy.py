@@ -34,3 +34,10 @@ def test_mistyped_in_all_rare_words(spark):
     rows = [entity("a1", "aas", "Šurigla Prèlifu Solar Tower"), entity("w1", "wikidata", "Šurigla Prelifu Solar Töwer"), entity("a2", "aas", "Dibihâ Posagli Interferometer Array", at=(10.0, 20.0)), entity("w2", "wikidata", "Dibiha Pozagli Interferomeer Array", at=(10.01, 20.0))]
     rows += [entity(f"w{n}", "wikidata", f"{w} Solar Interferometer Tower Array", at=(50.0, float(n))) for n, w in enumerate(["Kolo", "Bari", "Metu"], 3)]
     assert linked(spark, "aas, wikidata: distance, levenshtein_similarity >= 0.85", rows) == {("a1", "w1"), ("a2", "w2")}
+
+
+def test_best_of_all_names_and_suffix_numbers(spark):
+    rows = [entity("a1", "aas", "Ñobeso Zahegle Observatory"), entity("w1", "wikidata", "ÑZO", ["Ñobeso Zahegle Observatori"])]
+    rows += [entity("a2", "aas", "Kiruna Probe II"), entity("w2", "wikidata", "Kiruna Prube 2"), entity("a3", "aas", "Gosat Mission I"), entity("w3", "wikidata", "Gosat Misson II")]
+    assert linked(spark, "aas, wikidata: number, levenshtein_similarity >= 0.8", rows) == {("a1", "w1"), ("a2", "w2")}
+    assert linked(spark, "aas, wikidata: acronym >= 0.9", [entity("a1", "aas", "Kolo", ["ESO"]), entity("w1", "wikidata", "Metu", ["European Southern Observatory"])]) == {("a1", "w1")}
