@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from synoptic.functions import acronyms
 from synoptic.functions import text as X
 from synoptic.model import ABOVE, SOURCES, class_of
-from synoptic.operators import compare, joins, select
+from synoptic.operators import compare, embed, joins, select
 from synoptic.operators.alike import alike
 from synoptic.operators.nearby import near_cells, own_cell, position, usable
 from synoptic.runtime import Scratch
@@ -160,6 +160,15 @@ def blocked(left: DataFrame, right: DataFrame, step: Step) -> DataFrame:
     return reduce(DataFrame.union, found).distinct() if found else left.sparkSession.createDataFrame([], "a string, b string")
 
 
+def with_cosine(pairs: DataFrame, weights: DataFrame) -> DataFrame:
+    """`pairs` with s_tfidf: the cosine of both names' tf-idf vectors (uri, term, weight); null where one has no term."""
+    one, two = weights.select(F.col("uri").alias("a"), "term", F.col("weight").alias("w1")), weights.select(F.col("uri").alias("b"), "term", F.col("weight").alias("w2"))
+    dots = pairs.select("a", "b").join(one, "a").join(two, ["b", "term"]).groupBy("a", "b").agg(F.sum(F.col("w1") * F.col("w2")).alias("dot"))
+    some = lambda side: weights.select(F.col("uri").alias(side), F.lit(True).alias("has_" + side)).distinct()
+    rows = pairs.join(dots, ["a", "b"], "left").join(some("a"), "a", "left").join(some("b"), "b", "left")
+    return rows.withColumn("s_tfidf", F.when(F.col("has_a") & F.col("has_b"), F.coalesce("dot", F.lit(0.0)))).drop("dot", "has_a", "has_b")
+
+
 def run(steps: list[Step], entities: DataFrame, weights: dict[str, float] | None = None, z: float = 0.385, k: int = 10, name: str = "strategy") -> DataFrame:
     """(a, b, predicate, justification, score, scores): the mappings of all steps. `entities` has uri, source, label,
     alt_label, entity_type, latitude, longitude, years, ids, apertures, parents and may have code (an
@@ -168,6 +177,10 @@ def run(steps: list[Step], entities: DataFrame, weights: dict[str, float] | None
     entities = scratch.write(with_names(entities))
     weights = weights or {}
     found: list[DataFrame] = []
+    vectors = None
+    if any("tfidf" in step.scorers for step in steps):
+        texts = entities.select("uri", X.fold_accents(F.array_join("labels", " ")).alias("text"))
+        vectors = scratch.write(embed.tfidf(texts, "uri", "text").select("uri", "term", "weight"))
     for step in steps:
         linked = _ends(found)
         wanted = entities.where(class_of(F.col("entity_type")).isin(list(step.types)) | F.col("entity_type").isNull())
@@ -186,10 +199,11 @@ def run(steps: list[Step], entities: DataFrame, weights: dict[str, float] | None
             out.append(one.select("a", "b", F.lit("exactMatch").alias("predicate"), F.lit("lexical").alias("justification"), "score", F.lit(None).cast("map<string,double>").alias("scores")))
             rest = rest.join(one.select("a"), "a", "left_anti").join(one.select("b"), "b", "left_anti")
         if step.scorers:
-            parts = {s: (_score(s), weights.get(s, 1.0)) for s in step.scorers if s != "tfidf"}
             # Written before anything is filtered by it, so that no score is computed twice.
-            scored = scratch.write(rest.select("a", "b", *[c.alias(f"s_{s}") for s, (c, _) in parts.items()]))
-            total, scores = compare.hybrid_score({s: (F.col(f"s_{s}"), w) for s, (_, w) in parts.items()})
+            scored = scratch.write(rest.select("a", "b", *[_score(s).alias(f"s_{s}") for s in step.scorers if s != "tfidf"]))
+            if "tfidf" in step.scorers:
+                scored = scratch.write(with_cosine(scored, vectors))
+            total, scores = compare.hybrid_score({s: (F.col(f"s_{s}"), weights.get(s, 1.0)) for s in step.scorers})
             scored = scratch.write(scored.select("a", "b", total.alias("score"), scores.alias("scores")).where("score is not null"))
             for s, op, v in step.limits:
                 scored = scored.where(compare.threshold(F.element_at("scores", s), op, v))

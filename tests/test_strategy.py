@@ -41,3 +41,9 @@ def test_best_of_all_names_and_suffix_numbers(spark):
     rows += [entity("a2", "aas", "Kiruna Probe II"), entity("w2", "wikidata", "Kiruna Prube 2"), entity("a3", "aas", "Gosat Mission I"), entity("w3", "wikidata", "Gosat Misson II")]
     assert linked(spark, "aas, wikidata: number, levenshtein_similarity >= 0.8", rows) == {("a1", "w1"), ("a2", "w2")}
     assert linked(spark, "aas, wikidata: acronym >= 0.9", [entity("a1", "aas", "Kolo", ["ESO"]), entity("w1", "wikidata", "Metu", ["European Southern Observatory"])]) == {("a1", "w1")}
+
+
+def test_tfidf_is_computed(spark):
+    rows = [entity("a1", "aas", "Green Bank Telescope"), entity("w1", "wikidata", "Telescope of Green Bank"), entity("w2", "wikidata", "Kolo Array")]
+    got = strategy.run(strategy.parse("aas, wikidata: tfidf >= 0.5"), spark.createDataFrame(rows, COLS), z=-9.0).collect()
+    assert [(x.a, x.b) for x in got] == [("a1", "w1")] and 0.5 < got[0].scores["tfidf"] < 1
