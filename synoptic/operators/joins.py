@@ -15,6 +15,10 @@ from synoptic.operators.nearby import haversine_km, near_cells, own_cell, positi
 from synoptic.runtime import Scratch
 
 
+#: Words for "no identifier", lower case.
+NO_IDENTIFIER = ("n/a", "na", "n.a", "none", "null", "nil", "nan", "unknown", "undefined", "unspecified", "not available", "not applicable", "no identifier", "no id", "missing", "tbd", "void")
+
+
 def _form(c: Column) -> Column:
     return F.lower(F.trim(c))
 
@@ -132,6 +136,16 @@ def self_merge(rows: DataFrame, key: str, block: list[str], same: list[str], lat
     return reduce(DataFrame.union, [*found, near.select("a", "b")]).distinct()
 
 
+def identifier_links(rows: DataFrame, key: str, block: list[str], ids: list[str]) -> DataFrame:
+    """(a, b), a < b: rows of one block that share any identifier, whatever their names, as links from the least key of an
+    identifier to each other one, so that an identifier of many rows gives as many links as it has rows."""
+    stated = reduce(DataFrame.union, [rows.select(F.col(key).alias("b"), *block, F.explode(F.col(c) if rows.schema[c].dataType.typeName() == "array" else F.array(c)).alias("v")) for c in ids])
+    stated = stated.withColumn("v", _form(F.col("v"))).where(F.col("b").isNotNull() & F.col("v").rlike("[a-z0-9]") & ~F.col("v").isin(*NO_IDENTIFIER)).distinct()
+    least = stated.groupBy(*block, "v").agg(F.min("b").alias("a")).select(*[F.col(c).alias(f"__{c}") for c in block], F.col("v").alias("__v"), "a")
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in block], F.col("v") == F.col("__v"))
+    return stated.join(least, same).where("a < b").select("a", "b").distinct()
+
+
 def related(pairs: DataFrame, src: str, dst: str, relation: str, inverse: str) -> DataFrame:
     """(src, dst, relation) with the inverse of each."""
     out = pairs.select(F.col(src).alias("src"), F.col(dst).alias("dst"), F.lit(relation).alias("relation"))

@@ -92,6 +92,15 @@ def self_merge(spark: SparkSession, d: str) -> DataFrame:
     return joins.self_merge(rows, "rec_id", ["first", "entity_type"], ["leaf", "start_date"], "latitude", "longitude", 4.0)
 
 
+@query(f"""with i as (select distinct rec_id, entity_type, lower(trim(u)) as v from (select rec_id, entity_type, unnest(list_concat([code, nssdca_id], coalesce(prior_id, []::varchar[]))) as u from spase_record where coalesce(entity_type, '') <> 'instrument') where u is not null),
+    k as (select * from i where regexp_matches(v, '[a-z0-9]') and v not in {joins.NO_IDENTIFIER}), m as (select entity_type, v, min(rec_id) as a from k group by 1, 2)
+    select distinct a, rec_id as b from k join m on k.v = m.v and k.entity_type is not distinct from m.entity_type where a < rec_id""")
+def self_merge_identifiers(spark: SparkSession, d: str) -> DataFrame:
+    """Records of one class that share an identifier, old or new, linked to the first of them."""
+    rows = read(spark, d, "spase_record").where("coalesce(entity_type, '') <> 'instrument'")
+    return joins.identifier_links(rows, "rec_id", ["entity_type"], ["code", "nssdca_id", "prior_id"])
+
+
 @query("""with s as (select distinct site_id, label, latitude as la, longitude as lo, altitude from iaumpc_site)
     select site_id, case when not isnan(la) and not isnan(lo) and la between -90 and 90 and lo between -180 and 360 and not (la = 0 and lo = 0) then 1.0::double when label is not null and contains(label, ',') then 0.25::double else 0.0::double end as confidence from s""")
 def location_ladder(spark: SparkSession, d: str) -> DataFrame:

@@ -219,3 +219,9 @@ def test_running_total(spark):
     df = spark.createDataFrame([("g", i, i % 3) for i in range(50)] + [("h", 1, 7)], "g string, i int, n int")
     got = {(x.g, x.i): x.t for x in running_total(df, ["g"], [F.col("i")], F.floor(F.col("i") / 7), F.col("n"), "t").collect()}
     assert got == {("h", 1): 0} | {("g", i): sum(k % 3 for k in range(i)) for i in range(50)}
+
+
+def test_identifier_links(spark):
+    rows = spark.createDataFrame([(1, "x", "c1", "N1", None), (2, "x", "c2", " n1", None), (3, "x", "c3", "n/a", ["C2"]), (4, "y", "c4", "N1", ["N/A"]), (5, "x", "c5", "N/A", []), (6, None, "c6", "N9", None), (7, None, "c7", "N9", None)], "id int, kind string, code string, nssdca_id string, prior_id array<string>")
+    got = {tuple(x) for x in joins.identifier_links(rows, "id", ["kind"], ["code", "nssdca_id", "prior_id"]).collect()}
+    assert got == {(1, 2), (2, 3), (6, 7)}
