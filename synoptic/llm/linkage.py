@@ -49,7 +49,7 @@ def parts(names: pd.Series) -> pd.DataFrame:
             if p["code"]:
                 codes.add(p["code"])
                 continue
-            core = [w for w in p["core"] if w not in L.PLACES]
+            core = [w for w in p["core"] if w not in L.RULES.place_words]
             if core:
                 words.append(core)
             kind = kind or p["kind"]
