@@ -1,27 +1,37 @@
 """Problem 3: matching entities across two sources without keys, by probabilistic record linkage.
 
-Candidates come from two blocking passes: places (cells of a grid over the earth, of the stated position and of the ways
-in which positions are mistyped: swapped, or with a wrong sign) and, where a side has no usable position, names (pairs of words, each with up to one letter deleted, so that typing errors still meet); in both, the kinds of facility must not differ.
-Pairs are compared by levels of agreement in name, kind and place. Expectation-maximisation finds, from the counts of the patterns
-of levels over all candidates, how likely each level is among matches and among others, and the share of matches. The
-odds of a pattern become each pair's confidence, scaled over the candidates of an item, as an item is one thing at most:
-of two equally good sites neither is certain.
+Two blocking passes. By place: cells of a grid over the earth, of the stated position and of the ways in which positions
+are mistyped (swapped, or with a wrong sign), whatever the kinds of facility. By name: all pairs of words of a name (the
+word of a name that has one), words meeting also when mistyped, whatever the positions.
 
-Patterns are at most 5 x 3 x 5, so their counts go to the driver; pairs stay distributed. Blocks of places are bounded by
-distance before anything is compared.
+Entities whose names and kinds are read the same are one class, and the name pass pairs classes, not entities: a name that
+a third of all entities bear is one class on each side. Pairs of entities are made for places alone, which are bounded by
+distance. What the others add is counted: an entity of a class with k equally good partners in another shares its
+confidence among them, so that over one half none of two or more can win, and only single partners are looked up. That is
+why `least` must be one half or more, and nothing is lost by it.
+
+Pairs are compared by levels of agreement in name, kind and place. Expectation-maximisation over the patterns of the place
+pass finds how likely each level is among matches and among others, and the share of matches; that pairs of different kinds
+are no matches is given. Pairs without a place weigh
+by name and kind. Of pairs whose places are both stated but apart one match at most is expected that was never seen (the rule
+of succession), and it is any of those that agree as much in name and kind. The odds of a pattern become each pair's confidence, scaled over the
+candidates of an item, as an item is one thing at most: of two equally good sites neither is certain.
+
+Patterns are at most 5 x 3 x 5, so their counts go to the driver; pairs stay distributed.
 
 Nulls: a null id is left out. Missing, NaN or impossible coordinates and (0, 0) are no position; a null or empty name
-agrees with none. Repeated rows of one id count once. Empty tables give empty results.
+agrees with none. Repeated rows of one id count once. Empty tables give empty results. Names of any length are paired by
+all their words, in joins.
 """
 
 from __future__ import annotations
 
 import math
-from itertools import combinations, product
+from functools import lru_cache
+from itertools import product
 
 import pandas as pd
-import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,51 +41,56 @@ from synoptic.runtime import Scratch
 
 KM, CLOSE_KM = 3.5, 1.0
 #: Levels of each comparison, from "differs" up. Name: one word, code, typed alike, the same. Kind: not stated, the same.
-#: Place: not stated, mistyped, within KM, within CLOSE_KM.
+#: Place: apart, not stated, mistyped, within KM, within CLOSE_KM.
 LEVELS = {"name": 5, "kind": 3, "place": 5}
 NOT_STATED = {"kind": 1, "place": 1}
+APART = DIFFERS = 0
+KIND = 1
 START, ROUNDS, SMOOTH = 8.0, 500, 0.01
+#: A single word of so many letters is a name as well.
+LONG_CODE = 6
 PARTS = T.StructType([T.StructField("names", T.ArrayType(T.ArrayType(T.StringType()))), T.StructField("codes", T.ArrayType(T.StringType())), T.StructField("kind", T.StringType())])
 
 
-@F.pandas_udf(PARTS)
-def parts(names: pd.Series) -> pd.DataFrame:
+def parts(names: Column, rules: L.Rules) -> Column:
     """Of all names of an entity: their words, its codes (with the initials of its names) and its kind."""
-    out = []
-    for given in names:
-        words, codes, kind = [], set(), None
-        for name in given if given is not None else ():
-            p = L.parse(name)
-            if p["code"]:
-                codes.add(p["code"])
-                continue
-            core = [w for w in p["core"] if w not in L.RULES.place_words]
-            if core:
-                words.append(core)
-            kind = kind or p["kind"]
-            if len(core) >= 2 and p["kind"]:
-                codes.add("".join(w[0] for w in [*core[:2], *p["kind"].split()]))
-        out.append((words, sorted(codes), kind))
-    return pd.DataFrame(out, columns=["names", "codes", "kind"])
-
-
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def name_keys(names: pd.Series) -> pd.Series:
-    """A number for each pair of words of a name, each word with up to one letter less; the order does not count."""
-    def keys(all_names) -> list[int]:
-        out = set()
-        for words in all_names if all_names is not None else ():
-            for a, b in combinations(words[:4], 2):
-                out |= {hash_pair(x, y) for x, y in product(L.deletions(a, min(1, L.allowed(a))), L.deletions(b, min(1, L.allowed(b))))}
-        return sorted(out)
-
-    return names.map(keys)
-
-
-def hash_pair(a: str, b: str) -> int:
-    import xxhash
-
-    return (xxhash.xxh3_64_intdigest(a) + xxhash.xxh3_64_intdigest(b)) % (1 << 63)
+
+    @F.pandas_udf(PARTS)
+    def read(names: pd.Series) -> pd.DataFrame:
+        out = []
+        for given in names:
+            words, codes, kind = [], set(), None
+            for name in given if given is not None else ():
+                p = L.parse(name, rules)
+                if p["code"]:
+                    codes.add(p["code"])
+                    if len(p["code"]) < LONG_CODE:
+                        continue
+                core = [w for w in p["core"] if w not in rules.place_words]
+                if core:
+                    words.append(core)
+                kind = kind or p["kind"]
+                if len(core) >= 2 and p["kind"]:
+                    codes.add("".join(w[0] for w in [*core[:2], *p["kind"].split()]))
+            out.append((sorted(words), sorted(codes), kind))
+        return pd.DataFrame(out, columns=["names", "codes", "kind"])
+
+    return read(names)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _spellings(words: pd.Series) -> pd.Series:
+    """A word, and what is left of it without one letter, if it is long enough to be mistyped."""
+    return words.map(lambda w: sorted(L.deletions(w, min(1, L.allowed(w)))))
+
+
+@lru_cache(maxsize=100_000)
+def _letters(word: str) -> int:
+    """The letters of a word, a bit for each (some share one)."""
+    out = 0
+    for c in word:
+        out |= 1 << (ord(c) & 63)
+    return out
 
 
 def _word(a: str, b: str) -> int:
@@ -83,7 +98,13 @@ def _word(a: str, b: str) -> int:
     if a == b:
         return 2
     most = max(L.allowed(a), L.allowed(b)) if min(len(a), len(b)) > 3 else 0
-    return 1 if most and L.distance(a, b, most) <= most else 0
+    if not most or abs(len(a) - len(b)) > most:
+        return 0
+    # An error changes at most one letter of each word, so words with more letters of their own differ more.
+    x, y = _letters(a), _letters(b)
+    if (x & ~y).bit_count() > most or (y & ~x).bit_count() > most:
+        return 0
+    return 1 if L.distance(a, b, most) <= most else 0
 
 
 def _initial(a: str, b: str) -> bool:
@@ -106,11 +127,13 @@ def name_level(names1, names2, codes1, codes2) -> int:
             met = [x for x in marks if x]
             if len(short) == 2 and marks == [2, 2]:
                 return 4
-            if len(met) >= 2 and max(met) >= 1:
+            if (len(met) >= 2 or (len(met) == len(long) and len(long[0]) > 3)) and max(met) >= 1:
                 best = max(best, 3)
             elif max(marks, default=0) >= 1:
                 best = max(best, 1)
-    return max(best, 2) if best < 3 and set(codes1) & set(codes2) else best
+    # Of two names that are stated and differ in all words the initials agree by chance.
+    open_ = best or not len(names1) or not len(names2)
+    return max(best, 2) if best < 3 and open_ and set(codes1) & set(codes2) else best
 
 
 @F.pandas_udf(T.IntegerType())
@@ -118,65 +141,85 @@ def name_levels(n1: pd.Series, n2: pd.Series, c1: pd.Series, c2: pd.Series) -> p
     return pd.Series([name_level(*x) for x in zip(n1, n2, c1, c2, strict=True)], dtype="int32")
 
 
-def _entities(rows: DataFrame, key: str, scratch: Scratch) -> DataFrame:
-    """(id, p, lat, lon): parts and position; lat and lon as stated, longitude within -180..180 where it can be."""
+def _entities(rows: DataFrame, key: str, scratch: Scratch, rules: L.Rules) -> DataFrame:
+    """(id, c, p, lat, lon): class, parts and position; lat and lon as stated, longitude within -180..180 where it can be."""
     names = F.concat(F.array("label"), F.coalesce("alt_label", F.array().cast("array<string>")))
     lon = F.when(F.col("longitude").between(-180, 360), F.pmod(F.col("longitude") + 180, F.lit(360.0)) - 180).otherwise(F.col("longitude"))
     one = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), names.alias("names"), F.col("latitude").alias("lat"), lon.alias("lon"))
     first = one.groupBy("id").agg(F.min(F.struct("names", "lat", "lon")).alias("r"))
-    return scratch.write(first.select("id", parts("r.names").alias("p"), "r.lat", "r.lon"))
+    read = first.select("id", parts(F.col("r.names"), rules).alias("p"), "r.lat", "r.lon")
+    return scratch.write(read.select("id", F.md5(F.to_json("p")).alias("c"), "p", "lat", "lon"))
+
+
+def _classes(entities: DataFrame, mark: str) -> DataFrame:
+    """Of each class its parts, how many entities it has with and without a place, and the least of each."""
+    placed = N.usable(F.col("lat"), F.col("lon"))
+    count = lambda w: F.count(F.when(w, 1))
+    out = entities.groupBy("c").agg(F.first("p").alias("p"), count(placed).alias("placed"), count(~placed).alias("lost"), F.min(F.when(placed, F.col("id"))).alias("a_placed"), F.min(F.when(~placed, F.col("id"))).alias("a_lost"))
+    return out.withColumnsRenamed({"c": "c" + mark, "p": "p" + mark})
 
 
 def _placed(rows: DataFrame, lat: Column, lon: Column, mistyped: bool) -> DataFrame:
-    return rows.where(N.usable(lat, lon)).select("id", "p", F.lit(mistyped).alias("mistyped"), *N.position(lat, lon))
+    return rows.where(N.usable(lat, lon)).select("id", "c", F.lit(mistyped).alias("mistyped"), *N.position(lat, lon))
 
 
 def _kinds_agree(one: Column, two: Column) -> Column:
-    """Whether neither is stated or they do not differ; a telescope of unknown kind may be any telescope."""
+    """Whether they do not differ; a telescope of unknown kind may be any telescope."""
     loose = ((one == "telescope") & two.endswith("telescope")) | ((two == "telescope") & one.endswith("telescope"))
-    return one.isNull() | two.isNull() | (one == two) | loose
+    return (one == two) | loose
 
 
-def candidates(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(a, b, place): pairs of ids and the level of their places, from both passes; and (place, count) of pairs on the
-    same ground whose kinds differ, which are certainly no matches."""
+def by_place(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(a, ca, b, cb, place): entities within KM, also where an item's position is mistyped."""
     lat, lon = F.col("lat"), F.col("lon")
-    sites = _placed(left, lat, lon, False).select(F.col("id").alias("a"), F.col("p.kind").alias("kind_a"), "x", "y", "z", N.own_cell(KM).alias("cell")).withColumnsRenamed({"x": "x1", "y": "y1", "z": "z1"})
     ways = _placed(right, lat, lon, False)
     for la, lo in ((lon, lat), (-lat, lon), (lat, -lon), (-lat, -lon)):
         ways = ways.union(_placed(right, la, lo, True))
-    reach = N.near_cells(ways.select("id", F.col("p.kind").alias("kind_b"), "mistyped", "x", "y", "z"), KM)
+    reach = N.near_cells(_placed(left, lat, lon, False).select(F.col("id").alias("a"), F.col("c").alias("ca"), "x", "y", "z"), KM).withColumnsRenamed({"x": "x1", "y": "y1", "z": "z1"})
+    items = ways.select(F.col("id").alias("b"), F.col("c").alias("cb"), "mistyped", "x", "y", "z", N.own_cell(KM).alias("cell"))
     far2 = sum(((F.col(c) - F.col(c + "1")) * (F.col(c) - F.col(c + "1")) for c in "yz"), (F.col("x") - F.col("x1")) * (F.col("x") - F.col("x1")))
-    met = sites.join(reach, "cell").where(far2 <= KM * KM)
-    met = met.select("a", F.col("id").alias("b"), F.when(F.col("mistyped"), 2).when(far2 <= CLOSE_KM * CLOSE_KM, 4).otherwise(3).alias("place"), _kinds_agree(F.col("kind_a"), F.col("kind_b")).alias("agree"))
-    near, others = met.where("agree").select("a", "b", "place"), met.where("not agree").groupBy("place").count()
-
-    lost = ~N.usable(lat, lon)
-    keyed_a = left.select(F.col("id").alias("a"), F.col("p.kind").alias("kind_a"), lost.alias("lost_a"), F.explode(name_keys("p.names")).alias("k"))
-    keyed_b = right.select(F.col("id").alias("b"), F.col("p.kind").alias("kind_b"), lost.alias("lost_b"), F.explode(name_keys("p.names")).alias("k"))
-    named = keyed_a.where("lost_a").join(keyed_b, "k").union(keyed_a.where("not lost_a").join(keyed_b.where("lost_b"), "k")).where(_kinds_agree(F.col("kind_a"), F.col("kind_b"))).select("a", "b").distinct()
-    return near.union(named.select("a", "b", F.lit(NOT_STATED["place"]))).groupBy("a", "b").agg(F.max("place").alias("place")), others
-
-
-def compared(left: DataFrame, right: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(a, b, name, kind, place): the levels of each candidate; and (place, count) of certain non-matches."""
-    pairs, others = candidates(left, right)
-    pairs = scratch.write(pairs)
-    one, two = left.select(F.col("id").alias("a"), F.col("p").alias("p1")), right.select(F.col("id").alias("b"), F.col("p").alias("p2"))
+    met = items.join(reach, "cell").where(far2 <= KM * KM)
+    return met.groupBy("a", "ca", "b", "cb").agg(F.max(F.when(F.col("mistyped"), 2).when(far2 <= CLOSE_KM * CLOSE_KM, 4).otherwise(3)).alias("place"))
+
+
+def by_name(left: DataFrame, right: DataFrame, scratch: Scratch) -> DataFrame:
+    """(ca, cb): classes that have names with two words in common, or names of one word with that, words also mistyped."""
+    def words(classes: DataFrame, c: str, p: str) -> DataFrame:
+        return classes.select(c, F.posexplode(p + ".names").alias("nth", "words")).select(c, "nth", F.size("words").alias("n"), F.posexplode("words").alias("at", "word"))
+
+    def keys(rows: DataFrame, c: str) -> DataFrame:
+        """Each pair of a name's words in their order, and single words of names of one."""
+        one = rows.where("n = 1").select(c, F.xxhash64("word").alias("k"))
+        other = rows.select(c, "nth", F.col("at").alias("at2"), F.col("word").alias("word2"))
+        pairs = rows.where("n > 1").join(other, [c, "nth"]).where("at <> at2 and (word < word2 or (word = word2 and at < at2))")
+        return one.union(pairs.select(c, F.xxhash64("word", "word2"))).distinct()
+
+    one, two = scratch.write(words(left, "ca", "p1")), scratch.write(words(right, "cb", "p2"))
+    listed, typed = one.select("word").distinct(), two.select(F.col("word").alias("typed")).distinct()
+    same = typed.join(listed, F.col("typed") == F.col("word")).select("typed", "word")
+    # Names of one letter's length differ are few; words that only one side has can be mistyped, all others may be, too.
+    spelled = lambda df, c: df.select(c, F.explode(_spellings(c)).alias("s"))
+    alike = spelled(typed.where("length(typed) > 3"), "typed").join(spelled(listed.where("length(word) > 3"), "word"), "s").select("typed", "word")
+    meant = same.union(alike).distinct()
+    read = two.withColumnRenamed("word", "typed").join(meant, "typed").drop("typed")
+    return keys(one, "ca").join(keys(read, "cb"), "k").select("ca", "cb").distinct()
+
+
+def compared(pairs: DataFrame, one: DataFrame, two: DataFrame) -> DataFrame:
+    """(ca, cb, name, kind): the levels of each pair of classes."""
     k1, k2 = F.col("p1.kind"), F.col("p2.kind")
     kind = F.when(k1.isNull() | k2.isNull(), NOT_STATED["kind"]).when(_kinds_agree(k1, k2), 2).otherwise(0)
-    return scratch.write(pairs.join(one, "a").join(two, "b").select("a", "b", name_levels("p1.names", "p2.names", "p1.codes", "p2.codes").alias("name"), kind.alias("kind"), "place")), others
+    return pairs.join(one.select("ca", "p1"), "ca").join(two.select("cb", "p2"), "cb").select("ca", "cb", name_levels("p1.names", "p2.names", "p1.codes", "p2.codes").alias("name"), kind.alias("kind"))
 
 
-def estimate(counts: dict[tuple[int, ...], int], others: dict[int, int]) -> tuple[dict[tuple[int, ...], float], float]:
-    """Expectation-maximisation over the counts of patterns: the odds of a match of each pattern, and the share of
-    matches. A field that is not stated tells nothing (weight 1), and pairs without a place, which met by their names,
-    have no part in estimating what names are worth. `others` counts the places of certain non-matches: they fix how
-    places fall among non-matches, as two fields alone leave that open. Matches start as tending to high levels, so that
-    the two classes can't change places."""
+def estimate(counts: dict[tuple[int, ...], int], apart: dict[tuple[int, ...], int] | None = None) -> dict[tuple[int, ...], float]:
+    """Expectation-maximisation over the counts of patterns of pairs on the same ground: the odds of a match of each pattern
+    there is. A field that is not stated tells nothing (weight 1). Matches start as tending to high levels, so that the two
+    classes can't change places. Pairs of different kinds are known not to match (facilities of different kinds on the same
+    ground are different): they tell how kinds and places fall among the others, which names and two fields leave open. How
+    names fall they don't tell, as codes hold the kind's initials. `apart` counts pairs of (name, kind) whose places are apart."""
     sizes, missing = list(LEVELS.values()), [NOT_STATED.get(f) for f in LEVELS]
-    seen = {p: n for p, n in counts.items() if p[-1] != NOT_STATED["place"]}
-    whole = sum(seen.values())
+    whole = sum(counts.values())
 
     def likelihood(rates: list[list[float]], pattern: tuple[int, ...]) -> float:
         return math.prod(rates[i][v] for i, v in enumerate(pattern) if v != missing[i])
@@ -188,35 +231,76 @@ def estimate(counts: dict[tuple[int, ...], int], others: dict[int, int]) -> tupl
             out.append([x / sum(sums) for x in sums])
         return out
 
-    known = [SMOOTH + others.get(v, 0) if v != missing[-1] else SMOOTH for v in range(sizes[-1])]
-    fixed = [x / sum(known) for x in known] if others else None
+    def others(hits: dict[tuple[int, ...], float]) -> list[list[float]]:
+        name, _, place = fitted({p: n - hits[p] for p, n in counts.items() if p[KIND] != DIFFERS})
+        _, kind, _ = fitted({p: n - hits[p] for p, n in counts.items()})
+        return [name, kind, fixed or place]
+
+    known = {p: n for p, n in counts.items() if p[KIND] == DIFFERS}
+    fixed = fitted(known)[-1] if known else None
     m, u = ([[START ** (sign * v) for v in range(n)] for n in sizes] for sign in (1, -1))
     m, u = ([[x / sum(f) for x in f] for f in r] for r in (m, u))
     u[-1] = fixed or u[-1]
-    share, before = 0.1, -math.inf
+    share, before, found = 0.1, -math.inf, 0.0
     for _ in range(ROUNDS if whole else 0):
-        both = {p: (share * likelihood(m, p), (1 - share) * likelihood(u, p)) for p in seen}
-        now = sum(n * math.log(sum(both[p])) for p, n in seen.items())
-        hits = {p: n * both[p][0] / sum(both[p]) for p, n in seen.items()}
-        m, u = fitted(hits), fitted({p: seen[p] - h for p, h in hits.items()})
-        u[-1] = fixed or u[-1]
-        share = min(max(sum(hits.values()) / whole, 1e-9), 1 - 1e-9)
+        both = {p: (share * likelihood(m, p), (1 - share) * likelihood(u, p)) for p in counts}
+        now = sum(n * math.log(sum(both[p])) for p, n in counts.items())
+        hits = {p: 0.0 if p[KIND] == DIFFERS else n * both[p][0] / sum(both[p]) for p, n in counts.items()}
+        m, u = fitted(hits), others(hits)
+        found = sum(hits.values())
+        share = min(max(found / whole, 1e-9), 1 - 1e-9)
         if now - before < 1e-9 * whole:
             break
         before = now
-    return {p: share / (1 - share) * likelihood(m, p) / likelihood(u, p) for p in counts}, share
+    out = {}
+    for p in product(*map(range, sizes)):
+        if p[-1] == APART:
+            unseen = found / (found + 2) * likelihood(m, (*p[:-1], NOT_STATED["place"]))
+            out[p] = unseen / max((apart or {}).get(p[:-1], 0), 1)
+        else:
+            out[p] = share / (1 - share) * likelihood(m, p) / likelihood(u, p)
+    return out
 
 
-def link(left: DataFrame, left_key: str, right: DataFrame, right_key: str, name: str = "linkage", least: float = 0.5) -> DataFrame:
+def link(left: DataFrame, left_key: str, right: DataFrame, right_key: str, name: str = "linkage", least: float = 0.5, rules: L.Rules = L.RULES) -> DataFrame:
     """(a, b, confidence): pairs of a left and a right entity (label, alt_label, latitude, longitude) of a confidence
-    over `least`."""
+    over `least`, which is one half or more."""
+    if least < 0.5:
+        raise ValueError("under one half an item could have several partners of a class")
     spark = left.sparkSession
     scratch = Scratch(spark, name)
-    pairs, others = compared(_entities(left, left_key, scratch), _entities(right, right_key, scratch), scratch)
+    sites, items = _entities(left, left_key, scratch, rules), _entities(right, right_key, scratch, rules)
+    one, two = scratch.write(_classes(sites, "a").withColumnRenamed("pa", "p1")), scratch.write(_classes(items, "b").withColumnRenamed("pb", "p2"))
+    near = scratch.write(by_place(sites, items))
+    named = scratch.write(by_name(one, two, scratch))
+    levels = scratch.write(compared(near.select("ca", "cb").union(named).distinct(), one, two))
+    near = scratch.write(near.join(levels, ["ca", "cb"]))
+
     fields = list(LEVELS)
-    counts = {tuple(r[f] for f in fields): r["count"] for r in pairs.groupBy(*fields).count().collect()}  # at most 75 rows
-    odds, _ = estimate(counts, {r["place"]: r["count"] for r in others.collect()})  # at most 5 rows
-    table = spark.createDataFrame([(*p, o) for p, o in odds.items()], ", ".join(f"{f} int" for f in fields) + ", odds double")
-    weighed = pairs.join(F.broadcast(table), fields)
-    total = F.sum("odds").over(Window.partitionBy("b"))
-    return weighed.where("odds > 1e-6").select("a", "b", (F.col("odds") / (1 + total)).alias("confidence")).where(F.col("confidence") > least)
+    counts = {tuple(r[f] for f in fields): r["count"] for r in near.groupBy(*fields).count().collect()}  # at most 75 rows
+    sizes = [df.select("c" + m, F.col("placed").alias("n" + m)) for df, m in ((one, "a"), (two, "b"))]
+    matched = named.join(levels, ["ca", "cb"])
+    both = matched.join(sizes[0], "ca").join(sizes[1], "cb").groupBy("name", "kind").agg(F.sum(F.col("na") * F.col("nb")).cast("bigint").alias("n"))
+    close = near.join(named, ["ca", "cb"], "left_semi").groupBy("name", "kind").agg((-F.count("*")).alias("n"))
+    apart = {(r["name"], r["kind"]): r["n"] for r in both.union(close).groupBy("name", "kind").agg(F.sum("n").alias("n")).collect()}  # at most 15 rows
+    odds = estimate(counts, apart)
+    table = F.broadcast(spark.createDataFrame([(*p, o) for p, o in odds.items()], ", ".join(f"{f} int" for f in fields) + ", odds double"))
+
+    weighed = near.join(table, fields).select("a", "ca", "b", "cb", "odds")
+    # What an item meets by its name: of a class, k1 sites with which a place can't be compared and k0 that are apart.
+    has = N.usable(F.col("lat"), F.col("lon"))
+    met = items.select(F.col("id").alias("b"), F.col("c").alias("cb"), has.alias("has")).join(matched.join(one.drop("p1"), "ca"), "cb")
+    known = near.groupBy("b", "ca").agg(F.count("*").alias("known"))
+    met = met.join(known, ["b", "ca"], "left").withColumn("known", F.coalesce("known", F.lit(0)))
+    met = met.select("b", "ca", "name", "kind", "a_placed", "a_lost", "known", "has", F.when(F.col("has"), F.col("lost")).otherwise(F.col("lost") + F.col("placed")).alias("k1"), F.when(F.col("has"), F.col("placed") - F.col("known")).otherwise(0).alias("k0"))
+    kinds = F.array(F.struct(F.lit(NOT_STATED["place"]).alias("place"), F.col("k1").alias("k")), F.struct(F.lit(APART).alias("place"), F.col("k0").alias("k")))
+    met = scratch.write(met.select("*", F.explode(kinds).alias("e")).select("b", "ca", "name", "kind", "a_placed", "a_lost", "known", "has", "e.place", "e.k").where("k > 0").join(table, fields))
+    total = weighed.select("b", "odds").union(met.select("b", (F.col("odds") * F.col("k")))).groupBy("b").agg(F.sum("odds").alias("total"))
+    total = scratch.write(total)
+
+    sure = lambda rows: rows.join(total, "b").withColumn("confidence", F.col("odds") / (1 + F.col("total"))).where(F.col("confidence") > least)
+    single = scratch.write(sure(met.where("k = 1")))
+    # The one site is the class's only one of that sort, unless others of the class are near: then it is the one left.
+    only = single.where(f"place = {NOT_STATED['place']} or known = 0").select(F.when(F.col("place") == APART, F.col("a_placed")).otherwise(F.coalesce("a_lost", "a_placed")).alias("a"), "b", "confidence")
+    rest = single.where(f"place = {APART} and known > 0").select("ca", "b", "confidence").join(sites.where(has).select(F.col("id").alias("a"), F.col("c").alias("ca")), "ca").join(near.select("a", "b"), ["a", "b"], "left_anti")
+    return sure(weighed).select("a", "b", "confidence").union(only).union(rest.select("a", "b", "confidence"))

@@ -2,6 +2,7 @@ import random
 
 from synoptic.llm import linkage as K
 
+WORDS = ["".join(chr(97 + (i // 26**k) % 26) * 2 for k in range(3)) for i in range(300)]
 SHAPE = "id bigint, label string, alt_label array<string>, latitude double, longitude double, name string"
 
 
@@ -40,8 +41,34 @@ def test_names():
     level = K.name_level
     assert level([["ab", "cd"]], [["cd", "ab"]], [], []) == 4 and level([["abcdef", "ghijkl"]], [["abcdfe", "ghijkl"]], [], []) == 3
     assert level([["abcdef", "ghijkl", "town"]], [["abcdef", "ghijkl"]], [], []) == 4 and level([["a", "ghijkl"]], [["abcdef", "ghijkl"]], [], []) == 3
-    assert level([["xxxxxx", "ghijkl"]], [["abcdef", "ghijkl"]], [], []) == 1 and level([["xxxxxx"]], [["abcdef"]], ["q"], ["q"]) == 2 and level([], [], [], []) == 0
+    assert level([["xxxxxx", "ghijkl"]], [["abcdef", "ghijkl"]], [], []) == 1 and level([["xxxxxx"]], [["abcdef"]], ["q"], ["q"]) == 0 and level([["xxxxxx"]], [], ["q"], ["q"]) == 2 and level([], [], [], []) == 0
 
 
 def test_estimate_of_nothing():
-    assert K.estimate({}, {})[0] == {}
+    assert len(K.estimate({})) == 75 and all(o >= 0 for o in K.estimate({}).values())
+
+
+def test_names_of_any_number_of_words_meet(spark):
+    """One word, six words of which the last two are shared, and a name that many bear."""
+    left = [(1, "Pulkovo", None, None, None, "x"), (2, "aaaa bbbb cccc dddd eeee ffff", None, None, None, "x"), (3, "Hale Solar Tower", None, 10.0, 20.0, "x"), (9, " ".join(WORDS), None, None, None, "x")]
+    right = [(101, "Pulkowo", None, None, None, "y"), (102, "gggg hhhh iiii jjjj eeee ffff", None, 1.0, 1.0, "y"), (103, "Hale Solar Tower", None, 10.06, 20.0, "y"), (109, f"{WORDS[7]} {WORDS[299]}", None, None, None, "y"), (110, f"{WORDS[7]} {WORDS[299][1:]}", None, None, None, "y")]
+    left += [(1000 + i, "Crowd Town", None, None, None, "x") for i in range(300)]
+    right += [(5000 + i, "Crowd Town", None, None, None, "y") for i in range(300)]
+    scratch = K.Scratch(spark, "test")
+    classes = [K._classes(K._entities(spark.createDataFrame(rows, SHAPE), "id", scratch, K.L.RULES), m) for rows, m in ((left, "a"), (right, "b"))]
+    one, two = (c.withColumnRenamed("p" + m, "p" + n) for c, m, n in zip(classes, "ab", "12", strict=True))
+    first = lambda c, m: {r[m]: min(x for x in (r["a_lost"], r["a_placed"]) if x is not None) for r in c.collect()}
+    a, b = first(one, "ca"), first(two, "cb")
+    assert {(a[r.ca], b[r.cb]) for r in K.by_name(one, two, scratch).collect()} == {(1, 101), (2, 102), (3, 103), (9, 109), (9, 110), (1000, 5000)}
+
+
+def test_partners_without_a_place(spark):
+    """Single partners are found by their name alone; of several with one name none is certain."""
+    r = random.Random(4)
+    things = entities(r, 200)
+    left = [(i, f"{n} {k}", None, la, lo, "x") for i, (n, k, la, lo) in enumerate(things)]
+    right = [(1000 + i, f"{n} {k}", None, la, lo, "y") for i, (n, k, la, lo) in enumerate(things[:150])]
+    left += [(300, "Solo Namely", None, None, None, "x"), (301, "Many Namely", None, None, None, "x"), (302, "Many Namely", None, None, None, "x")]
+    right += [(2000, "Solo Namely", None, 5.0, 5.0, "y"), (2001, "Many Namely", None, 5.0, 5.0, "y"), (2002, f"{things[160][0]} {things[160][1]}", None, None, None, "y")]
+    found = {(x.a, x.b) for x in K.link(spark.createDataFrame(left, SHAPE), "id", spark.createDataFrame(right, SHAPE), "id").collect()}
+    assert {(300, 2000), (160, 2002)} <= found and not any(b == 2001 for _, b in found) and {(i, 1000 + i) for i in range(150)} <= found
