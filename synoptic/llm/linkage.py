@@ -142,13 +142,17 @@ def name_levels(n1: pd.Series, n2: pd.Series, c1: pd.Series, c2: pd.Series) -> p
 
 
 def _entities(rows: DataFrame, key: str, scratch: Scratch, rules: L.Rules) -> DataFrame:
-    """(id, c, p, lat, lon): class, parts and position; lat and lon as stated, longitude within -180..180 where it can be."""
+    """(id, c, p, lat, lon): class (its least id), parts and position; lat and lon as stated, longitude within -180..180 where it can be."""
     names = F.concat(F.array("label"), F.coalesce("alt_label", F.array().cast("array<string>")))
     lon = F.when(F.col("longitude").between(-180, 360), F.pmod(F.col("longitude") + 180, F.lit(360.0)) - 180).otherwise(F.col("longitude"))
     one = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), names.alias("names"), F.col("latitude").alias("lat"), lon.alias("lon"))
     first = one.groupBy("id").agg(F.min(F.struct("names", "lat", "lon")).alias("r"))
     read = first.select("id", parts(F.col("r.names"), rules).alias("p"), "r.lat", "r.lon")
-    return scratch.write(read.select("id", F.md5(F.to_json("p")).alias("c"), "p", "lat", "lon"))
+    read = scratch.write(read)
+    least = read.groupBy("p").agg(F.min("id").alias("c")).withColumnRenamed("p", "q")
+    # Kinds differ in null, which equality of structs does not forgive.
+    same = (F.col("p.names") == F.col("q.names")) & (F.col("p.codes") == F.col("q.codes")) & F.col("p.kind").eqNullSafe(F.col("q.kind"))
+    return scratch.write(read.join(least, same).select("id", "c", "p", "lat", "lon"))
 
 
 def _classes(entities: DataFrame, mark: str) -> DataFrame:
@@ -160,7 +164,7 @@ def _classes(entities: DataFrame, mark: str) -> DataFrame:
 
 
 def _placed(rows: DataFrame, lat: Column, lon: Column, mistyped: bool) -> DataFrame:
-    return rows.where(N.usable(lat, lon)).select("id", "c", F.lit(mistyped).alias("mistyped"), *N.position(lat, lon))
+    return rows.where(N.usable(lat, lon)).select("id", "c", F.col("p.kind").alias("kind"), F.lit(mistyped).alias("mistyped"), *N.position(lat, lon))
 
 
 def _kinds_agree(one: Column, two: Column) -> Column:
@@ -169,17 +173,21 @@ def _kinds_agree(one: Column, two: Column) -> Column:
     return (one == two) | loose
 
 
+def _kind_level(one: Column, two: Column) -> Column:
+    return F.when(one.isNull() | two.isNull(), NOT_STATED["kind"]).when(_kinds_agree(one, two), 2).otherwise(DIFFERS)
+
+
 def by_place(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(a, ca, b, cb, place): entities within KM, also where an item's position is mistyped."""
+    """(a, ca, b, cb, kind, place): entities within KM, also where an item's position is mistyped."""
     lat, lon = F.col("lat"), F.col("lon")
     ways = _placed(right, lat, lon, False)
     for la, lo in ((lon, lat), (-lat, lon), (lat, -lon), (-lat, -lon)):
         ways = ways.union(_placed(right, la, lo, True))
-    reach = N.near_cells(_placed(left, lat, lon, False).select(F.col("id").alias("a"), F.col("c").alias("ca"), "x", "y", "z"), KM).withColumnsRenamed({"x": "x1", "y": "y1", "z": "z1"})
-    items = ways.select(F.col("id").alias("b"), F.col("c").alias("cb"), "mistyped", "x", "y", "z", N.own_cell(KM).alias("cell"))
+    reach = N.near_cells(_placed(left, lat, lon, False).select(F.col("id").alias("a"), F.col("c").alias("ca"), F.col("kind").alias("k1"), "x", "y", "z"), KM).withColumnsRenamed({"x": "x1", "y": "y1", "z": "z1"})
+    items = ways.select(F.col("id").alias("b"), F.col("c").alias("cb"), F.col("kind").alias("k2"), "mistyped", "x", "y", "z", N.own_cell(KM).alias("cell"))
     far2 = sum(((F.col(c) - F.col(c + "1")) * (F.col(c) - F.col(c + "1")) for c in "yz"), (F.col("x") - F.col("x1")) * (F.col("x") - F.col("x1")))
     met = items.join(reach, "cell").where(far2 <= KM * KM)
-    return met.groupBy("a", "ca", "b", "cb").agg(F.max(F.when(F.col("mistyped"), 2).when(far2 <= CLOSE_KM * CLOSE_KM, 4).otherwise(3)).alias("place"))
+    return met.groupBy("a", "ca", "b", "cb", _kind_level(F.col("k1"), F.col("k2")).alias("kind")).agg(F.max(F.when(F.col("mistyped"), 2).when(far2 <= CLOSE_KM * CLOSE_KM, 4).otherwise(3)).alias("place"))
 
 
 def by_name(left: DataFrame, right: DataFrame, scratch: Scratch) -> DataFrame:
@@ -206,10 +214,9 @@ def by_name(left: DataFrame, right: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def compared(pairs: DataFrame, one: DataFrame, two: DataFrame) -> DataFrame:
-    """(ca, cb, name, kind): the levels of each pair of classes."""
-    k1, k2 = F.col("p1.kind"), F.col("p2.kind")
-    kind = F.when(k1.isNull() | k2.isNull(), NOT_STATED["kind"]).when(_kinds_agree(k1, k2), 2).otherwise(0)
-    return pairs.join(one.select("ca", "p1"), "ca").join(two.select("cb", "p2"), "cb").select("ca", "cb", name_levels("p1.names", "p2.names", "p1.codes", "p2.codes").alias("name"), kind.alias("kind"))
+    """(ca, cb, name, kind): the levels of each pair of classes whose kinds do not differ."""
+    met = pairs.join(one.select("ca", "p1"), "ca").join(two.select("cb", "p2"), "cb").withColumn("kind", _kind_level(F.col("p1.kind"), F.col("p2.kind")))
+    return met.where(F.col("kind") != DIFFERS).select("ca", "cb", name_levels("p1.names", "p2.names", "p1.codes", "p2.codes").alias("name"), "kind")
 
 
 def estimate(counts: dict[tuple[int, ...], int], apart: dict[tuple[int, ...], int] | None = None) -> dict[tuple[int, ...], float]:
@@ -271,13 +278,16 @@ def link(left: DataFrame, left_key: str, right: DataFrame, right_key: str, name:
     scratch = Scratch(spark, name)
     sites, items = _entities(left, left_key, scratch, rules), _entities(right, right_key, scratch, rules)
     one, two = scratch.write(_classes(sites, "a").withColumnRenamed("pa", "p1")), scratch.write(_classes(items, "b").withColumnRenamed("pb", "p2"))
-    near = scratch.write(by_place(sites, items))
+    ground = scratch.write(by_place(sites, items))
+    same_kind, others = ground.where(F.col("kind") != DIFFERS).drop("kind"), ground.where(F.col("kind") == DIFFERS)
     named = scratch.write(by_name(one, two, scratch))
-    levels = scratch.write(compared(near.select("ca", "cb").union(named).distinct(), one, two))
-    near = scratch.write(near.join(levels, ["ca", "cb"]))
+    levels = scratch.write(compared(same_kind.select("ca", "cb").union(named).distinct(), one, two))
+    near = scratch.write(same_kind.join(levels, ["ca", "cb"]))
 
+    # Of pairs of different kinds, which are no matches, names are not compared: they count under level 0.
     fields = list(LEVELS)
-    counts = {tuple(r[f] for f in fields): r["count"] for r in near.groupBy(*fields).count().collect()}  # at most 75 rows
+    patterns = near.select(*fields).union(others.select(F.lit(0), "kind", "place")).groupBy(*fields).count()
+    counts = {tuple(r[f] for f in fields): r["count"] for r in patterns.collect()}  # at most 75 rows
     sizes = [df.select("c" + m, F.col("placed").alias("n" + m)) for df, m in ((one, "a"), (two, "b"))]
     matched = named.join(levels, ["ca", "cb"])
     both = matched.join(sizes[0], "ca").join(sizes[1], "cb").groupBy("name", "kind").agg(F.sum(F.col("na") * F.col("nb")).cast("bigint").alias("n"))
