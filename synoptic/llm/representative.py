@@ -5,13 +5,20 @@ a value within its group is the weighted sum of its claims, the value of the hig
 source's reliability becomes the (smoothed) share of its claims that agree with the truth; rounds end when no reliability
 moves by more than TOLERANCE.
 
-A claim's weight has three parts, in this order: the trust rank that is stated for its source, the time of the record
-among those of its source, and the reliability that was found. With `dominant` the support of a value is led by its best
-claim: a stated rank outweighs any number of claims of lower rank, a later record the earlier ones, and reliabilities
-decide between sources whose rank is not stated. Without it only reliabilities count: the plain weighted vote.
+The weight of a claim is a product of three parts:
+
+- its source's log-odds of being right, from the reliability that was found (bounded to WEAKEST..STRONGEST);
+- its source's stated trust: a base (BASE times the most sources of one rank) to the power of how many ranks it is below
+  the best rank of its group, inverted. The base is so large that the claims of all lower ranks together weigh less than half of one claim of the source above them; sources without
+  a rank share the last one, where reliabilities and numbers of claims alone decide;
+- its recency within its source and group: the latest counts 1, all earlier ones together one half, so that a source's
+  latest value leads its earlier ones. Several claims of a source to one value count by their share.
+
+So the vote alone decides: between ranks by trust, within a rank by the estimated reliabilities, and within a source by
+time, while agreement with lower ranks breaks what is left open.
 
 Everything is an aggregate by (group, field, value), (group, field) or (source): partial aggregation takes up a group or
-value with a third of all rows. Claims are written once; each round reads them twice.
+value with a third of all rows. Votes are weighed and written once; each round reads them twice.
 
 Nulls: a record without group or id is left out; a null source has the lowest trust and a reliability of its own. Where no
 value of a field is usable, its record id is null. Repeated rows of one record count once. Ties go to the later record,
@@ -30,6 +37,8 @@ UNKNOWN = ["unknown", "none", "null", "nil", "nan", "na", "n/a", "n.a.", "tbd",
 #: Fixed value: the start date that is dropped as a default.
 DEFAULT_DATE = "2000-01-01"
 ROUNDS, TOLERANCE = 10, 1e-3
+#: Weights: BASE - 1 > 3 * STRONGEST / WEAKEST, see above.
+WEAKEST, STRONGEST, BASE = 0.01, 5.0, 4096.0
 
 
 def usable_text(value: Column) -> Column:
@@ -60,26 +69,40 @@ def claims(records: DataFrame, group: str, key: str, source: str, changed: str,
     return rows.select("g", "e.field", "e.value", "id", "source", "changed").distinct().join(ranks, "source", "left")
 
 
-def discover(stated: DataFrame, name: str = "truth", dominant: bool = True, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+def votes_of(stated: DataFrame) -> DataFrame:
+    """(g, field, value, source, n, weight, changed, neg): each source's claims to a value, with the weight of its trust and
+    recency, and the time and negative id of the latest."""
+    last = F.struct(F.coalesce("changed", F.lit("0001-01-01").cast("timestamp")).alias("changed"), (-F.col("id")).alias("neg"))
+    votes = stated.groupBy("g", "field", "value", "source").agg(F.max(last).alias("last"), F.count("*").alias("n"), F.min("rank").alias("rank"))
+    same = F.col("source").eqNullSafe(F.col("s2")) & (F.col("g") == F.col("g2")) & (F.col("field") == F.col("f2"))
+    own = votes.groupBy(F.col("g").alias("g2"), F.col("field").alias("f2"), F.col("source").alias("s2")).agg(F.max("last").alias("latest"), F.sum("n").alias("claims"))
+    # Ranks are whole numbers from 1 on; sources without one stand behind all that have one.
+    ranks = stated.select("rank", "source").distinct().groupBy("rank").count()
+    worst, crowd = ranks.agg(F.coalesce(F.max("rank"), F.lit(0)) + 1, F.coalesce(F.max("count"), F.lit(1))).first()
+    best = votes.groupBy(F.col("g").alias("g3"), F.col("field").alias("f3")).agg(F.min(F.coalesce("rank", F.lit(worst))).alias("best"))
+    rows = votes.join(own, same).join(best, (F.col("g") == F.col("g3")) & (F.col("field") == F.col("f3")))
+    trust = F.pow(F.lit(BASE * crowd), (F.col("best") - F.coalesce("rank", F.lit(worst))).cast("double"))
+    recency = F.when(F.col("last") == F.col("latest"), F.lit(1.0)).otherwise(F.col("n") / F.col("claims") / 2)
+    return rows.select("g", "field", "value", "source", "n", (trust * recency).alias("weight"), "last.changed", "last.neg")
+
+
+def discover(stated: DataFrame, name: str = "truth", rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """((g, field, value, id), (source, reliability)): the value of the highest support in each group and field, with its
-    best record, and the sources' reliabilities."""
+    best record, and the sources' reliabilities after at most `rounds` rounds (1: those that all start with)."""
     scratch = Scratch(stated.sparkSession, name)
-    # A source's claims to one value lead by the latest; how many there are counts as well.
-    best = F.struct(F.coalesce("changed", F.lit("0001-01-01").cast("timestamp")).alias("changed"), (-F.col("id")).alias("neg"))
-    votes = scratch.write(stated.groupBy("g", "field", "value", "source").agg(F.max(best).alias("best"), F.count("*").alias("n"), F.min("rank").alias("rank")))
+    votes = scratch.write(votes_of(stated))
     reliability = scratch.write(votes.groupBy("source").agg(F.lit(0.8).alias("reliability")))
-    worst = 1 << 30
     truth = None
     for _ in range(rounds):
+        # As many rows as there are sources, whose claims are spread over all groups.
         weighed = votes.join(reliability.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
-        weight = F.log(F.col("reliability") / (1 - F.col("reliability")))
-        # The leading claim orders values by (rank, reliability within a rank, time); the weighted vote stands behind it.
-        first = F.struct(F.when(F.lit(dominant), -F.coalesce(F.col("rank"), F.lit(worst))).otherwise(0).alias("trust"), F.when(F.lit(dominant) & F.col("rank").isNotNull(), F.lit(0.0)).otherwise(weight).alias("w"), F.col("best.changed").alias("changed"), F.col("best.neg").alias("neg"))
-        by_value = weighed.groupBy("g", "field", "value").agg(F.max(first).alias("top"), F.sum(F.greatest(weight, F.lit(0.01)) * F.col("n")).alias("vote"))
-        order = F.struct("top.trust", "top.w", "top.changed", "vote", "top.neg") if dominant else F.struct("vote", "top.changed", "top.neg")
+        odds = F.least(F.greatest(F.log(F.col("reliability") / (1 - F.col("reliability"))), F.lit(WEAKEST)), F.lit(STRONGEST))
+        by_value = weighed.groupBy("g", "field", "value").agg(F.sum(F.col("weight") * odds).alias("support"), F.max(F.struct("changed", "neg")).alias("last"), F.max_by("neg", F.struct("weight", "changed", "neg")).alias("lead"))
+        # Sums depend on their order in the last digits: supports that differ by less are ties.
+        order = F.struct(F.round(F.log("support"), 9).alias("support"), "last.changed", "last.neg")
         if truth is not None:
             scratch.drop(truth)
-        truth = scratch.write(by_value.groupBy("g", "field").agg(F.max_by(F.struct("value", (-F.col("top.neg")).alias("id")), order).alias("t")).select("g", "field", "t.value", "t.id"))
+        truth = scratch.write(by_value.groupBy("g", "field").agg(F.max_by(F.struct("value", (-F.col("lead")).alias("id")), order).alias("t")).select("g", "field", "t.value", "t.id"))
         agree = votes.join(truth.select("g", "field", F.col("value").alias("true_value")), ["g", "field"])
         found = scratch.write(agree.groupBy("source").agg(((F.sum(F.when(F.col("value") == F.col("true_value"), F.col("n")).otherwise(0)) + 1) / (F.sum("n") + 2)).alias("reliability")))
         moved = found.join(reliability.select(F.col("source").alias("s2"), F.col("reliability").alias("was")), F.col("source").eqNullSafe(F.col("s2"))).agg(F.max(F.abs(F.col("reliability") - F.col("was")))).first()[0]
