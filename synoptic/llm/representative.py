@@ -69,15 +69,15 @@ def claims(records: DataFrame, group: str, key: str, source: str, changed: str,
     return rows.select("g", "e.field", "e.value", "id", "source", "changed").distinct().join(ranks, "source", "left")
 
 
-def votes_of(stated: DataFrame) -> DataFrame:
+def votes_of(stated: DataFrame, scratch: Scratch) -> DataFrame:
     """(g, field, value, source, n, weight, changed, neg): each source's claims to a value, with the weight of its trust and
     recency, and the time and negative id of the latest."""
     last = F.struct(F.coalesce("changed", F.lit("0001-01-01").cast("timestamp")).alias("changed"), (-F.col("id")).alias("neg"))
-    votes = stated.groupBy("g", "field", "value", "source").agg(F.max(last).alias("last"), F.count("*").alias("n"), F.min("rank").alias("rank"))
+    votes = scratch.write(stated.groupBy("g", "field", "value", "source").agg(F.max(last).alias("last"), F.count("*").alias("n"), F.min("rank").alias("rank")))
     same = F.col("source").eqNullSafe(F.col("s2")) & (F.col("g") == F.col("g2")) & (F.col("field") == F.col("f2"))
     own = votes.groupBy(F.col("g").alias("g2"), F.col("field").alias("f2"), F.col("source").alias("s2")).agg(F.max("last").alias("latest"), F.sum("n").alias("claims"))
     # Ranks are whole numbers from 1 on; sources without one stand behind all that have one.
-    ranks = stated.select("rank", "source").distinct().groupBy("rank").count()
+    ranks = votes.select("rank", "source").distinct().groupBy("rank").count()
     worst, crowd = ranks.agg(F.coalesce(F.max("rank"), F.lit(0)) + 1, F.coalesce(F.max("count"), F.lit(1))).first()
     best = votes.groupBy(F.col("g").alias("g3"), F.col("field").alias("f3")).agg(F.min(F.coalesce("rank", F.lit(worst))).alias("best"))
     rows = votes.join(own, same).join(best, (F.col("g") == F.col("g3")) & (F.col("field") == F.col("f3")))
@@ -90,7 +90,7 @@ def discover(stated: DataFrame, name: str = "truth", rounds: int = ROUNDS) -> tu
     """((g, field, value, id), (source, reliability)): the value of the highest support in each group and field, with its
     best record, and the sources' reliabilities after at most `rounds` rounds (1: those that all start with)."""
     scratch = Scratch(stated.sparkSession, name)
-    votes = scratch.write(votes_of(stated))
+    votes = scratch.write(votes_of(stated, scratch))
     reliability = scratch.write(votes.groupBy("source").agg(F.lit(0.8).alias("reliability")))
     truth = None
     for _ in range(rounds):
