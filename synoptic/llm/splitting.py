@@ -2,7 +2,8 @@
 
 A text of more tokens than a profile's limit is cut into pieces of at most max_tokens. Its units are the stretches between
 natural boundaries (ends of paragraphs, lines and sentences). For each boundary the term vectors of the units before and
-after it are compared (cosine of two sliding blocks); the depth of the valley in that curve marks how strongly the topic
+after it are compared (cosine of two sliding blocks, over exact terms: words without the commonest ones, and pairs of
+characters in scripts without blanks); the depth of the valley in that curve marks how strongly the topic
 changes there. Within each size window (from half the limit to the limit) the deepest valley is cut, ties at the
 stronger and then the later boundary. Where a window has no natural boundary, the last end of a clause, else of a word,
 else of a character is taken. The next piece starts overlap_tokens before the cut, at the next start of a word (so that
@@ -19,7 +20,7 @@ limit or more is cut to half. Repeated rows give repeated pieces. Other columns
 
 from __future__ import annotations
 
-import zlib
+import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
@@ -30,8 +31,20 @@ from pyspark.sql import types as T
 
 from synoptic.llm.tokens import DEFAULT_VOCABULARY, Encoder, encoder, slices
 
-#: Hashed terms of a unit's vector, units on each side of a boundary, boundaries around a valley.
-TERMS, SIDE, AROUND = 64, 3, 3
+#: Units on each side of a boundary, boundaries around a valley.
+SIDE, AROUND = 3, 3
+#: The commonest words of the languages, which tell nothing about a topic.
+COMMON = frozenset(
+    (
+        "the and for are was were with that this from not but have has had its they which been their will would can all one into than then there these those also such "
+        "les des une que qui pour dans est sont par sur pas plus avec aux ses son cette ces mais nous vous ont été "
+        "der die das und den dem des ein eine einer von mit ist sind auf für nicht auch als sich bei aus nach wird werden oder durch zum zur "
+        "los las del una por con para como más pero sus son fue entre sobre este esta "
+        "что как это для его она они был была было были при или все уже так над под без"
+    ).split()
+)
+#: Scripts that are written without blanks.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff]")
 #: Strengths of boundaries.
 WITHIN, WORD, CLAUSE, SENTENCE, LINE, PARAGRAPH = range(6)
 ENDS, PAUSES, CLOSERS = tuple(".!?。！？…"), tuple(",;:、，；："), "\"'”’»)]}」』"
@@ -47,7 +60,9 @@ class Words:
     def clear(self) -> None:
         self.of = self.enc.index
         self.chars = np.zeros(0, np.int64)
-        self.term = np.zeros(0, np.int64)
+        self.number: dict[str, int] = {}
+        self.terms = np.zeros(0, np.int64)
+        self.first = np.zeros(1, np.int64)
         self.ends = np.zeros(0, np.int8)
         self.breaks = np.zeros(0, np.int8)
         self.blank = np.zeros(0, bool)
@@ -58,13 +73,28 @@ class Words:
         new = list(self.enc.index)[len(self.chars) :]
         bare = [w.strip() for w in new]
         self.chars = np.r_[self.chars, np.array([len(w) for w in new], np.int64)]
-        self.term = np.r_[self.term, np.array([zlib.crc32(b.lower().encode()) % TERMS if len(b) > 2 and b[0].isalpha() else -1 for b in bare], np.int64)]
+        found = [self.terms_of(b.lower()) if len(b) > 1 and b[0].isalpha() else () for b in bare]
+        self.terms = np.r_[self.terms, np.fromiter((t for f in found for t in f), np.int64)]
+        self.first = np.r_[self.first, self.first[-1] + np.cumsum([len(f) for f in found], dtype=np.int64)]
         marks = [b.rstrip(CLOSERS) or b for b in bare]
         self.ends = np.r_[self.ends, np.array([(3 if m[-1] in "。！？" else 2) if m.endswith(ENDS) else 1 if m.endswith(PAUSES) else 0 for m in marks], np.int8)]
         self.breaks = np.r_[self.breaks, np.array([min(2, w.count("\n") or w.count("\r")) for w in new], np.int8)]
         self.blank = np.r_[self.blank, np.array([w[0].isspace() for w in new], bool)]
 
 
+    def terms_of(self, word: str) -> list[int]:
+        """The numbers of a word's terms: its own, or those of its pairs of characters."""
+        number = self.number
+        if _UNSPACED.search(word):
+            return [number.setdefault(word[i : i + 2], len(number)) for i in range(len(word) - 1)]
+        return [number.setdefault(word, len(number))] if len(word) > 2 and word not in COMMON else []
+
+    def terms_in(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The terms of words one after another, and how many each has."""
+        first, counts = self.first[numbers], np.diff(self.first)[numbers]
+        return self.terms[np.repeat(first - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())], counts
+
+
 def boundary_strengths(ends: np.ndarray, breaks: np.ndarray, blank: np.ndarray, last: np.ndarray) -> np.ndarray:
     """The strength of the boundary after each word of texts that follow one another; `last` marks each text's last word."""
     out = np.full(len(ends), WITHIN, np.int8)
@@ -91,21 +121,37 @@ def _from_zero(sizes: np.ndarray) -> np.ndarray:
 
 
 def valley_depths(unit_of: np.ndarray, term: np.ndarray, units: int) -> np.ndarray:
-    """The depth of the similarity valley after each unit (the last one's is 0)."""
+    """The depth of the similarity valley after each unit (the last one's is 0), from the unit and the term of each word.
+
+    Vectors are sparse: words are sorted by (term, unit), where units that can meet in two neighbouring blocks stand at
+    most 2 * SIDE - 1 places apart; their products are summed by the first unit and the distance. Cosines of blocks are
+    sums of those."""
     if units < 2:
-        return np.zeros(units, np.float32)
-    has = term >= 0
-    counts = np.bincount(unit_of[has] * TERMS + term[has], minlength=units * TERMS).reshape(units, TERMS).astype(np.float32)
-    sums = np.concatenate([np.zeros((1, TERMS), np.float32), np.cumsum(counts, axis=0)])
+        return np.zeros(units)
+    reach, wide = 2 * SIDE, units + 2 * SIDE
+    keys = term * wide + unit_of
+    keys.sort()
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    counts = np.diff(np.r_[starts, len(keys)]).astype(np.float64)
+    keys = keys[starts]
+    unit = keys % wide + SIDE
+    dot = np.bincount(unit, counts * counts, wide * reach)
+    for j in range(1, reach):
+        apart = keys[j:] - keys[:-j]
+        hit = np.flatnonzero(apart < reach)
+        dot += np.bincount(apart[hit] * wide + unit[hit], counts[hit] * counts[hit + j], wide * reach)
+    dot = dot.reshape(reach, wide)  # dot[d][SIDE + u]: of the units u and u + d
+    # The block before boundary i holds units i - SIDE to i - 1, of which those below 0 are empty.
+    ends = np.arange(units + SIDE) + SIDE
+    norm = sum(dot[0, ends - p] for p in range(1, SIDE + 1)) + 2 * sum(dot[p - q, ends - p] for p in range(2, SIDE + 1) for q in range(1, p))
     at = np.arange(1, units)
-    left, right = sums[at] - sums[np.maximum(at - SIDE, 0)], sums[np.minimum(at + SIDE, units)] - sums[at]
-    norm = np.sqrt((left * left).sum(1) * (right * right).sum(1))
-    sim = (left * right).sum(1) / np.maximum(norm, 1e-6)
+    met = sum(dot[p + q, at + SIDE - p] for p in range(1, SIDE + 1) for q in range(SIDE))
+    sim = met / np.sqrt(np.maximum(norm[at] * norm[at + SIDE], 1e-12))
     before, after = sim.copy(), sim.copy()
     for k in range(1, AROUND + 1):
         before[k:] = np.maximum(before[k:], sim[:-k])
         after[:-k] = np.maximum(after[:-k], sim[k:])
-    return np.append(before + after - 2 * sim, np.float32(0))
+    return np.append(before + after - 2 * sim, 0.0)
 
 
 class Text:
@@ -113,11 +159,11 @@ class Text:
 
     Places are looked up in plain lists: most texts have few words, and a window has few boundaries."""
 
-    def __init__(self, text: str, enc: Encoder, chars: np.ndarray, tokens: np.ndarray, strength: np.ndarray, term: np.ndarray, longest: int):
+    def __init__(self, text: str, enc: Encoder, chars: np.ndarray, tokens: np.ndarray, strength: np.ndarray, terms: np.ndarray, term_counts: np.ndarray, longest: int):
         self.text, self.enc = text, enc
         self.exact = not (tokens > longest).any()
         if not self.exact:
-            chars, tokens, strength, term = self._cut_words(chars, tokens, strength, term, longest)
+            chars, tokens, strength, term_counts = self._cut_words(chars, tokens, strength, term_counts, longest)
         self.at, self.tok = _from_zero(chars).tolist(), _from_zero(tokens).tolist()
         strong = strength >= SENTENCE
         ends = np.flatnonzero(strong)
@@ -125,20 +171,21 @@ class Text:
         self.strength: np.ndarray = strength
         self.weaker: tuple[list[int], ...] | None = None
         unit_of = _from_zero(strong)[:-1]
-        depth = valley_depths(unit_of, term, int(unit_of[-1]) + 1 if len(chars) else 0)[: len(ends)]
+        depth = valley_depths(np.repeat(unit_of, term_counts), terms, int(unit_of[-1]) + 1 if len(chars) else 0)[: len(ends)]
         # Boundaries from the worst to the best: by depth, then strength, then place.
         order = np.lexsort((ends, strength[ends], np.round(depth, 6)))
         rank = np.empty(len(ends), np.int64)
         rank[order] = np.arange(len(ends))
         self.rank, self.order = rank.tolist(), order.tolist()
 
-    def _cut_words(self, chars: np.ndarray, tokens: np.ndarray, strength: np.ndarray, term: np.ndarray, longest: int) -> tuple[np.ndarray, ...]:
-        """Words of more tokens than `longest` become runs of characters of at most so many bytes, and so tokens."""
+    def _cut_words(self, chars: np.ndarray, tokens: np.ndarray, strength: np.ndarray, term_counts: np.ndarray, longest: int) -> tuple[np.ndarray, ...]:
+        """Words of more tokens than `longest` become runs of characters of at most so many bytes, and so tokens; the first
+        run has the word's terms."""
         starts = _from_zero(chars)
         sizes, counts, powers, terms = [], [], [], []
         for i in range(len(chars)):
             if tokens[i] <= longest:
-                sizes.append(chars[i]), counts.append(tokens[i]), powers.append(strength[i]), terms.append(term[i])
+                sizes.append(chars[i]), counts.append(tokens[i]), powers.append(strength[i]), terms.append(term_counts[i])
                 continue
             word = self.text[starts[i] : starts[i + 1]]
             step = max(1, longest // max(len(c.encode()) for c in set(word)))
@@ -147,7 +194,7 @@ class Text:
             sizes += [len(p) for p in parts]
             counts += lengths.tolist()
             powers += [WITHIN] * (len(parts) - 1) + [strength[i]]
-            terms += [-1] * len(parts)
+            terms += [term_counts[i]] + [0] * (len(parts) - 1)
         return np.array(sizes, np.int64), np.array(counts, np.int64), np.array(powers, np.int8), np.array(terms, np.int64)
 
     def _cut(self, low: int, end: int) -> int:
@@ -210,7 +257,7 @@ def split(df: DataFrame, key: str, text: str, profiles: list[tuple[str, int, int
                 bounds = np.cumsum([0, *(len(f) for f in found)], dtype=np.int64)
                 last = np.zeros(len(numbers), bool)
                 last[bounds[1:][bounds[1:] > bounds[:-1]] - 1] = True
-                chars, tokens, term = words.chars[numbers], enc.lengths[numbers], words.term[numbers]
+                chars, tokens = words.chars[numbers], enc.lengths[numbers]
                 strength = boundary_strengths(words.ends[numbers], words.breaks[numbers], words.blank[numbers], last)
                 totals = np.diff(_from_zero(tokens)[bounds]).tolist()
                 bounds = bounds.tolist()
@@ -219,7 +266,7 @@ def split(df: DataFrame, key: str, text: str, profiles: list[tuple[str, int, int
                     if not wanted or total <= least:
                         continue
                     text, own = texts[lo + i], slice(bounds[i], bounds[i + 1])
-                    t = Text(text, enc, chars[own], tokens[own], strength[own], term[own], longest)
+                    t = Text(text, enc, chars[own], tokens[own], strength[own], *words.terms_in(numbers[own]), longest)
                     for profile, most, overlap in wanted:
                         if total > most:
                             rows = list(t.pieces(most, overlap))

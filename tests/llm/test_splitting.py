@@ -48,11 +48,33 @@ def test_cuts_where_the_topic_changes():
     words.extend()
     last = splitting.np.arange(len(numbers)) == len(numbers) - 1
     strength = splitting.boundary_strengths(words.ends[numbers], words.breaks[numbers], words.blank[numbers], last)
-    t = splitting.Text(text, enc, words.chars[numbers], enc.lengths[numbers], strength, words.term[numbers], 1000)
+    t = splitting.Text(text, enc, words.chars[numbers], enc.lengths[numbers], strength, *words.terms_in(numbers), 1000)
     cut = next(iter(t.pieces(count(SKY * 2) + count(SOIL), 0)))
     assert t.at[cut[1]] == len(SKY * 2) - 1
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_valleys_against_dense_vectors(seed):
+    np, r = splitting.np, splitting.np.random.default_rng(seed)
+    units, terms = int(r.integers(2, 30)), 40
+    size = int(r.integers(0, 200))
+    unit_of, term = np.sort(r.integers(0, units, size)), r.integers(0, terms, size)
+    dense = np.zeros((units, terms))
+    np.add.at(dense, (unit_of, term), 1)
+    sim = []
+    for i in range(1, units):
+        a, b = dense[max(0, i - splitting.SIDE) : i].sum(0), dense[i : i + splitting.SIDE].sum(0)
+        sim.append(a @ b / np.sqrt(max(a @ a * (b @ b), 1e-12)))
+    want = [max(sim[max(0, i - splitting.AROUND) : i + 1]) + max(sim[i : i + splitting.AROUND + 1]) - 2 * sim[i] for i in range(units - 1)]
+    assert np.allclose(splitting.valley_depths(unit_of, term, units), [*want, 0])
+
+
+def test_terms():
+    words = splitting.Words(tokens.Encoder(tokens.DEFAULT_VOCABULARY))
+    assert not words.terms_of("the") and len(words.terms_of("日本語")) == 2 and words.terms_of("star") == words.terms_of("star") != words.terms_of("tree")
+    assert len({t for i in range(3000) for t in words.terms_of(f"word{i}")}) == 3000
+
+
 def test_cuts_at_natural_boundaries(spark):
     df = spark.createDataFrame([(1, SKY * 10)], "doc_id bigint, text string")
     pieces = splitting.split(df, "doc_id", "text", [("p", 60, 0)]).collect()
