@@ -62,7 +62,8 @@ class Words:
         self.chars = np.zeros(0, np.int64)
         self.number: dict[str, int] = {}
         self.terms = np.zeros(0, np.int64)
-        self.first = np.zeros(1, np.int64)
+        self.first = np.zeros(0, np.int64)
+        self.count = np.zeros(0, np.int64)
         self.ends = np.zeros(0, np.int8)
         self.breaks = np.zeros(0, np.int8)
         self.blank = np.zeros(0, bool)
@@ -74,8 +75,10 @@ class Words:
         bare = [w.strip() for w in new]
         self.chars = np.r_[self.chars, np.array([len(w) for w in new], np.int64)]
         found = [self.terms_of(b.lower()) if len(b) > 1 and b[0].isalpha() else () for b in bare]
+        counts = np.array([len(f) for f in found], np.int64)
+        self.first = np.r_[self.first, len(self.terms) + np.cumsum(counts) - counts]
+        self.count = np.r_[self.count, counts]
         self.terms = np.r_[self.terms, np.fromiter((t for f in found for t in f), np.int64)]
-        self.first = np.r_[self.first, self.first[-1] + np.cumsum([len(f) for f in found], dtype=np.int64)]
         marks = [b.rstrip(CLOSERS) or b for b in bare]
         self.ends = np.r_[self.ends, np.array([(3 if m[-1] in "。！？" else 2) if m.endswith(ENDS) else 1 if m.endswith(PAUSES) else 0 for m in marks], np.int8)]
         self.breaks = np.r_[self.breaks, np.array([min(2, w.count("\n") or w.count("\r")) for w in new], np.int8)]
@@ -91,7 +94,7 @@ class Words:
 
     def terms_in(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The terms of words one after another, and how many each has."""
-        first, counts = self.first[numbers], np.diff(self.first)[numbers]
+        first, counts = self.first[numbers], self.count[numbers]
         return self.terms[np.repeat(first - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())], counts
 
 
@@ -120,6 +123,19 @@ def _from_zero(sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def depths_of(words: Words, numbers: np.ndarray, strength: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
+    """The depths at the natural boundaries of texts that follow one another and begin at the given words. Their units are
+    numbered on, with a gap that no block spans."""
+    strong = strength >= SENTENCE
+    text = np.zeros(len(numbers), np.int64)
+    text[begins[1:]] = 1
+    unit = _from_zero(strong)[:-1] + np.cumsum(text) * 2 * SIDE
+    terms, counts = words.terms_in(numbers)
+    depth = valley_depths(np.repeat(unit, counts), terms, int(unit[-1]) + 1)
+    ends = np.add.reduceat(strong.astype(np.int64), begins)
+    return [depth[u : u + n] for u, n in zip(unit[begins].tolist(), ends.tolist(), strict=True)]
+
+
 def valley_depths(unit_of: np.ndarray, term: np.ndarray, units: int) -> np.ndarray:
     """The depth of the similarity valley after each unit (the last one's is 0), from the unit and the term of each word.
 
@@ -159,33 +175,30 @@ class Text:
 
     Places are looked up in plain lists: most texts have few words, and a window has few boundaries."""
 
-    def __init__(self, text: str, enc: Encoder, chars: np.ndarray, tokens: np.ndarray, strength: np.ndarray, terms: np.ndarray, term_counts: np.ndarray, longest: int):
+    def __init__(self, text: str, enc: Encoder, chars: np.ndarray, tokens: np.ndarray, strength: np.ndarray, depth: np.ndarray, longest: int):
         self.text, self.enc = text, enc
         self.exact = not (tokens > longest).any()
         if not self.exact:
-            chars, tokens, strength, term_counts = self._cut_words(chars, tokens, strength, term_counts, longest)
+            chars, tokens, strength = self._cut_words(chars, tokens, strength, longest)
         self.at, self.tok = _from_zero(chars).tolist(), _from_zero(tokens).tolist()
-        strong = strength >= SENTENCE
-        ends = np.flatnonzero(strong)
+        ends = np.flatnonzero(strength >= SENTENCE)
         self.natural = (ends + 1).tolist()
         self.strength: np.ndarray = strength
         self.weaker: tuple[list[int], ...] | None = None
-        unit_of = _from_zero(strong)[:-1]
-        depth = valley_depths(np.repeat(unit_of, term_counts), terms, int(unit_of[-1]) + 1 if len(chars) else 0)[: len(ends)]
         # Boundaries from the worst to the best: by depth, then strength, then place.
         order = np.lexsort((ends, strength[ends], np.round(depth, 6)))
         rank = np.empty(len(ends), np.int64)
         rank[order] = np.arange(len(ends))
         self.rank, self.order = rank.tolist(), order.tolist()
 
-    def _cut_words(self, chars: np.ndarray, tokens: np.ndarray, strength: np.ndarray, term_counts: np.ndarray, longest: int) -> tuple[np.ndarray, ...]:
-        """Words of more tokens than `longest` become runs of characters of at most so many bytes, and so tokens; the first
-        run has the word's terms."""
+    def _cut_words(self, chars: np.ndarray, tokens: np.ndarray, strength: np.ndarray, longest: int) -> tuple[np.ndarray, ...]:
+        """Words of more tokens than `longest` become runs of characters of at most so many bytes, and so tokens. A run
+        within a word is no boundary, so the natural ones and their depths stay."""
         starts = _from_zero(chars)
-        sizes, counts, powers, terms = [], [], [], []
+        sizes, counts, powers = [], [], []
         for i in range(len(chars)):
             if tokens[i] <= longest:
-                sizes.append(chars[i]), counts.append(tokens[i]), powers.append(strength[i]), terms.append(term_counts[i])
+                sizes.append(chars[i]), counts.append(tokens[i]), powers.append(strength[i])
                 continue
             word = self.text[starts[i] : starts[i + 1]]
             step = max(1, longest // max(len(c.encode()) for c in set(word)))
@@ -194,8 +207,7 @@ class Text:
             sizes += [len(p) for p in parts]
             counts += lengths.tolist()
             powers += [WITHIN] * (len(parts) - 1) + [strength[i]]
-            terms += [term_counts[i]] + [0] * (len(parts) - 1)
-        return np.array(sizes, np.int64), np.array(counts, np.int64), np.array(powers, np.int8), np.array(terms, np.int64)
+        return np.array(sizes, np.int64), np.array(counts, np.int64), np.array(powers, np.int8)
 
     def _cut(self, low: int, end: int) -> int:
         """The place to cut between low (excluded) and end: the best natural boundary, else the last end of a clause, else
@@ -260,13 +272,20 @@ def split(df: DataFrame, key: str, text: str, profiles: list[tuple[str, int, int
                 chars, tokens = words.chars[numbers], enc.lengths[numbers]
                 strength = boundary_strengths(words.ends[numbers], words.breaks[numbers], words.blank[numbers], last)
                 totals = np.diff(_from_zero(tokens)[bounds]).tolist()
+                todo = [i for i, total in enumerate(totals) if wanted and total > least]
+                if not todo:
+                    continue
+                own_words = np.diff(bounds)
+                kept = np.zeros(len(own_words), bool)
+                kept[todo] = True
+                mine = np.repeat(kept, own_words)
+                depths = depths_of(words, numbers[mine], strength[mine], _from_zero(own_words[todo])[:-1])
                 bounds = bounds.tolist()
                 out: list[list] = [[] for _ in fields]
-                for i, total in enumerate(totals):
-                    if not wanted or total <= least:
-                        continue
+                for i, depth in zip(todo, depths, strict=True):
+                    total = totals[i]
                     text, own = texts[lo + i], slice(bounds[i], bounds[i + 1])
-                    t = Text(text, enc, chars[own], tokens[own], strength[own], *words.terms_in(numbers[own]), longest)
+                    t = Text(text, enc, chars[own], tokens[own], strength[own], depth, longest)
                     for profile, most, overlap in wanted:
                         if total > most:
                             rows = list(t.pieces(most, overlap))

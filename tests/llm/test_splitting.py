@@ -48,7 +48,7 @@ def test_cuts_where_the_topic_changes():
     words.extend()
     last = splitting.np.arange(len(numbers)) == len(numbers) - 1
     strength = splitting.boundary_strengths(words.ends[numbers], words.breaks[numbers], words.blank[numbers], last)
-    t = splitting.Text(text, enc, words.chars[numbers], enc.lengths[numbers], strength, *words.terms_in(numbers), 1000)
+    t = splitting.Text(text, enc, words.chars[numbers], enc.lengths[numbers], strength, splitting.depths_of(words, numbers, strength, splitting.np.zeros(1, int))[0], 1000)
     cut = next(iter(t.pieces(count(SKY * 2) + count(SOIL), 0)))
     assert t.at[cut[1]] == len(SKY * 2) - 1
 
@@ -69,6 +69,24 @@ def test_valleys_against_dense_vectors(seed):
     assert np.allclose(splitting.valley_depths(unit_of, term, units), [*want, 0])
 
 
+def test_depths_of_texts_together():
+    enc = tokens.Encoder(tokens.DEFAULT_VOCABULARY)
+    words, np = splitting.Words(enc), splitting.np
+    texts = [enc.split(t) for t in (SKY * 2 + SOIL * 3, "One.", SOIL * 4 + "no end", SKY)]
+    apart = []
+    for own in texts:
+        numbers = enc.learn([own])
+        words.extend()
+        last = np.arange(len(own)) == len(own) - 1
+        strength = splitting.boundary_strengths(words.ends[numbers], words.breaks[numbers], words.blank[numbers], last)
+        apart.append((numbers, strength, splitting.depths_of(words, numbers, strength, np.zeros(1, int))[0]))
+    begins = np.cumsum([0, *(len(t) for t in texts)])[:-1]
+    together = splitting.depths_of(words, np.concatenate([a[0] for a in apart]), np.concatenate([a[1] for a in apart]), begins)
+    for (_, strength, alone), found in zip(apart, together, strict=True):
+        inner = (strength >= splitting.SENTENCE)[:-1].sum()
+        assert np.allclose(alone[:inner], found[:inner]) and len(alone) == len(found)
+
+
 def test_terms():
     words = splitting.Words(tokens.Encoder(tokens.DEFAULT_VOCABULARY))
     assert not words.terms_of("the") and len(words.terms_of("日本語")) == 2 and words.terms_of("star") == words.terms_of("star") != words.terms_of("tree")
