@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import unicodedata
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +33,11 @@ def p1_forms(spark: SparkSession, d: str) -> DataFrame:
     return _forms(spark, d).select(F.col("key").alias("name_id"), "field", "form")
 
 
+def p1_members(spark: SparkSession, d: str) -> DataFrame:
+    """The same by membership: the class of values that look the same, and the variant of those with the same characters."""
+    return lookalikes.members(_forms(spark, d)).select("field", F.col("key").alias("name_id"), F.col("variant").alias("variant_id"), F.col("class").alias("class_id"))
+
+
 def _linked(spark: SparkSession, d: str) -> DataFrame:
     return linkage.link(read(spark, d, "iaumpc_site"), "site_id", read(spark, d, "wikidata_facility"), "item_id", "p3")
 
@@ -102,23 +105,28 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split(read(spark, d, "documents"), "doc_id", "text", profiles)
 
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p3_confidence": p3_confidence, "p4_found": p4_found, "p4_golden": p4_golden, "p7_found": p7_found, "p2_found": p2_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_pieces": p10_pieces}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p1_members": p1_members, "p3_found": p3_found, "p3_confidence": p3_confidence, "p4_found": p4_found, "p4_golden": p4_golden, "p7_found": p7_found, "p2_found": p2_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_pieces": p10_pieces}
 
 
 
+#: What the SQL of problem 1 takes for the same shape, written apart from the operator's tables: half-width
+#: kana and marks, letters of Greek and Cyrillic, and blanks.
+_KANA = ("｡｢｣､･ｦｧｨｩｪｫｬｭｮｯｰｱｲｳｴｵｶｷｸｹｺｻｼｽｾｿﾀﾁﾂﾃﾄﾅﾆﾇﾈﾉﾊﾋﾌﾍﾎﾏﾐﾑﾒﾓﾔﾕﾖﾗﾘﾙﾚﾛﾜﾝﾞﾟ", "。「」、・ヲァィゥェォャュョッーアイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワン\u3099\u309a")
+_GREEK = ("ΑΒΕΗΙΚΜΝΟΡΤΧΥΖΓΠΦονόΌΊ", "ABEHIKMNOPTXYZГПФovóÓÍ")
+_CYRILLIC = ("АВСЕНІЈКМОРЅТХҮԚԜасԁеһіјорԛѕѵԝху", "ABCEHIJKMOPSTXYQWacdehijopqsvwxy")
+_MARKS = ("‐‑\u00a0\u2002\u2003\u2007\u2009\u202f\u3000", "--       ")
+
+
 def _shape_sql(value: str) -> str:
-    """SQL for the shape of a value: what is invisible goes, then width forms, blanks and look-alike letters (also those
-    with accents in one character) are translated one by one."""
-    table = {chr(c): f for c, f in lookalikes.WIDTHS.items()}
-    shapes = {c: shape for shape, others in lookalikes.SHAPES.items() for c in others}
-    for c in map(chr, range(0x370, 0x530)):
-        bare = unicodedata.normalize("NFD", c)
-        table[c] = unicodedata.normalize("NFC", "".join(shapes.get(x, x) for x in bare))
-    table |= dict.fromkeys("\u00a0\u2002\u2003\u2007\u2009\u202f\u3000", " ")
-    pairs = [(a, b) for a, b in table.items() if len(b) == 1 and a != b]
-    quoted = lambda x: "".join(x).replace("'", "''")
-    seen = rf"regexp_replace({value}, '[\p{{Cf}}\x{{034F}}]', '', 'g')"
-    return f"trim(nfc_normalize(translate(nfc_normalize(translate({seen}, '{quoted(a for a, _ in pairs)}', '{quoted(b for _, b in pairs)}')), '{quoted(a for a, _ in pairs)}', '{quoted(b for _, b in pairs)}')))"
+    """SQL for the shape of a value: what is invisible goes, then full-width forms (as far from ASCII as the first of them),
+    kana, blanks and letters are translated one by one, and accents composed."""
+    wide = "".join(map(chr, range(0xFF01, 0xFF5F)))
+    pairs = [(wide, "".join(chr(ord(c) - 0xFEE0) for c in wide)), _KANA, _MARKS, _GREEK, _CYRILLIC]
+    out = rf"nfc_normalize(regexp_replace({value}, '[\p{{Cf}}\x{{034F}}]', '', 'g'))"
+    for one, two in pairs:
+        out = f"translate({out}, '{one.replace("'", "''")}', '{two.replace("'", "''")}')"
+    # Letters may have been composed with an accent before they were translated.
+    return f"trim(nfc_normalize({out}))"
 
 
 _USABLE = r"""
@@ -134,6 +142,9 @@ ORACLE_SQL = {
     "p1_found": f"""with v as (select distinct 'label' as field, name_id, label as v from skos_label where label is not null union select 'alt_label', name_id, alt_label from skos_label where alt_label is not null),
         s as (select field, name_id, v, {_shape_sql('v')} as shape from v)
         select a.field, a.name_id as name_id_a, b.name_id as name_id_b from s a join s b on a.field = b.field and a.shape = b.shape and a.name_id < b.name_id where a.v <> b.v and a.shape <> ''""",
+    "p1_members": f"""with v as (select distinct 'label' as field, name_id, label as v from skos_label where label is not null union select 'alt_label', name_id, alt_label from skos_label where alt_label is not null),
+        s as (select field, name_id, v, {_shape_sql('v')} as shape from v)
+        select field, name_id, min(name_id) over (partition by field, shape, v) as variant_id, min(name_id) over (partition by field, shape) as class_id from s where shape <> ''""",
     "p4_found": f"""with {_USABLE}
         select synset_id,
             arg_min(rec_id, (trust_rank, -epoch_us(modified), rec_id)) filter (ok_label) as label_rec_id,

@@ -1,3 +1,4 @@
+import math
 import unicodedata
 
 from synoptic.llm import lookalikes as A
@@ -19,13 +20,38 @@ def test_forms(spark):
 
 
 def test_equal_shapes_have_equal_readings():
-    score, floor = A.scores([{"script": "Latin", "pair": "^c", "n": 5}, {"script": "Cyrillic", "pair": "^с", "n": 5}, {"script": "Latin", "pair": "co", "n": 3}])
+    score, floor = {("Latin", "^c"): -0.1, ("Cyrillic", "^с"): -0.1, ("Latin", "co"): -0.2}, -9.0
     words = ["coco", "сосо", "cосo", "cοco"]
     assert len({A.read_token(w, score, floor) for w in words}) == 1
     assert A.read_token("x" * 30000, score, floor) == A.read_token("х" * 30000, score, floor)
-    assert A.read_token("пoлe", *A.scores([{"script": "Cyrillic", "pair": p, "n": 9} for p in ("^п", "по", "ол", "ле")])) == "поле"
+    assert A.read_token("пoлe", {("Cyrillic", p): -0.1 for p in ("^п", "по", "ол", "ле")}, floor) == "поле"
+
+
+def test_scores(spark):
+    pairs = spark.createDataFrame([("Latin", "ab", 3), ("Latin", "ac", 1), ("Latin", "ba", 4)], A.COUNTS)
+    got = {r["pair"]: r["score"] for r in A.scores(pairs).collect()}
+    assert got == {"ab": math.log(3 / 5), "ac": math.log(1 / 5), "ba": math.log(4 / 5)}
+
+
+def test_readings_beyond_the_bound_are_the_same(spark, monkeypatch):
+    df = spark.createDataFrame([(n,) for n in [*NAMES, "Mоunt", "mοunt", "Ηill", "Нill", "Ӏnn", "Inn"]], "value string")
+    want = sorted(map(tuple, A.one_form(df).collect()))
+    monkeypatch.setattr(A, "MOST_BIGRAMS", 0)
+    assert sorted(map(tuple, A.one_form(df).collect())) == want and len(want) == len({n for n in NAMES if n is not None}) + 6
+
+
+def test_compatibility_forms():
+    assert A.tidy("ﬁne Ⅳ … Ⅻ") == "fine IV ... XII" and A.tidy("x² ①") == "x² ①"
+
+
+def test_members_say_the_same_as_pairs(spark):
+    df = spark.createDataFrame([(i, n) for i, n in enumerate([*NAMES, *NAMES[:3]])], "id bigint, label string")
+    forms = A.normalized(df, "id", ["label"])
+    rows = A.members(forms).collect()
+    pairs = {(x.key, y.key) for x in rows for y in rows if x.key < y.key and x["class"] == y["class"] and x.variant != y.variant}
+    assert pairs == {(x.a, x.b) for x in A.look_alikes(forms).collect()} and len(rows) == sum(bool(n and n.strip(" \u200b")) for n in [*NAMES, *NAMES[:3]])
 
 
 def test_shapes_are_no_ambiguous_classes():
-    letters = [c for k, v in A.SHAPES.items() for c in k + v]
-    assert len(letters) == len(set(letters)) < 200
+    letters = [c for c in {shape for shape in A.LATTICE.values()} for c in c]
+    assert len(letters) == len(set(letters)) < 250
