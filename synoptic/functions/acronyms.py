@@ -1,16 +1,19 @@
 """How likely a short name is the acronym of a long one.
 
-The label is read as a row of positions. Each letter of the acronym takes a position of the highest class that has it:
-the first letter of a word, the letter right after the one taken before, another capital of a word, or a letter of a stop
-word (from its start on). Taking a first letter out of turn costs half of what leaving one out does. The score is the
-share of first letters that were taken, less the costs, to the power of 4. The search is memoised on (letters left,
-positions taken), so it ends soon even for long labels.
+The acronym is placed letter by letter on the letters of the label, by dynamic programming over (letter, places taken):
+a table of all sets of places that the letters so far can take, each with the least cost, is carried from letter to
+letter. Sets are bits of one number, and what a letter can take is found by masks of the label made beforehand.
+
+A letter takes the first letter of a word; at a cost of half of what leaving one out does while an earlier word is free.
+Where no word is free, it takes the letter after the last one, if that is the second of its word, else a capital within a
+word, else a stop word's letter from its start on. An x may be left out, or take a word with x as its second letter. The
+score is the share of words that are taken, less the costs, to the power of 4.
 """
 
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+from collections import defaultdict
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -18,62 +21,74 @@ from pyspark.sql import types as T
 
 #: Words that an acronym may pass over.
 STOP_WORDS = frozenset("a an and at by for from in of on or the to with de des du en et l la le les un une sur d der die das und für".split())
-FIRST, SECOND, CAPITAL, STOP = "first", "second", "capital", "stop"
 _SUPERSCRIPTS = str.maketrans("⁰¹²³⁴⁵⁶⁷⁸⁹", "0123456789")
 
 
-def positions(label: str) -> dict[str, tuple[str, ...]]:
-    """For each class the letter at each position of the label, lower case, or "" where the class has none."""
-    spots: list[tuple[str, str]] = []
-    words = re.findall(r"\w+", label)
-    for word in words:
-        if word.lower() in STOP_WORDS:
-            spots += [(CAPITAL if c.isupper() else STOP, c.lower()) for c in word]
-            continue
-        numeric = word.isdigit()
-        for i, c in enumerate(word):
-            kind = FIRST if i == 0 or numeric else SECOND if i == 1 else CAPITAL if c.isupper() else ""
-            spots.append((kind, c.lower()))
-        spots.append(("", ""))
-    return {k: tuple(c if kind == k else "" for kind, c in spots) for k in (FIRST, SECOND, CAPITAL, STOP)}
-
-
-def _score(acronym: str, label: str) -> float:
-    at = positions(label)
-    size = len(at[FIRST])
-    heads = [i for i, c in enumerate(at[FIRST]) if c]
-    if not heads:
-        return 0.0
-
-    @lru_cache(maxsize=50_000)
-    def best(k: int, taken: frozenset[int], last: int) -> float:
-        """The most that the letters from k on can reach."""
-        if k == len(acronym):
-            return sum(i in taken for i in heads) / len(heads)
-        letter, left = acronym[k], len(acronym) - k
-
-        def go(i: int) -> float:
-            return best(k + 1, taken | {i}, i)
-
+def _bits(mask: int) -> list[int]:
+    """The single bits of a mask."""
+    out = []
+    while mask:
+        out.append(mask & -mask)
+        mask &= mask - 1
+    return out
+
+
+class Label:
+    """Masks of a label's places: `words` holds the first letters of words (each digit of a number is one), the others what
+    a letter may take by each rule."""
+
+    def __init__(self, text: str):
+        self.words = 0
+        self.first, self.second, self.capital, self.stop, self.stop_start = (defaultdict(int) for _ in range(5))
+        bit, behind = 1, False
+        for word in re.findall(r"\w+", text):
+            stop = word.lower() in STOP_WORDS
+            for i, c in enumerate(word):
+                low = c.lower()
+                if word.isdigit() or (i == 0 and not stop):
+                    self.words |= bit
+                    self.first[low] |= bit
+                elif i == 1 and not stop:
+                    self.second[low] |= bit
+                elif c.isupper():
+                    self.capital[low] |= bit
+                elif stop:
+                    self.stop[low] |= bit
+                    if not behind:
+                        self.stop_start[low] |= bit
+                behind = stop and not c.isupper()  # a stop word after another one starts nothing
+                bit <<= 1
+            bit <<= 1
+
+    def places(self, letter: str, taken: int, last: int, price: float) -> list[tuple[int, int, float]]:
+        """(places it takes, the last of them, cost) of each way to place a letter."""
         if letter == "x":
-            pairs = [i for i, c in enumerate(at[SECOND]) if c == "x" and i not in taken and i - 1 in heads]
-            return max([best(k + 1, taken | {i, i - 1}, i) for i in pairs] + [best(k + 1, taken, last)])
-        free = [i for i in heads if at[FIRST][i] == letter and i not in taken]
-        if free:
-            earliest = next(i for i in heads if i not in taken)
-            return max(0.0, *(go(i) - (0 if i == earliest else 1 / (2 * left)) for i in free))
-        after = last + 1
-        if after < size and at[SECOND][after] == letter and after not in taken:
-            return go(after)
-        if any(c == letter for c in at[SECOND]) and not any(c == letter for c in (*at[CAPITAL], *at[STOP])):
+            # The word goes with it, if it is free.
+            words = [b >> 1 for b in _bits(self.second["x"] & ~taken) if b >> 1 & self.words & ~taken]
+            return [(0, last, 0.0)] + [(w | w << 1, w << 1, 0.0) for w in words]
+        if free := self.first[letter] & ~taken:
+            return [(w, w, price if self.words & ~taken & (w - 1) else 0.0) for w in _bits(free)]
+        after = last << 1
+        if after & self.second[letter] & ~taken:
+            return [(after, after, 0.0)]
+        open_ = self.capital[letter] & ~taken or (self.stop_start[letter] | (after & self.stop[letter])) & ~taken
+        return [(c, c, 0.0) for c in _bits(open_)]
+
+    def share(self, acronym: str) -> float:
+        """The most that the acronym reaches; 0 where a letter finds no place."""
+        if not self.words:
             return 0.0
-        capitals = [i for i, c in enumerate(at[CAPITAL]) if c == letter and i not in taken]
-        if capitals:
-            return max(go(i) for i in capitals)
-        stops = [i for i, c in enumerate(at[STOP]) if c == letter and i not in taken and (i == 0 or not at[STOP][i - 1] or last == i - 1)]
-        return max((go(i) for i in stops), default=0.0)
-
-    return max(0.0, best(0, frozenset(), -1))
+        table = {(0, 0): 0.0}
+        for k, letter in enumerate(acronym):
+            price = 1 / (2 * (len(acronym) - k))
+            after: dict[tuple[int, int], float] = {}
+            for (taken, last), cost in table.items():
+                for place, new_last, more in self.places(letter, taken, last, price):
+                    state = (taken | place, new_last)
+                    after[state] = min(after.get(state, 9.0), cost + more)
+            table = after
+        whole = self.words.bit_count()
+        return max([0.0, *((taken & self.words).bit_count() / whole - cost for (taken, _), cost in table.items())])
 
 
 def spelled_out(acronym: str) -> str:
@@ -88,9 +103,10 @@ def acronym_probability(acronym: str, label: str) -> float:
         return -1.0
     if short == "".join(c for c in label if "A" <= c <= "Z"):
         return 1.0
-    score = _score(short.lower(), label)
+    read = Label(label)
+    score = read.share(short.lower())
     if score == 0 and (longer := spelled_out(short)) != short:
-        score = _score(longer.lower(), label)
+        score = read.share(longer.lower())
     return score**4
 
 
