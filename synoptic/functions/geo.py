@@ -6,17 +6,30 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: The WGS84 ellipsoid, in km.
 A, INVERSE_FLATTENING = 6378.137, 298.257223563
 FLAT = 1 / INVERSE_FLATTENING
-#: Regions of space, which are no place on the ground.
-SPACE_REGIONS = ["heliosphere", "magnetosphere", "interplanetary", "interstellar", "earth orbit", "low earth orbit", "geostationary", "l1", "l2", "moon", "mars", "venus", "mercury", "jupiter", "saturn", "uranus", "neptune", "pluto", "sun", "comet", "asteroid", "near space", "space"]
-#: Codes of the states that are told apart within one country.
-STATES = {"California": "CA", "Arizona": "AZ", "Hawaii": "HI", "New Mexico": "NM", "Texas": "TX", "Colorado": "CO", "Virginia": "VA", "West Virginia": "WV", "Massachusetts": "MA", "New York": "NY", "Wisconsin": "WI", "Washington": "WA", "Oregon": "OR", "Alaska": "AK", "Utah": "UT", "Maryland": "MD", "Florida": "FL", "Illinois": "IL", "Pennsylvania": "PA", "Puerto Rico": "PR"}
+#: Regions that are no place on the ground.
+SPACE_REGIONS = [
+    "Earth.Magnetosheath", "Earth.Magnetosphere", "Earth.Magnetosphere.Magnetotail", "Earth.Magnetosphere.Main", "Earth.Magnetosphere.Polar", "Earth.Magnetosphere.RadiationBelt", "Earth.Moon", "Earth.NearSurface", "Earth.NearSurface.Atmosphere",
+    "Earth.NearSurface.AuroralRegion", "Earth.NearSurface.EquatorialRegion", "Earth.NearSurface.Ionosphere", "Earth.NearSurface.Ionosphere.DRegion", "Earth.NearSurface.Ionosphere.ERegion", "Earth.NearSurface.Ionosphere.FRegion",
+    "Earth.NearSurface.Ionosphere.Topside", "Earth.NearSurface.Mesosphere", "Earth.NearSurface.Plasmasphere", "Earth.NearSurface.PolarCap", "Earth.NearSurface.Stratosphere", "Earth.NearSurface.Thermosphere", "Space", "Airborne",
+]
+#: The states that are told apart within one country, by their codes.
+STATES = {
+    "AL": "Alabama", "AK": "Alaska", "AZ": "Arizona", "AR": "Arkansas", "CA": "California", "CO": "Colorado", "CT": "Connecticut", "DE": "Delaware", "FL": "Florida", "GA": "Georgia", "HI": "Hawaii", "ID": "Idaho", "IL": "Illinois", "IN": "Indiana",
+    "IA": "Iowa", "KS": "Kansas", "KY": "Kentucky", "LA": "Louisiana", "ME": "Maine", "MD": "Maryland", "MA": "Massachusetts", "MI": "Michigan", "MN": "Minnesota", "MS": "Mississippi", "MO": "Missouri", "MT": "Montana", "NE": "Nebraska", "NV": "Nevada",
+    "NH": "New Hampshire", "NJ": "New Jersey", "NM": "New Mexico", "NY": "New York", "NC": "North Carolina", "ND": "North Dakota", "OH": "Ohio", "OK": "Oklahoma", "OR": "Oregon", "PA": "Pennsylvania", "RI": "Rhode Island", "SC": "South Carolina",
+    "SD": "South Dakota", "TN": "Tennessee", "TX": "Texas", "UT": "Utah", "VT": "Vermont", "VA": "Virginia", "WA": "Washington", "WV": "West Virginia", "WI": "Wisconsin", "WY": "Wyoming", "DC": "District of Columbia", "AS": "American Samoa",
+    "GU": "Guam", "MP": "Northern Mariana Islands", "PR": "Puerto Rico", "UM": "United States Minor Outlying Islands", "VI": "Virgin Islands",
+}
+#: Codes of continents; the country whose sites east of a longitude are in Asia; the country without others.
+CONTINENTS = {"NA": "North America", "SA": "South America", "AS": "Asia", "AF": "Africa", "OC": "Oceania", "EU": "Europe", "AQ": "Antarctica"}
+SPLIT_COUNTRY, SPLIT_LONGITUDE, SOUTH_POLE = "RU", 59, "AQ"
 
 
 def wrapped_longitude(lon: Column) -> Column:
@@ -72,19 +85,35 @@ def geodetic_latitude(rho_cos: pd.Series, rho_sin: pd.Series) -> pd.Series:
 
 
 def in_space(region: Column) -> Column:
-    return F.lower(F.trim(region)).isin(SPACE_REGIONS)
-
-
-def state_of(address: Column) -> Column:
-    """The code of the first state that is named; the longer of two names that begin alike."""
-    names = sorted(STATES, key=len, reverse=True)
-    found = F.regexp_extract(address, r"\b(" + "|".join(names) + r")\b", 1)
-    return F.element_at(F.create_map(*[F.lit(x) for kv in STATES.items() for x in kv]), F.nullif(found, F.lit("")))
-
-
-def russian_side(continent: Column, country: Column, lon: Column) -> Column:
-    """Russia's sites east of 59 degrees are in Asia."""
-    return F.when((country == "Russia") & (lon >= 59), "Asia").when(country == "Russia", "Europe").otherwise(continent)
+    return F.trim(region).isin(SPACE_REGIONS)
+
+
+def states_in(text: Column) -> Column:
+    """The states that are named in a text, in order; the longer of two names that begin alike."""
+    names = sorted(STATES.values(), key=len, reverse=True)
+    return F.coalesce(F.regexp_extract_all(text, F.lit(r"\b(" + "|".join(names) + r")\b"), 1), F.array().cast("array<string>"))
+
+
+def state_of(label: Column, location: Column | None = None) -> Column:
+    """The state that label or location name; none where they name different ones, or several."""
+    named = F.array_distinct(F.concat(states_in(label), states_in(location)) if location is not None else states_in(label))
+    return F.when(F.size(named) == 1, F.get(named, F.lit(0)))
+
+
+def with_continent(rows: DataFrame, countries: DataFrame, country: str, code: str, lon: str) -> DataFrame:
+    """Adds `continent` and brings `country` to its standard name. `countries` (code, name, continent: a code of CONTINENTS)
+    is a dimension of one row a country. The code of an address goes before the name; a name that is no country's leaves no
+    country, and the place counts as Antarctica where there is no code either. Russia is split by longitude."""
+    known = countries.groupBy(F.upper("code").alias("__code")).agg(F.min("name").alias("__name"), F.min("continent").alias("__continent"))
+    names = F.broadcast(countries.groupBy(F.lower("name").alias("__low")).agg(F.min(F.upper("code")).alias("__by_name")))
+    out = rows.join(names, F.lower(F.trim(F.col(country))) == F.col("__low"), "left").withColumn("__wanted", F.coalesce(F.upper(code), "__by_name"))
+    out = out.join(F.broadcast(known), F.col("__wanted") == F.col("__code"), "left")
+    continents = F.create_map(*[F.lit(x) for kv in CONTINENTS.items() for x in kv])
+    split = F.when(F.col(lon) < SPLIT_LONGITUDE, "Europe").when(F.col(lon) >= SPLIT_LONGITUDE, "Asia")
+    found = F.when(F.col("__code") == SPLIT_COUNTRY, split).when(F.col("__code") == SOUTH_POLE, CONTINENTS["AQ"]).otherwise(F.element_at(continents, F.col("__continent")))
+    lost = F.col(country).isNotNull() & F.col(code).isNull() & F.col("__code").isNull()
+    named = F.coalesce("__name", F.when(F.col(code).isNotNull(), F.col(country)))
+    return out.withColumn("continent", F.when(lost, CONTINENTS["AQ"]).otherwise(found)).withColumn(country, named).drop("__low", "__by_name", "__wanted", "__code", "__name", "__continent")
 
 
 def resolved(*steps: tuple[Column, Column, float]) -> Column:

@@ -88,6 +88,10 @@ def test_columns(spark):
 def test_geo(spark):
     assert geo.geodesic(48.8566, 2.3522, 51.5074, -0.1278) == pytest.approx(343.923, abs=0.01)
     assert geo.geodesic(10, 20, 10, 20) == 0 and geo.geodesic(0, 0, 0.1, 179.9) > 19900
-    r = row(spark, a=geo.wrapped_longitude(F.lit(265.5)), b=geo.wrapped_longitude(F.lit(-10.0)), c=geo.geodetic_latitude(F.lit(0.62411), F.lit(0.77873)), s=geo.state_of(F.lit("Green Bank, West Virginia, USA")), sp=geo.in_space(F.lit(" Moon ")), ru=geo.russian_side(F.lit(None).cast("string"), F.lit("Russia"), F.lit(60.0)))
-    assert r.a == pytest.approx(-94.5) and r.b == -10 and r.c == pytest.approx(51.4774, abs=0.01) and r.s == "WV" and r.sp and r.ru == "Asia"
+    r = row(spark, a=geo.wrapped_longitude(F.lit(265.5)), b=geo.wrapped_longitude(F.lit(-10.0)), c=geo.geodetic_latitude(F.lit(0.62411), F.lit(0.77873)), s=geo.state_of(F.lit("Green Bank, West Virginia, USA")), none=geo.state_of(F.lit("Texas"), F.lit("Ohio")), sp=geo.in_space(F.lit(" Earth.Moon ")))
+    assert r.a == pytest.approx(-94.5) and r.b == -10 and r.c == pytest.approx(51.4774, abs=0.01) and r.s == "West Virginia" and r.none is None and r.sp
+    countries = spark.createDataFrame([("RU", "Russia", "EU"), ("US", "United States", "NA"), ("AQ", "Antarctica", "AQ")], "code string, name string, continent string")
+    places = spark.createDataFrame([(1, "russia", None, 60.0), (2, None, "ru", 50.0), (3, "USA", "us", 0.0), (4, "Nowhere", None, 0.0), (5, None, None, 0.0), (6, "Antarctica", None, 1.0)], "id int, country string, cc string, lon double")
+    got = {x.id: (x.country, x.continent) for x in geo.with_continent(places, countries, "country", "cc", "lon").collect()}
+    assert got == {1: ("Russia", "Asia"), 2: ("Russia", "Europe"), 3: ("United States", "North America"), 4: (None, "Antarctica"), 5: (None, None), 6: ("Antarctica", "Antarctica")}
     assert math.isclose(geo.geodesic(0, 0, 0, 1), 111.319, abs_tol=0.01)
