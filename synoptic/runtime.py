@@ -23,9 +23,12 @@ _own: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir. Where that is unset (tests), a folder of our own."""
+    """The folder that all executors share: spark.checkpoint.dir. Where that is unset and all work is done in one process
+    (tests), a folder of our own; elsewhere a folder of one machine would lose rows, so it is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or _own.get(spark.sparkContext.applicationId)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="synoptic-")
         _own[spark.sparkContext.applicationId] = folder
         atexit.register(shutil.rmtree, folder[7:], ignore_errors=True)
