@@ -24,20 +24,24 @@ LONG = "uri string, attr string, value string"
 # Turtle --------------------------------------------------------------------------------------------------------------
 
 _TURTLE = re.compile(r'"""(?:[^"\\]|\\.|"(?!""))*"""|"(?:[^"\\\n]|\\.)*"|<[^>]*>|@prefix|@base|@[A-Za-z][\w-]*|\^\^|#[^\n]*|[;,.\[\]()](?=\s|$)|[;,\[\]()]|[^\s;,\[\]()"<>]+?(?=[;,\[\]()"<>\s]|\.(?:\s|$)|$)')
+_RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
 _ESCAPES = {"n": "\n", "t": "\t", "r": "\r", '"': '"', "\\": "\\", "'": "'"}
 
 
-def parse_turtle(text: str) -> list[tuple]:
-    """(subj, pred, obj, obj_kind, datatype, lang) of a Turtle text without collections: prefixes, ; and , lists, blank
-    nodes in brackets, literals with language or datatype."""
+def parse_turtle(text: str, scope: str = "") -> list[tuple]:
+    """(subj, pred, obj, obj_kind, datatype, lang) of a Turtle text: prefixes, ; and , lists, blank nodes by name and in
+    brackets, collections, literals with language or datatype. `scope` goes into the names of blank nodes, which are a
+    file's own."""
     prefixes, out, tokens, pos, blanks = {}, [], [t for t in _TURTLE.findall(text) if not t.startswith("#")], 0, 0
 
     def name(t: str) -> str:
         if t.startswith("<"):
             return prefixes.get("@base", "") + t[1:-1] if "://" not in t and not t.startswith("<urn:") else t[1:-1]
         if t == "a":
-            return "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
+            return _RDF + "type"
         head, _, tail = t.partition(":")
+        if head == "_":
+            return f"_:{scope}{tail}"
         return prefixes[head] + tail if head in prefixes else t
 
     def predicates(subject: str, close: str) -> None:
@@ -57,14 +61,23 @@ def parse_turtle(text: str) -> list[tuple]:
         pos += 1
 
     def value() -> tuple:
-        nonlocal pos, blanks
+        nonlocal pos
         t = tokens[pos]
         pos += 1
         if t == "[":
-            blanks += 1
-            node = f"_:b{blanks}"
+            node = blank()
             predicates(node, "]")
             return node, "blank", None, None
+        if t == "(":
+            items = []
+            while pos < len(tokens) and tokens[pos] != ")":
+                items.append(value())
+            pos += 1
+            nodes = [blank() for _ in items]
+            for i, (node, item) in enumerate(zip(nodes, items, strict=True)):
+                out.append((node, _RDF + "first", *item))
+                out.append((node, _RDF + "rest", *((nodes[i + 1], "blank") if i + 1 < len(nodes) else (_RDF + "nil", "uri")), None, None))
+            return (nodes[0], "blank", None, None) if nodes else (_RDF + "nil", "uri", None, None)
         if t.startswith('"'):
             body = t[3:-3] if t.startswith('"""') else t[1:-1]
             body = re.sub(r"\\(.)", lambda m: _ESCAPES.get(m[1], m[1]), body)
@@ -81,7 +94,12 @@ def parse_turtle(text: str) -> list[tuple]:
             return t, "literal", "decimal", None
         if t in ("true", "false"):
             return t, "literal", "boolean", None
-        return name(t), "uri", None, None
+        return name(t), "blank" if t.startswith("_:") else "uri", None, None
+
+    def blank() -> str:
+        nonlocal blanks
+        blanks += 1
+        return f"_:{scope}b{blanks}"
 
     while pos < len(tokens):
         if tokens[pos].lower() in ("@prefix", "prefix"):
@@ -92,7 +110,7 @@ def parse_turtle(text: str) -> list[tuple]:
             pos += 2
         elif tokens[pos] == ".":
             pos += 1
-        elif tokens[pos] == "[":
+        elif tokens[pos] in ("[", "("):
             subject = value()[0]
             predicates(subject, ".")
         else:
@@ -103,12 +121,14 @@ def parse_turtle(text: str) -> list[tuple]:
 
 
 def turtle(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The triples of all files, each once."""
+    """The triples of all files, each once. Blank nodes are named after their file."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in batches:
-            yield pd.DataFrame([t for text in df["value"] for t in parse_turtle(text)], columns=TRIPLES.names)
+            yield pd.DataFrame([t for text, scope in zip(df["value"], df["scope"], strict=True) for t in parse_turtle(text, scope)], columns=TRIPLES.names)
 
-    return spark.read.text(paths, wholetext=True).mapInPandas(run, TRIPLES).distinct()
+    files = spark.read.text(paths, wholetext=True).select("value", F.concat(F.lit("f"), F.substring(F.sha2("_metadata.file_path", 256), 1, 16)).alias("scope"))
+    return files.mapInPandas(run, TRIPLES).distinct()
 
 
 # HTML ----------------------------------------------------------------------------------------------------------------
