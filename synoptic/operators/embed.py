@@ -32,13 +32,16 @@ def tfidf(docs: DataFrame, key: str, text: str, stop_words: list[str] | None = N
 
 
 def cosine_top_k(queries: DataFrame, base: DataFrame, key: str, vector: str, k: int) -> DataFrame:
-    """(query, key, score, rank): the k nearest of `base` by cosine, exact. Queries are packed into blocks of matrices and
-    every block meets every part of the base; each task keeps only its k best of a query."""
-    packed = queries.where(F.col(vector).isNotNull()).select(F.col(key).alias("q"), F.col(vector).alias("v")).withColumn("b", F.floor(F.pmod(F.xxhash64("q"), F.lit(1 << 30)) / (1 << 30) * F.lit(max(1, -(-queries.count() // BLOCK)))))
+    """(query, key, score, rank): the k nearest of `base` by cosine (to 9 digits, ties by key), exact. Queries are packed into
+    blocks of matrices and every block meets every part of the base; each task keeps only its k best of a query. One block
+    of queries goes to all tasks, of bounded size; more are met in pairs of partitions."""
+    blocks_of = max(1, -(-queries.count() // BLOCK))
+    packed = queries.where(F.col(vector).isNotNull()).select(F.col(key).alias("q"), F.col(vector).alias("v")).withColumn("b", F.floor(F.pmod(F.xxhash64("q"), F.lit(1 << 30)) / (1 << 30) * F.lit(blocks_of)))
     blocks = packed.groupBy("b").agg(F.collect_list(F.struct("q", "v")).alias("block"))
     parts = base.where(F.col(vector).isNotNull()).select(F.col(key).alias("id"), F.col(vector).alias("v"))
     parts = parts.withColumn("part", F.floor(F.monotonically_increasing_id() / BLOCK)).groupBy("part", F.spark_partition_id().alias("at")).agg(F.collect_list(F.struct("id", "v")).alias("rows")).select("rows")
-    pairs = parts.crossJoin(blocks.select("block"))
+    blocks = blocks.select("block")
+    pairs = parts.crossJoin(F.broadcast(blocks) if blocks_of == 1 else blocks.hint("shuffle_replicate_nl"))
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in batches:
@@ -46,8 +49,10 @@ def cosine_top_k(queries: DataFrame, base: DataFrame, key: str, vector: str, k:
                 ids, q = np.array([r["id"] for r in rows]), np.array([r["q"] for r in block])
                 unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-30)
                 sim = unit(np.array([r["v"] for r in block], dtype=np.float64)) @ unit(np.array([r["v"] for r in rows], dtype=np.float64)).T
+                sim = np.round(sim, 9)
                 sim[q[:, None] == ids[None, :]] = -np.inf
-                kept = np.argsort(-sim, axis=1, kind="stable")[:, : k + 8]
+                by_id = np.argsort(ids, kind="stable")  # then a stable sort by score leaves ties in the order of ids
+                kept = by_id[np.argsort(-sim[:, by_id], axis=1, kind="stable")[:, :k]]
                 i = np.repeat(np.arange(len(q)), kept.shape[1])
                 scores = sim[i, kept.ravel()]
                 ok = np.isfinite(scores)
@@ -59,6 +64,15 @@ def cosine_top_k(queries: DataFrame, base: DataFrame, key: str, vector: str, k:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(F.col("q").alias("query"), F.col("id").alias(key), "score", "rank")
 
 
+def hashed(weights: DataFrame, key: str, size: int = 256) -> DataFrame:
+    """(key, vector): sparse term weights (key, term, weight) as vectors of one size, each term at a place and with a sign
+    by its hash, so that products are kept on average."""
+    at, sign = F.pmod(F.xxhash64("term"), F.lit(size)).cast("int"), F.when(F.pmod(F.hash("term"), F.lit(2)) == 0, 1.0).otherwise(-1.0)
+    sums = weights.groupBy(key, at.alias("at")).agg(F.sum(F.col("weight") * sign).alias("w"))
+    maps = sums.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("at", "w"))).alias("m"))
+    return maps.select(key, F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))).alias("vector"))
+
+
 def cosine(a: Column, b: Column) -> Column:
     """The cosine of two arrays."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)

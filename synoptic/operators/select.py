@@ -52,9 +52,37 @@ def one_to_one(scored: DataFrame, name: str = "assign") -> DataFrame:
     return out.select("a", "b", "score")
 
 
-def attempts_within(ranked: DataFrame, most: int = 3, cap: int = 500) -> DataFrame:
-    """Pairs (a, b, score) among the first `most` of both sides, and of those the first `cap`: the pairs that are offered
-    for a decision. (A report of bounded length.)"""
-    order = [F.desc("score"), F.col("a"), F.col("b")]
-    seen = ranked.withColumn("__a", F.row_number().over(Window.partitionBy("a").orderBy(*order))).withColumn("__b", F.row_number().over(Window.partitionBy("b").orderBy(*order)))
-    return seen.where((F.col("__a") <= most) & (F.col("__b") <= most)).drop("__a", "__b").orderBy(*order).limit(cap)
+def attempts_within(scored: DataFrame, most: int = 3, cap: int | None = 500, name: str = "attempts") -> DataFrame:
+    """(a, b, score): the pairs that are offered for a decision in descending order of score (ties by a, then b), each entity
+    at most `most` times, and at most `cap` pairs in all (the length of a session). A pair that is passed over because
+    one of its entities had its offers counts for neither. Where `scored` has a column `same`, a pair of which it is true is
+    accepted when it is offered, and neither of its entities is offered again.
+
+    Each round offers all pairs that are sure: were all open pairs before it offered, there would still be an offer left on
+    both sides. The first open pair always is. Open pairs behind the cap-th offer can't be among the first ones."""
+    scratch = Scratch(scored.sparkSession, name)
+    same = F.coalesce("same", F.lit(False)) if "same" in scored.columns else F.lit(False)
+    rows = scored.where("a is not null and b is not null and score is not null").groupBy("a", "b").agg(F.max("score").alias("score"), F.max(same).alias("same"))
+    left = scratch.write(rows.select("a", "b", "score", "same", F.struct((-F.col("score")).alias("s"), "a", "b").alias("o"), F.lit(0).alias("na"), F.lit(0).alias("nb")))
+    offered = scratch.write(left.limit(0).select("a", "b", "score", "same", "o"))
+    while left.limit(1).count():
+        # Rows behind the first few of an entity are dropped before the shuffle (a group limit).
+        def sure(side: str) -> DataFrame:
+            order = Window.partitionBy(side).orderBy("o")
+            few = left.withColumn("r", F.row_number().over(order)).where(F.col("r") <= most)  # noqa: B023
+            barred = F.max("same").over(order.rowsBetween(Window.unboundedPreceding, -1))
+            return few.withColumn("barred", F.coalesce(barred, F.lit(False))).where(~F.col("barred") & (F.col("r") + F.col("n" + side) <= most))
+
+        first, second = sure("a").select("a", "b", "score", "same", "o"), sure("b").select("a", "b")
+        offered, before = scratch.write(offered.union(first.join(second, ["a", "b"]))), offered
+        scratch.drop(before)
+        counts = lambda side: offered.groupBy(side).agg(F.sum(F.when(F.col("same"), most).otherwise(1)).cast("int").alias("n" + side))  # noqa: E731, B023
+        rest = left.drop("na", "nb").join(offered.select("a", "b"), ["a", "b"], "left_anti").join(counts("a"), "a", "left").join(counts("b"), "b", "left")
+        rest = rest.select("a", "b", "score", "same", "o", F.coalesce("na", F.lit(0)).alias("na"), F.coalesce("nb", F.lit(0)).alias("nb")).where((F.col("na") < most) & (F.col("nb") < most))
+        if cap is not None:
+            last = offered.orderBy("o").limit(cap).agg(F.count("*").alias("n"), F.max("o").alias("last"))  # one row
+            rest = rest.crossJoin(F.broadcast(last)).where((F.col("n") < cap) | (F.col("o") < F.col("last"))).drop("n", "last")
+        left, before = scratch.write(rest), left
+        scratch.drop(before)
+    done = offered if cap is None else offered.orderBy("o").limit(cap)
+    return done.select("a", "b", "score")

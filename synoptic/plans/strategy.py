@@ -4,8 +4,12 @@
     step := list ',' list [ '[' type { ',' type } ']' ] ':' tool { ',' tool }
     type := 'all' | [ '-' ] TYPE ; tool := 'all' | [ '-' ] NAME [ (>=|<=|==|<|>) NUMBER ]
 
-A step blocks the pairs of its two lists, applies its filters, takes exact label matches, scores what is left, cuts and
-ranks the scores and assigns one to one. Later steps see the links of earlier ones: linked entities take no part.
+Before the steps a plan of identifiers links entities that share one. A step blocks the pairs of its two lists, applies its
+filters, takes exact label matches, scores what is left, and cuts and ranks the scores. What is left is assigned one to one
+or, where answers to offers are recorded, offered in descending order and decided by them.
+
+Later steps see the links of earlier ones: an entity that has a synonym in the other list of a step, directly or through
+others, takes no part in it; pairs that were decided not to be the same are not offered again.
 """
 
 from __future__ import annotations
@@ -17,18 +21,25 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from synoptic.functions import acronyms
+from synoptic.functions import acronyms, answers
 from synoptic.functions import text as X
 from synoptic.model import ABOVE, SOURCES, class_of
-from synoptic.operators import compare, embed, joins, select
+from synoptic.operators import compare, embed, joins, select, synsets
 from synoptic.operators.alike import alike
 from synoptic.operators.nearby import near_cells, own_cell, position, usable
 from synoptic.runtime import Scratch
 
 FILTERS = ("type", "date", "distance", "identifier", "number", "aperture", "same_broader")
 MATCHERS = ("label_match",)
-SCORERS = ("levenshtein_similarity", "acronym", "digit", "tfidf")
+SCORERS = ("levenshtein_similarity", "acronym", "digit", "tfidf", "embedding")
 TOOLS = (*FILTERS, *MATCHERS, *SCORERS)
+#: Columns that entities may have, and what links entities.
+OPTIONAL = {"continent": "string", "country": "string", "state": "string", "type_confidence": "double", "embedding": "array<double>"}
+LINKS = ("exactMatch", "closeMatch")
+#: Fixed value: the country whose states are told apart.
+WITH_STATES = "united states"
+#: How many nearest entities of the other list a step takes that scores without a limit.
+RETRIEVED = 100
 #: How far apart two usable positions may be for the distance filter.
 NEAR_KM = 10.0
 _TOOL = re.compile(r"(-?)([A-Za-z_]+)\s*(?:(>=|<=|==|<|>)\s*(-?\d+(?:\.\d+)?))?")
@@ -135,10 +146,27 @@ def keys_of(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("uri").alias("id"), F.explode("keys").alias("k"))
 
 
-def blocked(left: DataFrame, right: DataFrame, step: Step) -> DataFrame:
-    """(a, b): the pairs that a step can accept, none of them left out. Equal labels for its matchers; for its scorers what
-    its limit of the label ratio leaves, found exactly. Under a distance filter two usable positions meet in cells of a
-    grid instead. A step that scores without such a limit needs all pairs, and gets them."""
+def retrieved(left: DataFrame, right: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+    """(a, b): of each entity the k nearest ones of the other side by the cosine of their vectors (uri, vector), found
+    exactly, in blocks; and pairs of a short name and the initials or the capitals of a long one, which no vector shows."""
+    one, two = vectors.join(left.select("uri"), "uri", "left_semi"), vectors.join(right.select("uri"), "uri", "left_semi")
+    near = embed.cosine_top_k(one, two, "uri", "vector", k).select(F.col("query").alias("a"), F.col("uri").alias("b"))
+    near = near.union(embed.cosine_top_k(two, one, "uri", "vector", k).select(F.col("uri").alias("a"), F.col("query").alias("b")))
+    short = lambda rows: rows.select("uri", F.explode("names").alias("n")).where(r"n rlike '^\\w{2,12}$'").select("uri", F.lower("n").alias("s"))
+
+    def letters(rows: DataFrame) -> DataFrame:
+        words = F.filter(F.split("n", r"[^\p{L}\p{N}]+"), lambda w: (w != "") & ~F.lower(w).isin(*acronyms.STOP_WORDS))
+        initials, capitals = F.array_join(F.transform(words, lambda w: F.substring(w, 1, 1)), ""), F.regexp_replace("n", "[^A-Z]", "")
+        return rows.select("uri", F.explode("names").alias("n")).where("n like '% %'").select("uri", F.explode(F.array(F.lower(initials), F.lower(capitals))).alias("s")).where("length(s) > 1")
+
+    named = lambda x, y: x.withColumnRenamed("uri", "a").join(y.withColumnRenamed("uri", "b"), "s").select("a", "b")
+    return near.union(named(short(left), letters(right))).union(named(letters(left), short(right))).distinct()
+
+
+def blocked(left: DataFrame, right: DataFrame, step: Step, vectors: DataFrame | None = None, k: int = RETRIEVED) -> DataFrame:
+    """(a, b): the pairs that a step can accept. Equal labels for its matchers; for its scorers what its limit of the label
+    ratio leaves, found exactly. Under a distance filter two usable positions meet in cells of a grid instead. None of
+    these is left out. A step that scores without such a limit takes the k nearest by `vectors` of both sides."""
     found = []
     if step.matchers:
         found.append(joins.label_matches(left, "uri", right, "uri").select("a", "b"))
@@ -156,7 +184,7 @@ def blocked(left: DataFrame, right: DataFrame, step: Step) -> DataFrame:
             if least > 0:
                 found.append(alike(keys_of(one), keys_of(two), least))
             else:
-                found.append(one.select(F.col("uri").alias("a")).crossJoin(two.select(F.col("uri").alias("b"))))
+                found.append(retrieved(one, two, vectors, k))
     return reduce(DataFrame.union, found).distinct() if found else left.sparkSession.createDataFrame([], "a string, b string")
 
 
@@ -169,61 +197,110 @@ def with_cosine(pairs: DataFrame, weights: DataFrame) -> DataFrame:
     return rows.withColumn("s_tfidf", F.when(F.col("has_a") & F.col("has_b"), F.coalesce("dot", F.lit(0.0)))).drop("dot", "has_a", "has_b")
 
 
-def run(steps: list[Step], entities: DataFrame, weights: dict[str, float] | None = None, z: float = 0.385, k: int = 10, name: str = "strategy") -> DataFrame:
+def run(steps: list[Step], entities: DataFrame, weights: dict[str, float] | None = None, z: float = 0.385, k: int = 10, name: str = "strategy", plan: tuple[tuple[str, str, str, str], ...] = (), recorded: DataFrame | None = None, most: int = 3, cap: int = 500, streak: int = 30, candidates: int = RETRIEVED) -> DataFrame:
     """(a, b, predicate, justification, score, scores): the mappings of all steps. `entities` has uri, source, label,
-    alt_label, entity_type, latitude, longitude, years, ids, apertures, parents and may have code (an
-    array, too); what a list lacks is null."""
+    alt_label, entity_type, latitude, longitude, years, ids, apertures, parents and may have code (an array, too) and the
+    columns of OPTIONAL; what a list lacks is null.
+
+    `plan` has (list, column, list, column) of identifiers that make two entities the same. `recorded` (a, b, answer) are
+    answers to offers: then each entity is offered `most` times, at most `cap` pairs a step, until `streak` of them in a row
+    are answered "distinct". Same makes a link, narrow and broad a relation, distinct a negative row; a pair whose answer
+    is missing or can't be read stays open."""
     scratch = Scratch(entities.sparkSession, name)
+    for c, kind in OPTIONAL.items():
+        if c not in entities.columns:
+            entities = entities.withColumn(c, F.lit(None).cast(kind))
     entities = scratch.write(with_names(entities))
     weights = weights or {}
     found: list[DataFrame] = []
-    vectors = None
-    if any("tfidf" in step.scorers for step in steps):
+    seen: set[str] = set()
+    free = [s for s in steps if s.scorers and not any(n == "levenshtein_similarity" and op in (">=", ">", "==") and v > 0 for n, op, v in s.limits)]
+    terms = vectors = None
+    if free or any("tfidf" in step.scorers for step in steps):
         texts = entities.select("uri", X.fold_accents(F.array_join("labels", " ")).alias("text"))
-        vectors = scratch.write(embed.tfidf(texts, "uri", "text").select("uri", "term", "weight"))
+        terms = scratch.write(embed.tfidf(texts, "uri", "text").select("uri", "term", "weight"))
+    if free:
+        vectors = scratch.write(embed.hashed(terms, "uri"))
+
+    def open_ones(rows: DataFrame, list1: str, list2: str) -> tuple[DataFrame, DataFrame]:
+        """Entities of both lists without a synonym in the other one."""
+        taken = _taken(found, entities, list1, list2, seen, scratch)
+        if taken is not None:
+            rows = rows.join(taken, "uri", "left_anti")
+        seen.update((list1, list2))
+        return rows.where(F.col("source") == list1), rows.where(F.col("source") == list2)
+
+    def add(rows: DataFrame) -> None:
+        found.append(scratch.write(rows))
+
+    for list1, column1, list2, column2 in plan:
+        left, right = open_ones(entities, list1, list2)
+        same = joins.merge_on(left, "uri", column1, right, "uri", column2)
+        add(_mapped(select.one_to_one(same.withColumn("score", F.lit(1.0)), name), "exactMatch", "identifier"))
     for step in steps:
-        linked = _ends(found)
         wanted = entities.where(class_of(F.col("entity_type")).isin(list(step.types)) | F.col("entity_type").isNull())
-        if linked is not None:
-            wanted = wanted.join(linked, "uri", "left_anti")
-        left, right = wanted.where(F.col("source") == step.list1), wanted.where(F.col("source") == step.list2)
-        pairs = blocked(left, right, step).join(_side(left, "a", "1"), "a").join(_side(right, "b", "2"), "b")
+        left, right = open_ones(wanted, step.list1, step.list2)
+        pairs = blocked(left, right, step, vectors, candidates).join(_side(left, "a", "1"), "a").join(_side(right, "b", "2"), "b")
+        for settled in found:
+            gone = settled.where(~F.col("predicate").isin(*LINKS))
+            pairs = pairs.join(gone.select("a", "b"), ["a", "b"], "left_anti").join(gone.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
         for f in step.filters:
             pairs = pairs.where(_filter(f))
-        pairs = scratch.write(pairs)
-        out = []
-        rest = pairs
+        pairs = rest = scratch.write(pairs)
         if step.matchers:
             exact = joins.label_matches(left, "uri", right, "uri").join(pairs.select("a", "b"), ["a", "b"])
             one = scratch.write(select.one_to_one(exact.select("a", "b", F.lit(1.0).alias("score")), name))
-            out.append(one.select("a", "b", F.lit("exactMatch").alias("predicate"), F.lit("lexical").alias("justification"), "score", F.lit(None).cast("map<string,double>").alias("scores")))
+            add(_mapped(one, "exactMatch", "lexical"))
             rest = rest.join(one.select("a"), "a", "left_anti").join(one.select("b"), "b", "left_anti")
-        if step.scorers:
-            # Written before anything is filtered by it, so that no score is computed twice.
-            scored = scratch.write(rest.select("a", "b", *[_score(s).alias(f"s_{s}") for s in step.scorers if s != "tfidf"]))
-            if "tfidf" in step.scorers:
-                scored = scratch.write(with_cosine(scored, vectors))
-            total, scores = compare.hybrid_score({s: (F.col(f"s_{s}"), weights.get(s, 1.0)) for s in step.scorers})
-            scored = scratch.write(scored.select("a", "b", total.alias("score"), scores.alias("scores")).where("score is not null"))
-            for s, op, v in step.limits:
-                scored = scored.where(compare.threshold(F.element_at("scores", s), op, v))
-            cut = select.top_k(select.zscore_cut(scored, "score", z), ["a"], "score", ["b"], k)
+        if not step.scorers:
+            continue
+        # Written before anything is filtered by it, so that no score is computed twice.
+        scored = scratch.write(rest.select("a", "b", *[_score(s).alias(f"s_{s}") for s in step.scorers if s != "tfidf"]))
+        if "tfidf" in step.scorers:
+            scored = scratch.write(with_cosine(scored, terms))
+        total, scores = compare.hybrid_score({s: (F.col(f"s_{s}"), weights.get(s, 1.0)) for s in step.scorers})
+        scored = scratch.write(scored.select("a", "b", total.alias("score"), scores.alias("scores")).where("score is not null"))
+        for s, op, v in step.limits:
+            scored = scored.where(compare.threshold(F.element_at("scores", s), op, v))
+        cut = select.top_k(select.zscore_cut(scored, "score", z), ["a"], "score", ["b"], k).select("a", "b", "score", "scores")
+        if recorded is None:
             chosen = scratch.write(select.one_to_one(cut.select("a", "b", "score"), name))
-            out.append(chosen.join(scored.select("a", "b", "scores"), ["a", "b"]).select("a", "b", F.lit("closeMatch").alias("predicate"), F.lit("composite").alias("justification"), "score", "scores"))
-        for o in out:
-            found.append(scratch.write(o))
-    empty = entities.sparkSession.createDataFrame([], "a string, b string, predicate string, justification string, score double, scores map<string,double>")
+            add(chosen.join(scored.select("a", "b", "scores"), ["a", "b"]).select("a", "b", F.lit("closeMatch").alias("predicate"), F.lit("composite").alias("justification"), "score", "scores"))
+        else:
+            add(decided(cut, recorded, most, cap, streak, scratch, name))
+    out = entities.sparkSession.createDataFrame([], "a string, b string, predicate string, justification string, score double, scores map<string,double>")
     for f in found:
-        empty = empty.unionByName(f)
-    return empty
+        out = out.unionByName(f)
+    return out
 
 
-def _ends(found: list[DataFrame]) -> DataFrame | None:
-    out = None
-    for f in found:
-        ends = f.select(F.col("a").alias("uri")).union(f.select("b"))
-        out = ends if out is None else out.union(ends)
-    return out.distinct() if out is not None else None
+def decided(cut: DataFrame, recorded: DataFrame, most: int, cap: int, streak: int, scratch: Scratch, name: str) -> DataFrame:
+    """The mappings that recorded answers make of scored pairs, offered in descending order of score until `streak` of them
+    in a row are distinct."""
+    read = recorded.groupBy("a", "b").agg(F.max("answer").alias("answer")).select("a", "b", answers.decision(F.col("answer")).alias("kind"))
+    asked = scratch.write(cut.join(read, ["a", "b"], "left"))
+    offers = scratch.write(select.attempts_within(asked.select("a", "b", "score", (F.col("kind") == "same").alias("same")), most, cap, name))
+    # At most `cap` offers: one order of all is a small sort.
+    turns = offers.join(asked.select("a", "b", "kind", "scores"), ["a", "b"]).where(F.col("kind").isNotNull()).select("*", F.struct((-F.col("score")).alias("s"), "a", "b").alias("turn"), (F.col("kind") != "distinct").alias("accepted"), F.lit(1).alias("session"))
+    made = select.until_streak(turns, ["session"], "turn", F.floor(-F.col("score") * 100), "accepted", streak)
+    return made.select("a", "b", answers.relation(F.col("kind")).alias("predicate"), F.lit("validated").alias("justification"), "score", "scores")
+
+
+def _mapped(pairs: DataFrame, predicate: str, justification: str) -> DataFrame:
+    return pairs.select("a", "b", F.lit(predicate).alias("predicate"), F.lit(justification).alias("justification"), "score", F.lit(None).cast("map<string,double>").alias("scores"))
+
+
+def _taken(found: list[DataFrame], entities: DataFrame, list1: str, list2: str, seen: set[str], scratch: Scratch) -> DataFrame | None:
+    """(uri) of the entities of two lists that have a synonym in the other one, through any links so far."""
+    if not found:
+        return None
+    links = reduce(DataFrame.unionByName, [f.where(F.col("predicate").isin(*LINKS)).select("a", "b") for f in found])
+    if seen <= {list1, list2}:
+        return links.select(F.col("a").alias("uri")).union(links.select("b")).distinct()
+    members = scratch.write(synsets.synsets(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), "taken").join(entities.select(F.col("uri").alias("id"), "source"), "id"))
+    of = lambda source: members.where(F.col("source") == source)
+    taken = [of(x).join(of(y).select("synset_id").distinct(), "synset_id", "left_semi").select(F.col("id").alias("uri")) for x, y in ((list1, list2), (list2, list1))]
+    return taken[0].union(taken[1]).distinct()
 
 
 def _side(rows: DataFrame, key: str, mark: str) -> DataFrame:
@@ -233,10 +310,13 @@ def _side(rows: DataFrame, key: str, mark: str) -> DataFrame:
 def _filter(name: str):  # noqa: ANN202
     c = F.col
     one = lambda m: F.array_compact(F.array(class_of(c("entity_type" + m))))
+    sure = lambda m: F.coalesce(c("type_confidence" + m), F.lit(1.0))
+    states = (F.when(F.lower(F.trim(c("country1"))) == WITH_STATES, c("state1")), c("state2"))
+    places = [(c("continent1"), c("continent2")), (c("country1"), c("country2")), states]
     return {
-        "type": lambda: compare.type_filter(one("1"), F.lit(1), one("2"), F.lit(1)),
+        "type": lambda: compare.type_filter(one("1"), sure("1"), one("2"), sure("2")),
         "date": lambda: compare.overlap_filter(c("years1"), c("years2")),
-        "distance": lambda: compare.distance_filter(c("latitude1"), c("longitude1"), c("latitude2"), c("longitude2"), [], NEAR_KM),
+        "distance": lambda: compare.distance_filter(c("latitude1"), c("longitude1"), c("latitude2"), c("longitude2"), places, NEAR_KM),
         "identifier": lambda: compare.overlap_filter(c("ids1"), c("ids2")),
         "number": lambda: compare.number_filter(c("suffixes1"), c("suffixes2")),
         "aperture": lambda: compare.aperture_filter(c("apertures1"), c("apertures2")),
@@ -245,12 +325,14 @@ def _filter(name: str):  # noqa: ANN202
 
 
 def _score(name: str):  # noqa: ANN202
-    """The highest over all pairs of names; of numbers, those of all labels."""
+    """The highest over all pairs of names; of numbers, those of all labels; the cosine of stated embeddings."""
+    if name == "embedding":
+        return embed.cosine(F.col("embedding1"), F.col("embedding2"))
     how, value = {"levenshtein_similarity": (X.best_ratio, "keys"), "acronym": (acronyms.best_acronym_score, "names"), "digit": (X.digit_score, "numbers")}[name]
     return how(F.col(value + "1"), F.col(value + "2"))
 
 
 def mapping_rows(mappings: DataFrame, set_id: str, creator: str) -> DataFrame:
     """Facts of a mapping table: one row a decision, scores that could not be computed left out."""
-    measure = F.when(F.col("justification") == "lexical", "label").otherwise("hybrid")
+    measure = F.when(F.col("justification") == "lexical", "label").when(F.col("justification") == "identifier", "identifier").otherwise("hybrid")
     return mappings.select(F.concat_ws("|", F.lit(set_id), "a", "b").alias("mapping_id"), F.lit(set_id).alias("set_id"), F.col("a").alias("subject_id"), F.col("predicate").alias("predicate_id"), F.col("b").alias("object_id"), F.col("score").alias("similarity_score"), measure.alias("similarity_measure"), F.map_filter("scores", lambda _, v: v >= 0).alias("scores"), F.col("justification").alias("justification_type"), F.lit(creator).alias("creator"), F.lit(False).alias("deprecated"))

@@ -47,3 +47,36 @@ def test_tfidf_is_computed(spark):
     rows = [entity("a1", "aas", "Green Bank Telescope"), entity("w1", "wikidata", "Telescope of Green Bank"), entity("w2", "wikidata", "Kolo Array")]
     got = strategy.run(strategy.parse("aas, wikidata: tfidf >= 0.5"), spark.createDataFrame(rows, COLS), z=-9.0).collect()
     assert [(x.a, x.b) for x in got] == [("a1", "w1")] and 0.5 < got[0].scores["tfidf"] < 1
+
+
+def test_three_lists_keep_the_links_of_each_pair(spark):
+    """A link between two lists does not keep an entity from the third; one that follows from others is not made again."""
+    rows = [entity(f"{m}{i}", source, f"{n} Observatory") for m, source in (("a", "aas"), ("p", "pds"), ("w", "wikidata")) for i, n in enumerate(("Kolomna", "Barinas"))]
+    text = "aas, pds: label_match\naas, wikidata: label_match\npds, wikidata: label_match"
+    got = linked(spark, text, rows)
+    assert got == {("a0", "p0"), ("a1", "p1"), ("a0", "w0"), ("a1", "w1")}
+    # All that is missing follows: p0 and w0 are synonyms through a0.
+
+
+def test_identifiers_first(spark):
+    rows = [(*entity("a1", "aas", "Kolo"), ["X 1"]), (*entity("w1", "wikidata", "Metu"), ["x 1"]), (*entity("a2", "aas", "Metu Tower"), None), (*entity("w2", "wikidata", "Metu Tower"), None)]
+    df = spark.createDataFrame(rows, COLS + ", code array<string>")
+    got = {(x.a, x.b, x.justification) for x in strategy.run(strategy.parse("aas, wikidata: label_match"), df, plan=(("aas", "code", "wikidata", "code"),)).collect()}
+    assert got == {("a1", "w1", "identifier"), ("a2", "w2", "lexical")}
+
+
+def test_recorded_answers_decide(spark):
+    names = ["Alpha Prime", "Beta Prime", "Gamma Prime", "Delta Prime"]
+    rows = [entity(f"a{i}", "aas", n) for i, n in enumerate(names)] + [entity(f"w{i}", "wikidata", n + "s") for i, n in enumerate(names)]
+    answers = spark.createDataFrame([("a0", "w0", "Same."), ("a1", "w1", "<think>same</think> distinct"), ("a2", "w2", "narrow"), ("a0", "w1", "same")], "a string, b string, answer string")
+    steps = "aas, wikidata: levenshtein_similarity >= 0.5\naas, wikidata: levenshtein_similarity >= 0.4"
+    got = {(x.a, x.b): x.predicate for x in strategy.run(strategy.parse(steps), spark.createDataFrame(rows, COLS), z=-9.0, recorded=answers).collect()}
+    assert got == {("a0", "w0"): "exactMatch", ("a1", "w1"): "differentFrom", ("a2", "w2"): "narrowMatch"}
+
+
+def test_places_and_embeddings(spark):
+    rows = [(*entity("a1", "aas", "North Site"), "United States", "Texas", [1.0, 0.0]), (*entity("w1", "wikidata", "North Sites"), "United States", "Ohio", [1.0, 0.0]), (*entity("w2", "wikidata", "North Sitez"), "United States", None, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, COLS + ", country string, state string, embedding array<double>")
+    run = lambda text: {(x.a, x.b) for x in strategy.run(strategy.parse(text), df, z=-9.0).collect()}
+    assert run("aas, wikidata: distance, levenshtein_similarity >= 0.8") == {("a1", "w2")}
+    assert run("aas, wikidata: embedding >= 0.9") == {("a1", "w1")}
