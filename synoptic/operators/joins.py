@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from synoptic.operators.nearby import haversine_km, near_cells, own_cell, position, usable
+from synoptic.operators.synsets import synsets
 from synoptic.runtime import Scratch
 
 
@@ -122,18 +123,58 @@ def closed(edges: DataFrame, src: str, dst: str, name: str = "closure") -> DataF
             return paths
 
 
-def self_merge(rows: DataFrame, key: str, block: list[str], same: list[str], lat: str, lon: str, km: float) -> DataFrame:
-    """(a, b), a < b: rows of one block that share one of the values `same` or lie within `km`. Each way to agree is an
-    equi-join of its own (of places, on cells of a grid), so a block is never paired with itself as a whole."""
-    stated = rows.where(" and ".join(f"`{c}` is not null" for c in (key, *block)))
-    found = []
-    for c in same:
-        one = stated.where(F.col(c).isNotNull()).select(*block, c, F.col(key).alias("a"))
-        found.append(one.join(one.withColumnRenamed("a", "b"), [*block, c]).where("a < b").select("a", "b"))
-    at = stated.where(usable(F.col(lat), F.col(lon))).select(*block, F.col(key).alias("a"), F.col(lat).alias("la"), F.col(lon).alias("lo"), *position(F.col(lat), F.col(lon)))
-    two = at.select(*block, F.col("a").alias("b"), F.col("la").alias("la2"), F.col("lo").alias("lo2"), own_cell(km).alias("cell"))
-    near = near_cells(at, km).join(two, [*block, "cell"]).where((F.col("a") < F.col("b")) & (haversine_km(F.col("la"), F.col("lo"), F.col("la2"), F.col("lo2")) < km))
-    return reduce(DataFrame.union, [*found, near.select("a", "b")]).distinct()
+def star_links(rows: DataFrame, block: list[str]) -> DataFrame:
+    """(a, b): links that join what all pairs of a block would join, of rows (id, guard, free, block columns): a pair is left
+    out if both state a guard and differ in it, and at least one of the two must be free. As many links as rows at most,
+    and one for each guard of a block."""
+    first = lambda w: F.min(F.when(w, F.col("id")))
+    null = F.col("guard").isNull()
+    # A free row without a guard goes with all others. Else a free row joins those of its guard and all without one.
+    blocks = rows.groupBy(*block).agg(first(null & F.col("free")).alias("center"), first(null).alias("open"), first(F.col("free")).alias("any"))
+    guards = rows.where("guard is not null").groupBy(*block, "guard").agg(first(F.col("free")).alias("own")).where("own is not null")
+    met = rows.join(blocks, block).join(guards, [*block, "guard"], "left")
+    links = met.select(F.coalesce("center", F.when(null, F.col("any")).otherwise(F.col("own"))).alias("a"), F.col("id").alias("b"))
+    across = guards.join(blocks.where("center is null and open is not null"), block).select(F.col("own").alias("a"), F.col("open").alias("b"))
+    return links.union(across).where("a is not null and a <> b").distinct()
+
+
+def self_merge(rows: DataFrame, km: float = 4.0, name: str = "self_merge") -> DataFrame:
+    """(id, group): the records of groups of two or more that are the same, group being the least id. `rows` has id, kind,
+    ids (identifiers, old and new), guard (the identifier that may not differ), number (of its name), labels, leaf (the
+    last part of its address), latitude, longitude and start.
+
+    Two records of one kind are the same if they share an identifier; or if they have the same number, the first word of a
+    label in common and no different guard, and share the leaf, lie within `km` of one another (which decides if both
+    have a place), start on the same day (if they do not), or share a label. Every way to agree is an equi-join of its own
+    and gives links to a representative, except places, which are paired in cells of a grid."""
+    stated = rows.where("id is not null").withColumn("kind", F.coalesce("kind", F.lit("")))
+    low = lambda c: F.lower(F.replace(c, F.lit("-"), F.lit(" ")))
+    first = F.transform("labels", lambda v: F.split(v, r"[-. ]")[0])
+    placed = usable(F.col("latitude"), F.col("longitude"))
+    words = stated.select("*", F.explode(F.array_distinct(F.filter(first, lambda w: w != ""))).alias("word"), (~placed).alias("lost"))
+    block = ["kind", "number", "word"]
+    base = lambda free, value: words.select("id", "guard", free.alias("free"), *block, value.alias("v")).where("v is not null and v <> ''").distinct()
+    always = F.lit(True)
+    found = [identifier_links(stated, "id", ["kind"], ["ids"])]
+    for free, value in ((always, F.col("leaf")), (F.col("lost"), F.col("start").cast("string")), (always, F.explode(F.array_distinct(F.transform("labels", low))))):
+        found.append(star_links(base(free, value), [*block, "v"]))
+    at = words.where("not lost").select(*block, "guard", F.col("id").alias("a"), F.col("latitude").alias("la"), F.col("longitude").alias("lo"), *position(F.col("latitude"), F.col("longitude")))
+    two = at.select(*block, F.col("guard").alias("guard2"), F.col("a").alias("b"), F.col("la").alias("la2"), F.col("lo").alias("lo2"), own_cell(km * 1.01).alias("cell"))
+    near = near_cells(at, km * 1.01).join(two, [*block, "cell"]).where((F.col("a") < F.col("b")) & F.coalesce(F.col("guard") == F.col("guard2"), F.lit(True)) & (haversine_km(F.col("la"), F.col("lo"), F.col("la2"), F.col("lo2")) < km))
+    edges = reduce(DataFrame.union, [*found, near.select("a", "b")]).distinct()
+    return synsets(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")), name).select("id", F.col("synset_id").alias("group"))
+
+
+def merge_within(rows: DataFrame, host: str, values: list[str], name: str = "merge_within") -> DataFrame:
+    """(id, group): rows (id, host, values) of one host that share one of the values, of one or many each: instruments of a
+    platform with a label or a file name in common."""
+    stated = rows.where(F.col("id").isNotNull() & F.col(host).isNotNull())
+    edges = []
+    for c in values:
+        one = exploded(stated.select(F.struct("id", host).alias("k"), c), "k", c, c).select(F.col("id.id").alias("id"), F.col(f"id.{host}").alias("h"), _form(F.col("v")).alias("v")).where("v <> ''").distinct()
+        least = one.groupBy("h", "v").agg(F.min("id").alias("src"))
+        edges.append(one.join(least, ["h", "v"]).select("src", F.col("id").alias("dst")))
+    return synsets(reduce(DataFrame.union, edges).where("src <> dst").distinct(), name).select("id", F.col("synset_id").alias("group"))
 
 
 def identifier_links(rows: DataFrame, key: str, block: list[str], ids: list[str]) -> DataFrame:
@@ -150,3 +191,20 @@ def related(pairs: DataFrame, src: str, dst: str, relation: str, inverse: str) -
     """(src, dst, relation) with the inverse of each."""
     out = pairs.select(F.col(src).alias("src"), F.col(dst).alias("dst"), F.lit(relation).alias("relation"))
     return out.union(out.select("dst", "src", F.lit(inverse))).distinct()
+
+
+def mapped_either_way(pairs: DataFrame, mappings: DataFrame, one: str, two: str, a: str = "a", b: str = "b") -> DataFrame:
+    """`pairs` with `mapped`: whether a mapping (a, b) relates them, in either direction."""
+    known = mappings.select(F.least(a, b).alias("__x"), F.greatest(a, b).alias("__y"), F.lit(True).alias("mapped")).distinct()
+    found = pairs.withColumns({"__x": F.least(one, two), "__y": F.greatest(one, two)}).join(known, ["__x", "__y"], "left")
+    return found.drop("__x", "__y").withColumn("mapped", F.coalesce("mapped", F.lit(False)))
+
+
+def confusion(found: DataFrame, gold: DataFrame, keys: list[str]) -> DataFrame:
+    """(tp, fp, fn, tn): pairs that are found held against annotated ones. `gold` has the keys and yes and no, the votes for
+    and against; as many of both, or none, leaves a pair out. A found pair that nobody annotated counts as wrong."""
+    judged = gold.groupBy(*keys).agg(F.sum("yes").alias("__y"), F.sum("no").alias("__n"))
+    both = found.select(*keys).distinct().withColumn("__m", F.lit(True)).join(judged, keys, "full")
+    hit, right, wrong = F.col("__m").isNotNull(), F.col("__y") > F.col("__n"), F.col("__n") > F.col("__y")
+    unknown = F.col("__y").isNull()
+    return both.agg(F.count(F.when(hit & right, 1)).alias("tp"), F.count(F.when(hit & (wrong | unknown), 1)).alias("fp"), F.count(F.when(~hit & right, 1)).alias("fn"), F.count(F.when(~hit & wrong, 1)).alias("tn"))

@@ -2,40 +2,64 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from synoptic.model import class_of, closure
 from synoptic.runtime import Scratch
 
 #: Agencies whose names should not be part of a label.
 AGENCIES = ["NASA", "ESA", "JAXA", "CNES", "ISRO", "ESO", "NOAA", "CNSA"]
 
+#: Classes that need not be part of anything.
+NO_BROADER = ("ground observatory", "investigation", "airborne", "spacecraft", "ground facility")
+
 
 def lint(entities: DataFrame) -> DataFrame:
-    """(uri, warning, label): of entities (uri, label, entity_type, apertures, country, is_part_of, n_children) those with
-    a label shared with another, an agency or an unexplained acronym in it, a size in another form or that the entity
-    lacks, no country, a country in the label that is not its own, and none of parents and children."""
+    """(uri, warning, label): labels that need a look, of entities (uri, label, entity_type, apertures, country, parent: the
+    label of the entity that it is part of, parent_type).
+
+    duplicate label; agency in it, unless the parent's label has it too; an acronym of two to five capitals; of telescopes,
+    a size in another unit than metres ("aperture format"), else a label that does not begin with the size ("aperture
+    missing"); of facilities on the ground, a country that the label does not end with ("country mismatch"), or none
+    ("country missing"); a platform as parent that the label does not name after "at" or "on" ("broader missing"); no
+    parent where the class should have one ("orphan")."""
     shared = entities.where("label is not null").groupBy(F.lower("label").alias("l")).agg(F.count("*").alias("n")).where("n > 1").select("l", F.lit(True).alias("dup"))
     rows = entities.join(shared, F.lower("label") == F.col("l"), "left")
-    ground = F.col("entity_type").isin("ground observatory", "telescope", "observatory")
-    size = F.regexp_extract("label", r"(\d+(?:\.\d+)?)\s?-?m\b", 1)
+    kind, above = class_of(F.col("entity_type")), closure()
+    below = lambda c: [k for k in sorted(above) if c in above[k]]
+    label, parent = F.col("label"), F.coalesce("parent", F.lit(""))
+    words = lambda names: r"\b(" + "|".join(names) + r")\b"
+    agency = F.filter(F.regexp_extract_all(label, F.lit(words(AGENCIES)), 1), lambda a: ~F.contains(parent, a))
+    capitals = F.filter(F.regexp_extract_all(label, F.lit(r"(?<!\p{Lu})(\p{Lu}{2,5})(?!\p{Lu})"), 1), lambda a: ~a.isin(AGENCIES))
+    # The country's name without what follows a comma ("Korea, Republic of").
+    country = F.split("country", ",")[0]
+    country = F.when(F.col("country").contains(",") & (country == "Korea"), "South Korea").otherwise(F.trim(country))
+    unit = label.rlike(r"(?i)\d ?(cm|inches|inch|mm|km|foot|feet)")
+    started = label.rlike(r"^\d+(\.\d+)?m ")
+    platform = class_of(F.col("parent_type")).isin(below("platform")) & (class_of(F.col("parent_type")) != "investigation")
+    named = F.contains(label, F.concat(F.lit(" at "), parent)) | F.contains(label, F.concat(F.lit(" on "), parent))
     checks: list[tuple[str, Column]] = [
         ("duplicate", F.col("dup").isNotNull()),
-        ("agency", F.col("label").rlike(r"\b(" + "|".join(AGENCIES) + r")\b")),
-        ("acronym", F.col("label").rlike(r"^[A-Z0-9]{2,7}$") | F.col("label").rlike(r"\([A-Z0-9]{2,7}\)")),
-        ("aperture format", F.col("label").rlike(r"\d\s*-?\s*(cm|mm|inch|feet|foot)\b")),
-        ("aperture missing", (size != "") & ~F.coalesce(F.array_contains("apertures", size.cast("double")), F.lit(False))),
-        ("country missing", ground & F.col("country").isNull()),
-        ("orphan", F.col("is_part_of").isNull() & (F.coalesce("n_children", F.lit(0)) == 0)),
+        ("agency", F.size(agency) > 0),
+        ("acronym", F.size(capitals) > 0),
+        ("aperture format", (kind == "telescope") & ~started & unit),
+        ("aperture missing", (kind == "telescope") & ~started & ~unit),
+        ("country mismatch", kind.isin(below("ground facility")) & ~F.endswith(label, F.concat(F.lit(", "), country))),
+        ("country missing", kind.isin("ground observatory", "ground facility") & F.col("country").isNull()),
+        ("broader missing", F.col("parent").isNotNull() & platform & ~named),
+        ("orphan", F.col("parent").isNull() & ~F.coalesce(kind, F.lit("")).isin(*NO_BROADER)),
     ]
     flags = F.filter(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in checks]), lambda x: x.isNotNull())
-    return rows.select("uri", F.explode(flags).alias("warning"), "label").distinct()
+    return rows.where(label.isNotNull()).select("uri", F.explode(flags).alias("warning"), "label").distinct()
 
 
-def levels(edges: DataFrame, nodes: DataFrame, most: int = 10) -> DataFrame:
-    """(id, label, level, path): nodes (id, label) below the roots by their first parent (src is part of dst), to a depth of
-    `most` (the reports' depth; `hierarchy` has no such bound). Nodes on loops, and below, are roots at the end: level 0
-    with their own path."""
+def levels(edges: DataFrame, nodes: DataFrame, most: int | None = None) -> DataFrame:
+    """(id, label, level, path): nodes (id, label) below the roots by their first parent (src is part of dst). Nodes on loops,
+    and below, are roots at the end: level 0 with their own path. With `most` nodes deeper than that are left out. One
+    round a level; `hierarchy` takes few rounds for deep trees."""
     first = edges.groupBy(F.col("src").alias("id")).agg(F.min("dst").alias("up"))
     labelled = nodes.groupBy("id").agg(F.min("label").alias("label")).join(first, "id", "left")
     known = labelled.select(F.col("id").alias("k"))
@@ -44,14 +68,15 @@ def levels(edges: DataFrame, nodes: DataFrame, most: int = 10) -> DataFrame:
     labelled = scratch.write(labelled)
     front = scratch.write(labelled.where("up is null").select("id", "label", F.lit(0).alias("level"), F.array("label").alias("names")))
     out = front
-    for depth in range(1, most + 1):
+    for depth in count(1):
         above = front.select(F.col("id").alias("up"), F.col("names").alias("above"))
         front = scratch.write(labelled.join(above, "up").select("id", "label", F.lit(depth).alias("level"), F.concat("above", F.array("label")).alias("names")))
         if not front.limit(1).count():
             break
         out = out.union(front)
     rest = labelled.join(out.select("id"), "id", "left_anti").select("id", "label", F.lit(0).alias("level"), F.array("label").alias("names"))
-    return out.union(rest).select("id", "label", "level", F.array_join("names", " > ", "").alias("path"))
+    out = out.union(rest).select("id", "label", "level", F.array_join("names", " > ", "").alias("path"))
+    return out if most is None else out.where(F.col("level") <= most)
 
 
 def name_lookup(labels: DataFrame) -> DataFrame:

@@ -37,14 +37,11 @@ def without(edges: DataFrame, removed: DataFrame) -> DataFrame:
     return edges.join(gone, (F.least("src", "dst") == F.col("x")) & (F.greatest("src", "dst") == F.col("y")), "left_anti")
 
 
-def closure_pairs(members: DataFrame, most: int = 1000) -> DataFrame:
-    """(src, dst) for all pairs of a synset of at most `most` members, and (member, synset_id) both ways for larger ones,
-    which say the same in as many rows as there are members."""
-    sized = members.join(members.groupBy("synset_id").agg(F.count("*").alias("n")), "synset_id")
-    few = sized.where(F.col("n") <= most)
-    pairs = few.select("synset_id", F.col("id").alias("src")).join(few.select("synset_id", F.col("id").alias("dst")), "synset_id").where("src <> dst").select("src", "dst")
-    star = sized.where((F.col("n") > most) & (F.col("id") != F.col("synset_id"))).select(F.col("id").alias("src"), F.col("synset_id").alias("dst"))
-    return pairs.union(star).union(star.select("dst", "src"))
+def closure_pairs(members: DataFrame) -> DataFrame:
+    """(src, dst): each member linked with its synset's representative, in both directions. That says what all pairs of a
+    synset say in as many rows as there are members: two are synonyms if they have the same representative."""
+    star = members.where(F.col("id") != F.col("synset_id")).select(F.col("id").alias("src"), F.col("synset_id").alias("dst")).distinct()
+    return star.union(star.select("dst", "src"))
 
 
 def with_authority(members: DataFrame, sources: DataFrame) -> DataFrame:

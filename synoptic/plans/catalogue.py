@@ -12,8 +12,8 @@ from synoptic.operators import changes, compare, embed, enrich, joins, publish,
 from synoptic.operators.hierarchy import clean_reference
 from synoptic.operators.nearby import haversine_km, usable
 from synoptic.plans import strategy
-from synoptic.runtime import read
-from synoptic.sources import readers
+from synoptic.runtime import Scratch, read
+from synoptic.sources import readers, writers
 from synoptic.streaming import refresh
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -83,13 +83,42 @@ def class_closure(spark: SparkSession, d: str) -> DataFrame:
     return joins.closed(t, "id", "above")
 
 
-@query("""with r as (select distinct rec_id, code, label, entity_type, latitude as la, longitude as lo, start_date from spase_record where label is not null), w as (select *, split_part(lower(label), ' ', 1) as first, split_part(lower(label), ' ', 2) as leaf from r)
-    select a.rec_id as a, b.rec_id as b from w a join w b on a.first = b.first and a.entity_type = b.entity_type and a.rec_id < b.rec_id where a.leaf = b.leaf or a.start_date = b.start_date or 2 * 6371.0088 * asin(least(1, sqrt(power(sin(radians(b.la - a.la) / 2), 2) + cos(radians(a.la)) * cos(radians(b.la)) * power(sin(radians(b.lo - a.lo) / 2), 2)))) < 4""")
+_MERGED = r"""r as (select distinct rec_id as id, coalesce(entity_type, '') as kind, label, alt_label, code, prior_id, nssdca_id, latitude as la, longitude as lo, start_date from spase_record),
+    ident as (select distinct id, kind, v from (select id, kind, lower(trim(u)) as v from (select id, kind, unnest(list_concat([code, nssdca_id], coalesce(prior_id, []::varchar[]))) as u from r)) where regexp_matches(v, '[a-z0-9]') and v not in {none}),
+    guard as (select id, v as g from (select distinct id, lower(trim(nssdca_id)) as v from r) where regexp_matches(v, '[a-z0-9]') and v not in {none}),
+    names as (select distinct id, u as name from (select id, unnest(list_concat([label], coalesce(alt_label, []::varchar[]))) as u from r) where u is not null),
+    w as (select distinct r.id, kind, coalesce(try_cast(regexp_extract(label, '(\d+)$', 1) as bigint), 0) as num, regexp_extract(name, '^[^-. ]*') as word, nullif(regexp_extract(lower(rtrim(trim(code), '.')), '([^/]*)$', 1), '') as leaf, start_date, la, lo, g,
+        coalesce(not isnan(la) and not isnan(lo) and la between -90 and 90 and lo between -180 and 360 and not (la = 0 and lo = 0), false) as placed from r join names using (id) left join guard using (id) where regexp_extract(name, '^[^-. ]*') <> ''),
+    pairs as (select a.id as x, b.id as y from ident a join ident b on a.kind = b.kind and a.v = b.v and a.id < b.id
+        union select a.id, b.id from w a join w b on a.kind = b.kind and a.num = b.num and a.word = b.word and a.id < b.id and (a.g is null or b.g is null or a.g = b.g) where a.leaf = b.leaf
+            or (a.placed and b.placed and 2 * 6371.0088 * asin(least(1, sqrt(power(sin(radians(b.la - a.la) / 2), 2) + cos(radians(a.la)) * cos(radians(b.la)) * power(sin(radians(b.lo - a.lo) / 2), 2)))) < 4)
+            or (not (a.placed and b.placed) and a.start_date = b.start_date)
+            or exists (select 1 from names m join names n on replace(lower(m.name), '-', ' ') = replace(lower(n.name), '-', ' ') where m.id = a.id and n.id = b.id)),
+    both_ways as (select x, y from pairs union select y, x from pairs),
+    reach as (select distinct x as id, x as low from both_ways union select e.y, r.low from reach r join both_ways e on e.x = r.id and r.low < e.y)""".replace("{none}", str(joins.NO_IDENTIFIER))
+
+
+@query(f"with recursive {_MERGED} select id as rec_id, min(low) as merged_id from reach group by id")
 def self_merge(spark: SparkSession, d: str) -> DataFrame:
-    """Records of one class and first word that agree in last word, start or place."""
-    word = lambda i: F.coalesce(F.get(F.split(F.lower("label"), " "), F.lit(i)), F.lit(""))
-    rows = read(spark, d, "spase_record").where("label is not null").select("rec_id", "entity_type", word(0).alias("first"), word(1).alias("leaf"), "latitude", "longitude", "start_date").distinct()
-    return joins.self_merge(rows, "rec_id", ["first", "entity_type"], ["leaf", "start_date"], "latitude", "longitude", 4.0)
+    """Records of one class that are the same by an identifier, or by name and leaf, place, start or label."""
+    none = F.array().cast("array<string>")
+    ids = F.concat(F.array("code", "nssdca_id"), F.coalesce("prior_id", none))
+    guard = F.lower(F.trim("nssdca_id"))
+    guard = F.when(guard.rlike("[a-z0-9]") & ~guard.isin(*joins.NO_IDENTIFIER), guard)
+    leaf = F.regexp_extract(F.lower(F.regexp_replace(F.trim("code"), r"\.+$", "")), "([^/]*)$", 1)
+    labels = F.array_compact(F.concat(F.array("label"), F.coalesce("alt_label", none)))
+    rows = read(spark, d, "spase_record").select(F.col("rec_id").alias("id"), F.col("entity_type").alias("kind"), ids.alias("ids"), guard.alias("guard"), F.coalesce(X.suffix_numbers("label"), F.lit(0)).alias("number"), labels.alias("labels"), leaf.alias("leaf"), "latitude", "longitude", F.col("start_date").alias("start")).distinct()
+    return joins.self_merge(rows).select(F.col("id").alias("rec_id"), F.col("group").alias("merged_id"))
+
+
+@query(r"""with recursive t as (select distinct node_id as id, regexp_replace(lower(trim(is_part_of, e' \t\n\r')), '::[0-9]+(\.[0-9]+)*$', '') as host, lower(trim(label)) as label, regexp_extract(lower(label), '^(\S*)', 1) as word from pds_context where entity_type = 'instrument' and is_part_of is not null),
+    pairs as (select a.id as x, b.id as y from t a join t b on a.host = b.host and a.id <> b.id and (a.label = b.label or a.word = b.word and a.word <> '')),
+    reach as (select distinct x as id, x as low from pairs union select e.y, r.low from reach r join pairs e on e.x = r.id and r.low < e.y)
+    select id as node_id, min(low) as merged_id from reach group by id""")
+def instrument_merge(spark: SparkSession, d: str) -> DataFrame:
+    """Instruments of one host with a label, or its first word, in common."""
+    rows = read(spark, d, "pds_context").where("entity_type = 'instrument'").select(F.col("node_id").alias("id"), clean_reference(F.col("is_part_of")).alias("host"), "label", F.regexp_extract(F.lower("label"), r"^(\S*)", 1).alias("word")).distinct()
+    return joins.merge_within(rows, "host", ["label", "word"]).select(F.col("id").alias("node_id"), F.col("group").alias("merged_id"))
 
 
 @query(f"""with i as (select distinct rec_id, entity_type, lower(trim(u)) as v from (select rec_id, entity_type, unnest(list_concat([code, nssdca_id], coalesce(prior_id, []::varchar[]))) as u from spase_record where coalesce(entity_type, '') <> 'instrument') where u is not null),
@@ -101,23 +130,27 @@ def self_merge_identifiers(spark: SparkSession, d: str) -> DataFrame:
     return joins.identifier_links(rows, "rec_id", ["entity_type"], ["code", "nssdca_id", "prior_id"])
 
 
-@query("""with s as (select distinct site_id, label, latitude as la, longitude as lo, altitude from iaumpc_site)
-    select site_id, case when not isnan(la) and not isnan(lo) and la between -90 and 90 and lo between -180 and 360 and not (la = 0 and lo = 0) then 1.0::double when label is not null and contains(label, ',') then 0.25::double else 0.0::double end as confidence from s""")
+@query("""with s as (select distinct site_id, label, latitude as la, longitude as lo, alt_label[1] as address, code from iaumpc_site)
+    select site_id, case when not isnan(la) and not isnan(lo) and la between -90 and 90 and lo between -180 and 360 and not (la = 0 and lo = 0) then 1.0::double when contains(address, ' ') then 0.75::double when contains(label, ', ') then 0.5::double when label is not null then 0.25::double else 1.0::double end as confidence,
+    case when not isnan(la) and not isnan(lo) and la between -90 and 90 and lo between -180 and 360 and not (la = 0 and lo = 0) then 'position' when contains(address, ' ') then address when contains(label, ', ') then split_part(label, ', ', 2) when label is not null then label else code end as place from s""")
 def location_ladder(spark: SparkSession, d: str) -> DataFrame:
-    """How sure each site's place is: by its position, else by a place in its label."""
-    sites = read(spark, d, "iaumpc_site").select("site_id", "label", "latitude", "longitude", "altitude").distinct()
-    at = F.concat_ws(" ", F.col("latitude").cast("string"), F.col("longitude").cast("string"))
-    found = geo.resolved((usable(F.col("latitude"), F.col("longitude")), at, 1.0), (F.contains("label", F.lit(",")), F.col("label"), 0.25))
-    return sites.select("site_id", F.coalesce(found["confidence"], F.lit(0.0)).alias("confidence"))
+    """Each site's place and how sure it is: by its position, its address (the first other name), the location in its label,
+    the label, or its country (the code)."""
+    sites = read(spark, d, "iaumpc_site").select("site_id", "label", "latitude", "longitude", F.get("alt_label", F.lit(0)).alias("address"), "code").distinct()
+    has = lambda c, part: F.coalesce(F.contains(c, F.lit(part)), F.lit(False))
+    location = F.get(F.split("label", ", "), F.lit(1))
+    found = geo.resolved((usable(F.col("latitude"), F.col("longitude")), F.lit("position"), 1.0), (has("address", " "), F.col("address"), 0.75), (has("label", ", "), location, 0.5), (F.col("label").isNotNull(), F.col("label"), 0.25), (F.lit(True), F.col("code"), 1.0))
+    return sites.select("site_id", found["confidence"].alias("confidence"), found["place"].alias("place"))
 
 
-@query("""with m as (select l_orderkey, l_linenumber, l_partkey as a, l_suppkey as b, l_discount from lineitem) select 'set|' || a || '|' || b as mapping_id, count(*) as n from (select distinct a, b from m) group by 1""")
+@query("""with m as (select l_partkey::varchar as a, l_suppkey::varchar as b, max(l_returnflag) as f, min(l_discount) as score from lineitem group by 1, 2)
+    select 'set|' || a || '|' || b as mapping_id, 'set' as set_id, a as subject_id, case f when 'R' then 'differentFrom' when 'A' then 'broadMatch' else 'exactMatch' end as predicate_id, b as object_id, score as similarity_score, case f when 'N' then 'label' else 'hybrid' end as similarity_measure, case f when 'N' then 'lexical' else 'validated' end as justification_type, 'driver' as creator, false as deprecated from m""")
 def mapping_facts(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of a mapping table, one for each decided pair."""
-    none = F.lit(None).cast("map<string,double>")
-    pairs = read(spark, d, "lineitem").select(F.col("l_partkey").cast("string").alias("a"), F.col("l_suppkey").cast("string").alias("b")).distinct()
-    facts = strategy.mapping_rows(pairs.select("a", "b", F.lit("exactMatch").alias("predicate"), F.lit("lexical").alias("justification"), F.lit(1.0).alias("score"), none.alias("scores")), "set", "driver")
-    return facts.groupBy("mapping_id").agg(F.count("*").alias("n"))
+    """Rows of a mapping table, one for each decided pair, negative ones among them."""
+    flag = F.max("l_returnflag")
+    predicate = F.when(flag == "R", "differentFrom").when(flag == "A", "broadMatch").otherwise("exactMatch")
+    pairs = read(spark, d, "lineitem").groupBy(F.col("l_partkey").cast("string").alias("a"), F.col("l_suppkey").cast("string").alias("b")).agg(predicate.alias("predicate"), F.when(flag == "N", "lexical").otherwise("validated").alias("justification"), F.min("l_discount").alias("score"))
+    return strategy.mapping_rows(pairs.withColumn("scores", F.lit(None).cast("map<string,double>")), "set", "driver").drop("scores")
 
 
 @query("""with e as (select distinct synset_id as s, rec_id as r from synset_record), f as (select min(r) as lo, max(r) as hi from e group by s having count(*) > 1)
@@ -161,10 +194,18 @@ def minus_exclusion(spark: SparkSession, d: str) -> DataFrame:
     return joins.excluded(records.select("rec_id", "code").distinct(), "rec_id", [records.where(F.col("entity_type").isin("airborne", "unknown")), records.where(F.lower("label").like("%a"))])
 
 
-@query("""select distinct facility_id, label as form, 'label' as kind from aas_keyword where label is not null""")
+@query(r"""with l as (select distinct site_id, case when regexp_matches(label, '[A-Z]') then label || ' (' || regexp_replace(label, '[^A-Z]', '', 'g') || ')' else label end as label from iaumpc_site where label is not null),
+    c as (select *, trim(regexp_replace(regexp_replace(trim(label), '\s*\([^(]+?\)', ' ', 'g'), '\s+', ' ', 'g')) as name, regexp_extract_all(trim(label), '\(([^(]+?)\)', 1) as found from l),
+    a as (select *, case when len(found) = 1 and ends_with(trim(label), ')') and trim(found[1]) = regexp_replace(name, '[^A-Z]', '', 'g') and length(trim(found[1])) <= length(name) / 3.0 then trim(found[1]) else '' end as acronym from c),
+    f as (select site_id, label as form, 0 as o, 'label' as kind from a union all select site_id, name, 1, 'name' from a union all select site_id, acronym, 2, 'acronym' from a
+        union all select site_id, trim(string_split(name, x)[1]), 3, 'short' from a, (values (' at '), (',')) d(x) where len(string_split(name, x)) = 2 and trim(string_split(name, x)[2]) <> '')
+    select site_id, form, arg_min(kind, o) as kind from f where form <> '' group by 1, 2""")
 def label_forms(spark: SparkSession, d: str) -> DataFrame:
-    """Forms under which each facility can be found."""
-    return enrich.label_forms(read(spark, d, "aas_keyword"), "facility_id", "label")
+    """Forms under which each site can be found: with and without its acronym (the capitals of its label), the acronym, and
+    without a place."""
+    capitals = F.regexp_replace("label", "[^A-Z]", "")
+    rows = read(spark, d, "iaumpc_site").where("label is not null").select("site_id", F.when(capitals != "", F.concat("label", F.lit(" ("), capitals, F.lit(")"))).otherwise(F.col("label")).alias("label")).distinct()
+    return enrich.label_forms(rows, "site_id", "label")
 
 
 @query("""with r as (select distinct synset_id, r.entity_type as t from synset_record s join spase_record r on s.rec_id = r.rec_id where r.entity_type is not null), g as (select synset_id, list_sort(list(distinct t)) as ts from r group by 1)
@@ -189,11 +230,13 @@ def recorded_labels(spark: SparkSession, d: str) -> DataFrame:
     return enrich.with_recorded(rows, "facility_id", "label", recorded).select("facility_id", "label")
 
 
-@query("""select event_id, case event_type when 'click' then 'exactMatch' when 'view' then 'narrowMatch' when 'error' then 'differentFrom' else null end as relation from events""")
+@query("""with a as (select distinct mention_id, label, case when alt_label is null then 'narrow' when label = alt_label then 'same' when length(label) > length(alt_label) then 'broad' when contains(label, ' ') then 'distinct' else 'unclear' end as word from facility_mention where label is not null)
+    select mention_id, case word when 'narrow' then 'narrowMatch' when 'same' then 'exactMatch' when 'broad' then 'broadMatch' when 'distinct' then 'differentFrom' end as relation from a""")
 def answer_decisions(spark: SparkSession, d: str) -> DataFrame:
-    """Decisions read from answers, as relations."""
-    text = F.when(F.col("event_type") == "click", "<think>distinct?</think> These are the Same thing.").when(F.col("event_type") == "view", "narrow, because").when(F.col("event_type") == "error", "They are distinct").otherwise("cannot tell")
-    return read(spark, d, "events").select("event_id", answers.relation(answers.decision(text)).alias("relation"))
+    """Decisions read from answers about the two names of a mention, as relations."""
+    word = F.when(F.col("alt_label").isNull(), "narrow").when(F.col("label") == F.col("alt_label"), "Same").when(F.length("label") > F.length("alt_label"), "BROAD").when(F.contains("label", F.lit(" ")), "distinct").otherwise("unclear")
+    text = F.concat(F.lit("<think>same or distinct or broad? "), F.coalesce("alt_label", F.lit("")), F.lit("</think>"), "label", F.lit(" is "), word, F.lit(", as far as I can see."))
+    return read(spark, d, "facility_mention").where("label is not null").select("mention_id", answers.relation(answers.decision(text)).alias("relation")).distinct()
 
 
 @query("""select distinct rec_id, case entity_type when 'space mission' then 'investigation' when 'observatory network' then 'ground observatory' when 'unknown' then 'ufo' else entity_type end as category from spase_record where entity_type is not null""")
@@ -233,9 +276,8 @@ def duplicate_labels(spark: SparkSession, d: str) -> DataFrame:
     select p, q, m.x is not null as mapped from g left join m on least(p, q) = x and greatest(p, q) = y""")
 def mapped_either_way(spark: SparkSession, d: str) -> DataFrame:
     """Whether stated pairs are mapped, in either direction."""
-    m = read(spark, d, "lineitem").where("l_partkey <> l_suppkey").select(F.least("l_partkey", "l_suppkey").alias("x"), F.greatest("l_partkey", "l_suppkey").alias("y"), F.lit(True).alias("hit")).distinct()
-    g = read(spark, d, "orders").select(F.col("o_custkey").alias("p"), (F.col("o_orderkey") % 1000).alias("q")).distinct()
-    return g.withColumns({"x": F.least("p", "q"), "y": F.greatest("p", "q")}).join(m, ["x", "y"], "left").select("p", "q", F.coalesce("hit", F.lit(False)).alias("mapped"))
+    m = read(spark, d, "lineitem").where("l_partkey <> l_suppkey")
+    return joins.mapped_either_way(read(spark, d, "orders").select(F.col("o_custkey").alias("p"), (F.col("o_orderkey") % 1000).alias("q")).distinct(), m, "p", "q", "l_partkey", "l_suppkey")
 
 
 @query(f"select uri, attr, value from {_LONG} where not (attr = 'alt_label' and length(value) < 5)")
@@ -325,9 +367,9 @@ def levenshtein_pairs(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "facility_mention").where("label is not null and alt_label is not null").select("mention_id", F.levenshtein(bare("label"), bare("alt_label")).cast("bigint").alias("edits")).distinct()
 
 
-@query(r"""select facility_id, array_to_string(list_sort(list_filter(regexp_split_to_array(lower(label), '\s+'), lambda x: x <> '')), ' ') as key from aas_keyword""")
+@query(r"""select distinct rec_id, array_to_string(list_sort(list_filter(regexp_split_to_array(lower(label), '\s+'), lambda x: x <> '')), ' ') as key from spase_record""")
 def token_sort_key(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "aas_keyword").select("facility_id", X.token_sort_key(F.col("label")).alias("key"))
+    return read(spark, d, "spase_record").select("rec_id", X.token_sort_key(F.col("label")).alias("key")).distinct()
 
 
 @query()
@@ -341,12 +383,12 @@ def digit_inclusion(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("mention_id", X.digit_score(X.numbers_in(F.col("label")), X.numbers_in(F.col("alt_label"))).alias("score"))
 
 
-@query(r"""with w as (select facility_id, substr(u, 1, 5) as term from (select facility_id, unnest(regexp_extract_all(lower(label), '(\p{L}+|\d+)')) as u from aas_keyword)),
-    tf as (select facility_id, term, count(*) as tf from w group by 1, 2), df as (select term, count(*) as df from tf group by 1), n as (select count(*) as n from aas_keyword where label is not null),
+@query(r"""with w as (select facility_id, substr(u, 1, 5) as term from (select rec_id as facility_id, unnest(regexp_extract_all(lower(label), '(\p{L}+|\d+)')) as u from (select distinct rec_id, label from spase_record))),
+    tf as (select facility_id, term, count(*) as tf from w group by 1, 2), df as (select term, count(*) as df from tf group by 1), n as (select count(*) as n from (select distinct rec_id, label from spase_record) where label is not null),
     r as (select facility_id, tf.term, tf, tf * (ln((1 + n) / (1 + df)) + 1) as raw from tf join df using (term), n)
-    select facility_id, term, tf, round(raw / sqrt(sum(raw * raw) over (partition by facility_id)), 6) as weight from r""")
+    select facility_id as rec_id, term, tf, round(raw / sqrt(sum(raw * raw) over (partition by facility_id)), 6) as weight from r""")
 def tfidf_weights(spark: SparkSession, d: str) -> DataFrame:
-    return embed.tfidf(read(spark, d, "aas_keyword"), "facility_id", "label").select("facility_id", "term", "tf", F.round("weight", 6).alias("weight"))
+    return embed.tfidf(read(spark, d, "spase_record").select("rec_id", "label").distinct(), "rec_id", "label").select("rec_id", "term", "tf", F.round("weight", 6).alias("weight"))
 
 
 @query("""with q as (select vec_id, embedding from embeddings where vec_id % 100 = 0), p as (select q.vec_id as query, e.vec_id, round(list_cosine_similarity(q.embedding::double[], e.embedding::double[]), 9) as score from q, embeddings e where q.vec_id <> e.vec_id),
@@ -386,20 +428,29 @@ def reject_streak(spark: SparkSession, d: str) -> DataFrame:
     return select.until_streak(events, ["user_id"], "event_id", F.floor(F.col("event_id") / 100_000), "ok", 2).select("user_id", "event_id")
 
 
-@query()
+@query("""with recursive p as (select c_custkey as a, s_suppkey as b, round(-abs(c_acctbal - s_acctbal), 4) as score from customer join supplier on c_nationkey = s_nationkey where abs(c_acctbal - s_acctbal) <= 200),
+    r as (select *, row_number() over (order by score desc, a, b) as n from p),
+    turn as (select 0::bigint as n, []::bigint[] as ta, []::bigint[] as tb, false as ok, null::bigint as a, null::bigint as b, null::double as score
+        union all select r.n, case when t.ok then list_append(t.ta, r.a::bigint) else t.ta end, case when t.ok then list_append(t.tb, r.b::bigint) else t.tb end, t.ok, r.a, r.b, r.score
+        from (select s.n, s.ta, s.tb, q.n as at, not list_contains(s.ta, q.a::bigint) and not list_contains(s.tb, q.b::bigint) as ok from turn s join r q on q.n = s.n + 1) t join r on r.n = t.at)
+    select a, b, score from turn where ok""")
 def one_to_one(spark: SparkSession, d: str) -> DataFrame:
-    """Customers and suppliers of one nation, paired greedily by how near their balances are: top candidates only come
-    from equal rounded balances, so pairs stay few."""
+    """Customers and suppliers of one nation whose balances are at most 200 apart, paired greedily by how near they are."""
     c = read(spark, d, "customer").select(F.col("c_custkey").alias("a"), F.col("c_nationkey").alias("n"), F.floor(F.col("c_acctbal") / 200).alias("k"), F.col("c_acctbal").alias("x"))
-    s = read(spark, d, "supplier").select(F.col("s_suppkey").alias("b"), F.col("s_nationkey").alias("n"), F.floor(F.col("s_acctbal") / 200).alias("k"), F.col("s_acctbal").alias("y"))
-    return select.one_to_one(c.join(s, ["n", "k"]).select("a", "b", F.round(-F.abs(F.col("x") - F.col("y")), 4).alias("score")), "one_to_one")
+    s = read(spark, d, "supplier").select(F.col("s_suppkey").alias("b"), F.col("s_nationkey").alias("n"), F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: F.floor(F.col("s_acctbal") / 200) + i)).alias("k"), F.col("s_acctbal").alias("y"))
+    return select.one_to_one(c.join(s, ["n", "k"]).where("abs(x - y) <= 200").select("a", "b", F.round(-F.abs(F.col("x") - F.col("y")), 4).alias("score")), "one_to_one")
 
 
-@query("""with p as (select l_partkey as a, l_suppkey as b, max(l_extendedprice) as score from lineitem group by 1, 2), r as (select *, row_number() over (partition by a order by score desc, a, b) as x, row_number() over (partition by b order by score desc, a, b) as y from p)
-    select a, b, score from r where x <= 3 and y <= 3 order by score desc, a, b limit 500""")
+@query("""with recursive p as (select l_suppkey as a, c_nationkey as b, max(l_extendedprice) as score from lineitem join orders on o_orderkey = l_orderkey join customer on c_custkey = o_custkey group by 1, 2),
+    r as (select *, row_number() over (order by score desc, a, b) as n from p),
+    turn as (select 0::bigint as n, []::bigint[] as ta, []::bigint[] as tb, 0 as made, false as ok, null::bigint as a, null::bigint as b, null::double as score
+        union all select r.n, case when t.ok then list_append(t.ta, r.a::bigint) else t.ta end, case when t.ok then list_append(t.tb, r.b::bigint) else t.tb end, t.made + t.ok::int, t.ok, r.a, r.b, r.score
+        from (select s.n, s.ta, s.tb, s.made, q.n as at, len(list_filter(s.ta, lambda x: x = q.a)) < 3 and len(list_filter(s.tb, lambda x: x = q.b)) < 3 as ok from turn s join r q on q.n = s.n + 1 where s.made < 500) t join r on r.n = t.at)
+    select a, b, score from turn where ok""")
 def attempt_cap(spark: SparkSession, d: str) -> DataFrame:
-    """The offers for decision: a report of at most 500 pairs."""
-    return select.attempts_within(read(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b")).agg(F.max("l_extendedprice").alias("score")))
+    """Offers of suppliers to nations of customers by the best price: a session of at most 500, three for each."""
+    orders = read(spark, d, "lineitem").join(read(spark, d, "orders"), F.col("o_orderkey") == F.col("l_orderkey")).join(read(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
+    return select.attempts_within(orders.groupBy(F.col("l_suppkey").alias("a"), F.col("c_nationkey").alias("b")).agg(F.max("l_extendedprice").alias("score")))
 
 
 # Votes and golden records --------------------------------------------------------------------------------------------
@@ -432,14 +483,24 @@ def majority_rounded(spark: SparkSession, d: str) -> DataFrame:
     return vote.majority_numbers(rows, ["synset_id"], "latitude", "rec_id")
 
 
-@query(f"""with g as (select synset_id, array_to_string(list_sort(list_distinct(list(label))), '|') as labels, array_to_string(list_sort(list_distinct(list(list_name))), '|') as sources from {_USABLE_LABELS} group by 1),
+@query(f"""with g as (select synset_id, array_to_string(list_sort(list_distinct(list(label))), '|') as labels, array_to_string(list_sort(list_distinct(list(list_name))), '|') as sources, min(label) filter (list_name = 'wikidata') as own from {_USABLE_LABELS} group by 1),
     c as (select synset_id, label as value, count(*) as votes from {_USABLE_LABELS} group by 1, 2), r as (select *, row_number() over (partition by synset_id order by votes desc, length(value) desc, value desc) as k from c)
-    select synset_id, value as label, votes, labels, sources from r join g using (synset_id) where k = 1""")
+    select synset_id, coalesce(own, value) as label, votes, labels, sources from r join g using (synset_id) where k = 1""")
 def golden_record(spark: SparkSession, d: str) -> DataFrame:
-    g = vote.golden(_records(spark, d), "synset_id", "list_name", "label", {}, [], [], "rec_id")
+    """The label of the trusted list, else the voted one, with all labels and lists."""
+    g = vote.golden(_records(spark, d), "synset_id", "list_name", "label", {}, [], [], "rec_id", trusted="wikidata")
     return g.select("synset_id", "label", "votes", F.array_join("labels", "|").alias("labels"), F.array_join("sources", "|").alias("sources"))
 
 
+@query()
+def golden_place(spark: SparkSession, d: str) -> DataFrame:
+    """Place, start and label by the golden record's rules: lists are sure of places by their trust."""
+    sure = read(spark, d, "list_authority").select("list_name", (1.0 / F.col("trust_rank")).alias("sure"))
+    rows = read(spark, d, "synset_record").where("synset_id is not null").select("synset_id", "rec_id", "list_name", "label", "latitude", "longitude", F.try_to_date(F.substring(F.regexp_replace("start_date", r"^\+", ""), 1, 10), "yyyy-MM-dd").alias("start")).distinct().join(F.broadcast(sure), "list_name", "left")
+    rows = rows.withColumn("sure", F.when(usable(F.col("latitude"), F.col("longitude")), F.col("sure"))).withColumns({c: F.when(F.col("sure").isNotNull(), F.col(c)) for c in ("latitude", "longitude")})
+    return vote.golden(rows, "synset_id", "list_name", "label", {}, ["start"], [], "rec_id", place=("latitude", "longitude", "sure"), trusted="wikidata").select("synset_id", "label", "latitude", "longitude", F.array_join(F.transform("start", lambda x: x.cast("string")), ",").alias("start"))
+
+
 @query("""select synset_id, label as value, array_to_string(list_sort(list_distinct(list(list_name))), '|') as prov, count(*) as mentions from (select distinct synset_id, rec_id, label, list_name from synset_record where label is not null) group by 1, 2""")
 def provenance_union(spark: SparkSession, d: str) -> DataFrame:
     rows = read(spark, d, "synset_record").select("synset_id", "rec_id", "label", "list_name").distinct()
@@ -477,9 +538,11 @@ def last_version(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""with r as (select rec_id, label, modified, loaded_at, row_number() over (partition by rec_id order by loaded_at desc) as k from spase_record) select rec_id, label, modified from r where k = 1""")
 def upsert(spark: SparkSession, d: str) -> DataFrame:
-    """Records by their last delivery, first deliveries being the old version."""
+    """Records by their last delivery: first deliveries are the old version, later ones the new."""
     rows = read(spark, d, "spase_record").select("rec_id", "label", "modified", "loaded_at")
-    return changes.upsert(rows.limit(0), rows, ["rec_id"], ["loaded_at"]).select("rec_id", "label", "modified")
+    old = rows.groupBy("rec_id").agg(F.min_by(F.struct("label", "modified", "loaded_at"), "loaded_at").alias("r")).select("rec_id", "r.*")
+    new = rows.join(old.select("rec_id", F.col("loaded_at").alias("first")), "rec_id").where("loaded_at > first").drop("first")
+    return changes.upsert(old, new, ["rec_id"], ["loaded_at"]).select("rec_id", "label", "modified")
 
 
 @query("""with p as (select p_partkey as k, p_name as n from part), r as (select case when k % 11 = 3 then k + 1000000000 else k end as k, n from p union all select -1, 'added'),
@@ -516,8 +579,9 @@ def connected_components(spark: SparkSession, d: str) -> DataFrame:
     return synsets.synsets(_edges(spark, d), "components")
 
 
-@query(f"with {_CLOSED} select a.id as src, b.id as dst from c a join c b using (synset_id) where a.id <> b.id and a.synset_id in (select synset_id from c group by 1 having count(*) <= 1000) union all select id, synset_id from c where id <> synset_id and synset_id in (select synset_id from c group by 1 having count(*) > 1000) union all select synset_id, id from c where id <> synset_id and synset_id in (select synset_id from c group by 1 having count(*) > 1000)")
+@query(f"with {_CLOSED}, m as (select id, synset_id from c where id <> synset_id) select id as src, synset_id as dst from m union all select synset_id, id from m")
 def closure_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Members and representatives of synsets, in both directions."""
     return synsets.closure_pairs(connected_components(spark, d))
 
 
@@ -552,17 +616,26 @@ def hierarchy_levels(spark: SparkSession, d: str) -> DataFrame:
     return publish.levels(t.where("up is not null").select(F.col("id").alias("src"), F.col("up").alias("dst")), t.select("id", "label"))
 
 
-@query(r"""with e as (select facility_id as uri, label, entity_type, aperture from aas_keyword), dup as (select lower(label) as l from e group by 1 having count(*) > 1), x as (
-    select uri, 'duplicate' as warning, label from e where lower(label) in (select l from dup)
-    union select uri, 'agency', label from e where regexp_matches(label, '\b(NASA|ESA|JAXA|CNES|ISRO|ESO|NOAA|CNSA)\b')
-    union select uri, 'acronym', label from e where regexp_matches(label, '^[A-Z0-9]{2,7}$') or regexp_matches(label, '\([A-Z0-9]{2,7}\)')
-    union select uri, 'aperture format', label from e where regexp_matches(label, '\d\s*-?\s*(cm|mm|inch|feet|foot)\b')
-    union select uri, 'aperture missing', label from e where regexp_extract(label, '(\d+(?:\.\d+)?)\s?-?m\b', 1) <> '' and aperture is distinct from try_cast(regexp_extract(label, '(\d+(?:\.\d+)?)\s?-?m\b', 1) as double)
-    union select uri, 'country missing', label from e where entity_type in ('ground observatory', 'telescope', 'observatory')
-    union select uri, 'orphan', label from e) select uri, warning, label from x""")
+_LINTED = """t as (select distinct r.uri, r.label, coalesce(case r.entity_type when 'space mission' then 'investigation' when 'observatory network' then 'ground observatory' when 'unknown' then 'ufo' else r.entity_type end, '') as kind, case when regexp_matches(r.label, '^[A-L]') then split_part(r.label, ' ', 2) end as country, g.label as parent from spase_record r left join observatory_group g on lower(rtrim(trim(r.is_part_of), '.')) = lower(g.code) where r.label is not null),
+    dup as (select lower(label) as l from t group by 1 having count(*) > 1)"""
+
+
+@query(f"""with {_LINTED} select uri, 'duplicate' as warning, label from t where lower(label) in (select l from dup)
+    union select uri, 'agency', label from t where regexp_matches(label, '\\b(NASA|ESA|JAXA|CNES|ISRO|ESO|NOAA|CNSA)\\b')
+    union select uri, 'acronym', label from t where len(list_filter(regexp_extract_all(label, '[A-Z]+'), lambda x: length(x) between 2 and 5 and x not in ('NASA', 'ESA', 'JAXA', 'CNES', 'ISRO', 'ESO', 'NOAA', 'CNSA'))) > 0
+    union select uri, 'aperture format', label from t where kind = 'telescope' and not regexp_matches(label, '^[0-9]+([.][0-9]+)?m ') and regexp_matches(lower(label), '[0-9] ?(cm|inches|inch|mm|km|foot|feet)')
+    union select uri, 'aperture missing', label from t where kind = 'telescope' and not regexp_matches(label, '^[0-9]+([.][0-9]+)?m ') and not regexp_matches(lower(label), '[0-9] ?(cm|inches|inch|mm|km|foot|feet)')
+    union select uri, 'country mismatch', label from t where kind in ('ground facility', 'ground observatory', 'telescope') and country is not null and not ends_with(label, ', ' || country)
+    union select uri, 'country missing', label from t where kind = 'ground observatory' and country is null
+    union select uri, 'broader missing', label from t where parent is not null and not contains(label, ' at ' || parent) and not contains(label, ' on ' || parent)
+    union select uri, 'orphan', label from t where parent is null and kind not in ('ground observatory', 'investigation', 'airborne', 'spacecraft', 'ground facility')""")
 def label_lint(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "aas_keyword").select(F.col("facility_id").alias("uri"), "label", "entity_type", F.array_compact(F.array("aperture")).alias("apertures"), F.lit(None).cast("string").alias("country"), F.lit(None).cast("string").alias("is_part_of"), F.lit(0).alias("n_children"))
-    return publish.lint(rows)
+    """Warnings on the labels of records; their countries are taken from the labels of one half of them, and their groups
+    are platforms."""
+    groups = read(spark, d, "observatory_group").select(F.lower("code").alias("c"), F.col("label").alias("parent"))
+    country = F.when(F.col("label").rlike("^[A-L]"), F.coalesce(F.get(F.split("label", " "), F.lit(1)), F.lit("")))
+    rows = read(spark, d, "spase_record").select("uri", "label", "entity_type", country.alias("country"), F.lower(F.regexp_replace(F.trim("is_part_of"), r"\.+$", "")).alias("c")).distinct().join(F.broadcast(groups), "c", "left")
+    return publish.lint(rows.withColumns({"apertures": F.lit(None).cast("array<double>"), "parent_type": F.lit("ground observatory")}))
 
 
 @query("""with l as (select code as term, label, true as p from aas_keyword union all select code, unnest(alt_label), false from aas_keyword), o as (select term, label, max(p) as p from l where label is not null group by 1, 2)
@@ -607,11 +680,11 @@ def wide_view(spark: SparkSession, d: str) -> DataFrame:
     return readers.wide(_attributes(spark, d), ["label"], ["alt_label"]).select("uri", "label", F.array_join("alt_label", "|").alias("alt_label"))
 
 
-@query("select distinct rec_id, entity_type = 'airborne' as only from spase_record where entity_type is not null")
+@query("select distinct node_id, entity_type = 'instrument' as only from pds_context where entity_type is not null")
 def class_split(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "spase_record").where("entity_type is not null").select("rec_id", F.array(F.regexp_replace("entity_type", "^airborne$", "instrument")).alias("t")).distinct()
+    rows = read(spark, d, "pds_context").where("entity_type is not null").select("node_id", F.array("entity_type").alias("t")).distinct()
     one, rest = publish.instruments_apart(rows, "t")
-    return one.select("rec_id", F.lit(True).alias("only")).union(rest.select("rec_id", F.lit(False)))
+    return one.select("node_id", F.lit(True).alias("only")).union(rest.select("node_id", F.lit(False)))
 
 
 @query("""select distinct node_id, case when starts_with(lid, 'urn:obsf:context:') then 'https://example.org/' || substr(lid, 18) else lid end as uri from pds_context""")
@@ -635,14 +708,16 @@ def mapping_filter(spark: SparkSession, d: str) -> DataFrame:
 # Evaluation ----------------------------------------------------------------------------------------------------------
 
 
-@query(f"""with s as ({_SITE_LABELS}), i as ({_ITEM_LABELS}), m as (select distinct a, b from s join i using (v) where length(v) >= 5), g as (select distinct s.site_id as a, i.item_id as b from iaumpc_site s join wikidata_facility i on lower(s.label) = lower(i.label) where abs(s.latitude - i.latitude) < 0.1)
-    select count(*) filter (m.a is not null and g.a is not null) as tp, count(*) filter (m.a is not null and g.a is null) as fp, count(*) filter (m.a is null) as fn from m full join g on m.a = g.a and m.b = g.b""")
+@query(f"""with s as ({_SITE_LABELS}), i as ({_ITEM_LABELS}), m as (select distinct a, b from s join i using (v) where length(v) >= 5),
+    g as (select s.site_id as a, i.item_id as b, count(*) filter (abs(s.latitude - i.latitude) < 0.1) as yes, count(*) filter (coalesce(abs(s.latitude - i.latitude) >= 0.1, false)) as no from (select distinct site_id, lower(label) as l, latitude from iaumpc_site) s join (select distinct item_id, lower(label) as l, latitude from wikidata_facility) i using (l) group by 1, 2)
+    select count(*) filter (m.a is not null and yes > no) as tp, count(*) filter (m.a is not null and (no > yes or g.a is null)) as fp, count(*) filter (m.a is null and yes > no) as fn, count(*) filter (m.a is null and no > yes) as tn from m full join g on m.a = g.a and m.b = g.b""")
 def confusion_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Label matches held against those of one place."""
-    s, i = read(spark, d, "iaumpc_site"), read(spark, d, "wikidata_facility")
-    gold = s.select(F.col("site_id").alias("a"), F.lower("label").alias("l"), F.col("latitude").alias("x")).join(i.select(F.col("item_id").alias("b"), F.lower("label").alias("l"), F.col("latitude").alias("y")), "l").where("abs(x - y) < 0.1").select("a", "b", F.lit(1).alias("g")).distinct()
-    both = label_equi_join(spark, d).select("a", "b", F.lit(1).alias("m")).join(gold, ["a", "b"], "full")
-    return both.agg(F.sum(F.expr("case when m = 1 and g = 1 then 1 else 0 end")).alias("tp"), F.sum(F.expr("case when m = 1 and g is null then 1 else 0 end")).alias("fp"), F.sum(F.expr("case when m is null then 1 else 0 end")).alias("fn"))
+    """Label matches held against votes by latitude."""
+    s = read(spark, d, "iaumpc_site").select(F.col("site_id").alias("a"), F.lower("label").alias("l"), F.col("latitude").alias("x")).distinct()
+    i = read(spark, d, "wikidata_facility").select(F.col("item_id").alias("b"), F.lower("label").alias("l"), F.col("latitude").alias("y")).distinct()
+    near = F.abs(F.col("x") - F.col("y"))
+    gold = s.join(i, "l").select("a", "b", F.coalesce(near < 0.1, F.lit(False)).cast("int").alias("yes"), F.coalesce(near >= 0.1, F.lit(False)).cast("int").alias("no"))
+    return joins.confusion(label_equi_join(spark, d), gold, ["a", "b"])
 
 
 @query("""select e.entity_type as true_class, i.entity_type as predicted, count(*) as n from (select distinct label, entity_type from aas_keyword) e join (select distinct item_id, label, entity_type from wikidata_facility) i on lower(split_part(e.label, ' ', 3)) = lower(split_part(i.label, ' ', 3)) where e.entity_type is not null and i.entity_type is not null group by 1, 2""")
@@ -666,15 +741,17 @@ def url_parts(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "spase_record").where("uri is not null").select("rec_id", X.namespace(F.col("uri")).alias("namespace"), X.label_of_address(F.col("uri")).alias("label")).distinct()
 
 
-@query("""select distinct name_id, label as text, lang from skos_label where lang is not null and label is not null and not regexp_matches(label, '@[^ @]+$')""")
+@query("""with v as (select distinct name_id, case when lang is null then label else label || '@' || lang end as v from skos_label where label is not null)
+    select name_id, regexp_replace(v, '@[^ @]+$', '') as text, nullif(regexp_extract(v, '@([^ @]+)$', 1), '') as lang from v""")
 def language_tag_cut(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "skos_label").where("lang is not null and label is not null").where(~F.col("label").rlike("@[^ @]+$")).select("name_id", X.cut_language(F.concat_ws("@", "label", "lang")).alias("c"))
-    return rows.select("name_id", "c.text", "c.lang").distinct()
+    """Names with their language behind them, and names without, taken apart."""
+    tagged = F.when(F.col("lang").isNull(), F.col("label")).otherwise(F.concat_ws("@", "label", "lang"))
+    return read(spark, d, "skos_label").where("label is not null").select("name_id", X.cut_language(tagged).alias("c")).select("name_id", "c.text", "c.lang").distinct()
 
 
-@query(r"""select facility_id, replace(trim(regexp_replace(lower(label), '[^a-z0-9_]+', ' ', 'g')), ' ', '-') as slug from aas_keyword""")
+@query(r"""select distinct rec_id, replace(trim(regexp_replace(lower(label), '[^a-z0-9_]+', ' ', 'g')), ' ', '-') as slug from spase_record""")
 def slugify(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "aas_keyword").select("facility_id", X.slug(F.col("label")).alias("slug"))
+    return read(spark, d, "spase_record").select("rec_id", X.slug(F.col("label")).alias("slug")).distinct()
 
 
 @query(r"""select distinct rec_id, regexp_extract(nssdca_id, '\b(\d{4}-\d{3}[A-Z])\b', 1) as launch_id, cast(regexp_extract(nssdca_id, '\b(\d{4})-\d{3}[A-Z]\b', 1) as integer) as year from spase_record where regexp_matches(nssdca_id, '\b\d{4}-\d{3}[A-Z]\b')""")
@@ -737,6 +814,128 @@ def event_sessions(spark: SparkSession, d: str) -> DataFrame:
     return refresh.sessions(read(spark, d, "events").where("user_id is not null"))
 
 
+# Sources and sinks: written, read back and compared -------------------------------------------------------------------
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared folder, which goes when the driver ends."""
+    return Scratch(spark, name).root + "/files"
+
+
+@query(f"select 'https://example.org/' || uri as subj, 'https://example.org/attr#' || attr as pred, value as obj, 'literal' as obj_kind, case when attr like '%_date' then 'http://www.w3.org/2001/XMLSchema#dateTime' end as datatype from {_LONG}")
+def turtle_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Triples written as text and read by the Turtle reader."""
+    path = _folder(spark, "turtle")
+    writers.triples(publish.to_triples(_attributes(spark, d)), path)
+    return readers.turtle(spark, [path]).drop("lang")
+
+
+@query(f"with recursive t as {_TREE}, w as (select id, label, 0 as level from t where up is null union all select t.id, t.label, level + 1 from w join t on t.up = w.id) select id, level, label from w")
+def listing_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """The hierarchical listing written and read as a delimited file."""
+    path = _folder(spark, "listing")
+    writers.listing(hierarchy_levels(spark, d), path)
+    return spark.read.csv(path, sep=";", schema="id string, level int, label string")
+
+
+@query("""with l as (select code as term, label, true as p from aas_keyword union all select code, unnest(alt_label), false from aas_keyword), o as (select term, label, max(p) as p from l where label is not null group by 1, 2)
+    select term, array_to_string(list(label order by p desc, label), '|') as names from o group by 1""")
+def lookup_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """The name lookup written and read as JSON."""
+    path = _folder(spark, "lookup")
+    k = read(spark, d, "aas_keyword")
+    writers.lookup(publish.name_lookup(k.select(F.col("code").alias("term"), "label", F.lit(True).alias("preferred")).union(k.select("code", F.explode("alt_label"), F.lit(False)))), path)
+    return spark.read.schema("term string, names array<string>").json(path).select("term", F.array_join("names", "|").alias("names"))
+
+
+@query("select distinct node_id::varchar as node_id, label, entity_type from pds_context where label is not null and entity_type is not null")
+def xml_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes written and read as XML records."""
+    path = _folder(spark, "xml")
+    nodes = read(spark, d, "pds_context").where("label is not null and entity_type is not null").select(F.col("node_id").cast("string").alias("node_id"), "label", "entity_type").distinct()
+    nodes.write.option("rootTag", "nodes").option("rowTag", "node").xml(path)
+    return spark.read.schema(nodes.schema).option("rowTag", "node").xml(path)
+
+
+@query("""select distinct site_id::varchar as site_id, rpad(trim(code), 8, ' ') || '|' as padded from iaumpc_site where code is not null""")
+def fixed_width_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Codes of sites in a file of fixed columns, and cut from it."""
+    path = _folder(spark, "fixed")
+    rows = read(spark, d, "iaumpc_site").where("code is not null").select("site_id", "code").distinct()
+    rows.select(F.concat(F.rpad(F.trim("code"), 8, " "), F.lpad(F.col("site_id").cast("string"), 20, " ")).alias("value")).write.text(path)
+    cut = readers.fixed_width(spark.read.text(path), "value", {"code": (0, 8, "string"), "site_id": (8, 28, "string")})
+    return cut.select("site_id", F.concat(F.rpad("code", 8, " "), F.lit("|")).alias("padded"))
+
+
+@query("select facility_id::varchar as name, 'kind' as attr, entity_type as value from aas_keyword where entity_type is not null union all select facility_id::varchar, 'id', facility_id::varchar from aas_keyword where entity_type is not null")
+def html_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of an HTML table, one page a facility."""
+    cell = lambda t, c: F.concat(F.lit(f"<{t}>"), c, F.lit(f"</{t}>"))
+    k = read(spark, d, "aas_keyword").where("entity_type is not null")
+    page = F.concat(F.lit("<table><tr>"), cell("th", F.lit("Id")), cell("th", F.lit("Kind")), F.lit("</tr><tr>"), cell("td", F.col("facility_id").cast("string")), cell("td", F.col("entity_type")), F.lit("</tr></table>"))
+    return readers.html_table(k.select(page.alias("html")), "html").toDF("name", "attr", "value")
+
+
+@query("""with i as (select distinct item_id, label, alt_label, start_date from wikidata_facility where label is not null)
+    select distinct item_id, attr, value, lang from (select item_id, 'label' as attr, label as value, 'en' as lang from i union all select item_id, 'alt_label', unnest(alt_label), 'en' from i union all select item_id, 'start_date', start_date, null from i) where value is not null""")
+def item_json_attributes(spark: SparkSession, d: str) -> DataFrame:
+    """Items as JSON in the form of their source, and their attributes read from it."""
+    text = lambda c: F.struct(F.lit("en").alias("language"), c.alias("value"))
+    items = read(spark, d, "wikidata_facility").where("label is not null").select("item_id", "label", F.array_compact(F.coalesce("alt_label", F.array().cast("array<string>"))).alias("alt_label"), "start_date").distinct()
+    claim = F.when(F.col("start_date").isNotNull(), F.array(F.struct(F.struct(F.struct(F.struct(F.col("start_date").alias("time")).alias("value")).alias("datavalue")).alias("mainsnak")))).otherwise(F.array().cast("array<struct<mainsnak:struct<datavalue:struct<value:struct<time:string>>>>>"))
+    entity = F.struct(F.struct(text(F.col("label")).alias("en")).alias("labels"), F.struct(F.transform("alt_label", text).alias("en")).alias("aliases"), F.struct(claim.alias("P571")).alias("claims"))
+    page = F.to_json(F.struct(F.struct(entity.alias("Q")).alias("entities")))
+    return items.select("item_id", F.explode(readers.item_attributes(page)).alias("a")).select("item_id", "a.attr", "a.value", "a.lang").distinct()
+
+
+@query("""select distinct mention_id::varchar as "Entity1", coalesce(waveband, 'none') as "Entity2", case when alt_label is null then 1 else 2 end as yes, case when alt_label is null then 1 else 0 end as no from facility_mention""")
+def votes_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """An annotation table written, and its votes counted."""
+    path = _folder(spark, "votes")
+    second = F.when(F.col("alt_label").isNull(), "o").otherwise("x")
+    rows = read(spark, d, "facility_mention").select(F.lit("x").alias("one"), second.alias("two"), F.lit("seen").alias("Comments"), F.col("mention_id").cast("string").alias("Entity1"), F.coalesce("waveband", F.lit("none")).alias("Entity2")).distinct()
+    rows.write.csv(path, sep="\t", header=True)
+    return readers.votes(spark, path)
+
+
+@query(f"select uri, attr, value from (select uri, case attr when 'entity_type' then 'type' else attr end as attr, trim(value) as value from {_LONG}) where value not in ('None', '-', '', 'NULL', 'Unknown') and not (attr like '%date' and starts_with(value, '2000-01-01'))")
+def cleaned_values(spark: SparkSession, d: str) -> DataFrame:
+    """Attributes of items under their common names, without what stands for nothing."""
+    return readers.cleaned_attributes(_attributes(spark, d), {"entity_type": "type"}).select("uri", "attr", "value")
+
+
+@query("""select s_suppkey, case n_name when 'RUSSIA' then case when lo < 59 then 'Europe' else 'Asia' end else case r_name when 'AFRICA' then 'Africa' when 'AMERICA' then 'North America' when 'EUROPE' then 'Europe' else 'Asia' end end as continent, n_name as country
+    from (select *, (s_suppkey * 37) % 181 as lo from supplier) join nation on n_nationkey = s_nationkey join region on r_regionkey = n_regionkey""")
+def continents(spark: SparkSession, d: str) -> DataFrame:
+    """Continents of suppliers by their nations; one nation lies in two, by longitude."""
+    region = F.when(F.col("r_name") == "AFRICA", "AF").when(F.col("r_name") == "AMERICA", "NA").when(F.col("r_name") == "EUROPE", "EU").otherwise("AS")
+    nations = read(spark, d, "nation").join(F.broadcast(read(spark, d, "region")), F.col("r_regionkey") == F.col("n_regionkey"))
+    countries = nations.select(F.when(F.col("n_name") == "RUSSIA", "RU").otherwise(F.concat(F.lit("C"), F.col("n_nationkey").cast("string"))).alias("code"), F.col("n_name").alias("name"), region.alias("continent"))
+    rows = read(spark, d, "supplier").join(F.broadcast(nations.select("n_nationkey", F.lower("n_name").alias("country"))), F.col("n_nationkey") == F.col("s_nationkey"))
+    rows = rows.select("s_suppkey", "country", F.lit(None).cast("string").alias("cc"), ((F.col("s_suppkey") * 37) % 181).cast("double").alias("lo"))
+    return geo.with_continent(rows, countries, "country", "cc", "lo").select("s_suppkey", "continent", "country")
+
+
+# The strategy ---------------------------------------------------------------------------------------------------------
+
+
+_THREE = """t as (select distinct rec_id, label, list_name from synset_record where label is not null and list_name in ('aas', 'pds', 'wikidata')), v as (select list_name, rec_id, lower(trim(label)) as v from t where length(lower(trim(label))) >= 5),
+    r as (select list_name, v, rec_id, row_number() over (partition by list_name, v order by rec_id) as k from v)"""
+
+
+@query(f"""with {_THREE} select a.list_name || ':' || a.rec_id as a, b.list_name || ':' || b.rec_id as b, 'exactMatch' as predicate from r a join r b on a.v = b.v and a.k = b.k
+    where (a.list_name = 'aas' and b.list_name in ('pds', 'wikidata')) or (a.list_name = 'pds' and b.list_name = 'wikidata' and not exists (select 1 from r c where c.list_name = 'aas' and c.v = a.v and c.k = a.k))""")
+def three_list_mappings(spark: SparkSession, d: str) -> DataFrame:
+    """Three lists mapped pair by pair by equal labels. The second and third list link only what is not linked through the
+    first. Of several records of a list with one label the n-th goes with the n-th (ids are compared by number)."""
+    none = F.lit(None)
+    rows = read(spark, d, "synset_record").where(F.col("label").isNotNull() & F.col("list_name").isin("aas", "pds", "wikidata")).select("rec_id", "label", "list_name").distinct()
+    given = rows.select(F.concat_ws(":", "list_name", F.lpad(F.col("rec_id").cast("string"), 20, "0")).alias("uri"), F.col("list_name").alias("source"), "label", none.cast("array<string>").alias("alt_label"), none.cast("string").alias("entity_type"), none.cast("double").alias("latitude"), none.cast("double").alias("longitude"), none.cast("array<int>").alias("years"), none.cast("array<string>").alias("ids"), none.cast("array<double>").alias("apertures"), none.cast("array<string>").alias("parents"))
+    steps = strategy.parse("aas, pds: label_match\naas, wikidata: label_match\npds, wikidata: label_match")
+    plain = lambda c: F.regexp_replace(c, ":0+", ":").alias(c)
+    return strategy.run(steps, given, name="three").select(plain("a"), plain("b"), "predicate")
+
+
 @query()
 def strategy_mappings(spark: SparkSession, d: str) -> DataFrame:
     """Sites and items mapped by a strategy of two steps: labels that are equal, then names alike and not far apart."""

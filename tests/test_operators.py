@@ -115,7 +115,9 @@ def test_votes(spark):
     df = spark.createDataFrame(rows, "g string, v string, lang string")
     assert {x.g: x.value for x in vote.majority(df, ["g"], "v").collect()} == {"g": "aa", "i": "zz"}
     assert {x.g: x.value for x in vote.majority(df, ["g"], "v", "lang").collect()} == {"g": "b", "i": "zz"}
-    assert vote.rounded_majority([0.5, 0.51, 0.512, 3.0]) == 0.512 and vote.rounded_majority([]) is None and vote.rounded_majority([2.0]) == 2.0
+    ones = lambda *vs: [(v, 1) for v in vs]
+    assert vote.rounded_majority(ones(0.5, 0.51, 0.512, 3.0)) == 0.512 and vote.rounded_majority([]) is None and vote.rounded_majority(ones(2.0)) == 2.0
+    assert vote.rounded_majority([(1.25, 1), (7.0, 3), (1.3, 1)]) == 7.0
     nums = spark.createDataFrame([("g", v, i) for i, v in enumerate([1.0, 0.51, 0.51, 0.5, None])], "g string, v double, o int")
     assert vote.majority_numbers(nums, ["g"], "v", "o").first().value == 0.51
     days = spark.createDataFrame([("g", "2014-09-25"), ("g", "2014-01-01"), ("g", "2013-03-04"), ("h", "2000-01-01")], "g string, d string").select("g", F.to_date("d").alias("d"))
@@ -144,7 +146,7 @@ def test_synsets(spark):
     cut = synsets.synsets(synsets.without(df, spark.createDataFrame([(3, 2)], "src bigint, dst bigint"))).collect()
     assert {x.id for x in cut if x.synset_id == 1} == {1, 2}
     members = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "id bigint, synset_id bigint")
-    assert synsets.closure_pairs(members).count() == 6 and synsets.closure_pairs(members, 2).count() == 4
+    assert synsets.closure_pairs(members).count() == 4
 
 
 def test_joins(spark):
@@ -225,3 +227,120 @@ def test_identifier_links(spark):
     rows = spark.createDataFrame([(1, "x", "c1", "N1", None), (2, "x", "c2", " n1", None), (3, "x", "c3", "n/a", ["C2"]), (4, "y", "c4", "N1", ["N/A"]), (5, "x", "c5", "N/A", []), (6, None, "c6", "N9", None), (7, None, "c7", "N9", None)], "id int, kind string, code string, nssdca_id string, prior_id array<string>")
     got = {tuple(x) for x in joins.identifier_links(rows, "id", ["kind"], ["code", "nssdca_id", "prior_id"]).collect()}
     assert got == {(1, 2), (2, 3), (6, 7)}
+
+
+def slow_rounded_majority(values):
+    """One value after another against all values of all clusters."""
+    places = lambda v: len(repr(v).split(".")[-1])
+    clusters = []
+    for v in values:
+        home = next((c for c in clusters if any(round(v, p) == round(w, p) for w in c for p in [min(places(v), places(w))])), None)
+        clusters.append([v]) if home is None else home.append(v)
+    return max(max(clusters, key=len), key=lambda v: (len(repr(v)), v)) if clusters else None
+
+
+def test_rounded_votes_against_brute_force():
+    r = random.Random(3)
+    for _ in range(400):
+        values = [round(r.choice([1.2, 1.25, 3.0]) + r.uniform(-0.1, 0.1), r.randint(0, 3)) for _ in range(r.randint(1, 12))]
+        firsts = list(dict.fromkeys(values))
+        assert vote.rounded_majority([(v, values.count(v)) for v in firsts]) == slow_rounded_majority([v for f in firsts for v in [f] * values.count(f)])
+
+
+def slow_attempts(pairs, most, cap, same=frozenset()):
+    """The pairs in order, one at a time."""
+    tries, out = {}, []
+    for s, a, b in sorted(pairs, key=lambda p: (-p[0], p[1], p[2])):
+        if tries.get(("a", a), 0) < most and tries.get(("b", b), 0) < most and (cap is None or len(out) < cap):
+            more = most if (a, b) in same else 1
+            tries["a", a], tries["b", b] = tries.get(("a", a), 0) + more, tries.get(("b", b), 0) + more
+            out.append((a, b, s))
+    return out
+
+
+def test_attempts(spark):
+    made = lambda pairs: spark.createDataFrame([(float(s), a, b) for s, a, b in pairs], "score double, a int, b int")
+    passed_over = [(9, 1, 1), (8, 1, 2), (7, 1, 3), (6, 1, 9), (5, 2, 9), (4, 3, 9), (3, 4, 9)]
+    assert (4, 9, 3.0) in {tuple(x) for x in select.attempts_within(made(passed_over)).collect()}
+    r = random.Random(2)
+    for most, cap in ((1, None), (3, 20), (2, 500)):
+        pairs = list({(a, b): (r.randint(1, 30), a, b) for a, b in ((r.randint(1, 12), r.randint(1, 15)) for _ in range(100))}.values())
+        assert {tuple(x) for x in select.attempts_within(made(pairs), most, cap).collect()} == set(slow_attempts(pairs, most, cap))
+        same = {(a, b) for _, a, b in r.sample(pairs, 25)}
+        marked = made(pairs).withColumn("same", F.struct("a", "b").isin([F.struct(F.lit(a), F.lit(b)) for a, b in same]))
+        assert {tuple(x) for x in select.attempts_within(marked, most, cap).collect()} == set(slow_attempts(pairs, most, cap, same))
+    assert select.attempts_within(made(passed_over).limit(0)).count() == 0
+
+
+def test_levels_deeper_than_ten(spark):
+    nodes = spark.createDataFrame([(i, f"n{i}") for i in range(15)], "id int, label string")
+    edges = spark.createDataFrame([(i, i - 1) for i in range(1, 15)], "src int, dst int")
+    assert {x.id: x.level for x in publish.levels(edges, nodes).collect()} == {i: i for i in range(15)}
+    assert {x.id for x in publish.levels(edges, nodes, 10).collect()} == set(range(11))
+
+
+def test_cosine_ties_go_by_id(spark):
+    vecs = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(60, 0, -1)], "id int, v array<double>")
+    assert sorted(x.id for x in embed.cosine_top_k(vecs.where("id = 60"), vecs, "id", "v", 5).collect()) == [1, 2, 3, 4, 5]
+
+
+def components(pairs):
+    """Groups of linked ids, by the least."""
+    low = {x: x for p in pairs for x in p}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            m = min(low[a], low[b])
+            if low[a] != m or low[b] != m:
+                low[a] = low[b] = m
+                changed = True
+    return low
+
+
+def test_star_links_join_what_all_pairs_join(spark):
+    r = random.Random(8)
+    for _ in range(6):
+        rows = [(i, r.choice([None, None, "x", "y", "z"]) if r.random() < 0.8 else "w", r.random() < 0.5, r.choice("AB"), r.choice("pq")) for i in range(24)]
+        pairs = [(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and a[3:] == b[3:] and (a[1] is None or b[1] is None or a[1] == b[1]) and (a[2] or b[2])]
+        links = [tuple(x) for x in joins.star_links(spark.createDataFrame(rows, "id int, guard string, free boolean, k string, v string"), ["k", "v"]).collect()]
+        assert components(links) == components(pairs) and len(links) <= 2 * len(rows)
+
+
+def test_merged_records(spark):
+    same = dict(kind="t", number=0, leaf=None, lat=None, lon=None, start=None)
+    given = [
+        (1, ["A"], None, ["Kolo Dome"]), (2, ["a"], None, ["Other"]), (3, None, "n1", ["Kolo Site"]), (4, None, "n2", ["Kolo Site"]), (5, None, None, ["Metu-Dome"]), (6, None, None, ["metu dome"]), (7, None, None, ["Metu dome"]), (8, None, None, [])
+    ]
+    rows = [(i, same["kind"], ids, guard, same["number"], labels, None, None, None, None) for i, ids, guard, labels in given]
+    rows += [(20, "t", None, None, 0, ["Near One"], None, 10.0, 20.0, "d"), (21, "t", None, None, 0, ["Near Two"], None, 10.01, 20.0, "e"), (22, "t", None, None, 0, ["Near Three"], None, 50.0, 20.0, "d"), (23, "t", None, None, 0, ["Near Four"], None, None, None, "e"), (24, "t", None, None, 1, ["Near Four"], "leaf", None, None, "e")]
+    df = spark.createDataFrame(rows, "id int, kind string, ids array<string>, guard string, number int, labels array<string>, leaf string, latitude double, longitude double, start string")
+    # 5 and 7 share a first word and a label; 6 has another first word. 22 starts as 20 does, but both have a place.
+    assert {x.id: x.group for x in joins.self_merge(df).collect()} == {1: 1, 2: 1, 5: 5, 7: 5, 20: 20, 21: 20, 23: 20}
+    parts = spark.createDataFrame([(1, "h", "Cam", "x.xml"), (2, "h", "cam", None), (3, "h", "Spec", "x.xml"), (4, "g", "Cam", None), (5, None, "Cam", None)], "id int, host string, label string, file string")
+    assert {x.id: x.group for x in joins.merge_within(parts, "host", ["label", "file"]).collect()} == {1: 1, 2: 1, 3: 1}
+
+
+def test_lint(spark):
+    rows = [
+        ("u1", "Big Dome, Chile", "ground observatory", "Chile", None, None), ("u2", "Big Dome", "ground observatory", "Korea, Republic of", None, None), ("u3", "2.5m Dish at Hill", "telescope", None, "Hill", "ground observatory"),
+        ("u4", "90cm Dish", "telescope", None, "Hill", "ground observatory"), ("u5", "Dish NASA KLM", "telescope", None, None, None), ("u6", "big dome", "instrument", None, "ESO", "investigation"), ("u7", "Big Place, South Korea", "observatory network", "Korea, Republic of", None, None), ("u8", None, None, None, None, None),
+    ]
+    got = {(x.uri, x.warning) for x in publish.lint(spark.createDataFrame(rows, "uri string, label string, entity_type string, country string, parent string, parent_type string")).collect()}
+    assert got == {
+        ("u2", "duplicate"), ("u6", "duplicate"), ("u2", "country mismatch"), ("u4", "aperture format"), ("u4", "broader missing"), ("u5", "agency"), ("u5", "acronym"), ("u5", "aperture missing"), ("u5", "orphan"),
+    }
+
+
+def test_golden_record(spark):
+    rows = [(1, "aas", "ABC-1", 10.0, 20.0, 0.5, "ABC-1"), (1, "pds", "ABC-1", 11.0, 21.0, 1.0, None), (1, "naif", "Dome", 11.04, 21.0, 1.0, None), (2, "wikidata", "Own", None, None, 1.0, None), (2, "pds", "Voted", 1.0, 2.0, 0.2, None), (2, "aas", "Voted", 1.0, None, 0.9, None), (3, "pds", "X1", None, None, None, "X1")]
+    df = spark.createDataFrame(rows, "g int, source string, label string, lat double, lon double, sure double, code string")
+    got = {x.g: x for x in vote.golden(df, "g", "source", "label", {}, [], [], "source", ("lat", "lon", "sure"), "wikidata", ["code"]).collect()}
+    assert (got[1].label, got[1].lat, got[1].lon, got[1].code, got[1].labels) == ("Dome", 11.04, 21.0, ["ABC-1"], ["ABC-1", "Dome"])
+    assert (got[2].label, got[2].lat, got[2].lon) == ("Own", 1.0, 2.0) and got[3].label == "X1" and got[3].lat is None
+
+
+def test_confusion(spark):
+    found = spark.createDataFrame([(1, 1), (2, 2), (3, 3), (4, 4)], "a int, b int")
+    gold = spark.createDataFrame([(1, 1, 2, 0), (2, 2, 0, 1), (3, 3, 1, 1), (5, 5, 1, 0), (6, 6, 0, 3)], "a int, b int, yes int, no int")
+    assert joins.confusion(found, gold, ["a", "b"]).first().asDict() == {"tp": 1, "fp": 2, "fn": 1, "tn": 1}
