@@ -6,7 +6,7 @@ cumulative weights holds the golden-ratio point frac(i * phi), so any run of slo
 source's k-th slot takes its k-th block; after its last block it starts again, at most max_repeat times in all.
 
 The number of slots is the largest at which no source would exceed its repeats, so shares are reached and no text is
-repeated too often. A target without texts cannot be served: the weights of the others are scaled to one. Sources without
+repeated too often; with a stated total size, at most as many as that takes. A target without texts cannot be served: the weights of the others are scaled to one. Sources without
 a target contribute nothing.
 
 The number of slots follows the data (as many as blocks), so slots are made by a distributed range; ranks of slots within
@@ -30,7 +30,7 @@ BLOCK_TOKENS, SMALLEST_BLOCKS = 4096, 256
 BUCKET_ROWS = 20_000
 
 
-def plan(totals: list[tuple[str, int]], targets: list[tuple[str, float, int]]) -> tuple[list[tuple], int, int]:
+def plan(totals: list[tuple[str, int]], targets: list[tuple[str, float, int]], size: int | None = None) -> tuple[list[tuple], int, int]:
     """Of each source that is served (list_name, low, high, blocks, max_repeat): its stretch of the unit interval; the
     number of slots; and the tokens of a block: the smallest source has at least SMALLEST_BLOCKS of them. Inputs have one
     row a target."""
@@ -40,7 +40,8 @@ def plan(totals: list[tuple[str, int]], targets: list[tuple[str, float, int]]) -
         return [], 0, 0
     whole = sum(w for _, w, _, _ in served)
     block = max(1, min(BLOCK_TOKENS, min(n for *_, n in served) // SMALLEST_BLOCKS))
-    slots = int(min(m * n / (w / whole) for _, w, m, n in served) / block)
+    most = min(m * n / (w / whole) for _, w, m, n in served)
+    slots = int(min(most, size or most) / block)
     out, low = [], 0.0
     for s, w, m, n in served:
         out.append((s, low, low + w / whole, -(-n // block), m))
@@ -49,9 +50,10 @@ def plan(totals: list[tuple[str, int]], targets: list[tuple[str, float, int]]) -
     return out, max(1, slots), block
 
 
-def mix(texts: DataFrame, key: str, source: str, tokens: str, targets: DataFrame, name: str = "mix", seed: int = 7) -> DataFrame:
+def mix(texts: DataFrame, key: str, source: str, tokens: str, targets: DataFrame, name: str = "mix", seed: int = 7, size: int | None = None) -> DataFrame:
     """(position, list_name, doc_id, repeat, n_tokens): the mix, ordered by position. `targets` has list_name, weight and
-    max_repeat; repeat counts from 1."""
+    max_repeat; repeat counts from 1. `size` is the number of tokens that is wanted, to a block; without it, or where the
+    texts do not last so long, the mix is as long as they do."""
     spark = texts.sparkSession
     scratch = Scratch(spark, name)
     sized = scratch.write(texts.where(F.col(key).isNotNull() & F.col(source).isNotNull()).groupBy(F.col(key).alias("doc_id")).agg(F.min(source).alias("list_name"), F.max(tokens).alias("n_tokens")).where("n_tokens > 0"))
@@ -59,7 +61,7 @@ def mix(texts: DataFrame, key: str, source: str, tokens: str, targets: DataFrame
     # One row a target: the schedule of sources is made on the driver.
     rows = [tuple(r) for r in wanted.groupBy("list_name").agg(F.max("weight"), F.max("max_repeat")).collect()]
     totals = [tuple(r) for r in sized.join(wanted.select("list_name").distinct(), "list_name").groupBy("list_name").agg(F.sum("n_tokens")).collect()]
-    stretches, slots, block = plan(totals, rows)
+    stretches, slots, block = plan(totals, rows, size)
     shape = "list_name string, low double, high double, blocks bigint, max_repeat int"
     if not stretches:
         return spark.createDataFrame([], "position bigint, list_name string, doc_id bigint, repeat bigint, n_tokens bigint")

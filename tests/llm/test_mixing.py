@@ -44,3 +44,11 @@ def test_empty(spark):
     docs = spark.createDataFrame([(1, "a", 7, None)], SHAPE)
     assert [(x.doc_id, x.repeat) for x in mixing.mix(docs, "doc_id", "source", "n_tokens", targets).collect()] == [(1, 1)]
     assert mixing.mix(docs, "doc_id", "source", "n_tokens", targets.limit(0)).count() == 0
+
+
+def test_a_stated_size(spark):
+    docs = spark.createDataFrame([(i, "a" if i % 2 else "b", 100, None) for i in range(4000)], SHAPE)
+    targets = spark.createDataFrame([("a", 0.75, 1), ("b", 0.25, 1)], "list_name string, weight double, max_repeat int")
+    mixed = mixing.mix(docs, "doc_id", "source", "n_tokens", targets, size=100_000)
+    sums = {r["list_name"]: r["n"] for r in mixed.groupBy("list_name").agg({"n_tokens": "sum"}).toDF("list_name", "n").collect()}
+    assert sum(sums.values()) == pytest.approx(100_000, rel=0.02) and sums["a"] / sum(sums.values()) == pytest.approx(0.75, abs=0.02)
