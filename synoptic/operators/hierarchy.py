@@ -37,6 +37,8 @@ SIBLING_BUCKETS = 256
 BASE_ARCS = 200_000
 #: Ranks of a tour whose paths one task reads off.
 BLOCK = 100_000
+#: Levels of whose nodes the paths are kept, and characters of paths that go out at once.
+SHALLOW, PART_CHARS = 128, 1 << 25
 
 
 def clean_reference(ref: Column) -> Column:
@@ -153,24 +155,43 @@ def intervals(tree: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by (root, block, mark first, entry). The stack holds the nodes whose intervals are open."""
-    here, stack, prefix = None, [], []
+    """Rows sorted by (root, block, mark first, entry). The stack holds the nodes whose intervals are open; whole paths are
+    kept for its first levels only, so that memory grows with the depth and not with its square, and results go out in
+    parts of bounded size."""
+    here, stack, names, prefix = None, [], [], []
     for df in batches:
-        keep, out = [], []
-        for root, block, mark, node, entry, leave in zip(df["root"], df["block"], df["mark"], df["id"], df["entry"], df["exit"], strict=True):
+        at, out, size = [], [], 0
+        columns = [df[c].tolist() for c in ("root", "block", "mark", "id", "entry", "exit")]
+
+        def part(at: list[int], out: list[str], df: pd.DataFrame = df) -> pd.DataFrame:
+            own = df.iloc[at]
+            return pd.DataFrame({"node_id": own["id"].to_numpy(), "root_id": own["root"].to_numpy(), "depth": own["depth"].to_numpy(), "path": out, "entry": own["entry"].to_numpy(), "exit": own["exit"].to_numpy()})
+
+        for row, (root, block, mark, node, entry, leave) in enumerate(zip(*columns, strict=True)):
             if (root, block) != here:
-                here, stack, prefix = (root, block), [], [str(root)]
+                here, stack, names, prefix = (root, block), [], [], [str(root)]
             while stack and stack[-1] < entry:
                 stack.pop()
-                prefix.pop()
-            path = f"{prefix[-1]}/{node}"
+                names.pop()
+                if len(stack) < SHALLOW:
+                    prefix.pop()
+            name = str(node)
+            deep = names[SHALLOW:] if len(names) > SHALLOW else []
+            if len(stack) < SHALLOW:
+                path = f"{prefix[-1]}/{name}"
+                prefix.append(path)
+            elif not mark:
+                path = "/".join([prefix[SHALLOW], *deep, name])
             stack.append(leave)
-            prefix.append(path)
-            keep.append(not mark)
+            names.append(name)
             if not mark:
+                at.append(row)
                 out.append(path)
-        own = df[np.array(keep, dtype=bool)]
-        yield pd.DataFrame({"node_id": own["id"], "root_id": own["root"], "depth": own["depth"], "path": out, "entry": own["entry"], "exit": own["exit"]})
+                size += len(path)
+                if size > PART_CHARS:
+                    yield part(at, out)
+                    at, out, size = [], [], 0
+        yield part(at, out)
 
 
 def paths(spans: DataFrame, block: int = BLOCK) -> DataFrame:

@@ -6,7 +6,8 @@ cell holds more than DENSE points, its 64 sub-cells take its place. A sub-cell t
 cell alone and its points are accepted at once; only cells that the disc's rim crosses get the exact distance.
 
 `points_in_regions` covers polygons in the same way: quadtree cells over longitude and latitude that lie inside a polygon
-accept by equality, cells on its border lead to an exact ray test.
+accept by equality; a cell on its border has the few edges that touch it and a point of which it is known on which side it
+lies, from where an exact test counts crossings, in the JVM.
 
 Nulls, NaN, impossible coordinates and (0, 0) leave a point out. Longitudes above 180 count on eastward. Points at the
 same place are near one another. Repeated rows of one id count once. Empty tables give empty results.
@@ -14,15 +15,19 @@ same place are near one another. Repeated rows of one id count once. Empty table
 
 from __future__ import annotations
 
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from synoptic.runtime import Scratch
+
 #: A coarse cell with more points is split.
 DENSE = 32
 SPLIT = 4
+#: The least edge of a cell: 2^20 of them reach from the middle of the earth to its surface.
+LEAST_KM = 0.0065
 #: WGS84, in km.
 EQUATOR, ECCENTRICITY2 = 6378.137, 6.69437999014e-3
 
@@ -50,7 +55,7 @@ def _farthest2(cell: list[Column], edge: float) -> Column:
 
 
 def _cell_id(cell: list[Column]) -> Column:
-    """Cells lie within 2^20 of the middle along each axis, for edges over 7 m."""
+    """Cells lie within 2^20 of the middle along each axis, for edges over LEAST_KM."""
     low = [(c + F.lit(1 << 20)).cast("bigint") for c in cell]
     return F.shiftleft(low[0], 42).bitwiseOR(F.shiftleft(low[1], 21)).bitwiseOR(low[2])
 
@@ -70,6 +75,8 @@ def own_cell(km: float) -> Column:
 
 def near_cells(points: DataFrame, km: float) -> DataFrame:
     """Each row of (..., x, y, z) once for each cell of edge `km` that has places within `km` of it, as `cell`."""
+    if km < LEAST_KM:
+        raise ValueError(f"cells of {km} km: their numbers hold for {LEAST_KM} km or more")
     out = points.withColumn("c", F.explode(_around([F.floor(F.col(a) / km) for a in "xyz"], 1)))
     box = [F.col("c.i"), F.col("c.j"), F.col("c.k")]
     return out.where(_nearest2(box, km) <= km * km).withColumn("cell", _cell_id(box)).drop("c")
@@ -78,6 +85,8 @@ def near_cells(points: DataFrame, km: float) -> DataFrame:
 def points_within(points: DataFrame, key: str, lat: str, lon: str, km: float) -> DataFrame:
     """(a, b), a < b: ids of points at most `km` apart on the ground (as a chord of the ellipsoid, which is shorter than
     the way along the ground by under 1e-7 at 10 km)."""
+    if km / SPLIT < LEAST_KM:
+        raise ValueError(f"cells of {km / SPLIT} km: their numbers hold for {LEAST_KM} km or more")
     edge, fine = km, km / SPLIT
     valid = points.where(F.col(key).isNotNull() & usable(F.col(lat), F.col(lon))).groupBy(F.col(key).alias("id")).agg(F.min(F.struct(F.col(lat).alias("lat"), F.col(lon).alias("lon"))).alias("p"))
     at = valid.select("id", *position(F.col("p.lat"), F.col("p.lon")))
@@ -104,72 +113,94 @@ def points_within(points: DataFrame, key: str, lat: str, lon: str, km: float) ->
     return sparse.union(joined(finer, at.withColumn("cell", _cell_id(small))))
 
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("cell", T.LongType()), T.StructField("level", T.IntegerType()), T.StructField("inside", T.BooleanType())])))
+_EDGE = T.StructType([T.StructField(c, T.DoubleType()) for c in ("x1", "y1", "x2", "y2")])
+_CELL = T.StructType([T.StructField("cell", T.LongType()), T.StructField("level", T.IntegerType()), T.StructField("inside", T.BooleanType()), T.StructField("rx", T.DoubleType()), T.StructField("ry", T.DoubleType()), T.StructField("edges", T.ArrayType(_EDGE))])
+#: A border cell with more edges is split further, down to a level; and where in a cell its reference point lies (off the
+#: places at which corners tend to be).
+MANY_EDGES, DEEPEST = 16, 22
+REFERENCE = 0.51371, 0.48713
+
+
+def _touching(e: np.ndarray, x0: float, y0: float, side: float) -> np.ndarray:
+    """Which edges (x1, y1, x2, y2) touch a box, by clipping."""
+    low, high = np.zeros(len(e)), np.ones(len(e))
+    for d, start, lo in ((e[:, 2] - e[:, 0], e[:, 0], x0), (e[:, 3] - e[:, 1], e[:, 1], y0)):
+        flat = d == 0
+        safe = np.where(flat, 1.0, d)
+        t0, t1 = (lo - start) / safe, (lo + side - start) / safe
+        low = np.where(flat, low, np.maximum(low, np.minimum(t0, t1)))
+        high = np.where(flat, np.where((start < lo) | (start > lo + side), -1.0, high), np.minimum(high, np.maximum(t0, t1)))
+    return low <= high
+
+
+def _crossed(e: np.ndarray, xa: float, ya: float, xb: float, yb: float) -> int:
+    """How many edges the way from a along the parallel and then along the meridian to b crosses."""
+    count = 0
+    for u1, v1, u2, v2, at, start, end in ((e[:, 0], e[:, 1], e[:, 2], e[:, 3], ya, xa, xb), (e[:, 1], e[:, 0], e[:, 3], e[:, 2], xb, ya, yb)):
+        hit = (v1 > at) != (v2 > at)
+        where = (u2[hit] - u1[hit]) * (at - v1[hit]) / (v2[hit] - v1[hit]) + u1[hit]
+        count += int(((where > min(start, end)) & (where <= max(start, end))).sum())
+    return count
+
+
+@F.pandas_udf(T.ArrayType(_CELL))
 def polygon_cover(rings: pd.Series, max_level: pd.Series) -> pd.Series:
-    """Quadtree cells over the world (level 0: one cell of 360 degrees) that cover a polygon [[lon, lat], ...]; a cell
-    on the border is split until max_level, an inner one never."""
+    """Quadtree cells over the world (level 0: one cell of 360 degrees) that cover a polygon [[lon, lat], ...]. An inner cell
+    is not split; one on the border is until max_level, and further while it has many edges. A border cell has the edges
+    that touch it and a reference point (rx, ry), which `inside` speaks of: a point of the cell is on the same side if the
+    way to it crosses an even number of those edges. Work is shared from cell to cell: a cell looks at its parent's edges
+    only."""
 
     def cover(ring, deepest: int) -> list[dict]:
-        pts = [(float(p[0]), float(p[1])) for p in ring] if ring is not None else []
-        out, todo = [], [(0, 0, 0)] if len(pts) > 2 else []
+        pts = np.array([(float(p[0]), float(p[1])) for p in ring] if ring is not None else [], float).reshape(-1, 2)
+        if len(pts) < 3:
+            return []
+        edges = np.c_[pts, np.roll(pts, -1, axis=0)]
+        # The world's corner lies outside every polygon.
+        todo, out = [(0, 0, 0, edges, bool(_crossed(edges, -180.0, -180.0, -180 + 360 * REFERENCE[0], -180 + 360 * REFERENCE[1]) % 2))], []
         while todo:
-            level, i, j = todo.pop()
+            level, i, j, e, inside = todo.pop()
             side = 360.0 / (1 << level)
-            x0, y0 = -180 + i * side, -180 + j * side
-            if _crosses(pts, x0, y0, x0 + side, y0 + side):
-                if level < deepest:
-                    todo += [(level + 1, 2 * i + a, 2 * j + b) for a in (0, 1) for b in (0, 1)]
-                else:
-                    out.append({"cell": (i << 24) | j, "level": level, "inside": False})
-            elif _inside(pts, x0 + side / 2, y0 + side / 2):
-                out.append({"cell": (i << 24) | j, "level": level, "inside": True})
+            rx, ry = -180 + (i + REFERENCE[0]) * side, -180 + (j + REFERENCE[1]) * side
+            if not len(e):
+                if inside:
+                    out.append({"cell": (i << 24) | j, "level": level, "inside": True, "rx": None, "ry": None, "edges": None})
+            elif level < deepest or (len(e) > MANY_EDGES and level < DEEPEST):
+                half = side / 2
+                for a, b in ((2 * i, 2 * j), (2 * i + 1, 2 * j), (2 * i, 2 * j + 1), (2 * i + 1, 2 * j + 1)):
+                    x, y = -180 + (a + REFERENCE[0]) * half, -180 + (b + REFERENCE[1]) * half
+                    todo.append((level + 1, a, b, e[_touching(e, -180 + a * half, -180 + b * half, half)], inside ^ bool(_crossed(e, rx, ry, x, y) % 2)))
+            else:
+                out.append({"cell": (i << 24) | j, "level": level, "inside": inside, "rx": rx, "ry": ry, "edges": [dict(zip(("x1", "y1", "x2", "y2"), map(float, row), strict=True)) for row in e]})
         return out
 
     return pd.Series([cover(r, int(m)) for r, m in zip(rings, max_level, strict=True)])
 
 
-def _inside(pts: list, x: float, y: float) -> bool:
-    odd = False
-    for (xa, ya), (xb, yb) in zip(pts, pts[1:] + pts[:1], strict=True):
-        if (ya > y) != (yb > y) and x < (xb - xa) * (y - ya) / (yb - ya) + xa:
-            odd = not odd
-    return odd
-
-
-def _crosses(pts: list, x0: float, y0: float, x1: float, y1: float) -> bool:
-    """Whether an edge touches the box, by clipping."""
-    for (xa, ya), (xb, yb) in zip(pts, pts[1:] + pts[:1], strict=True):
-        t0, t1 = 0.0, 1.0
-        for d, lo, hi in ((xb - xa, x0 - xa, x1 - xa), (yb - ya, y0 - ya, y1 - ya)):
-            if d == 0:
-                if lo > 0 or hi < 0:
-                    t1 = -1.0
-                continue
-            a, b = sorted((lo / d, hi / d))
-            t0, t1 = max(t0, a), min(t1, b)
-        if t0 <= t1:
-            return True
-    return False
-
+def _on_other_side(edges: Column, rx: Column, ry: Column, px: Column, py: Column) -> Column:
+    """Whether the way from (rx, ry) to (px, py) crosses an odd number of edges."""
+    def crossing(u1, v1, u2, v2, at, start, end) -> Column:  # noqa: ANN001
+        where = (u2 - u1) * (at - v1) / F.nullif(v2 - v1, F.lit(0.0)) + u1
+        return ((v1 > at) != (v2 > at)) & (where > F.least(start, end)) & (where <= F.greatest(start, end))
 
-@F.pandas_udf(T.BooleanType())
-def in_polygon(rings: pd.Series, lon: pd.Series, lat: pd.Series) -> pd.Series:
-    return pd.Series([_inside([(float(p[0]), float(p[1])) for p in r], x, y) for r, x, y in zip(rings, lon, lat, strict=True)], dtype=bool)
+    along = F.filter(edges, lambda e: crossing(e["x1"], e["y1"], e["x2"], e["y2"], ry, rx, px))
+    up = F.filter(edges, lambda e: crossing(e["y1"], e["x1"], e["y2"], e["x2"], px, ry, py))
+    return (F.size(along) + F.size(up)) % 2 == 1
 
 
-def points_in_regions(points: DataFrame, key: str, lat: str, lon: str, regions: DataFrame, region: str, ring: str, max_level: int = 12) -> DataFrame:
+def points_in_regions(points: DataFrame, key: str, lat: str, lon: str, regions: DataFrame, region: str, ring: str, max_level: int = 12, name: str = "regions") -> DataFrame:
     """(id, region): the regions that hold each point. `ring` is an array of [lon, lat] within -180..180; a region across
     the date line is given as two rows. Of a point on a border it is not defined on which side it lies."""
     wrapped = F.pmod(F.col(lon) + 180, F.lit(360.0)) - 180
     at = points.where(F.col(key).isNotNull() & usable(F.col(lat), F.col(lon))).select(F.col(key).alias("id"), wrapped.alias("px"), F.col(lat).alias("py")).distinct()
-    cells = regions.where(F.col(region).isNotNull() & F.col(ring).isNotNull()).select(F.col(region).alias("region"), F.col(ring).alias("ring"))
-    cells = cells.select("region", "ring", F.explode(polygon_cover("ring", F.lit(max_level))).alias("c")).select("region", F.when(~F.col("c.inside"), F.col("ring")).alias("ring"), "c.cell", "c.level", "c.inside")
-    steps = F.transform(F.sequence(F.lit(0), F.lit(max_level)), lambda v: F.struct(v.alias("level"), F.floor((F.col("px") + 180) / 360 * F.pow(F.lit(2.0), v)).alias("i"), F.floor((F.col("py") + 180) / 360 * F.pow(F.lit(2.0), v)).alias("j")))
+    given = regions.where(F.col(region).isNotNull() & F.col(ring).isNotNull()).select(F.col(region).alias("region"), F.col(ring).alias("ring"))
+    cells = Scratch(points.sparkSession, name).write(given.select("region", F.explode(polygon_cover("ring", F.lit(max_level))).alias("c")).select("region", "c.*"))
+    levels = sorted(r["level"] for r in cells.select("level").distinct().collect())  # at most DEEPEST + 1
+    steps = F.array(*[F.struct(F.lit(v).alias("level"), F.floor((F.col("px") + 180) / 360 * (1 << v)).alias("i"), F.floor((F.col("py") + 180) / 360 * (1 << v)).alias("j")) for v in levels or [0]])
     keyed = at.select("id", "px", "py", F.explode(steps).alias("s")).select("id", "px", "py", F.col("s.level").alias("level"), F.shiftleft(F.col("s.i"), 24).bitwiseOR(F.col("s.j")).alias("cell"))
     met = keyed.join(cells, ["level", "cell"])
-    sure = met.where("inside").select("id", "region")
-    tested = met.where("not inside").where(in_polygon("ring", "px", "py")).select("id", "region")
-    return sure.union(tested).distinct()
+    held = F.when(F.col("edges").isNull(), F.lit(True)).otherwise(F.col("inside") != _on_other_side(F.col("edges"), F.col("rx"), F.col("ry"), F.col("px"), F.col("py")))
+    return met.where(held).select("id", "region").distinct()
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

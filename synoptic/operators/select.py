@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from synoptic.runtime import Scratch, running_total
 
+#: So many pairs or fewer that are still open are looked through by one task, in order (some MB).
+FEW = 200_000
+
 
 def top_k(scored: DataFrame, entity: list[str], score: str, tie: list[str], k: int = 10) -> DataFrame:
     """The k best rows of each entity. The rank filter is pushed below the shuffle by Spark's group limit."""
@@ -31,25 +37,47 @@ def until_streak(decisions: DataFrame, group: list[str], order: str, bucket: Col
     return kept.where(F.col("__stop").isNull() | (F.col("__at") <= F.col("__stop"))).drop("__at", "__run", "__stop")
 
 
+def _in_order(left: DataFrame, most: int) -> DataFrame:
+    """(a, b, score, same, o) of the open pairs (with na and nb, the offers that their entities had) that are offered, one
+    after another. For at most FEW pairs."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        had: tuple[dict, dict] = ({}, {})
+        for df in batches:
+            kept = []
+            for a, b, same, na, nb in zip(df["a"], df["b"], df["same"], df["na"], df["nb"], strict=True):
+                x, y = had[0].get(a, na), had[1].get(b, nb)
+                kept.append(x < most and y < most)
+                if kept[-1]:
+                    more = most if same else 1
+                    had[0][a], had[1][b] = x + more, y + more
+            yield df.loc[kept, ["a", "b", "score", "same"]]
+
+    kind = lambda c: left.schema[c].dataType.simpleString()
+    found = left.select("a", "b", "score", "same", "na", "nb", "o").repartition(1).sortWithinPartitions("o").drop("o").mapInPandas(run, f"a {kind('a')}, b {kind('b')}, score {kind('score')}, same boolean")
+    return found.withColumn("o", F.struct((-F.col("score")).alias("s"), "a", "b"))
+
+
 def one_to_one(scored: DataFrame, name: str = "assign") -> DataFrame:
     """(a, b, score): greedy assignment by descending score, ties by a, then b. Each round takes all pairs that come first
     in this order among the pairs of both their sides (which is what a sequential scan would take) and drops what they
-    touch."""
+    touch; the last FEW pairs are scanned."""
     scratch = Scratch(scored.sparkSession, name)
     rows = scored.where("a is not null and b is not null and score is not null").groupBy("a", "b").agg(F.max("score").alias("score"))
     left = scratch.write(rows.withColumn("o", F.struct((-F.col("score")).alias("s"), "a", "b")))
     taken: list[DataFrame] = []
-    while left.limit(1).count():
+    while left.count() > FEW:
         first = lambda side, name: left.groupBy(side).agg(F.min("o").alias(name))  # noqa: E731, B023
         chosen = scratch.write(left.join(first("a", "oa"), "a").join(first("b", "ob"), "b").where("o = oa and o = ob").select("a", "b", "score", "o"))
         taken.append(chosen)
         after = scratch.write(left.join(chosen.select("a"), "a", "left_anti").join(chosen.select("b"), "b", "left_anti"))
         scratch.drop(left)
         left = after
-    out = left
+    none = {"same": F.lit(False), "na": F.lit(0), "nb": F.lit(0)}
+    out = scratch.write(_in_order(left.withColumns(none), 1).select("a", "b", "score"))
     for t in taken:
-        out = out.unionByName(t)
-    return out.select("a", "b", "score")
+        out = out.unionByName(t.select("a", "b", "score"))
+    return out
 
 
 def attempts_within(scored: DataFrame, most: int = 3, cap: int | None = 500, name: str = "attempts") -> DataFrame:
@@ -59,13 +87,14 @@ def attempts_within(scored: DataFrame, most: int = 3, cap: int | None = 500, nam
     accepted when it is offered, and neither of its entities is offered again.
 
     Each round offers all pairs that are sure: were all open pairs before it offered, there would still be an offer left on
-    both sides. The first open pair always is. Open pairs behind the cap-th offer can't be among the first ones."""
+    both sides. The first open pair always is. Open pairs behind the cap-th offer can't be among the first ones. The last
+    FEW pairs are looked through in order."""
     scratch = Scratch(scored.sparkSession, name)
     same = F.coalesce("same", F.lit(False)) if "same" in scored.columns else F.lit(False)
     rows = scored.where("a is not null and b is not null and score is not null").groupBy("a", "b").agg(F.max("score").alias("score"), F.max(same).alias("same"))
     left = scratch.write(rows.select("a", "b", "score", "same", F.struct((-F.col("score")).alias("s"), "a", "b").alias("o"), F.lit(0).alias("na"), F.lit(0).alias("nb")))
     offered = scratch.write(left.limit(0).select("a", "b", "score", "same", "o"))
-    while left.limit(1).count():
+    while left.count() > FEW:
         # Rows behind the first few of an entity are dropped before the shuffle (a group limit).
         def sure(side: str) -> DataFrame:
             order = Window.partitionBy(side).orderBy("o")
@@ -84,5 +113,6 @@ def attempts_within(scored: DataFrame, most: int = 3, cap: int | None = 500, nam
             rest = rest.crossJoin(F.broadcast(last)).where((F.col("n") < cap) | (F.col("o") < F.col("last"))).drop("n", "last")
         left, before = scratch.write(rest), left
         scratch.drop(before)
+    offered = scratch.write(offered.union(_in_order(left, most).select(*offered.columns)))
     done = offered if cap is None else offered.orderBy("o").limit(cap)
     return done.select("a", "b", "score")

@@ -2,17 +2,49 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from synoptic.runtime import Scratch
 
+#: So many edges or fewer are joined by one task (some MB).
+FEW = 200_000
+
+
+def _in_one_task(graph: DataFrame) -> DataFrame:
+    """(id, synset_id) of at most FEW edges (u, v)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        up: dict = {}
+
+        def top(x):  # noqa: ANN001, ANN202
+            while up.setdefault(x, x) != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        for df in batches:
+            for u, v in zip(df["u"].tolist(), df["v"].tolist(), strict=True):
+                a, b = top(u), top(v)
+                if a != b:
+                    up[max(a, b)] = min(a, b)
+        ids = list(up)
+        yield pd.DataFrame({"id": ids, "synset_id": [top(x) for x in ids]})
+
+    kind = graph.schema["u"].dataType.simpleString()
+    return graph.repartition(1).mapInPandas(run, f"id {kind}, synset_id {kind}")
+
 
 def synsets(edges: DataFrame, name: str = "synsets") -> DataFrame:
     """(id, synset_id): connected components of (src, dst) by alternating large and small stars; synset_id is the smallest
-    member. Stars are aggregates and joins, so a hub is no single task's list."""
+    member. Stars are aggregates and joins, so a hub is no single task's list. FEW edges are joined at once."""
     scratch = Scratch(edges.sparkSession, name)
     graph = scratch.write(edges.where("src is not null and dst is not null and src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct())
+    if graph.count() <= FEW:
+        return scratch.write(_in_one_task(graph))
     before = None
     while True:
         both = graph.union(graph.select("v", "u"))

@@ -111,13 +111,13 @@ def self_merge(spark: SparkSession, d: str) -> DataFrame:
     return joins.self_merge(rows).select(F.col("id").alias("rec_id"), F.col("group").alias("merged_id"))
 
 
-@query(r"""with recursive t as (select distinct node_id as id, regexp_replace(lower(trim(is_part_of, e' \t\n\r')), '::[0-9]+(\.[0-9]+)*$', '') as host, lower(trim(label)) as label, regexp_extract(lower(label), '^(\S*)', 1) as word from pds_context where entity_type = 'instrument' and is_part_of is not null),
+@query(r"""with recursive t as (select distinct node_id as id, regexp_replace(lower(trim(is_part_of, e' \t\n\r')), '::[0-9]+(\.[0-9]+)*$', '') as host, lower(trim(label)) as label, substr(lower(label), 1, 2) as word from pds_context where is_part_of is not null),
     pairs as (select a.id as x, b.id as y from t a join t b on a.host = b.host and a.id <> b.id and (a.label = b.label or a.word = b.word and a.word <> '')),
     reach as (select distinct x as id, x as low from pairs union select e.y, r.low from reach r join pairs e on e.x = r.id and r.low < e.y)
     select id as node_id, min(low) as merged_id from reach group by id""")
 def instrument_merge(spark: SparkSession, d: str) -> DataFrame:
-    """Instruments of one host with a label, or its first word, in common."""
-    rows = read(spark, d, "pds_context").where("entity_type = 'instrument'").select(F.col("node_id").alias("id"), clean_reference(F.col("is_part_of")).alias("host"), "label", F.regexp_extract(F.lower("label"), r"^(\S*)", 1).alias("word")).distinct()
+    """Nodes of one host with a label, or what stands for their file name (its first letters), in common."""
+    rows = read(spark, d, "pds_context").select(F.col("node_id").alias("id"), clean_reference(F.col("is_part_of")).alias("host"), "label", F.substring(F.lower("label"), 1, 2).alias("word")).distinct()
     return joins.merge_within(rows, "host", ["label", "word"]).select(F.col("id").alias("node_id"), F.col("group").alias("merged_id"))
 
 

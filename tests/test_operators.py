@@ -62,13 +62,21 @@ def test_points_near_points(spark):
     assert (405, 406) in got and all(a in ok and b in ok for a, b in got)
 
 
+def ray_test(pts, x, y):
+    odd = False
+    for (xa, ya), (xb, yb) in zip(pts, pts[1:] + pts[:1], strict=True):
+        if (ya > y) != (yb > y) and x < (xb - xa) * (y - ya) / (yb - ya) + xa:
+            odd = not odd
+    return odd
+
+
 def test_points_in_regions(spark):
     r = random.Random(4)
     ring = [[0.0, 0.0], [10.0, 1.0], [12.0, 9.0], [5.0, 4.0], [1.0, 8.0]]
     pts = [(i, r.uniform(-2, 11), r.uniform(-2, 14)) for i in range(400)]
     regions = spark.createDataFrame([("r", ring), ("none", None)], "name string, ring array<array<double>>")
     got = {x.id for x in nearby.points_in_regions(spark.createDataFrame(pts, "id bigint, lat double, lon double"), "id", "lat", "lon", regions, "name", "ring", 8).collect()}
-    assert got == {i for i, la, lo in pts if nearby._inside([tuple(p) for p in ring], lo, la)} and 50 < len(got) < 350
+    assert got == {i for i, la, lo in pts if ray_test(ring, lo, la)} and 50 < len(got) < 350
 
 
 def test_types(spark):
@@ -247,6 +255,14 @@ def test_rounded_votes_against_brute_force():
         assert vote.rounded_majority([(v, values.count(v)) for v in firsts]) == slow_rounded_majority([v for f in firsts for v in [f] * values.count(f)])
 
 
+@pytest.fixture(params=[True, False], ids=["few", "many"])
+def few(request, monkeypatch):
+    """Both ways: what is left at once in one task, and in rounds to the end."""
+    if not request.param:
+        monkeypatch.setattr(select, "FEW", 0)
+        monkeypatch.setattr(synsets, "FEW", 0)
+
+
 def slow_attempts(pairs, most, cap, same=frozenset()):
     """The pairs in order, one at a time."""
     tries, out = {}, []
@@ -258,7 +274,7 @@ def slow_attempts(pairs, most, cap, same=frozenset()):
     return out
 
 
-def test_attempts(spark):
+def test_attempts(spark, few):
     made = lambda pairs: spark.createDataFrame([(float(s), a, b) for s, a, b in pairs], "score double, a int, b int")
     passed_over = [(9, 1, 1), (8, 1, 2), (7, 1, 3), (6, 1, 9), (5, 2, 9), (4, 3, 9), (3, 4, 9)]
     assert (4, 9, 3.0) in {tuple(x) for x in select.attempts_within(made(passed_over)).collect()}
@@ -344,3 +360,53 @@ def test_confusion(spark):
     found = spark.createDataFrame([(1, 1), (2, 2), (3, 3), (4, 4)], "a int, b int")
     gold = spark.createDataFrame([(1, 1, 2, 0), (2, 2, 0, 1), (3, 3, 1, 1), (5, 5, 1, 0), (6, 6, 0, 3)], "a int, b int, yes int, no int")
     assert joins.confusion(found, gold, ["a", "b"]).first().asDict() == {"tp": 1, "fp": 2, "fn": 1, "tn": 1}
+
+
+def test_points_in_regions_of_many_corners(spark):
+    r = random.Random(12)
+    ring = [[30 + (8 + 4 * math.sin(9 * t) + r.uniform(0, 0.3)) * math.cos(t), 10 + (8 + 4 * math.sin(9 * t)) * math.sin(t)] for t in (2 * math.pi * i / 2500 for i in range(2500))]
+    square = [[-5.0, -5.0], [5.0, -5.0], [5.0, 5.0], [-5.0, 5.0]]
+    points = [(i, r.uniform(-8, 24), r.uniform(-8, 44)) for i in range(1500)] + [(9000, None, 1.0), (9001, 0.0, 0.0), (9002, 2.0, 361.0)]
+
+    want = {(i, n) for i, la, lo in points[:1500] for n, pts in (("star", ring), ("square", square)) if ray_test(pts, lo, la)}
+    regions = spark.createDataFrame([("star", ring), ("square", square), ("none", None), ("line", ring[:2])], "name string, ring array<array<double>>")
+    df = spark.createDataFrame(points, "id int, la double, lo double")
+    for level in (3, 12):
+        assert {tuple(x) for x in nearby.points_in_regions(df, "id", "la", "lo", regions, "name", "ring", level).collect()} == want
+    assert nearby.points_in_regions(df, "id", "la", "lo", regions.limit(0), "name", "ring").count() == 0
+    with pytest.raises(ValueError):
+        nearby.points_within(df, "id", "la", "lo", 0.001)
+
+
+def test_paths_deeper_than_those_kept(spark, monkeypatch):
+    monkeypatch.setattr(hierarchy, "SHALLOW", 5)
+    monkeypatch.setattr(hierarchy, "PART_CHARS", 200)
+    up = {i: i - 1 for i in range(1, 60)} | {i: i - 40 for i in range(60, 90)}
+    pairs = spark.createDataFrame(list(up.items()), "child bigint, parent bigint")
+    got = {x.node_id: x.path for x in hierarchy.hierarchy(pairs).collect()}
+
+    def path(i):
+        return f"{path(up[i])}/{i}" if i in up else str(i)
+
+    assert got == {i: path(i) for i in up}
+
+
+def test_one_to_one_against_a_scan(spark, few):
+    r = random.Random(6)
+    pairs = list({(a, b): (float(r.randint(1, 20)), a, b) for a, b in ((r.randint(1, 30), f"b{r.randint(1, 30)}") for _ in range(250))}.values())
+    got = {tuple(x) for x in select.one_to_one(spark.createDataFrame(pairs, "score double, a int, b string")).collect()}
+    used, want = set(), set()
+    for s, a, b in sorted(pairs, key=lambda p: (-p[0], p[1], p[2])):
+        if a not in used and b not in used:
+            used |= {a, b}
+            want.add((a, b, s))
+    assert got == want and select.one_to_one(spark.createDataFrame([], "score double, a int, b string")).count() == 0
+
+
+def test_synsets_both_ways(spark, few):
+    r = random.Random(7)
+    edges = [(r.randint(1, 80), r.randint(1, 80)) for _ in range(60)] + [(200 + i, 201 + i) for i in range(30)] + [(5, 5), (None, 3)]
+    want = components([(a, b) for a, b in edges if a is not None and a != b])
+    assert {x.id: x.synset_id for x in synsets.synsets(spark.createDataFrame(edges, "src bigint, dst bigint")).collect()} == want
+    named = synsets.synsets(spark.createDataFrame([("b", "a"), ("c", "b")], "src string, dst string"))
+    assert {x.id: x.synset_id for x in named.collect()} == {"a": "a", "b": "a", "c": "a"}
