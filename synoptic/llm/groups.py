@@ -59,8 +59,10 @@ def components(edges: DataFrame, name: str = "components", rate: float = 0.15, r
         both = graph.select("a", "b").union(graph.select("b", "a")).toDF("u", "v")
         offers = both.select("u", own("v", 1.0).alias("o"), own("u", 0.0).alias("own"))
         joined = offers.groupBy("u").agg(F.least(F.min("o"), F.min("own")).alias("c"))
+        hops: list[DataFrame] = []
         for _ in range(rounds - 1):
             held = scratch.write(joined)
+            hops.append(held)
             known = held.select(F.col("u").alias("v"), F.struct((F.col("c.at") + 1.0).alias("at"), F.col("c.centre").alias("centre")).alias("c"))
             joined = both.join(known, "v").select("u", "c").union(held).groupBy("u").agg(F.min("c").alias("c"))
         assigned = scratch.write(joined.select(F.col("u").alias("v"), F.col("c.centre").alias("to")))
@@ -68,7 +70,7 @@ def components(edges: DataFrame, name: str = "components", rate: float = 0.15, r
         to_a, to_b = assigned.select(F.col("v").alias("a"), F.col("to").alias("a2")), assigned.select(F.col("v").alias("b"), F.col("to").alias("b2"))
         between = graph.join(to_a, "a").join(to_b, "b").where("a2 <> b2").select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct()
         smaller = scratch.write(between)
-        scratch.drop(graph, *([held] if rounds > 1 else []))
+        scratch.drop(graph, *hops)
         graph = smaller
     if not levels:
         return graph.select(F.col("a").alias("id"), F.col("b").alias("group_id"))
@@ -79,6 +81,7 @@ def components(edges: DataFrame, name: str = "components", rate: float = 0.15, r
 
     final = reduce(compose, reversed(levels))
     final = scratch.write(final)
+    scratch.drop(*levels)
     lowest = final.groupBy("to").agg(F.min("v").alias("group_id"))
     return final.join(lowest, "to").select(F.col("v").alias("id"), "group_id")
 
