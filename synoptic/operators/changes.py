@@ -17,6 +17,18 @@ def diff(old: DataFrame, new: DataFrame, key: str, content: list[str]) -> DataFr
     return a.join(b, key, "full").select(key, change.alias("change"))
 
 
+def refreshed(old: DataFrame, new: DataFrame, key: str, content: list[str], now: Column) -> DataFrame:
+    """(key, content, modified, deprecated) of a list after it was read again: rows that are new or differ are stamped with
+    `now`, unchanged ones keep their time, and those that are gone stay, marked as deprecated. `old` has modified and
+    may have deprecated."""
+    was = F.col("o.deprecated") if "deprecated" in old.columns else F.lit(False)
+    a, b = old.withColumn("__a", _hash(content)).alias("o"), new.withColumn("__b", _hash(content)).alias("n")
+    both = a.join(b, F.col(f"o.{key}") == F.col(f"n.{key}"), "full")
+    gone, same = F.col("__b").isNull(), F.col("__a") == F.col("__b")
+    modified = F.when(same & ~F.coalesce(was, F.lit(False)), F.col("o.modified")).when(gone & F.coalesce(was, F.lit(False)), F.col("o.modified")).otherwise(now)
+    return both.select(F.coalesce(f"o.{key}", f"n.{key}").alias(key), *[F.when(gone, F.col(f"o.{c}")).otherwise(F.col(f"n.{c}")).alias(c) for c in content], modified.alias("modified"), gone.alias("deprecated"))
+
+
 def newer_keys(old: DataFrame, new: DataFrame, key: str, modified: str) -> DataFrame:
     """Rows of `new` whose key is new or modified later."""
     known = old.groupBy(key).agg(F.max(modified).alias("__was"))

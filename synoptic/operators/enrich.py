@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from synoptic.functions.acronyms import acronyms_cut
 from synoptic.functions.text import cut_location
+from synoptic.model import class_of, closure
 
 DELIMITERS = (" at ", ",")
 
@@ -64,17 +65,24 @@ def unique_value(rows: DataFrame, key: str, value: str, synset: str) -> DataFram
     return rows.select(key, synset).distinct().join(least, synset).groupBy(key).agg(F.min(value).alias(value))
 
 
-def entity_list(rows: DataFrame, kind: str, kinds: list[str], present: list[str], deprecated: str) -> DataFrame:
-    """Entities of some classes that have certain attributes and are not deprecated."""
-    out = rows.where(F.col(kind).isin(kinds) & ~F.coalesce(F.col(deprecated), F.lit(False)))
+def entity_list(rows: DataFrame, kind: str, kinds: list[str], present: list[str], deprecated: str, lattice: bool = False, source: tuple[str, str] | None = None, limit: tuple[str, int] | None = None) -> DataFrame:
+    """Entities of some classes (with `lattice` also of the classes below them) that have certain attributes and are not
+    deprecated; of one list with `source` (column, name); with `limit` (column, n) the first n by a column."""
+    if lattice:
+        above = closure()
+        kinds = sorted({k for k in above if above[k] & set(kinds)} | set(kinds))
+    out = rows.where((class_of(F.col(kind)) if lattice else F.col(kind)).isin(kinds) & ~F.coalesce(F.col(deprecated), F.lit(False)))
+    if source:
+        out = out.where(F.col(source[0]) == source[1])
     for c in present:
         out = out.where(F.col(c).isNotNull())
-    return out
+    return out.orderBy(limit[0]).limit(limit[1]) if limit else out
 
 
-def without_values(attributes: DataFrame, removed: DataFrame) -> DataFrame:
-    """Attributes (uri, attr, value) less those removed."""
-    return attributes.join(removed.select("uri", "attr", "value").distinct(), ["uri", "attr", "value"], "left_anti")
+def without_values(attributes: DataFrame, removed: DataFrame, by: tuple[str, ...] = ("uri", "attr", "value")) -> DataFrame:
+    """Attributes (uri, attr, value, lang, source) less those removed, by any of these columns: without the value all values
+    of an attribute go, with the language or the list those that are stated in it."""
+    return attributes.join(removed.select(*by).distinct(), list(by), "left_anti")
 
 
 def translated(column: Column, names: dict[str, str]) -> Column:

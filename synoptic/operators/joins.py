@@ -99,7 +99,14 @@ def rewritten(edges: DataFrame, merged: DataFrame) -> DataFrame:
 
 def restored(references: DataFrame, ref: str, names: DataFrame) -> DataFrame:
     """References with old codes (old, new) replaced by the new key, the others kept."""
-    return references.join(names.select(F.col("old").alias(ref), "new"), ref, "left").withColumn(ref, F.coalesce("new", ref)).drop("new")
+    one = names.groupBy(F.col("old").alias(ref)).agg(F.min("new").alias("new"))
+    return references.join(one, ref, "left").withColumn(ref, F.coalesce("new", ref)).drop("new")
+
+
+def restored_links(references: DataFrame, key: str, ref: str, names: DataFrame, known: DataFrame, name: str) -> DataFrame:
+    """(src, dst, relation): part links by restored references, from both sides; links that lead to no known key are left
+    out."""
+    return reciprocal(restored(references, ref, names), key, ref, known, name)
 
 
 def excluded(rows: DataFrame, key: str, exclusions: list[DataFrame]) -> DataFrame:
@@ -187,6 +194,14 @@ def identifier_links(rows: DataFrame, key: str, block: list[str], ids: list[str]
     return stated.join(least, same).where("a < b").select("a", "b").distinct()
 
 
+def in_list(pairs: DataFrame, column: str, members: DataFrame, source: str) -> DataFrame:
+    """`pairs` with the ids of a column replaced by the synonym (the least, of several) that belongs to a list; an id without
+    one stays. `members` has id, synset_id and source."""
+    own = members.where(F.col("source") == source).groupBy("synset_id").agg(F.min("id").alias("__own"))
+    swap = members.select(F.col("id").alias(column), "synset_id").distinct().join(own, "synset_id").groupBy(column).agg(F.min("__own").alias("__own"))
+    return pairs.join(swap, column, "left").withColumn(column, F.coalesce("__own", column)).drop("__own")
+
+
 def related(pairs: DataFrame, src: str, dst: str, relation: str, inverse: str) -> DataFrame:
     """(src, dst, relation) with the inverse of each."""
     out = pairs.select(F.col(src).alias("src"), F.col(dst).alias("dst"), F.lit(relation).alias("relation"))

@@ -916,6 +916,177 @@ def continents(spark: SparkSession, d: str) -> DataFrame:
     return geo.with_continent(rows, countries, "country", "cc", "lo").select("s_suppkey", "continent", "country")
 
 
+@query("""select distinct facility_id::varchar as uri, 'aperture' as attr, aperture::varchar as value from aas_keyword where not isnan(aperture) and aperture is not null""")
+def page_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Detail pages of name-value rows, written as text and read one page a file line."""
+    k = read(spark, d, "aas_keyword").where(F.col("aperture").isNotNull() & ~F.isnan("aperture"))
+    page = F.concat(F.lit("<p> </p><p>Facility</p><table><tr><td>Aperture:</td><td>"), F.col("aperture").cast("string"), F.lit("</td></tr><tr><td>only one cell</td></tr></table>"))
+    return readers.two_column_page(k.select(F.col("facility_id").cast("string").alias("id"), page.alias("html")), "id", "html").distinct()
+
+
+@query("""select distinct rec_id, label as intro from spase_record where label is not null""")
+def first_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    page = F.concat(F.lit("<html><body><p> </p><p><b>"), "label", F.lit("</b></p><p>more</p></body></html>"))
+    return read(spark, d, "spase_record").where("label is not null").select("rec_id", readers.first_paragraph(page).alias("intro")).distinct()
+
+
+@query("""select distinct site_id as code, trim(replace(code, chr(39), '')) as name from iaumpc_site where code is not null""")
+def preformatted_codes(spark: SparkSession, d: str) -> DataFrame:
+    """Codes with quoted names in a preformatted block."""
+    rows = read(spark, d, "iaumpc_site").where("code is not null").select("site_id", F.replace("code", F.lit("'"), F.lit("")).alias("code")).distinct()
+    block = F.concat(F.lit("<html><pre>\n "), F.col("site_id").cast("string"), F.lit("   ' "), "code", F.lit(" '\n</pre></html>"))
+    return rows.select(F.explode(readers.quoted_codes(F.get(readers.html_preformatted(block), F.lit(0)))).alias("c")).select(F.col("c.code").cast("bigint").alias("code"), "c.name")
+
+
+@query("""select distinct event_type as name, user_id from events where user_id is not null""")
+def paged_json_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Rows in pages of JSON, each once."""
+    path = _folder(spark, "pages")
+    rows = read(spark, d, "events").where("user_id is not null").select(F.pmod(F.xxhash64("event_id"), F.lit(64)).alias("page"), F.struct(F.col("event_type").alias("name"), "user_id").alias("r"))
+    rows.groupBy("page").agg(F.collect_set("r").alias("data")).write.partitionBy("page").json(path)
+    return readers.paged_json(spark, path).select("name", F.col("user_id").cast("bigint").alias("user_id"))
+
+
+@query("""select distinct rec_id, lower(regexp_replace(uri, '[^A-Za-z0-9_]+', '_', 'g')) as file from spase_record where uri is not null""")
+def cache_names(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "spase_record").where("uri is not null").select("rec_id", readers.cache_name(F.col("uri")).alias("file")).distinct()
+
+
+@query("""select distinct mention_id, case waveband when 'radio' then 'Radio waves' when 'optical' then 'Visible light' else waveband end as band from facility_mention where waveband is not null""")
+def translated_codes(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "facility_mention").where("waveband is not null").select("mention_id", enrich.translated(F.col("waveband"), {"radio": "Radio waves", "optical": "Visible light"}).alias("band")).distinct()
+
+
+@query("""select list_name as subject_source, 'x' as object_source, rec_id, label from (select distinct list_name, rec_id, label from synset_record where list_name is not null)""")
+def mapping_store_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Facts in the mapping store, by their two lists."""
+    path = _folder(spark, "store")
+    rows = read(spark, d, "synset_record").where("list_name is not null").select(F.col("list_name").alias("subject_source"), F.lit("x").alias("object_source"), "rec_id", "label").distinct()
+    writers.mappings(rows, path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@query(f"""with {_LINTED}, w as (select uri, 'duplicate' as warning from t where lower(label) in (select l from dup)) select warning, count(*) as n from w group by 1""")
+def warnings_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """The summary of warnings as it is written, for one kind."""
+    path = _folder(spark, "warnings")
+    writers.warnings(label_lint(spark, d).where("warning = 'duplicate'").select("uri", "warning", "label").distinct(), path)
+    return spark.read.schema("warning string, n bigint").json(f"{path}/summary")
+
+
+@query("""select distinct node_id, entity_type = 'instrument' as instrument from pds_context where entity_type is not null""")
+def split_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Instruments and the rest, written apart."""
+    path = _folder(spark, "split")
+    rows = read(spark, d, "pds_context").where("entity_type is not null").select("node_id", F.array("entity_type").alias("t")).distinct()
+    writers.split(*publish.instruments_apart(rows, "t"), path)
+    return spark.read.parquet(f"{path}/instruments").select("node_id", F.lit(True).alias("instrument")).union(spark.read.parquet(f"{path}/facilities").select("node_id", F.lit(False)))
+
+
+@query("""select distinct rec_id, label as name, code as aka from spase_record where label is not null and regexp_matches(code, '^[A-Za-z0-9:/-]+$')""")
+def aka_cut(spark: SparkSession, d: str) -> DataFrame:
+    """Names behind "also known as", cut from a label."""
+    rows = read(spark, d, "spase_record").where("label is not null").where(F.col("code").rlike("^[A-Za-z0-9:/-]+$")).select("rec_id", X.cut_aka(F.concat("label", F.lit(" (also known as "), "code", F.lit(")"))).alias("c"))
+    return rows.select("rec_id", "c.name", "c.aka").distinct()
+
+
+@query(r"""select distinct mention_id, trim(regexp_replace(regexp_replace(label, '\([^()]*\)', ' ', 'g'), ' +', ' ', 'g')) as plain from facility_mention where label is not null""")
+def parentheses_cut(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "facility_mention").where("label is not null").select("mention_id", X.without_parentheses(F.col("label")).alias("plain")).distinct()
+
+
+@query(r"""with m as (select distinct mention_id, regexp_replace(trim(regexp_replace(regexp_replace(label || ' (', '[\r\t]', ' ', 'g'), ' +', ' ', 'g')), '\.$', '') as b from facility_mention where label is not null and not contains(label, '(') and not contains(label, ')'))
+    select mention_id, trim(b || ')') as label from m""")
+def labels_cleaned(spark: SparkSession, d: str) -> DataFrame:
+    """Labels in which a parenthesis was left open."""
+    rows = read(spark, d, "facility_mention").where("label is not null").where(~F.contains("label", F.lit("(")) & ~F.contains("label", F.lit(")")))
+    return rows.select("mention_id", X.clean(F.concat("label", F.lit(" ("))).alias("label")).distinct()
+
+
+@query("""select distinct site_id, round(latitude, 5) as latitude from iaumpc_site where not isnan(latitude) and abs(latitude) < 89""")
+def parallax_latitude(spark: SparkSession, d: str) -> DataFrame:
+    """Latitudes back from the parallax constants that they give."""
+    e2 = geo.FLAT * (2 - geo.FLAT)
+    phi = F.radians("latitude")
+    n = 1 / F.sqrt(1 - F.lit(e2) * F.sin(phi) * F.sin(phi))
+    rows = read(spark, d, "iaumpc_site").where(~F.isnan("latitude") & (F.abs("latitude") < 89)).select("site_id", "latitude").distinct()
+    return rows.select("site_id", geo.geodetic_latitude(n * F.cos(phi), (1 - F.lit(e2)) * n * F.sin(phi)).alias("latitude"))
+
+
+@query("""with e as (select vec_id, embedding from embeddings), p as (select a.vec_id, a.embedding as x, b.embedding as y from e a join e b on b.vec_id = a.vec_id + 1)
+    select vec_id, round(list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i]::double * 2 + y[i]::double * 3) / 5)), 5) as total from p""")
+def merged_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Each vector and the next one merged, as synsets of two and three members."""
+    e = read(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    other = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("x").alias("y"))
+    merged = embed.weighted_mean(F.col("x"), F.lit(2), F.col("y"), F.lit(3))
+    return e.join(other, "vec_id").select("vec_id", F.round(F.aggregate(merged, F.lit(0.0), lambda s, v: s + v), 5).alias("total"))
+
+
+@query("""with r as (select rec_id, label, alt_label, loaded_at, row_number() over (partition by rec_id order by loaded_at) as k from spase_record), o as (select * from r where k = 1), n as (select rec_id, 'new ' || label as label from o where label is not null)
+    select o.rec_id, n.label, array_to_string(list_sort(list_distinct(list_filter(list_concat(coalesce(o.alt_label, []), [o.label]), lambda x: x is not null and x <> n.label))), '|') as alt_label from o join n using (rec_id)""")
+def merged_versions(spark: SparkSession, d: str) -> DataFrame:
+    """Records and a later version with another label, merged: the older label is kept among the others."""
+    rows = read(spark, d, "spase_record").groupBy("rec_id").agg(F.min_by(F.struct("label", "alt_label"), "loaded_at").alias("r")).select("rec_id", "r.*").where("label is not null")
+    m = vote.merged_entity({"label": F.col("label"), "alt_label": F.col("alt_label")}, {"label": F.concat(F.lit("new "), "label"), "alt_label": F.lit(None).cast("array<string>")})
+    return rows.select("rec_id", m["label"].alias("label"), F.array_join(m["alt_label"], "|").alias("alt_label"))
+
+
+@query("""with r as (select distinct rec_id, entity_type as t, lower(label) as l, case when nssdca_id is null then 0.5 else 1 end as c from spase_record where label is not null)
+    select a.rec_id as a, b.rec_id as b from r a join r b on a.l = b.l and a.rec_id < b.rec_id where a.c < 1 or b.c < 1 or a.t is null or b.t is null or a.t = b.t""")
+def type_confidence_filter(spark: SparkSession, d: str) -> DataFrame:
+    """Records of one label, unless both are sure of their classes (they have an identifier) and these differ: classes are
+    compared by name here."""
+    rows = read(spark, d, "spase_record").where("label is not null").select(F.col("rec_id").alias("a"), F.lower("label").alias("l"), F.array_compact(F.array(F.concat(F.lit("="), "entity_type"))).alias("t1"), F.when(F.col("nssdca_id").isNull(), 0.5).otherwise(1.0).alias("c1")).distinct()
+    others = rows.select(F.col("a").alias("b"), "l", F.col("t1").alias("t2"), F.col("c1").alias("c2"))
+    return rows.join(others, "l").where("a < b").where(compare.type_filter(F.col("t1"), F.col("c1"), F.col("t2"), F.col("c2"))).select("a", "b")
+
+
+@query("""with r as (select distinct rec_id, lower(label) as l, lower(rtrim(trim(is_part_of), '.')) as p from spase_record where label is not null)
+    select a.rec_id as a, b.rec_id as b from r a join r b on a.l = b.l and a.rec_id < b.rec_id where a.p is null or b.p is null or a.p = b.p""")
+def same_broader_filter(spark: SparkSession, d: str) -> DataFrame:
+    rows = read(spark, d, "spase_record").where("label is not null").select(F.col("rec_id").alias("a"), F.lower("label").alias("l"), F.array_compact(F.array(F.lower(F.regexp_replace(F.trim("is_part_of"), r"\.+$", "")))).alias("p1")).distinct()
+    others = rows.select(F.col("a").alias("b"), "l", F.col("p1").alias("p2"))
+    return rows.join(others, "l").where((F.col("a") < F.col("b")) & compare.broader_filter(F.col("p1"), F.col("p2"))).select("a", "b")
+
+
+@query("""with renamed as (select u as old, min(code) as new from (select code, unnest(prior_id) as u from spase_record where code is not null) where u is not null group by 1), known as (select distinct code from spase_record where code is not null),
+    e as (select distinct r.code as src, coalesce(n.new, t.u) as dst from (select code, unnest(prior_id) as u from spase_record where code is not null) t join spase_record r on r.code = t.code left join renamed n on n.old = t.u),
+    b as (select src, dst, 'is_part_of' as relation from e where src <> dst union select dst, src, 'has_part' from e where src <> dst) select * from b where src in (select code from known) and dst in (select code from known)""")
+def restored_references(spark: SparkSession, d: str) -> DataFrame:
+    """References by old codes led to the records that bear them now, from both sides."""
+    records = read(spark, d, "spase_record").where("code is not null")
+    refs = records.select("code", F.explode("prior_id").alias("ref")).where("ref is not null").distinct()
+    names = refs.select(F.col("ref").alias("old"), F.col("code").alias("new"))
+    return joins.restored_links(refs, "code", "ref", names, records, "code")
+
+
+@query("""with r as (select rec_id, label, modified, row_number() over (partition by rec_id order by loaded_at) as k, row_number() over (partition by rec_id order by loaded_at desc) as z from spase_record),
+    o as (select rec_id, label, modified from r where k = 1 and rec_id % 7 <> 0), n as (select rec_id, case when rec_id % 5 = 0 then upper(label) else label end as label from r where z = 1 and rec_id % 11 <> 0)
+    select coalesce(o.rec_id, n.rec_id) as rec_id, case when n.rec_id is null then o.label else n.label end as label, case when o.rec_id is not null and n.rec_id is not null and o.label is not distinct from n.label then o.modified else timestamp '2030-01-01' end as modified, n.rec_id is null as deprecated from o full join n on o.rec_id = n.rec_id""")
+def list_refresh(spark: SparkSession, d: str) -> DataFrame:
+    """A list read again: some records are new, some gone, some changed."""
+    rows = read(spark, d, "spase_record").groupBy("rec_id").agg(F.min_by(F.struct("label", "modified"), "loaded_at").alias("o"), F.max_by("label", "loaded_at").alias("n"))
+    old = rows.where("rec_id % 7 <> 0").select("rec_id", "o.label", "o.modified")
+    new = rows.where("rec_id % 11 <> 0").select("rec_id", F.when(F.col("rec_id") % 5 == 0, F.upper("n")).otherwise(F.col("n")).alias("label"))
+    return changes.refreshed(old, new, "rec_id", ["label"], F.lit("2030-01-01").cast("timestamp"))
+
+
+@query("""with t as (select distinct synset_id, rec_id, list_name from synset_record), p as (select synset_id, min(rec_id) as src, max(rec_id) as dst from t group by 1 having count(*) > 1), w as (select synset_id, min(rec_id) as own from t where list_name = 'wikidata' group by 1)
+    select coalesce(own, src) as src, dst, 'broadMatch' as relation from p left join w using (synset_id) where coalesce(own, src) <> dst union select dst, coalesce(own, src), 'narrowMatch' from p left join w using (synset_id) where coalesce(own, src) <> dst""")
+def relations_in_list(spark: SparkSession, d: str) -> DataFrame:
+    """Broader and narrower relations whose subjects are given by their synonym in one list."""
+    members = read(spark, d, "synset_record").select(F.col("rec_id").alias("id"), "synset_id", F.col("list_name").alias("source")).distinct()
+    pairs = members.groupBy("synset_id").agg(F.min("id").alias("src"), F.max("id").alias("dst")).where("src <> dst").select("src", "dst")
+    return joins.related(joins.in_list(pairs, "src", members, "wikidata").where("src <> dst"), "src", "dst", "broadMatch", "narrowMatch")
+
+
+@query("""select distinct node_id, label from pds_context where label is not null and not coalesce(deprecated, false) and entity_type in ('airborne', 'instrument_host', 'investigation', 'telescope')""")
+def entities_of_class(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes of a class or one below it."""
+    return enrich.entity_list(read(spark, d, "pds_context"), "entity_type", ["space facility"], ["label"], "deprecated", lattice=True).select("node_id", "label").distinct()
+
+
 # The strategy ---------------------------------------------------------------------------------------------------------
 
 

@@ -340,6 +340,9 @@ def cleaned_attributes(long: DataFrame, renames: dict[str, str]) -> DataFrame:
     value = F.when(named == "longitude", F.regexp_replace("value", "E$", "")).otherwise(F.trim("value"))
     out = long.select("uri", named.alias("attr"), value.alias("value"))
     default = F.col("attr").rlike("date$") & F.col("value").startswith("2000-01-01")
+    # An alternative label that is a launch designation is an identifier.
+    identifier = (F.col("attr") == "alt_label") & F.col("value").rlike(r"^\d{4}-\d{3}[A-Z]$")
+    out = out.withColumn("attr", F.when(identifier, "NSSDCA_ID").otherwise(F.col("attr")))
     return out.where(~F.col("value").isin("None", "-", "", "NULL", "Unknown") & ~F.coalesce(default, F.lit(False))).distinct()
 
 

@@ -410,3 +410,26 @@ def test_synsets_both_ways(spark, few):
     assert {x.id: x.synset_id for x in synsets.synsets(spark.createDataFrame(edges, "src bigint, dst bigint")).collect()} == want
     named = synsets.synsets(spark.createDataFrame([("b", "a"), ("c", "b")], "src string, dst string"))
     assert {x.id: x.synset_id for x in named.collect()} == {"a": "a", "b": "a", "c": "a"}
+
+
+def test_lists_and_removals_by_any_column(spark):
+    from synoptic.operators import enrich
+
+    rows = spark.createDataFrame([(1, "telescope", "aas", "x", False), (2, "spacecraft", "aas", "y", None), (3, "spacecraft", "pds", None, False), (4, "investigation", "aas", "z", True), (5, "space mission", "aas", "w", False)], "id int, kind string, src string, label string, gone boolean")
+    got = enrich.entity_list(rows, "kind", ["spacecraft"], ["label"], "gone", lattice=True, source=("src", "aas"))
+    assert {x.id for x in got.collect()} == {2, 5} and [x.id for x in enrich.entity_list(rows, "kind", ["telescope", "spacecraft"], [], "gone", limit=("id", 2)).collect()] == [1, 2]
+    attributes = spark.createDataFrame([("u", "label", "a", "en", "aas"), ("u", "label", "b", "fr", "pds"), ("v", "label", "a", "en", "aas")], "uri string, attr string, value string, lang string, source string")
+    assert {(x.uri, x.value) for x in enrich.without_values(attributes, spark.createDataFrame([("u", "fr")], "uri string, lang string"), ("uri", "lang")).collect()} == {("u", "a"), ("v", "a")}
+
+
+def test_refreshed_list(spark):
+    old = spark.createDataFrame([(1, "a", "2020", False), (2, "b", "2020", False), (3, "c", "2020", False), (4, "d", "2019", True), (5, "e", "2019", True)], "k int, v string, modified string, deprecated boolean")
+    new = spark.createDataFrame([(1, "a"), (2, "x"), (5, "e"), (6, "f")], "k int, v string")
+    got = {x.k: (x.v, x.modified, x.deprecated) for x in changes.refreshed(old, new, "k", ["v"], F.lit("now")).collect()}
+    assert got == {1: ("a", "2020", False), 2: ("x", "now", False), 3: ("c", "now", True), 4: ("d", "2019", True), 5: ("e", "now", False), 6: ("f", "now", False)}
+
+
+def test_relations_by_the_synonym_of_a_list(spark):
+    members = spark.createDataFrame([(1, 1, "aas"), (2, 1, "pds"), (3, 1, "pds"), (4, 4, "aas")], "id int, synset_id int, source string")
+    pairs = spark.createDataFrame([(1, 9), (4, 9), (7, 9)], "src int, dst int")
+    assert {(x.src, x.dst) for x in joins.in_list(pairs, "src", members, "pds").collect()} == {(2, 9), (4, 9), (7, 9)}
