@@ -43,8 +43,7 @@ SHALLOW, PART_CHARS = 128, 1 << 25
 
 def clean_reference(ref: Column) -> Column:
     """Lower case, without blanks around it and without a version suffix ::n.n"""
-    edge = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
-    return F.regexp_replace(F.regexp_replace(F.lower(F.regexp_replace(ref, edge, "")), r"::\d+(\.\d+)*$", ""), edge, "")
+    return F.lower(F.regexp_replace(ref, r"^[\s\p{Z}]+|(?:[\s\p{Z}]*::\d+(?:\.\d+)*)?[\s\p{Z}]*\z", ""))
 
 
 def links(nodes: DataFrame, extra: DataFrame, node_id: str, name: str, parent_ref: str, child_refs: str) -> DataFrame:

@@ -433,3 +433,8 @@ def test_relations_by_the_synonym_of_a_list(spark):
     members = spark.createDataFrame([(1, 1, "aas"), (2, 1, "pds"), (3, 1, "pds"), (4, 4, "aas")], "id int, synset_id int, source string")
     pairs = spark.createDataFrame([(1, 9), (4, 9), (7, 9)], "src int, dst int")
     assert {(x.src, x.dst) for x in joins.in_list(pairs, "src", members, "pds").collect()} == {(2, 9), (4, 9), (7, 9)}
+
+
+@pytest.mark.parametrize(("given", "clean"), [("urn:A:b::1.0", "urn:a:b"), (" \t Urn:a::12 \n", "urn:a"), ("a ::1.2.3", "a"), ("a::1::2", "a::1"), ("a::x", "a::x"), ("::1.0", ""), ("", ""), ("a b", "a b"), (None, None)])
+def test_references(spark, given, clean):
+    assert spark.range(1).select(hierarchy.clean_reference(F.lit(given).cast("string"))).first()[0] == clean
