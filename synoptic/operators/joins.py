@@ -130,6 +130,12 @@ def closed(edges: DataFrame, src: str, dst: str, name: str = "closure") -> DataF
             return paths
 
 
+def _key(*values: Column) -> Column:
+    """Values as one short key (96 bits), null if one of them is."""
+    stated = reduce(lambda x, y: x & y, (v.isNotNull() for v in values))
+    return F.when(stated, F.struct(F.xxhash64(*values).alias("h"), F.hash(*values).alias("g")))
+
+
 def star_links(rows: DataFrame, block: list[str]) -> DataFrame:
     """(a, b): links that join what all pairs of a block would join, of rows (id, guard, free, block columns): a pair is left
     out if both state a guard and differ in it, and at least one of the two must be free. As many links as rows at most,
@@ -137,12 +143,15 @@ def star_links(rows: DataFrame, block: list[str]) -> DataFrame:
     first = lambda w: F.min(F.when(w, F.col("id")))
     null = F.col("guard").isNull()
     # A free row without a guard goes with all others. Else a free row joins those of its guard and all without one.
-    blocks = rows.groupBy(*block).agg(first(null & F.col("free")).alias("center"), first(null).alias("open"), first(F.col("free")).alias("any"))
-    guards = rows.where("guard is not null").groupBy(*block, "guard").agg(first(F.col("free")).alias("own")).where("own is not null")
-    met = rows.join(blocks, block).join(guards, [*block, "guard"], "left")
-    links = met.select(F.coalesce("center", F.when(null, F.col("any")).otherwise(F.col("own"))).alias("a"), F.col("id").alias("b"))
-    across = guards.join(blocks.where("center is null and open is not null"), block).select(F.col("own").alias("a"), F.col("open").alias("b"))
-    return links.union(across).where("a is not null and a <> b").distinct()
+    blocks = rows.groupBy(*block).agg(first(null & F.col("free")).alias("center"), first(null).alias("open"), first(F.col("free")).alias("any"), F.min("id").alias("low"), F.max("id").alias("high")).where("low < high and any is not null").drop("low", "high")
+    met = rows.select("id", "guard", "free", *block).join(blocks, block)
+    apart = met.where("center is null")
+    guards = apart.where("guard is not null").groupBy(*block, "guard").agg(first(F.col("free")).alias("own"), F.first("open").alias("open")).where("own is not null")
+    links = met.where("center is not null").select(F.col("center").alias("a"), F.col("id").alias("b"))
+    links = links.union(apart.where(null).select(F.col("any").alias("a"), F.col("id").alias("b")))
+    links = links.union(apart.join(guards.drop("open"), [*block, "guard"]).select(F.col("own").alias("a"), F.col("id").alias("b")))
+    links = links.union(guards.where("open is not null").select(F.col("own").alias("a"), F.col("open").alias("b")))
+    return links.where("a <> b").distinct()
 
 
 def self_merge(rows: DataFrame, km: float = 4.0, name: str = "self_merge") -> DataFrame:
@@ -152,24 +161,33 @@ def self_merge(rows: DataFrame, km: float = 4.0, name: str = "self_merge") -> Da
 
     Two records of one kind are the same if they share an identifier; or if they have the same number, the first word of a
     label in common and no different guard, and share the leaf, lie within `km` of one another (which decides if both
-    have a place), start on the same day (if they do not), or share a label. Every way to agree is an equi-join of its own
-    and gives links to a representative, except places, which are paired in cells of a grid."""
+    have a place), start on the same day (if they do not), or share a label. Every way to agree is an equi-join and gives
+    links to a representative, except places, which are paired in cells of a grid within a block. Texts are read once, to
+    short keys."""
+    scratch = Scratch(rows.sparkSession, name)
     stated = rows.where("id is not null").withColumn("kind", F.coalesce("kind", F.lit("")))
     low = lambda c: F.lower(F.replace(c, F.lit("-"), F.lit(" ")))
-    first = F.transform("labels", lambda v: F.split(v, r"[-. ]")[0])
+    first = F.array_distinct(F.filter(F.transform("labels", lambda v: F.split(v, r"[-. ]")[0]), lambda w: w != ""))
     placed = usable(F.col("latitude"), F.col("longitude"))
-    words = stated.select("*", F.explode(F.array_distinct(F.filter(first, lambda w: w != ""))).alias("word"), (~placed).alias("lost"))
-    block = ["kind", "number", "word"]
-    base = lambda free, value: words.select("id", "guard", free.alias("free"), *block, value.alias("v")).where("v is not null and v <> ''").distinct()
-    always = F.lit(True)
-    found = [identifier_links(stated, "id", ["kind"], ["ids"])]
-    for free, value in ((always, F.col("leaf")), (F.col("lost"), F.col("start").cast("string")), (always, F.explode(F.array_distinct(F.transform("labels", low))))):
-        found.append(star_links(base(free, value), [*block, "v"]))
-    at = words.where("not lost").select(*block, "guard", F.col("id").alias("a"), F.col("latitude").alias("la"), F.col("longitude").alias("lo"), *position(F.col("latitude"), F.col("longitude")))
-    two = at.select(*block, F.col("guard").alias("guard2"), F.col("a").alias("b"), F.col("la").alias("la2"), F.col("lo").alias("lo2"), own_cell(km * 1.01).alias("cell"))
-    near = near_cells(at, km * 1.01).join(two, [*block, "cell"]).where((F.col("a") < F.col("b")) & F.coalesce(F.col("guard") == F.col("guard2"), F.lit(True)) & (haversine_km(F.col("la"), F.col("lo"), F.col("la2"), F.col("lo2")) < km))
-    edges = reduce(DataFrame.union, [*found, near.select("a", "b")]).distinct()
-    return synsets(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")), name).select("id", F.col("synset_id").alias("group"))
+    words = stated.select("*", F.explode(first).alias("word"))
+    block = lambda *v: _key(F.col("kind"), F.col("number"), F.col("word"), *v)
+    ways = F.concat(
+        F.array(F.struct(block(F.lit("leaf"), F.nullif("leaf", F.lit(""))).alias("k"), F.lit(True).alias("free")), F.struct(block(F.lit("start"), F.col("start").cast("string")).alias("k"), (~placed).alias("free"))),
+        F.transform(F.array_distinct(F.transform("labels", low)), lambda v: F.struct(block(F.lit("label"), F.nullif(v, F.lit(""))).alias("k"), F.lit(True).alias("free"))),
+    )
+    facts = scratch.write(words.select("id", F.when(F.col("guard").isNotNull(), F.xxhash64("guard")).alias("guard"), block().alias("block"), ways.alias("ways"), F.when(placed, F.col("latitude")).alias("la"), F.when(placed, F.col("longitude")).alias("lo")))
+    ways_of = facts.select("id", "guard", F.explode("ways").alias("w")).where("w.k is not null").select("id", "guard", "w.free", "w.k.h", "w.k.g")
+
+    at = facts.where("la is not null").select("block", "guard", "id", "la", "lo")
+    several = at.groupBy("block").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select("block")
+    at = scratch.write(at.join(several, "block", "left_semi"))
+    wide, edge = km * 1.01, km * 16
+    here = at.select("block", F.col("guard").alias("guard2"), F.col("id").alias("b"), F.col("la").alias("la2"), F.col("lo").alias("lo2"), *position(F.col("la"), F.col("lo"))).withColumn("cell", own_cell(edge)).drop("x", "y", "z")
+    there = near_cells(at.select("*", *position(F.col("la"), F.col("lo"))), wide, edge).drop("x", "y", "z")
+    near = there.join(here, ["block", "cell"]).where((F.col("id") < F.col("b")) & F.coalesce(F.col("guard") == F.col("guard2"), F.lit(True)) & (haversine_km(F.col("la"), F.col("lo"), F.col("la2"), F.col("lo2")) < km))
+    edges = reduce(DataFrame.union, [identifier_links(stated, "id", ["kind"], ["ids"]), star_links(ways_of, ["h", "g"]), near.select("id", "b")])
+    edges = scratch.write(edges.toDF("src", "dst").distinct())
+    return synsets(edges, name).select("id", F.col("synset_id").alias("group"))
 
 
 def merge_within(rows: DataFrame, host: str, values: list[str], name: str = "merge_within") -> DataFrame:
@@ -188,10 +206,10 @@ def identifier_links(rows: DataFrame, key: str, block: list[str], ids: list[str]
     """(a, b), a < b: rows of one block that share any identifier, whatever their names, as links from the least key of an
     identifier to each other one, so that an identifier of many rows gives as many links as it has rows."""
     stated = reduce(DataFrame.union, [rows.select(F.col(key).alias("b"), *block, F.explode(F.col(c) if rows.schema[c].dataType.typeName() == "array" else F.array(c)).alias("v")) for c in ids])
-    stated = stated.withColumn("v", _form(F.col("v"))).where(F.col("b").isNotNull() & F.col("v").rlike("[a-z0-9]") & ~F.col("v").isin(*NO_IDENTIFIER)).distinct()
-    least = stated.groupBy(*block, "v").agg(F.min("b").alias("a")).select(*[F.col(c).alias(f"__{c}") for c in block], F.col("v").alias("__v"), "a")
-    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in block], F.col("v") == F.col("__v"))
-    return stated.join(least, same).where("a < b").select("a", "b").distinct()
+    stated = stated.withColumn("v", _form(F.col("v"))).where(F.col("b").isNotNull() & F.col("v").rlike("[a-z0-9]") & ~F.col("v").isin(*NO_IDENTIFIER))
+    keyed = stated.select("b", _key(F.col("v"), *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for c in block]).alias("k")).select("b", "k.h", "k.g")
+    least = keyed.groupBy("h", "g").agg(F.min("b").alias("a"), F.max("b").alias("last")).where("a < last").drop("last")
+    return keyed.join(least, ["h", "g"]).where("a < b").select("a", "b").distinct()
 
 
 def in_list(pairs: DataFrame, column: str, members: DataFrame, source: str) -> DataFrame:

@@ -73,13 +73,15 @@ def own_cell(km: float) -> Column:
     return _cell_id([F.floor(F.col(a) / km) for a in "xyz"])
 
 
-def near_cells(points: DataFrame, km: float) -> DataFrame:
-    """Each row of (..., x, y, z) once for each cell of edge `km` that has places within `km` of it, as `cell`."""
-    if km < LEAST_KM:
-        raise ValueError(f"cells of {km} km: their numbers hold for {LEAST_KM} km or more")
-    out = points.withColumn("c", F.explode(_around([F.floor(F.col(a) / km) for a in "xyz"], 1)))
+def near_cells(points: DataFrame, km: float, edge: float | None = None) -> DataFrame:
+    """Each row of (..., x, y, z) once for each cell of an edge (`km` or more; `km` where it is not given) that has places
+    within `km` of it, as `cell`."""
+    edge = edge or km
+    if edge < max(LEAST_KM, km):
+        raise ValueError(f"cells of {edge} km: their numbers hold for {LEAST_KM} km or more, and they may not be under {km}")
+    out = points.withColumn("c", F.explode(_around([F.floor(F.col(a) / edge) for a in "xyz"], 1)))
     box = [F.col("c.i"), F.col("c.j"), F.col("c.k")]
-    return out.where(_nearest2(box, km) <= km * km).withColumn("cell", _cell_id(box)).drop("c")
+    return out.where(_nearest2(box, edge) <= km * km).withColumn("cell", _cell_id(box)).drop("c")
 
 
 def points_within(points: DataFrame, key: str, lat: str, lon: str, km: float) -> DataFrame:
