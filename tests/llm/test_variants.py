@@ -92,3 +92,58 @@ def test_no_pair_of_words_within_the_distance_is_missed():
             most = min(L.allowed(w), L.allowed(x))
             if w != x and L.distance(w, x, most) <= most:
                 assert own & keys[x], (w, x)
+
+
+def best(picks, suffix, nick, code, listed):
+    """Of each form that picks (words, cost) have in common with a listed name, the least cost, where as many meet as must."""
+    own, out = dict(V.forms_of(*listed, True)), {}
+    for words, cost in picks:
+        lanes = {}
+        for form, need in V.forms_of(list(words), suffix, nick, code, False):
+            if form in own:
+                most = max(need, own[form])
+                lanes.setdefault((need, own[form]) if most > 1 else None, [most]).append(form)
+        for most, *forms in lanes.values():
+            for form in forms if len(forms) >= most else ():
+                out[form] = min(cost, out.get(form, cost))
+    return out
+
+
+def test_the_best_combinations_are_those_of_all():
+    """Against all combinations: words run together, initials on either side, repeated words, nicknames, codes."""
+    import random
+    from itertools import product
+
+    r, met = random.Random(5), 0
+    words = ["ab", "ba", "abab", "baab", "abba", "a", "b", "aa", "babaab", "abcd", "acbd", "abcdabcd"]
+    for _ in range(20_000):
+        core = [r.choice(words) for _ in range(r.randint(1, 4))]
+        nick = r.random() < 0.1
+        choices = [{r.choice(words): 0.0} | {r.choice(words): r.choice((0.25, 1.0, 2.0)) for _ in range(r.randint(0, 3))} for _ in range(r.choice((len(core), len(core), len(core) + 1, r.randint(1, 4))))]
+        code, listed_code = r.choice((None, "abcd")), r.choice((None, "xyz"))
+        cost = lambda pick: sum(c[w] for c, w in zip(choices, pick, strict=True))  # noqa: E731, B023
+        every = [(p, cost(p)) for p in product(*choices)]
+        found = [(p, cost(p)) for p in V.best_picks(choices, nick, code is not None, core, nick, listed_code is not None)]
+        listed = (core, None, nick, listed_code)
+        assert (want := best(every, None, nick, code, listed)) == best(found, None, nick, code, listed), (core, choices)
+        met += bool(want)
+    assert met > 1500
+
+
+@pytest.mark.parametrize("most", [256, 0])
+def test_names_of_many_combinations_lose_nothing(spark, monkeypatch, most):
+    """Initials, words run together, nicknames and codes of misspelled names, whatever number of combinations is spelled out."""
+    monkeypatch.setattr(V, "MOST", most)
+    listed = spark.createDataFrame([*NAMES, (10, "Kitt Peak North Camera", ["The Ringing Spider", "RNGSPD"]), (11, "R. Haleakala Skyfield Station", None)], "fid int, label string, alt array<string>")
+    typed = [
+        ("J. Clerk Maxwel", 2), ("Jmaes C. Maxwel", 2), ("JamesClrek Maxwell", 2), ("Maunkea North Obs", 1), ("the rinigng spidr", 10), ("Kittpaek Nroth Camera", 10), ("Richard Haleakla Skyfeild Stn", 11),
+        ("R Haleakla Skyfeild", 11), ("KittPaekNorth", 10), ("Robrt M", 7), ("J C Maxwel", 2), ("James Clrek North", None), ("rngspd", 10),
+    ]
+    got = {x.key: x.entity for x in V.link(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(typed)], "mid int, label string"), "mid", ["label"], listed, "fid", "label", "alt").collect()}
+    assert got == {i: f for i, (_, f) in enumerate(typed) if f}
+
+
+def test_long_names_that_are_listed_run_together(spark):
+    listed = spark.createDataFrame([(1, "Maunakeanorthern Observatory", None), (2, "Hale Observatory", None)], "fid int, label string, alt array<string>")
+    rows = spark.createDataFrame([(1, "Mauna Kea Northern Observatory"), (2, "Mauna Kea Northern Hill"), (3, "Kea Mauna Northern")], "mid int, label string")
+    assert {(x.key, x.entity) for x in V.link(rows, "mid", ["label"], listed, "fid", "label", "alt").collect()} == {(1, 1)}
