@@ -72,3 +72,72 @@ def test_partners_without_a_place(spark):
     right += [(2000, "Solo Namely", None, 5.0, 5.0, "y"), (2001, "Many Namely", None, 5.0, 5.0, "y"), (2002, f"{things[160][0]} {things[160][1]}", None, None, None, "y")]
     found = {(x.a, x.b) for x in K.link(spark.createDataFrame(left, SHAPE), "id", spark.createDataFrame(right, SHAPE), "id").collect()}
     assert {(300, 2000), (160, 2002)} <= found and not any(b == 2001 for _, b in found) and {(i, 1000 + i) for i in range(150)} <= found
+
+
+def test_near_pairs_come_once(spark):
+    """Against all pairs, at the first way to read a position that is near: stated, with wrong signs, swapped."""
+    import math
+
+    from synoptic.operators import nearby as N
+
+    r = random.Random(6)
+    spots = [(0.01, 10.0), (0.02, 0.02), (10.0, 10.01), (-20.0, 20.0), (45.0, 0.005), (89.99, 5.0), (30.0, 179.99), (12.0, -77.0)]
+    near = lambda p: (max(-90.0, min(90.0, p[0] + r.gauss(0, 0.02))), (p[1] + r.gauss(0, 0.02) + 180) % 360 - 180)
+    left = [(i, i, (None, None, "a" if i % 2 else "b"), *near(r.choice(spots))) for i in range(80)]
+    right = []
+    for i in range(120):
+        la, lo = near(r.choice(spots))
+        right.append((i, i, (None, None, "a"), *r.choice([(la, lo), (lo, la), (-la, lo), (la, -lo), (-la, -lo), (None, lo)])))
+    shape = "id bigint, c bigint, p struct<names: array<array<string>>, codes: array<string>, kind: string>, lat double, lon double"
+    got = [tuple(x) for x in K.by_place(spark.createDataFrame(left, shape), spark.createDataFrame(right, shape)).select("a", "b", "kind", "place").collect()]
+
+    def at(la, lo):
+        if la is None or abs(la) > 90 or (la, lo) == (0, 0):
+            return None
+        phi, lam = math.radians(la), math.radians(lo)
+        n = N.EQUATOR / math.sqrt(1 - N.ECCENTRICITY2 * math.sin(phi) ** 2)
+        return n * math.cos(phi) * math.cos(lam), n * math.cos(phi) * math.sin(lam), n * (1 - N.ECCENTRICITY2) * math.sin(phi)
+
+    want = []
+    for a, _, kind, *site in left:
+        for b, _, _, la, lo in right:
+            ways = [(la, lo)] if la is None else [(la, lo), (lo, la), (-la, lo), (la, -lo), (-la, -lo)]
+            km = [math.dist(at(*site), at(*w)) if at(*w) else math.inf for w in ways]
+            if min(km) <= K.KM:
+                want.append((a, b, 2 if kind[2] == "a" else 0, 4 if km[0] <= K.CLOSE_KM else 3 if km[0] <= K.KM else 2))
+    assert sorted(got) == sorted(want) and {x[3] for x in got} == {2, 3, 4}
+
+
+def test_a_site_goes_into_few_cells(spark):
+    """Its rows are what the place pass writes to disk."""
+    seen = []
+    near_cells = K.N.near_cells
+
+    def counted(*args):
+        seen.append(near_cells(*args))
+        return seen[0]
+
+    r = random.Random(3)
+    shape = "id bigint, c bigint, p struct<names: array<array<string>>, codes: array<string>, kind: string>, lat double, lon double"
+    sites = spark.createDataFrame([(i, i, (None, None, "a"), r.uniform(-80, 80), r.uniform(-180, 180)) for i in range(1000)], shape)
+    K.N.near_cells = counted
+    try:
+        K.by_place(sites, sites)
+    finally:
+        K.N.near_cells = near_cells
+    assert 1000 < seen[0].count() < 4000
+
+
+def test_shuffle_files_go_with_the_step_that_made_them(spark):
+    import time
+
+    files = lambda: sum("shuffle_" in x for x in str(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")).split())
+    K.Scratch(spark, "test").write(spark.range(10))
+    before = files()
+    table = K.Scratch(spark, "test").write(spark.range(10_000).groupBy("id").count())
+    assert table.count() == 10_000
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.2)
+    assert files() <= before
