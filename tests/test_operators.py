@@ -438,3 +438,22 @@ def test_relations_by_the_synonym_of_a_list(spark):
 @pytest.mark.parametrize(("given", "clean"), [("urn:A:b::1.0", "urn:a:b"), (" \t Urn:a::12 \n", "urn:a"), ("a ::1.2.3", "a"), ("a::1::2", "a::1"), ("a::x", "a::x"), ("::1.0", ""), ("", ""), ("a b", "a b"), (None, None)])
 def test_references(spark, given, clean):
     assert spark.range(1).select(hierarchy.clean_reference(F.lit(given).cast("string"))).first()[0] == clean
+
+
+def test_ways_are_those_of_the_tours(spark, monkeypatch):
+    """Deep, wide and looped trees, an id of -1, and as few tables as the halvings of the depth."""
+    r = random.Random(1)
+    up = {i: i - 1 for i in range(1, 300)} | {i: 200 if i % 3 else r.randrange(0, i) for i in range(300, 700)}
+    up |= {2000: 2001, 2001: 2002, 2002: 2000, 2003: 2001, 2004: 2003, 3000: -1, 3001: 3000, 4000: 4001}
+    pairs = spark.createDataFrame(list(up.items()), "child bigint, parent bigint")
+    written = []
+    write = hierarchy.Scratch.write
+    monkeypatch.setattr(hierarchy.Scratch, "write", lambda self, df: written.append(1) or write(self, df))
+    got = {x.node_id: (x.root_id, x.depth, x.path) for x in hierarchy.ways(pairs).collect()}
+    assert len(got) == len(up) and len(written) <= 30
+    for n in up:
+        path = [n]
+        while path[-1] in up and path.count(path[-1]) == 1:
+            path.append(up[path[-1]])
+        assert got[n] == ((-1, -1, "") if 2000 <= n < 2005 else (path[-1], len(path) - 1, "/".join(map(str, path[::-1]))))
+    assert hierarchy.ways(pairs.limit(0)).count() == 0
