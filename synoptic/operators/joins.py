@@ -45,9 +45,14 @@ def labels_of(rows: DataFrame, key: str, label: str = "label", alt: str = "alt_l
     return exploded(rows, key, label, label).union(exploded(rows, key, alt, alt)).select("id", _form(F.col("v")).alias("v"), "field").distinct()
 
 
+def matched_labels(left: DataFrame, left_key: str, least: int = 5) -> DataFrame:
+    """(id, v, field): the labels of the left side that `label_matches` takes."""
+    return labels_of(left, left_key).where(F.length("v") >= least)
+
+
 def label_matches(left: DataFrame, left_key: str, right: DataFrame, right_key: str, least: int = 5) -> DataFrame:
     """(a, b, field_a, field_b): the same label or alternative label, the left one of `least` characters or more."""
-    one = labels_of(left, left_key).where(F.length("v") >= least).select(F.col("id").alias("a"), "v", F.col("field").alias("field_a"))
+    one = matched_labels(left, left_key, least).select(F.col("id").alias("a"), "v", F.col("field").alias("field_a"))
     two = labels_of(right, right_key).select(F.col("id").alias("b"), "v", F.col("field").alias("field_b"))
     return one.join(two, "v").groupBy("a", "b").agg(F.min("field_a").alias("field_a"), F.min("field_b").alias("field_b"))
 

@@ -80,6 +80,88 @@ def one_to_one(scored: DataFrame, name: str = "assign") -> DataFrame:
     return out
 
 
+def _first_free(rows: DataFrame) -> DataFrame:
+    """(a, b): the assignment of `one_to_one_by_value` for at most FEW rows (id, v, right): the left ones in order take the
+    first free right one that has one of their values."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lists: dict = {}
+        at: dict = {}
+        gone: set = set()
+        done = None
+        values: list = []
+
+        def take(a) -> list:  # noqa: ANN001
+            found = []
+            for v in values:
+                mine, k = lists.get(v, ()), at.get(v, 0)
+                while k < len(mine) and mine[k] in gone:
+                    k += 1
+                at[v] = k
+                if k < len(mine):
+                    found.append(mine[k])
+            if not found:
+                return []
+            gone.add(min(found))
+            return [(a, min(found))]
+
+        for df in batches:
+            kept = []
+            for x, v, right in zip(df["id"].tolist(), df["v"].tolist(), df["right"].tolist(), strict=True):
+                if right:
+                    lists.setdefault(v, []).append(x)
+                    continue
+                if x != done:
+                    kept += take(done)
+                    done, values = x, []
+                values.append(v)
+            yield pd.DataFrame(kept, columns=["a", "b"])
+        yield pd.DataFrame(take(done), columns=["a", "b"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.select("id", "v", "right").repartition(1).sortWithinPartitions(F.desc("right"), "id").mapInPandas(run, f"a {kind}, b {kind}")
+
+
+def one_to_one_by_value(left: DataFrame, right: DataFrame, name: str = "assign") -> DataFrame:
+    """(a, b, score): what `one_to_one` takes of all pairs of a left and a right entity (id, v) that share a value, with the
+    score 1, without making the pairs: a value that n and m entities have would make n x m.
+
+    Each round drops values that one side has no more, takes the pairs that come first for both their sides and, of each
+    value, the n-th left with the n-th right entity as far as all up to them have no other value; a value that many
+    have is one round that way. The last FEW rows are looked through in order. Ranks are two-level running totals, so no
+    task sees all entities of a value."""
+    scratch = Scratch(left.sparkSession, name)
+    rows = left.select("id", "v", F.lit(False).alias("right")).union(right.select("id", "v", F.lit(True))).where("id is not null and v is not null").distinct()
+
+    def shared(rows: DataFrame) -> DataFrame:
+        sides = rows.groupBy("v").agg(F.min("right").alias("low"), F.max("right").alias("high")).where("low <> high").select("v")
+        return rows.join(sides, "v", "left_semi")
+
+    rows = scratch.write(shared(rows))
+    taken: list[DataFrame] = []
+    while (size := rows.count()) > FEW:
+        parts = max(8, size // 100_000)
+        values = rows.groupBy("id", "right").agg(F.count("*").alias("values"))
+        placed = rows.join(values, ["id", "right"]).repartitionByRange(parts, "v", "right", "id").withColumn("part", F.spark_partition_id())
+        ranked = scratch.write(running_total(scratch.write(placed), ["v", "right"], [F.col("id")], F.col("part"), F.lit(1), "rank"))
+        # Of each value: the first on both sides, and the least rank of an entity with other values.
+        of = lambda c: F.min(F.when(c, F.col("id")))
+        heads = scratch.write(ranked.groupBy("v").agg(of(~F.col("right")).alias("a"), of(F.col("right")).alias("b"), F.min(F.when(F.col("values") > 1, F.col("rank"))).alias("stop")))
+        side = lambda x: ranked.where(F.col("right") == x).join(heads, "v")  # noqa: E731, B023
+        best = [side(False).groupBy(F.col("id").alias("a")).agg(F.min("b").alias("b")), side(True).groupBy(F.col("id").alias("b")).agg(F.min("a").alias("a"))]
+        only = [side(x).where("stop is null or rank < stop").select(F.col("id").alias(c), "v", "rank") for x, c in ((False, "a"), (True, "b"))]
+        chosen = scratch.write(best[0].join(best[1], ["a", "b"]).select("a", "b").union(only[0].join(only[1], ["v", "rank"]).select("a", "b")).distinct())
+        taken.append(chosen)
+        gone = chosen.select(F.col("a").alias("id"), F.lit(False).alias("right")).union(chosen.select("b", F.lit(True)))
+        after = scratch.write(shared(rows.join(gone, ["id", "right"], "left_anti")))
+        scratch.drop(rows, ranked, heads)
+        rows = after
+    out = scratch.write(_first_free(rows))
+    for t in taken:
+        out = out.union(t)
+    return out.select("a", "b", F.lit(1.0).alias("score"))
+
+
 def attempts_within(scored: DataFrame, most: int = 3, cap: int | None = 500, name: str = "attempts") -> DataFrame:
     """(a, b, score): the pairs that are offered for a decision in descending order of score (ties by a, then b), each entity
     at most `most` times, and at most `cap` pairs in all (the length of a session). A pair that is passed over because

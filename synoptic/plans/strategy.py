@@ -15,7 +15,7 @@ others, takes no part in it; pairs that were decided not to be the same are not
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -240,12 +240,22 @@ def run(steps: list[Step], entities: DataFrame, weights: dict[str, float] | None
     for step in steps:
         wanted = entities.where(class_of(F.col("entity_type")).isin(list(step.types)) | F.col("entity_type").isNull())
         left, right = open_ones(wanted, step.list1, step.list2)
+        direct = None
+        if step.matchers and not step.filters and recorded is None:
+            # Nothing tells pairs of equal labels apart, so they are assigned without being made. What is left has none.
+            direct = scratch.write(select.one_to_one_by_value(joins.matched_labels(left, "uri"), joins.labels_of(right, "uri"), name))
+            add(_mapped(direct, "exactMatch", "lexical"))
+            step = replace(step, matchers=())
+            if not step.scorers:
+                continue
         pairs = blocked(left, right, step, vectors, candidates).join(_side(left, "a", "1"), "a").join(_side(right, "b", "2"), "b")
         for settled in found:
             gone = settled.where(~F.col("predicate").isin(*LINKS))
             pairs = pairs.join(gone.select("a", "b"), ["a", "b"], "left_anti").join(gone.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
         for f in step.filters:
             pairs = pairs.where(_filter(f))
+        if direct is not None:
+            pairs = pairs.join(direct.select("a"), "a", "left_anti").join(direct.select("b"), "b", "left_anti")
         pairs = rest = scratch.write(pairs)
         if step.matchers:
             exact = joins.label_matches(left, "uri", right, "uri").join(pairs.select("a", "b"), ["a", "b"])

@@ -80,3 +80,33 @@ def test_places_and_embeddings(spark):
     run = lambda text: {(x.a, x.b) for x in strategy.run(strategy.parse(text), df, z=-9.0).collect()}
     assert run("aas, wikidata: distance, levenshtein_similarity >= 0.8") == {("a1", "w2")}
     assert run("aas, wikidata: embedding >= 0.9") == {("a1", "w1")}
+
+
+def test_a_label_that_many_bear_makes_no_pairs(spark, monkeypatch):
+    """Labels are assigned without a pair of each two that share one; steps with filters still make them."""
+    def pairs(*_):
+        raise AssertionError("pairs were made")
+
+    monkeypatch.setattr(strategy.joins, "label_matches", pairs)
+    rows = [entity(f"{m}{i:03d}", source, "Unknown") for m, source in (("a", "aas"), ("p", "pds"), ("w", "wikidata")) for i in range(40 if m != "w" else 60)]
+    text = "aas, pds: label_match\naas, wikidata: label_match\npds, wikidata: label_match"
+    assert linked(spark, text, rows) == {(f"a{i:03d}", f"{m}{i:03d}") for m in "pw" for i in range(40)}
+
+
+def test_assignment_by_values_is_that_of_all_pairs(spark, monkeypatch):
+    """In rounds and in order: many of one value, entities with several values, values of one side only."""
+    r = random.Random(5)
+    for few in (200_000, 0):
+        monkeypatch.setattr(strategy.select, "FEW", few)
+        for crowd, more in ((60, 0), (25, 12)):
+            one = [(f"a{i:03d}", "hot") for i in range(crowd)] + [(f"a{r.randrange(60):03d}", f"v{r.randrange(15)}") for _ in range(more)] + [("a900", "mine")]
+            two = [(f"b{i:03d}", "hot") for i in range(crowd - 5)] + [(f"b{r.randrange(60):03d}", f"v{r.randrange(15)}") for _ in range(more)] + [("b900", "yours")]
+            want, left, right = set(), set(), set()
+            for a, b in sorted({(a, b) for a, v in one for b, w in two if v == w}):
+                if a not in left and b not in right:
+                    want.add((a, b))
+                    left.add(a)
+                    right.add(b)
+            rows = [spark.createDataFrame(x, "id string, v string") for x in (one, two)]
+            got = strategy.select.one_to_one_by_value(*rows).collect()
+            assert {(x.a, x.b) for x in got} == want and len(got) == len(want)
