@@ -140,3 +140,28 @@ def test_shuffle_files_go_with_the_step_that_made_them(spark):
             break
         time.sleep(0.2)
     assert not files() - before and table.count() == 10_000
+
+
+def test_passes_give_the_same_rows_and_leave_few_tables(spark, monkeypatch, tmp_path):
+    """Large steps run in passes over a part of their rows; at the end only what the result reads is left on disk."""
+    import glob
+
+    r = random.Random(12)
+    things = entities(r, 120)
+    left = [(i, f"{n} {k}", None, la, lo, "x") for i, (n, k, la, lo) in enumerate(things)]
+    right = [(1000 + i, f"{n[:2]}{n[3:]} {k}", None, *((la, lo) if i % 3 else (None, None)), "y") for i, (n, k, la, lo) in enumerate(things[:90])]
+    frames = [spark.createDataFrame(x, SHAPE) for x in (left, right)]
+    got = []
+    for rows in (500_000, 20):
+        monkeypatch.setattr(K, "ROWS", rows)
+        monkeypatch.setattr(K, "PASSES", 3)
+        made = []
+        monkeypatch.setattr(K, "Scratch", lambda *a, made=made, kind=type(K.Scratch(spark, "test")): made.append(kind(*a)) or made[0])
+        found = K.link(frames[0], "id", frames[1], "id")
+        got.append({(x.a, x.b, round(x.confidence, 9)) for x in found.collect()})
+        assert (made[0].count > 30) == (rows == 20)
+        kept = {int(p.rsplit("/", 1)[1]) for p in glob.glob(made[0].root.removeprefix("file://") + "/*")}
+        read = {int(f.rsplit("/", 2)[1]) for f in found.inputFiles() if made[0].root.rsplit("/", 1)[1] in f}
+        assert read <= kept and len(kept - read) <= 1
+        monkeypatch.undo()
+    assert got[0] == got[1] and len(got[0]) > 60
